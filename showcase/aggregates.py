@@ -157,8 +157,11 @@ def impute_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     roles = Roles()
     features = feature_frame(census(spark, sf_dir))
     medians = exact_medians(features, roles.model_numeric)
-    schema = "column_name string, median double, mode string"
-    numeric = spark.createDataFrame([(c, v, None) for c, v in medians.items()], schema)
+    found = [
+        F.struct(F.lit(c).alias("column_name"), F.lit(v).alias("median"), F.lit(None).cast("string").alias("mode"))
+        for c, v in medians.items()
+    ]
+    numeric = spark.range(1).select(F.inline(F.array(*found)))
     frequent = modes(features, roles.categorical).select("column_name", F.lit(None).cast("double").alias("median"), F.col("value").alias("mode"))
     return rounded(numeric.unionByName(frequent))
 
@@ -171,8 +174,7 @@ def medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact medians by bracketing: values spread thin, and values that fill the table."""
     columns = {"l_extendedprice": "price", "l_quantity": "quantity", "l_tax": "tax", "l_partkey": "part"}
     found = exact_medians(table(spark, sf_dir, "lineitem"), list(columns))
-    row = tuple(found[c] for c in columns)
-    return rounded(spark.createDataFrame([row], [*columns.values()]))
+    return rounded(spark.range(1).select(*[F.lit(found[c]).alias(name) for c, name in columns.items()]))
 
 
 _METRIC_COLUMNS = "round(roc_auc, 6) AS roc_auc, round(f1, 6) AS f1, round(accuracy, 6) AS accuracy, eval_rows, round(positive_rate, 6) AS positive_rate"

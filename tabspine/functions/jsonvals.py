@@ -89,13 +89,13 @@ def body_scores(body: Column, ordered: Column) -> Column:
 
 def last_wins(entries: Column) -> Column:
     """Map from an array of (key, value) structs; of repeated keys the last one stays."""
-    keys = F.transform(entries, lambda e: e["key"])
+    empty = F.from_json(F.lit("{}"), "map<string,string>")
 
-    def is_last(entry: Column, position: Column) -> Column:
-        later = F.slice(keys, position + 2, F.size(keys))
-        return ~F.array_contains(later, entry["key"])
+    def put(pairs: Column, entry: Column) -> Column:
+        others = F.map_filter(pairs, lambda k, _: k != entry["key"])
+        return F.map_concat(others, F.create_map(entry["key"], entry["value"]))
 
-    return F.map_from_entries(F.filter(entries, is_last))
+    return F.aggregate(entries, empty, put)
 
 
 def pair_entries(text: Column) -> Column:

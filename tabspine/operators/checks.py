@@ -15,8 +15,6 @@ from tabspine.operators.clean import missing_columns
 from tabspine.operators.engineer import contract_violations
 from tabspine.operators.status import latest_row
 
-CHECK_SCHEMA = "check string, passed boolean, observed double, bound double, detail string"
-
 
 class GateError(RuntimeError):
     """A fail-closed check did not pass."""
@@ -46,9 +44,17 @@ def _rows(counts: DataFrame, checks: Sequence[Column]) -> DataFrame:
 
 def schema_check(spark: SparkSession, name: str, problems: Sequence[str]) -> DataFrame:
     """A check on names and types, decided without reading data."""
-    return spark.createDataFrame(
-        [(name, not problems, float(len(problems)), 0.0, ", ".join(problems))], CHECK_SCHEMA
-    )
+    count = F.lit(float(len(problems)))
+    return _rows(spark.range(1), [_check(name, F.lit(not problems), count, 0, ", ".join(problems))])
+
+
+def require_schema(features: DataFrame, roles: Roles = Roles()) -> None:
+    """Raise unless the feature table keeps its contract and holds no label; reads no data."""
+    problems = contract_violations(features, roles)
+    if roles.id_col not in features.columns:
+        problems.append(f"{roles.id_col}: missing")
+    if problems:
+        raise GateError(f"feature contract: {', '.join(problems)}")
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

@@ -54,21 +54,20 @@ def permutation_importance(
     """
     features = list(features)
     permuted = permuted_rows(df.select(key, label, *features), key, features, repeats, seed)
-
-    def variant(changed: str | None):
-        values = [(F.col("_donor")[c] if c == changed else F.col(c)).alias(c) for c in features]
-        return F.struct(F.lit(changed).cast("string").alias("feature"), *values)
-
-    variants = permuted.select(
-        key, label, F.col("_repeat").alias("repeat"), F.inline(F.array(*[variant(c) for c in (None, *features)]))
+    forms = permuted.select("*", F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1))).alias("_changed"))
+    variants = forms.select(
+        key,
+        label,
+        F.col("_repeat").alias("repeat"),
+        "_changed",
+        *[F.when(F.col("_changed") == i, F.col("_donor")[c]).otherwise(F.col(c)).alias(c) for i, c in enumerate(features)],
     )
     right = F.avg(((F.col("score") >= threshold).cast("int") == F.col(label)).cast("double"))
-    accuracy = score(variants).groupBy("feature", "repeat").agg(right.alias("accuracy"))
-    base = F.max(F.when(F.col("feature").isNull(), F.col("accuracy"))).over(Window.partitionBy("repeat"))
-    return (
-        accuracy.withColumn("importance", base - F.col("accuracy"))
-        .filter(F.col("feature").isNotNull())
-        .select("feature", "repeat", "importance")
+    accuracy = score(variants).groupBy("_changed", "repeat").agg(right.alias("accuracy"))
+    base = F.max(F.when(F.col("_changed") == -1, F.col("accuracy"))).over(Window.partitionBy("repeat"))
+    names = F.array(*[F.lit(c) for c in features])
+    return accuracy.withColumn("importance", base - F.col("accuracy")).filter("_changed >= 0").select(
+        F.get(names, F.col("_changed")).alias("feature"), "repeat", "importance"
     )
 
 

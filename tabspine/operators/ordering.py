@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,6 +17,7 @@ from tabspine.sources.scratch import materialize
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 _ACCURACY = 10_000
 _COLLECT_LIMIT = 20_000
+_CUTS = 64
 
 
 def global_row_number(df: DataFrame, order: Sequence[str], out: str = "row_number") -> DataFrame:
@@ -49,114 +51,167 @@ def _literal(df: DataFrame, col: str, value: Any) -> Column:
     return F.lit(value).cast(kind)
 
 
+@dataclass
+class _Span:
+    """Ranks of one column still being looked for: they lie in the open interval (low, high) of ``rows`` values."""
+
+    col: str
+    ranks: list[int]
+    low: Any = None
+    high: Any = None
+    below: int = 0
+    rows: int = 0
+
+    def inside(self, base: DataFrame) -> Column:
+        cond = F.col(self.col).isNotNull()
+        if self.low is not None:
+            cond = cond & (F.col(self.col) > _literal(base, self.col, self.low))
+        if self.high is not None:
+            cond = cond & (F.col(self.col) < _literal(base, self.col, self.high))
+        return cond
+
+    def bracket(self) -> list[float]:
+        """Quantiles that enclose the ranks whatever the sketch's error."""
+        first, last = (min(self.ranks) - self.below) / self.rows, (max(self.ranks) - self.below + 1) / self.rows
+        return [max(0.0, first - 2 / _ACCURACY), min(1.0, last + 2 / _ACCURACY)]
+
+
 def order_statistics(df: DataFrame, ranks: Mapping[str, Sequence[int]]) -> dict[tuple[str, int], Any]:
     """Exact values at zero-based ranks among the non-null values of numeric or time columns.
 
-    Each round brackets every rank between two sketched quantiles, counts what lies below, on and between them,
-    and narrows to the open interval, about one row in a thousand. No row is shuffled, only counts reach the driver, and
-    a value that fills the table is a bracket end, decided by its count. When few enough rows are left in an interval
-    they are sorted in one small aggregate.
+    Each round brackets the ranks between two sketched quantiles, counts what lies below, on and between them, and narrows
+    to an open interval of about one row in a thousand. No row is shuffled and only counts reach the driver. A value that
+    fills the table is a bracket end, decided by its count. An interval with few rows left is sorted in one small aggregate.
     """
+    base = df.select(*[c for c, rs in ranks.items() if rs])
+    if not base.columns:
+        return {}
+    counts = base.agg(*[F.count(c).alias(c) for c in base.columns]).first()
+    spans = []
+    for c in base.columns:
+        wrong = [r for r in ranks[c] if not 0 <= r < counts[c]]
+        if wrong:
+            raise IndexError(f"rank {wrong[0]} of {counts[c]} values in {c}")
+        spans += [_Span(c, group, rows=counts[c]) for group in _neighbours(ranks[c], counts[c])]
+    return _search(base, spans)
+
+
+def _neighbours(ranks: Sequence[int], rows: int) -> list[list[int]]:
+    """Ranks in groups close enough to share a bracket."""
+    groups: list[list[int]] = []
+    for r in sorted(set(ranks)):
+        if groups and r - groups[-1][0] <= max(1, rows // _ACCURACY):
+            groups[-1].append(r)
+        else:
+            groups.append([r])
+    return groups
+
+
+def _search(base: DataFrame, spans: list[_Span], brackets: Sequence | None = None) -> dict[tuple[str, int], Any]:
+    """Narrow the spans round by round; ``brackets`` are the first round's, if already sketched."""
     found: dict[tuple[str, int], Any] = {}
-    # per target: open interval (low, high), rows below it, rows inside it
-    open_targets = {(c, r): (None, None, 0, None) for c, rs in ranks.items() for r in rs}
-    if not open_targets:
-        return found
-    columns = list(ranks)
-    base = df.select(*columns)
-    counts = base.agg(*[F.count(c).alias(c) for c in columns]).first()
-    for (c, r), (low, high, below, _) in list(open_targets.items()):
-        if not 0 <= r < counts[c]:
-            raise IndexError(f"rank {r} of {counts[c]} values in {c}")
-        open_targets[c, r] = (low, high, below, counts[c])
-
-    def inside(c: str, low: Any, high: Any) -> Column:
-        cond = F.col(c).isNotNull()
-        if low is not None:
-            cond = cond & (F.col(c) > _literal(base, c, low))
-        return cond if high is None else cond & (F.col(c) < _literal(base, c, high))
-
-    while open_targets:
-        small = {t: s for t, s in open_targets.items() if s[3] <= _COLLECT_LIMIT}
+    while spans:
+        small = [s for s in spans if s.rows <= _COLLECT_LIMIT]
+        spans = [s for s in spans if s.rows > _COLLECT_LIMIT]
         if small:
-            picks = []
-            for (c, r), (low, high, below, _) in small.items():
-                values = F.sort_array(F.collect_list(F.when(inside(c, low, high), F.col(c))))
-                picks.append(F.get(values, F.lit(r - below)))
-            for target, value in zip(small, base.agg(*picks).first()):
-                found[target] = value
-                del open_targets[target]
-            continue
-        targets = list(open_targets.items())
-        margin = 2 / _ACCURACY
-        sketches = []
-        for i, ((c, r), (low, high, below, n)) in enumerate(targets):
-            at = (r - below + 0.5) / n
-            ends = [max(0.0, at - margin), min(1.0, at + margin)]
-            values = F.when(inside(c, low, high), F.col(c))
-            sketches.append(F.percentile_approx(values, ends, _ACCURACY).alias(f"q{i}"))
-        brackets = base.agg(*sketches).first()
+            wanted = [(s, r) for s in small for r in s.ranks]
+            sorted_values = [F.sort_array(F.collect_list(F.when(s.inside(base), F.col(s.col)))) for s, _ in wanted]
+            row = base.agg(*[F.get(v, F.lit(r - s.below)) for v, (s, r) in zip(sorted_values, wanted)]).first()
+            found |= {(s.col, r): value for (s, r), value in zip(wanted, row)}
+            brackets = None
+        if not spans:
+            break
+        if brackets is None:
+            sketches = [F.percentile_approx(F.when(s.inside(base), F.col(s.col)), s.bracket(), _ACCURACY) for s in spans]
+            brackets = base.agg(*sketches).first()
         tallies = []
-        for i, ((c, r), (low, high, _, _)) in enumerate(targets):
-            first, last = brackets[i]
-            within, value = inside(c, low, high), F.col(c)
-            start, end = _literal(base, c, first), _literal(base, c, last)
-            tallies += [
-                F.count_if(within & (value < start)).alias(f"a{i}"),
-                F.count_if(within & (value == start)).alias(f"b{i}"),
-                F.count_if(within & (value > start) & (value < end)).alias(f"c{i}"),
-                F.count_if(within & (value == end) & (value > start)).alias(f"d{i}"),
-            ]
+        for s, (first, last) in zip(spans, brackets):
+            value, start, end = F.col(s.col), _literal(base, s.col, first), _literal(base, s.col, last)
+            places = [value < start, value == start, (value > start) & (value < end), (value == end) & (value > start)]
+            tallies += [F.count_if(s.inside(base) & place) for place in places]
         seen = base.agg(*tallies).first()
-        for i, ((c, r), (low, high, below, n)) in enumerate(targets):
-            first, last = brackets[i]
-            under, on_first, between, on_last = (seen[4 * i + j] for j in range(4))
-            step = below + under
-            if r < step:
-                open_targets[c, r] = (low, first, below, under)
-            elif r < step + on_first:
-                found[c, r] = first
-            elif r < step + on_first + between:
-                open_targets[c, r] = (first, last, step + on_first, between)
-            elif r < step + on_first + between + on_last:
-                found[c, r] = last
-            else:
-                step += on_first + between + on_last
-                open_targets[c, r] = (last, high, step, n - (step - below))
-        for target in found:
-            open_targets.pop(target, None)
+        narrowed = []
+        for i, (s, (first, last)) in enumerate(zip(spans, brackets)):
+            edges = [s.below]
+            for count in seen[4 * i : 4 * i + 4]:
+                edges.append(edges[-1] + count)
+            pieces = [(s.low, first), None, (first, last), None, (last, s.high)]
+            ends = edges[1:] + [s.below + s.rows]
+            for place, (piece, start, end) in enumerate(zip(pieces, edges, ends)):
+                here = [r for r in s.ranks if start <= r < end]
+                if here and piece is None:
+                    found |= {(s.col, r): first if place == 1 else last for r in here}
+                elif here:
+                    narrowed.append(_Span(s.col, here, *piece, below=start, rows=end - start))
+        spans, brackets = narrowed, None
     return found
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    """Exact median of each column, the mean of the two middle values for an even count; null without values."""
-    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    ranks = {c: sorted({(counts[c] - 1) // 2, counts[c] // 2}) for c in columns if counts[c]}
-    values = order_statistics(df, ranks)
-    middles = {c: [float(values[c, r]) for r in rs] for c, rs in ranks.items()}
+    """Exact median of each column, the mean of the two middle values for an even count; null without values.
+
+    Counts and the first brackets come from the same pass.
+    """
+    base = df.select(*columns)
+    middle = [0.5 - 2 / _ACCURACY, 0.5 + 2 / _ACCURACY]
+    first = base.agg(
+        *[F.count(c) for c in columns], *[F.percentile_approx(c, middle, _ACCURACY) for c in columns]
+    ).first()
+    counts = dict(zip(columns, first))
+    sketched = dict(zip(columns, first[len(columns) :]))
+    spans = [_Span(c, sorted({(n - 1) // 2, n // 2}), rows=n) for c, n in counts.items() if n]
+    large = [sketched[s.col] for s in spans if s.rows > _COLLECT_LIMIT]
+    whole = len(large) == len(spans)
+    values = _search(base, spans, large if whole else None)
+    middles = {s.col: [float(values[s.col, r]) for r in s.ranks] for s in spans}
     return {c: sum(middles[c]) / len(middles[c]) if c in middles else None for c in columns}
 
 
-def range_buckets(df: DataFrame, col: str, rows_per_bucket: int = 1_000_000, max_buckets: int = 1024) -> Column:
+def _measure(df: DataFrame, col: str) -> Column:
+    """A number that grows with the column's value."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.TimestampNTZType):
+        days = F.unix_date(F.to_date(col)).cast("double")
+        return days * 86400 + F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_seconds(col).cast("double")
+    return F.col(col).cast("double")
+
+
+def range_buckets(df: DataFrame, col: str, rows_per_bucket: int = 1_000_000, fine: int = 512) -> Column:
     """Column expression giving an ordered bucket of about ``rows_per_bucket`` rows of ``df`` each.
 
-    Bounds come from one sketching pass and sit in the plan as a balanced tree of comparisons, so the bucket of a row depends
-    on its value alone and is the same in every stage and retry. Equal values share a bucket.
+    One pass sketches up to 63 cuts; between two cuts the value range is divided evenly, into at most ``fine`` parts. The
+    cuts sit in the plan as a balanced tree of comparisons, so the bucket of a row depends on its value alone, in every
+    stage and retry, and equal values share a bucket. Only balance, never the result, depends on the sketch.
     """
-    count = df.agg(F.count(col)).first()[0]
-    wanted = min(max_buckets, math.ceil(count / rows_per_bucket))
+    shares = [i / _CUTS for i in range(_CUTS + 1)]
+    measured = df.select(F.col(col), _measure(df, col).alias("_measure"))
+    count, cuts, low, high = measured.agg(
+        F.count(col), F.percentile_approx("_measure", shares, 100 * _CUTS), F.min("_measure"), F.max("_measure")
+    ).first()
+    wanted = math.ceil(count / rows_per_bucket)
     if wanted <= 1:
         return F.lit(0)
-    cuts = df.agg(F.percentile_approx(col, [i / wanted for i in range(1, wanted)], 10 * wanted)).first()[0]
-    bounds = sorted(set(cuts))
-
-    def tree(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(F.col(col) < _literal(df, col, bounds[middle]), tree(low, middle)).otherwise(tree(middle + 1, high))
-
-    return tree(0, len(bounds))
+    step = max(1, _CUTS // wanted)
+    bounds = sorted({low, *cuts[::step], high})
+    parts = min(fine, math.ceil(wanted / (len(bounds) - 1))) if len(bounds) > 1 else 1
+    measure = _measure(df, col)
+
+    def leaf(i: int) -> Column:
+        width = bounds[i + 1] - bounds[i]
+        if parts == 1 or not math.isfinite(width):
+            return F.lit(i * parts)
+        part = F.floor((measure - bounds[i]) * (parts / width)).cast("int")
+        return F.greatest(F.lit(0), F.least(F.lit(parts - 1), part)) + i * parts
+
+    def tree(first: int, last: int) -> Column:
+        if first == last:
+            return leaf(first)
+        middle = (first + last) // 2
+        return F.when(measure < F.lit(bounds[middle + 1]), tree(first, middle)).otherwise(tree(middle + 1, last))
+
+    return tree(0, len(bounds) - 2) if len(bounds) > 1 else F.lit(0)
 
 
 def chronological_split(

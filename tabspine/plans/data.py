@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tabspine.config import Config, Roles
 from tabspine.functions.keys import hash_split
-from tabspine.operators.checks import contract_check, key_check, leakage_check, require, table_checks
-from tabspine.operators.clean import normalize_records, normalize_split, raw_columns
+from tabspine.operators.checks import key_check, require, require_schema, table_checks
+from tabspine.operators.clean import normalize_records, normalize_split, raw_columns, require_known_labels
 from tabspine.operators.engineer import feature_frame
 from tabspine.operators.ordering import chronological_split, global_row_number
 from tabspine.operators.profile import table_profile
@@ -26,14 +26,19 @@ _POSITION = ("_file", "_block", "_row")
 def seeded_rows(
     spark: SparkSession, train_paths: str | Sequence[str], holdout_paths: str | Sequence[str], roles: Roles = Roles()
 ) -> DataFrame:
-    """Normalised train and holdout files as one raw table, keys 1..N in train-then-holdout line order."""
+    """Normalised train and holdout files as one raw table, keys 1..N in train-then-holdout line order.
+
+    The files are parsed once; unknown class names are looked for in the written, keyed rows.
+    """
 
     def part(paths: str | Sequence[str], split: str) -> DataFrame:
-        return normalize_records(read_records(spark, paths, with_position=True), roles, split, extra=_POSITION)
+        lines = read_records(spark, paths, with_position=True)
+        return normalize_records(lines, roles, split, extra=[*_POSITION, "income"], strict=False)
 
     both = part(train_paths, "train").unionByName(part(holdout_paths, "holdout"))
     ordered = both.withColumn("_part", (F.col(roles.split_col) != "train").cast("int"))
-    return raw_columns(global_row_number(ordered, ["_part", *_POSITION], roles.id_col), roles)
+    keyed = global_row_number(ordered, ["_part", *_POSITION], roles.id_col)
+    return raw_columns(require_known_labels(keyed, "income"), roles)
 
 
 def seed_job(
@@ -74,7 +79,8 @@ def with_split(raw: DataFrame, config: Config = Config()) -> DataFrame:
 def publish_features(raw: DataFrame, features: VersionedTable, roles: Roles = Roles()) -> int:
     """Replace the feature table after refusing duplicate keys, a leaked label, or a broken contract."""
     frame = feature_frame(raw, roles)
-    require(leakage_check(frame, roles).unionByName(contract_check(frame, roles)).unionByName(key_check(raw, roles.id_col)))
+    require_schema(frame, roles)
+    require(key_check(raw, roles.id_col))
     return features.replace(frame)
 
 

@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 from tabspine.config import Config
 from tabspine.operators.checks import (
     alignment_checks,
-    contract_check,
     evaluation_checks,
     key_check,
-    leakage_check,
     monitor_check,
     monitor_status,
     require,
+    require_schema,
 )
 from tabspine.operators.compare import compare_versions
 from tabspine.operators.importance import importance_table, permutation_importance
@@ -39,8 +38,7 @@ def check_alignment(
     raw: DataFrame, features: DataFrame, spine: DataFrame, split: str, config: Config = Config()
 ) -> DataFrame:
     """Raise unless raw table, feature table and spine line up for the split; returns the check rows."""
-    schema = leakage_check(features, config.roles).unionByName(contract_check(features, config.roles))
-    require(schema)
+    require_schema(features, config.roles)
     checks = alignment_checks(alignment_counts(raw, features, spine, split, config.roles))
     require(checks)
     return checks
@@ -84,9 +82,10 @@ def evaluate_job(
     config: Config = Config(),
 ) -> DataFrame:
     """Monitor gate, alignment, holdout metrics, evaluation gate; returns (model_version, metric, value) rows."""
-    require(monitor_check(monitor_log, spark))
+    if monitor_log is not None:
+        require(monitor_check(monitor_log, spark))
     check_alignment(raw, features, spine, "holdout", config)
-    metrics = holdout_metrics(spine, features, scorer, model_version, config)
+    metrics = materialize(holdout_metrics(spine, features, scorer, model_version, config), "metrics")
     require(evaluation_checks(metrics, config.limits))
     return long_metrics(metrics, ["model_version"])
 
@@ -115,7 +114,7 @@ def predict_job(
     The scored batch is written once and counted during that write; the upsert then reads the small written batch.
     """
     roles = config.roles
-    require(leakage_check(features, roles).unionByName(contract_check(features, roles)))
+    require_schema(features, roles)
     scored = scorer(prediction_inputs(raw, features, roles.id_col))
     counter = Observation()
     rows = prediction_rows(scored, roles.id_col, model_version, as_of).observe(counter, F.count(F.lit(1)).alias("n"))
