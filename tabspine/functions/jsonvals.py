@@ -22,69 +22,83 @@ def _kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def _number(value: Column) -> Column:
-    """Double of a scalar variant: numbers, booleans as 1/0, numeric text."""
-    flag = F.try_variant_get(value, "$", "boolean")
-    return F.when(_kind(value) == "BOOLEAN", flag.cast("int").cast("double")).otherwise(
-        F.try_variant_get(value, "$", "double")
-    )
+def _at(value: Column, path: str) -> Column:
+    return F.try_variant_get(value, path, "variant")
 
 
-def _pair(value: Column) -> Column:
-    """Second member of an array variant, or the only one."""
-    return F.coalesce(
-        _number(F.try_variant_get(value, "$[1]", "variant")), _number(F.try_variant_get(value, "$[0]", "variant"))
-    )
+def _number(value: Column) -> Column:
+    """Double of a scalar variant: numbers, booleans as 1/0, numeric text; null for anything else."""
+    return F.try_variant_get(value, "$", "double")
 
 
 def _scalar_or_pair(value: Column) -> Column:
-    return F.when(_kind(value).startswith("ARRAY"), _pair(value)).otherwise(_number(value))
-
-
-def _first_number(fields: Column) -> Column:
-    """First numeric value of an object, in the order of the text."""
-    numbers = F.filter(F.map_values(fields), lambda v: _kind(v).rlike(NUMBER_TYPES))
-    return _number(F.get(numbers, F.lit(0)))
+    """A number, or of an array its second member or the only one."""
+    return F.coalesce(_number(value), _number(_at(value, "$[1]")), _number(_at(value, "$[0]")))
 
 
 def payload_body(payload: Column, names: Column) -> Column:
     """What a parsed payload predicts: the payload, or the value under ``predictions``, else ``prediction``."""
     return (
         F.when(~_kind(payload).startswith("OBJECT"), payload)
-        .when(F.array_contains(names, "predictions"), F.try_variant_get(payload, "$.predictions", "variant"))
-        .otherwise(F.try_variant_get(payload, "$.prediction", "variant"))
+        .when(F.array_contains(names, "predictions"), _at(payload, "$.predictions"))
+        .otherwise(_at(payload, "$.prediction"))
+    )
+
+
+def body_items(body: Column) -> Column:
+    """Members of a payload body, each with its kind and its ``score`` and ``prediction`` fields; a scalar is one member."""
+    members = F.when(_kind(body).startswith("ARRAY"), F.try_variant_get(body, "$", "array<variant>")).when(
+        ~_kind(body).startswith("OBJECT"), F.array(body)
     )
+    return F.transform(
+        members,
+        lambda m: F.struct(
+            _kind(m).startswith("OBJECT").alias("is_object"), m.alias("value"),
+            _at(m, "$.score").alias("score"), _at(m, "$.prediction").alias("prediction"),
+        ),
+    )
+
 
+def needs_field_order(items: Column) -> Column:
+    """Whether some member is an object with neither ``score`` nor ``prediction``."""
+    return F.exists(items, lambda m: m["is_object"] & m["score"].isNull() & m["prediction"].isNull())
 
-def ordered_items(text: Column) -> Column:
+
+def ordered_objects(text: Column) -> Column:
     """Objects of a payload list with their fields in the order of the text, which variants do not keep."""
+    objects = "array<map<string,variant>>"
     return F.coalesce(
-        F.from_json(text, "predictions array<map<string,variant>>")["predictions"],
-        F.from_json(text, "prediction array<map<string,variant>>")["prediction"],
-        F.from_json(text, "array<map<string,variant>>"),
+        F.from_json(text, f"predictions {objects}")["predictions"],
+        F.from_json(text, f"prediction {objects}")["prediction"],
+        F.from_json(text, objects),
     )
 
 
-def body_scores(body: Column, ordered: Column) -> Column:
-    """Scores of a payload body as ``array<double>``; null where one member cannot be read.
+def item_scores(items: Column, ordered: Column) -> Column:
+    """Scores of payload members as ``array<double>``, null for a member that cannot be read.
 
-    A list gives one score per member, anything else one score. A pair gives its second member. An object gives ``score``,
-    else ``prediction``, else its first number.
+    A pair gives its second member. An object gives ``score``, else ``prediction``, else its first number, in the order of the
+    text as far as ``ordered`` has it.
     """
 
-    def item_score(item: Column, position: Column) -> Column:
-        fields = F.coalesce(F.get(ordered, position), F.try_variant_get(item, "$", "map<string,variant>"))
-        of_object = (
-            F.when(F.map_contains_key(fields, "score"), _number(fields["score"]))
-            .when(F.map_contains_key(fields, "prediction"), _scalar_or_pair(fields["prediction"]))
-            .otherwise(_first_number(fields))
+    def first_number(item: Column, position: Column) -> Column:
+        fields = F.coalesce(F.get(ordered, position), F.try_variant_get(item["value"], "$", "map<string,variant>"))
+        return _number(F.get(F.filter(F.map_values(fields), lambda v: _kind(v).rlike(NUMBER_TYPES)), F.lit(0)))
+
+    def score(item: Column, position: Column) -> Column:
+        return (
+            F.when(~item["is_object"], _scalar_or_pair(item["value"]))
+            .when(item["score"].isNotNull(), _number(item["score"]))
+            .when(item["prediction"].isNotNull(), _scalar_or_pair(item["prediction"]))
+            .otherwise(first_number(item, position))
         )
-        return F.when(_kind(item).startswith("OBJECT"), of_object).otherwise(_scalar_or_pair(item))
 
-    scores = F.when(
-        _kind(body).startswith("ARRAY"), F.transform(F.try_variant_get(body, "$", "array<variant>"), item_score)
-    ).when(~_kind(body).startswith("OBJECT"), F.array(_number(body)))
-    return F.when(~F.exists(scores, lambda s: s.isNull()), scores)
+    return F.transform(items, score)
+
+
+def if_complete(values: Column) -> Column:
+    """The array if it has no null member, else null."""
+    return F.when(~F.exists(values, lambda v: v.isNull()), values)
 
 
 def last_wins(entries: Column) -> Column:

@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabspine.functions.jsonvals import body_scores, ordered_items, pair_map, payload_body
+from tabspine.functions.jsonvals import (
+    body_items,
+    if_complete,
+    item_scores,
+    needs_field_order,
+    ordered_objects,
+    pair_map,
+    payload_body,
+)
 
 # The layout of a job run payload, with its alternative names.
 _TASK = (
@@ -30,12 +38,15 @@ def score_rows(df: DataFrame, key: str, payload_col: str) -> DataFrame:
     """
     text = F.col(payload_col)
     parsed = df.select(
-        key, F.try_parse_json(text).alias("_payload"), F.json_object_keys(text).alias("_names"),
-        ordered_items(text).alias("_ordered"),
+        key, text.alias("_text"), F.try_parse_json(text).alias("_payload"), F.json_object_keys(text).alias("_names")
     )
-    bodies = parsed.select(key, "_ordered", payload_body(F.col("_payload"), F.col("_names")).alias("_body"))
-    scores = bodies.select(key, body_scores(F.col("_body"), F.col("_ordered")).alias("_scores"))
-    return scores.select(key, F.posexplode_outer("_scores").alias("position", "score"))
+    bodies = parsed.select(key, "_text", payload_body(F.col("_payload"), F.col("_names")).alias("_body"))
+    items = bodies.select(key, "_text", body_items(F.col("_body")).alias("_items"))
+    ordered = F.when(needs_field_order(F.col("_items")), ordered_objects(F.col("_text")))
+    staged = items.select(key, "_items", ordered.alias("_ordered"))
+    scores = staged.select(key, item_scores(F.col("_items"), F.col("_ordered")).alias("_scores"))
+    whole = scores.select(key, if_complete(F.col("_scores")).alias("_scores"))
+    return whole.select(key, F.posexplode_outer("_scores").alias("position", "score"))
 
 
 def require_readable(scored: DataFrame) -> DataFrame:
