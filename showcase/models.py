@@ -241,9 +241,10 @@ def score_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, 'k' AS key, regexp_extract(props, '[0-9]+') AS value FROM events UNION ALL SELECT event_id, 'type', event_type FROM events")
 def json_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key/value JSON, an object and a list of pairs, merged and read as rows."""
-    listed = F.expr("concat('[{\"name\": \"type\", \"val\": \"old\"}, {\"key\": \"type\", \"value\": \"', event_type, '\"}, {\"key\": \"none\"}]')")
+    listed = "concat('[{\"name\": \"type\", \"val\": \"old\"}, {\"key\": \"type\", \"value\": \"', event_type, '\"}, {\"key\": \"none\"}]')"
     events = table(spark, sf_dir, "events")
-    return events.select("event_id", F.explode(pair_map(F.col("props"), listed)).alias("key", "value"))
+    listed_events = events.select("event_id", "props", F.expr(listed).alias("listed"))
+    return listed_events.select("event_id", F.explode(pair_map("props", "listed")).alias("key", "value"))
 
 
 @query(

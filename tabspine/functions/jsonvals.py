@@ -1,7 +1,8 @@
 """JSON expressions: score payloads of many shapes, key/value payloads, metric values.
 
-Payload text stays a column; every branch is a built-in expression, so a payload table of any size is
-parsed where its partitions lie.
+Payload text stays a column, and every branch is a built-in expression, so a payload table is parsed where its
+partitions lie. The longer expressions are SQL text over column names; each parse is meant to be a column of its own, so
+that it happens once per row.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMBER_TYPES = "^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"
+_OBJECTS = "array<map<string,variant>>"
 
 
 def json_value(col: Column) -> Column:
@@ -18,121 +19,96 @@ def json_value(col: Column) -> Column:
     return F.when(col.isNull(), "null").otherwise(F.regexp_extract(wrapped, r'(?s)^\{"v":(.*)\}$', 1))
 
 
-def _kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
+def _is(value: str, kind: str) -> str:
+    return f"startswith(schema_of_variant({value}), '{kind}')"
 
 
-def _at(value: Column, path: str) -> Column:
-    return F.try_variant_get(value, path, "variant")
-
-
-def _number(value: Column) -> Column:
+def _number(value: str) -> str:
     """Double of a scalar variant: numbers, booleans as 1/0, numeric text; null for anything else."""
-    return F.try_variant_get(value, "$", "double")
+    return f"try_variant_get({value}, '$', 'double')"
 
 
-def _scalar_or_pair(value: Column) -> Column:
+def _scalar_or_pair(value: str) -> str:
     """A number, or of an array its second member or the only one."""
-    return F.coalesce(_number(value), _number(_at(value, "$[1]")), _number(_at(value, "$[0]")))
+    return "coalesce({0}, {1}, {2})".format(
+        *[f"try_variant_get({value}, '{path}', 'double')" for path in ("$", "$[1]", "$[0]")]
+    )
 
 
-def payload_body(payload: Column, names: Column) -> Column:
+def payload_body(payload: str, names: str) -> Column:
     """What a parsed payload predicts: the payload, or the value under ``predictions``, else ``prediction``."""
-    return (
-        F.when(~_kind(payload).startswith("OBJECT"), payload)
-        .when(F.array_contains(names, "predictions"), _at(payload, "$.predictions"))
-        .otherwise(_at(payload, "$.prediction"))
-    )
+    return F.expr(f"""
+        CASE WHEN NOT {_is(payload, 'OBJECT')} THEN {payload}
+             WHEN array_contains({names}, 'predictions') THEN try_variant_get({payload}, '$.predictions', 'variant')
+             ELSE try_variant_get({payload}, '$.prediction', 'variant') END""")
 
 
-def body_items(body: Column) -> Column:
+def body_items(body: str) -> Column:
     """Members of a payload body, each with its kind and its ``score`` and ``prediction`` fields; a scalar is one member."""
-    members = F.when(_kind(body).startswith("ARRAY"), F.try_variant_get(body, "$", "array<variant>")).when(
-        ~_kind(body).startswith("OBJECT"), F.array(body)
-    )
-    return F.transform(
-        members,
-        lambda m: F.struct(
-            _kind(m).startswith("OBJECT").alias("is_object"), m.alias("value"),
-            _at(m, "$.score").alias("score"), _at(m, "$.prediction").alias("prediction"),
-        ),
-    )
+    return F.expr(f"""
+        transform(
+          CASE WHEN {_is(body, 'ARRAY')} THEN try_variant_get({body}, '$', 'array<variant>')
+               WHEN NOT {_is(body, 'OBJECT')} THEN array({body}) END,
+          m -> named_struct('is_object', {_is('m', 'OBJECT')}, 'value', m,
+                            'score', try_variant_get(m, '$.score', 'variant'),
+                            'prediction', try_variant_get(m, '$.prediction', 'variant')))""")
 
 
-def needs_field_order(items: Column) -> Column:
-    """Whether some member is an object with neither ``score`` nor ``prediction``."""
-    return F.exists(items, lambda m: m["is_object"] & m["score"].isNull() & m["prediction"].isNull())
+def ordered_objects(items: str, text: str) -> Column:
+    """Objects of a payload list with their fields in the order of the text, which variants do not keep.
 
-
-def ordered_objects(text: Column) -> Column:
-    """Objects of a payload list with their fields in the order of the text, which variants do not keep."""
-    objects = "array<map<string,variant>>"
-    return F.coalesce(
-        F.from_json(text, f"predictions {objects}")["predictions"],
-        F.from_json(text, f"prediction {objects}")["prediction"],
-        F.from_json(text, objects),
-    )
+    Parsed only where some member is an object with neither ``score`` nor ``prediction``.
+    """
+    return F.expr(f"""
+        CASE WHEN exists({items}, m -> m.is_object AND m.score IS NULL AND m.prediction IS NULL) THEN coalesce(
+          from_json({text}, 'predictions {_OBJECTS}').predictions,
+          from_json({text}, 'prediction {_OBJECTS}').prediction,
+          from_json({text}, '{_OBJECTS}')) END""")
 
 
-def item_scores(items: Column, ordered: Column) -> Column:
+def item_scores(items: str, ordered: str) -> Column:
     """Scores of payload members as ``array<double>``, null for a member that cannot be read.
 
     A pair gives its second member. An object gives ``score``, else ``prediction``, else its first number, in the order of the
     text as far as ``ordered`` has it.
     """
-
-    def first_number(item: Column, position: Column) -> Column:
-        fields = F.coalesce(F.get(ordered, position), F.try_variant_get(item["value"], "$", "map<string,variant>"))
-        return _number(F.get(F.filter(F.map_values(fields), lambda v: _kind(v).rlike(NUMBER_TYPES)), F.lit(0)))
-
-    def score(item: Column, position: Column) -> Column:
-        return (
-            F.when(~item["is_object"], _scalar_or_pair(item["value"]))
-            .when(item["score"].isNotNull(), _number(item["score"]))
-            .when(item["prediction"].isNotNull(), _scalar_or_pair(item["prediction"]))
-            .otherwise(first_number(item, position))
-        )
-
-    return F.transform(items, score)
-
-
-def if_complete(values: Column) -> Column:
+    fields = f"coalesce(get({ordered}, i), try_variant_get(m.value, '$', 'map<string,variant>'))"
+    numeric = "schema_of_variant(v) RLIKE '^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)'"
+    first_number = f"get(filter(map_values({fields}), v -> {numeric}), 0)"
+    return F.expr(f"""
+        transform({items}, (m, i) ->
+          CASE WHEN NOT m.is_object THEN {_scalar_or_pair('m.value')}
+               WHEN m.score IS NOT NULL THEN {_number('m.score')}
+               WHEN m.prediction IS NOT NULL THEN {_scalar_or_pair('m.prediction')}
+               ELSE {_number(first_number)} END)""")
+
+
+def if_complete(values: str) -> Column:
     """The array if it has no null member, else null."""
-    return F.when(~F.exists(values, lambda v: v.isNull()), values)
-
-
-def last_wins(entries: Column) -> Column:
-    """Map from an array of (key, value) structs; of repeated keys the last one stays."""
-    empty = F.from_json(F.lit("{}"), "map<string,string>")
-
-    def put(pairs: Column, entry: Column) -> Column:
-        others = F.map_filter(pairs, lambda k, _: k != entry["key"])
-        return F.map_concat(others, F.create_map(entry["key"], entry["value"]))
-
-    return F.aggregate(entries, empty, put)
+    return F.expr(f"CASE WHEN NOT exists({values}, v -> v IS NULL) THEN {values} END")
 
 
-def pair_entries(text: Column) -> Column:
-    """Entries of key/value JSON, an object or a list of ``{key or name, value or val}``; never null."""
-    as_object = F.transform(
-        F.map_entries(F.from_json(text, "map<string,string>")),
-        lambda e: F.struct(e["key"].alias("key"), F.coalesce(e["value"], F.lit("None")).alias("value")),
-    )
-
-    def as_entry(item: Column) -> Column:
-        key = F.when(F.coalesce(item["key"], F.lit("")) != "", item["key"]).otherwise(item["name"])
-        value = F.when(F.map_contains_key(item, "value"), item["value"]).otherwise(item["val"])
-        return F.struct(key.alias("key"), value.alias("value"))
-
-    as_list = F.filter(
-        F.transform(F.from_json(text, "array<map<string,string>>"), as_entry),
-        lambda e: e["key"].isNotNull() & e["value"].isNotNull(),
-    )
-    empty = F.from_json(F.lit("[]"), "array<struct<key:string,value:string>>")
-    shape = F.substring(F.ltrim(text), 1, 1)
-    return F.coalesce(F.when(shape == "{", as_object).when(shape == "[", as_list), empty)
-
+def _pair_entries(text: str) -> str:
+    """Entries of key/value JSON, an object or a list of ``{key or name, value or val}``; never null.
 
-def pair_map(*texts: Column) -> Column:
-    """One ``map<string,string>`` out of several key/value JSON texts, later texts winning."""
-    return last_wins(F.concat(*[pair_entries(t) for t in texts]))
+    A list with other members than objects does not parse as maps; then its members are parsed one by one.
+    """
+    return f"""
+        coalesce(CASE substring(ltrim({text}), 1, 1)
+          WHEN '{{' THEN transform(map_entries(from_json({text}, 'map<string,string>')),
+                                  e -> named_struct('key', e.key, 'value', coalesce(e.value, 'None')))
+          WHEN '[' THEN filter(
+            transform(coalesce(from_json({text}, 'array<map<string,string>>'),
+                               transform(from_json({text}, 'array<string>'), t -> from_json(t, 'map<string,string>'))),
+                      m -> named_struct('key', CASE WHEN coalesce(m['key'], '') <> '' THEN m['key'] ELSE m['name'] END,
+                                        'value', CASE WHEN map_contains_key(m, 'value') THEN m['value'] ELSE m['val'] END)),
+            e -> e.key IS NOT NULL AND e.value IS NOT NULL)
+        END, from_json('[]', 'array<struct<key:string,value:string>>'))"""
+
+
+def pair_map(*texts: str) -> Column:
+    """One ``map<string,string>`` out of several key/value JSON text columns; of repeated keys the last one stays."""
+    entries = ", ".join(_pair_entries(t) for t in texts)
+    return F.expr(f"""
+        aggregate(concat({entries}), from_json('{{}}', 'map<string,string>'),
+                  (pairs, e) -> map_concat(map_filter(pairs, (k, v) -> k <> e.key), map(e.key, e.value)))""")

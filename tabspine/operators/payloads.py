@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabspine.functions.jsonvals import (
     body_items,
     if_complete,
     item_scores,
-    needs_field_order,
     ordered_objects,
     pair_map,
     payload_body,
@@ -17,13 +16,10 @@ from tabspine.functions.jsonvals import (
 
 # The layout of a job run payload, with its alternative names.
 _TASK = (
-    "task_key: string, taskKey: string, values: string, task_values: string, taskValues: string, "
-    "status: struct<values: string, task_values: string>"
-)
-_RUN = (
-    f"run_id string, runId string, tasks array<struct<{_TASK}>>, task_runs array<struct<{_TASK}>>, "
-    f"repair_history array<struct<tasks: array<struct<{_TASK}>>>>"
+    "task_key string, taskKey string, values string, task_values string, taskValues string, "
+    "status struct<values: string, task_values: string>"
 )
+_RUN = "run_id string, runId string, tasks array<string>, task_runs array<string>, repair_history array<string>"
 READY_TASK = "promotion_ready"
 
 
@@ -40,12 +36,11 @@ def score_rows(df: DataFrame, key: str, payload_col: str) -> DataFrame:
     parsed = df.select(
         key, text.alias("_text"), F.try_parse_json(text).alias("_payload"), F.json_object_keys(text).alias("_names")
     )
-    bodies = parsed.select(key, "_text", payload_body(F.col("_payload"), F.col("_names")).alias("_body"))
-    items = bodies.select(key, "_text", body_items(F.col("_body")).alias("_items"))
-    ordered = F.when(needs_field_order(F.col("_items")), ordered_objects(F.col("_text")))
-    staged = items.select(key, "_items", ordered.alias("_ordered"))
-    scores = staged.select(key, item_scores(F.col("_items"), F.col("_ordered")).alias("_scores"))
-    whole = scores.select(key, if_complete(F.col("_scores")).alias("_scores"))
+    bodies = parsed.select(key, "_text", payload_body("_payload", "_names").alias("_body"))
+    items = bodies.select(key, "_text", body_items("_body").alias("_items"))
+    staged = items.select(key, "_items", ordered_objects("_items", "_text").alias("_ordered"))
+    scores = staged.select(key, item_scores("_items", "_ordered").alias("_scores"))
+    whole = scores.select(key, if_complete("_scores").alias("_scores"))
     return whole.select(key, F.posexplode_outer("_scores").alias("position", "score"))
 
 
@@ -56,25 +51,19 @@ def require_readable(scored: DataFrame) -> DataFrame:
     return scored
 
 
-def _text_or(value: Column, other: Column) -> Column:
-    return F.when(F.coalesce(value, F.lit("")) != "", value).otherwise(F.coalesce(other, F.lit("")))
-
-
 def with_run_values(df: DataFrame, payload_col: str, out: str, task_key: str = READY_TASK) -> DataFrame:
     """Adds the key/value map of the last task with this key, repairs after first runs; null if there is none."""
-    run, last = F.col("_run"), F.col("_last")
-    empty = F.from_json(F.lit("[]"), f"array<struct<{_TASK}>>")
-    first_runs = F.when(F.size(run["tasks"]) > 0, run["tasks"]).otherwise(run["task_runs"])
-    repairs = F.filter(F.transform(run["repair_history"], lambda entry: entry["tasks"]), lambda tasks: tasks.isNotNull())
-    tasks = F.concat(F.coalesce(first_runs, empty), F.coalesce(F.flatten(repairs), empty))
-    wanted = F.filter(tasks, lambda t: _text_or(t["task_key"], t["taskKey"]) == task_key)
-    status = last["status"]
-    values = pair_map(last["values"], last["task_values"], last["taskValues"], status["values"], status["task_values"])
+    first_runs = "CASE WHEN size(_run.tasks) > 0 THEN _run.tasks ELSE _run.task_runs END"
+    repairs = "filter(transform(_run.repair_history, r -> from_json(r, 'tasks array<string>').tasks), l -> l IS NOT NULL)"
+    texts = f"concat(coalesce({first_runs}, array()), coalesce(flatten({repairs}), array()))"
+    named = f"filter(_tasks, t -> coalesce(nullif(t.task_key, ''), t.taskKey) = '{task_key}')"
+    values = pair_map("_last.values", "_last.task_values", "_last.taskValues", "_last.status.values", "_last.status.task_values")
     return (
         df.withColumn("_run", F.from_json(F.col(payload_col), _RUN))
-        .withColumn("_last", F.try_element_at(wanted, F.lit(-1)))
-        .withColumn(out, F.when(last.isNotNull(), values))
-        .drop("_last")
+        .withColumn("_tasks", F.expr(f"transform({texts}, t -> from_json(t, '{_TASK}'))"))
+        .withColumn("_last", F.expr(f"try_element_at({named}, -1)"))
+        .withColumn(out, F.when(F.col("_last").isNotNull(), values))
+        .drop("_tasks", "_last")
     )
 
 
@@ -84,30 +73,25 @@ def payload_pins(df: DataFrame, run_id_col: str, payload_col: str, task_key: str
     promotable is null for a refused row: blank or different run id, no such task, missing ``ready``, or ready
     without a version. A ``ready`` other than true is not promotable.
     """
-    run_id = F.trim(F.coalesce(F.col(run_id_col).cast("string"), F.lit("")))
-    named_id = F.trim(_text_or(F.col("_run.run_id"), F.col("_run.runId")))
-    values = F.col("_values")
-
-    def value(name: str) -> Column:
-        return F.trim(F.coalesce(F.try_element_at(values, F.lit(name)), F.lit("")))
-
-    ready, version = F.lower(value("ready")), value("go_version")
-    refusal = (
-        F.when(run_id == "", "empty run id")
-        .when((named_id != "") & (named_id != run_id), "run id mismatch")
-        .when(values.isNull(), "task missing")
-        .when(ready == "", "ready missing")
-        .when((ready == "true") & (version == ""), "ready without version")
-    )
-    promotable = F.when(refusal.isNull(), ready == "true")
-    return (
-        with_run_values(df, payload_col, "_values", task_key)
-        .withColumns(
-            {
-                "promotable": promotable,
-                "source_model_version": F.when(promotable, version).otherwise(""),
-                "reason": F.coalesce(refusal, F.when(promotable, "ready").otherwise("not ready")),
-            }
-        )
-        .drop("_values", "_run")
+    staged = with_run_values(df, payload_col, "_values", task_key).withColumns(
+        {
+            "_run_id": F.expr(f"trim(coalesce(cast({run_id_col} AS string), ''))"),
+            "_named_id": F.expr("trim(coalesce(nullif(_run.run_id, ''), _run.runId, ''))"),
+            "_ready": F.expr("lower(trim(coalesce(_values['ready'], '')))"),
+            "_version": F.expr("trim(coalesce(_values['go_version'], ''))"),
+        }
     )
+    refusal = F.expr("""
+        CASE WHEN _run_id = '' THEN 'empty run id'
+             WHEN _named_id <> '' AND _named_id <> _run_id THEN 'run id mismatch'
+             WHEN _values IS NULL THEN 'task missing'
+             WHEN _ready = '' THEN 'ready missing'
+             WHEN _ready = 'true' AND _version = '' THEN 'ready without version' END""")
+    refused = staged.withColumn("_refusal", refusal)
+    return refused.withColumns(
+        {
+            "promotable": F.expr("CASE WHEN _refusal IS NULL THEN _ready = 'true' END"),
+            "source_model_version": F.expr("CASE WHEN _refusal IS NULL AND _ready = 'true' THEN _version ELSE '' END"),
+            "reason": F.expr("coalesce(_refusal, CASE WHEN _ready = 'true' THEN 'ready' ELSE 'not ready' END)"),
+        }
+    ).drop("_values", "_run", "_run_id", "_named_id", "_ready", "_version", "_refusal")

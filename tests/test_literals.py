@@ -200,10 +200,10 @@ def test_unreadable_payloads(spark, payload):
 
 def test_pair_map(spark):
     df = texts(spark, '{"a":1,"b":null}', '[{"key":"a","value":"x"},{"name":"b","val":2},{"key":"","name":"c","value":3},{"key":"d"},5]', None)
-    got = values(df.select(pair_map(F.col("t")).alias("v")))
+    got = values(df.select(pair_map("t").alias("v")))
     assert got[0] == {"a": "1", "b": "None"}
-    assert got[2] == {}
-    merged = values(df.filter("i = 0").select(pair_map(F.col("t"), F.lit('[{"key":"a","value":"z"}]')).alias("v")))
+    assert got[1:] == [{"a": "x", "b": "2", "c": "3"}, {}]
+    merged = values(df.filter("i = 0").withColumn("u", F.lit('[{"key":"a","value":"z"}]')).select(pair_map("t", "u").alias("v")))
     assert merged == [{"a": "z", "b": "None"}]
 
 
@@ -226,6 +226,11 @@ def test_pins(spark):
     assert pin(spark, task('{"ready": "true", "go_version": "6"}'), " ") == (None, "", "empty run id")
     assert pin(spark, task('{"ready": "true", "go_version": "6"}'), "13") == (None, "", "run id mismatch")
     assert pin(spark, '{"tasks": []}') == (None, "", "task missing")
+    odd = '{"tasks": [5, {"taskKey": "promotion_ready", "status": {"values": {"ready": "TRUE", "go_version": 7}}}, "x"]}'
+    assert pin(spark, odd) == (True, "7", "ready")
+    repaired = '{"task_runs": [{"task_key": "promotion_ready", "values": {"ready": "no"}}], "repair_history": [3, {"tasks": null}, %s]}'
+    again = '{"tasks": [{"task_key": "promotion_ready", "taskValues": {"ready": "true", "go_version": "8"}}]}'
+    assert pin(spark, repaired % again) == (True, "8", "ready")
 
 
 def test_canary_routes(spark):
