@@ -110,7 +110,7 @@ def batch_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two prediction jobs into one table: the second renews some keys and adds others."""
     raw = census(spark, sf_dir)
     features = feature_frame(raw)
-    predictions = VersionedTable(spark, scratch_path(spark, "predictions"))
+    predictions = VersionedTable(spark, scratch_path(spark, "predictions"), "row_id")
     for version, part, rule in (("1", "row_id % 3 = 0", CENSUS_SCORE_B), ("2", "row_id % 2 = 0", CENSUS_SCORE)):
         predict_job(raw.filter(part), features, census_scorer(rule), predictions, version, "2024-01-01 00:00:00")
     return predictions.read().drop("scored_at")

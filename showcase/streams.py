@@ -28,9 +28,9 @@ def stream_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events arriving in four files, two per batch, keep the newest row of each user up to date."""
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value", "ts")
     arrived = _stored(events, "arrived", 4)
-    state = VersionedTable(spark, scratch_path(spark, "state"))
+    state = VersionedTable(spark, scratch_path(spark, "state"), "user_id")
     stream = file_stream(spark, arrived, events.schema, files_per_batch=2)
-    sync_rows(stream, state, "user_id", ["ts", "event_id"], scratch_path(spark, "sync-checkpoint"))
+    sync_rows(stream, state, ["ts", "event_id"], scratch_path(spark, "sync-checkpoint"))
     return state.read().drop("ts")
 
 
@@ -48,10 +48,10 @@ def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     feed = change_feed(before, after, "o_orderkey").withColumn("_version", F.lit(2))
     arrived = _stored(feed, "feed", 2)
-    target = VersionedTable(spark, scratch_path(spark, "target"))
+    target = VersionedTable(spark, scratch_path(spark, "target"), "o_orderkey")
     target.replace(before)
     stream = file_stream(spark, arrived, feed.schema)
-    sync_changes(stream, target, "o_orderkey", ["_version"], scratch_path(spark, "changes-checkpoint"))
+    sync_changes(stream, target, ["_version"], scratch_path(spark, "changes-checkpoint"))
     return target.read()
 
 
@@ -63,8 +63,8 @@ def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New raw rows become features and predictions, batch by batch."""
     raw = census(spark, sf_dir)
     arrived = _stored(raw, "raw", 2)
-    features = VersionedTable(spark, scratch_path(spark, "features"))
-    predictions = VersionedTable(spark, scratch_path(spark, "predictions"))
+    features = VersionedTable(spark, scratch_path(spark, "features"), "row_id")
+    predictions = VersionedTable(spark, scratch_path(spark, "predictions"), "row_id")
     stream = file_stream(spark, arrived, raw.schema, files_per_batch=1)
     refresh_features(
         stream, features, predictions, census_scorer(CENSUS_SCORE), "5", ["row_id"],

@@ -10,22 +10,38 @@ from pyspark.sql import functions as F
 from tabspine.operators.status import latest_rows
 
 
+def newer_rows(target: DataFrame, source: DataFrame, key: str, newer_by: Sequence[str]) -> DataFrame:
+    """Source rows whose key is new or whose ``newer_by`` values are not less than the target's.
+
+    Only target rows with a source key are compared; a small source is broadcast by size to find them.
+    """
+    touched = target.select(key, *newer_by).join(source.select(key), key, "left_semi")
+    known = touched.select(F.col(key).alias("_key"), F.struct(*newer_by).alias("_known"))
+    return (
+        source.join(known, F.col(key) == F.col("_key"), "left")
+        .filter(F.col("_known").isNull() | (F.struct(*newer_by) >= F.col("_known")))
+        .select(*source.columns)
+    )
+
+
+def overlay_rows(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+    """Target with changed rows, unique by key, in place of the rows with the same key; ``_deleted`` ones remove it.
+
+    Small changes are broadcast by size, and then the target is not shuffled.
+    """
+    kept = target.join(changes.select(key), key, "left_anti").select(*target.columns)
+    return kept.unionByName(changes.filter(~F.col("_deleted")).select(*target.columns))
+
+
 def upsert_rows(target: DataFrame, source: DataFrame, key: str, newer_by: Sequence[str] = ()) -> DataFrame:
-    """Target with source rows inserted or put in place of the row with the same key.
+    """Target with source rows inserted or put in place of the row with the same key. Source keys must be unique.
 
-    A small source is broadcast by size, and then the target is not shuffled. With ``newer_by`` a source row only
-    replaces a target row whose ``newer_by`` values are not greater. Source keys must be unique.
+    With ``newer_by`` a source row only replaces a target row whose ``newer_by`` values are not greater.
     """
     rows = source.select(*target.columns)
     if newer_by:
-        known = target.select(F.col(key).alias("_key"), F.struct(*newer_by).alias("_known"))
-        rows = (
-            rows.join(known, F.col(key) == F.col("_key"), "left")
-            .filter(F.col("_known").isNull() | (F.struct(*newer_by) >= F.col("_known")))
-            .drop("_key", "_known")
-        )
-    kept = target.join(rows.select(key), key, "left_anti").select(*target.columns)
-    return kept.unionByName(rows)
+        rows = newer_rows(target, rows, key, newer_by)
+    return overlay_rows(target, rows.withColumn("_deleted", F.lit(False)), key)
 
 
 def change_feed(before: DataFrame, after: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -50,10 +66,14 @@ def change_feed(before: DataFrame, after: DataFrame, key: str, columns: Sequence
     return both.select(key, F.inline(images)).select(key, F.col("change").alias("_change_type"), "image.*")
 
 
-def apply_changes(target: DataFrame, changes: DataFrame, key: str, sequence: Sequence[str] = ()) -> DataFrame:
-    """Target after a change feed: the last change per key decides, a delete removes the key."""
+def final_changes(changes: DataFrame, key: str, sequence: Sequence[str] = ()) -> DataFrame:
+    """One row per key of a change feed, its last change, flagged ``_deleted`` where that is a delete."""
     effective = changes.filter(F.col("_change_type") != "update_preimage")
     if sequence:
         effective = latest_rows(effective, [key], list(sequence))
-    kept = target.join(effective.select(key), key, "left_anti").select(*target.columns)
-    return kept.unionByName(effective.filter(F.col("_change_type") != "delete").select(*target.columns))
+    return effective.withColumn("_deleted", F.col("_change_type") == "delete")
+
+
+def apply_changes(target: DataFrame, changes: DataFrame, key: str, sequence: Sequence[str] = ()) -> DataFrame:
+    """Target after a change feed: the last change per key decides, a delete removes the key."""
+    return overlay_rows(target, final_changes(changes, key, sequence), key)

@@ -122,7 +122,7 @@ def predict_job(
     if not counter.get["n"]:
         raise LookupError("no raw key has features")
     require(key_check(batch, roles.id_col))
-    predictions.upsert(batch, roles.id_col)
+    predictions.upsert(batch)
     return counter.get["n"]
 
 

@@ -9,10 +9,13 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabspine.operators.upsert import upsert_rows
+from tabspine.operators.status import latest_rows
+from tabspine.operators.upsert import newer_rows, overlay_rows
 
 
 def require_table(spark: SparkSession, name: str) -> DataFrame:
@@ -26,12 +29,27 @@ def table_or_none(spark: SparkSession, name: str) -> DataFrame | None:
     return spark.table(name) if spark.catalog.tableExists(name) else None
 
 
-def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), path: str | None = None) -> None:
-    """Replace a catalog table, schema included; with ``path`` its files lie there."""
-    writer = df.write.mode("overwrite").format("parquet").option("overwriteSchema", "true")
+def replace_table(
+    df: DataFrame,
+    name: str,
+    partition_by: Sequence[str] = (),
+    path: str | None = None,
+    bucket_by: tuple[int, str] | None = None,
+) -> None:
+    """Replace a catalog table, schema included; with ``path`` its files lie there.
+
+    Tables bucketed alike by key, as ``(buckets, key)``, join on it without a shuffle: worth it for spine and features.
+    """
+    # Rows of a bucket meet in one task first, so that each bucket becomes one file.
+    rows = df.repartition(*bucket_by) if bucket_by else df
+    writer = rows.write.mode("overwrite").format("parquet").option("overwriteSchema", "true")
     if path:
         writer = writer.option("path", path)
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
+    writer.saveAsTable(name)
 
 
 def append_log(df: DataFrame, path: str) -> None:
@@ -44,66 +62,119 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+@dataclass(frozen=True)
+class _Part:
+    """One committed write: a full version, or a delta over the versions before it."""
+
+    number: int
+    is_delta: bool
+    tag: str
+    path: str
+
+
 @dataclass(frozen=True)
 class VersionedTable:
-    """A table stored as ``<path>/v000000001[-tag]`` folders, the highest committed one being current."""
+    """A table stored as ``<path>/v000000001[-tag]`` folders, read at the highest committed number.
+
+    An upsert writes only the changed rows, as a delta folder ``v000000002d[-tag]`` with a ``_deleted`` flag, and reading
+    lays the newest deltas over the last full version. Once deltas are many or large, they are folded into a new
+    full version, so neither writes nor reads grow with the wrong thing.
+    """
 
     spark: SparkSession
     path: str
+    key: str | None = None
+    max_deltas: int = 8
+    max_delta_share: float = 0.2
+
+    def _hadoop(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
 
     def _fs(self):
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return root.getFileSystem(self.spark._jsc.hadoopConfiguration()), root
-
-    def _committed(self) -> list[tuple[int, str]]:
-        """(version, folder name) of committed versions, oldest first."""
-        fs, root = self._fs()
-        if not fs.exists(root):
-            return []
-        new_path = self.spark._jvm.org.apache.hadoop.fs.Path
-        names = [status.getPath().getName() for status in fs.listStatus(root)]
-        found = [(int(m.group(1)), n) for n in names if (m := re.fullmatch(r"v(\d{9})(-.*)?", n))]
-        return sorted((v, n) for v, n in found if fs.exists(new_path(f"{self.path}/{n}/_SUCCESS")))
+        return self._hadoop(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _folders(self) -> list[_Part]:
+        """Folders of all writes, committed or not, oldest first."""
+        fs, root = self._fs(), self._hadoop(self.path)
+        names = [status.getPath().getName() for status in fs.listStatus(root)] if fs.exists(root) else []
+        found = [m for n in sorted(names) if (m := re.fullmatch(r"v(\d{9})(d?)(?:-(.*))?", n))]
+        return [_Part(int(m[1]), m[2] == "d", m[3] or "", f"{self.path}/{m[0]}") for m in found]
+
+    def _committed(self) -> list[_Part]:
+        fs = self._fs()
+        return [p for p in self._folders() if fs.exists(self._hadoop(f"{p.path}/_SUCCESS"))]
+
+    def _current(self, version: int | None = None) -> list[_Part]:
+        """The full version in force and the deltas over it."""
+        parts = self._committed()
+        if version is not None:
+            parts = [p for p in parts if p.number <= version]
+        full = [i for i, p in enumerate(parts) if not p.is_delta]
+        if not full or version not in (None, parts[-1].number):
+            raise LookupError(f"missing table {self.path}" + (f" version {version}" if version else ""))
+        return parts[full[-1] :]
+
+    def _bytes(self, parts: Sequence[_Part]) -> int:
+        return sum(self._fs().getContentSummary(self._hadoop(p.path)).getLength() for p in parts)
+
+    def _write(self, df: DataFrame, is_delta: bool, tag: str | None, partition_by: Sequence[str] = ()) -> int:
+        number = max((p.number for p in self._folders()), default=0) + 1
+        name = f"v{number:09d}{'d' if is_delta else ''}" + (f"-{tag}" if tag else "")
+        (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(f"{self.path}/{name}")
+        return number
 
     @property
     def version(self) -> int:
         """Current version number, 0 before the first write."""
-        committed = self._committed()
-        return committed[-1][0] if committed else 0
+        return max((p.number for p in self._committed()), default=0)
 
     def exists(self) -> bool:
         return self.version > 0
 
     def has_tag(self, tag: str) -> bool:
-        """Whether some committed version carries this tag."""
-        return any(name.endswith(f"-{tag}") for _, name in self._committed())
+        """Whether some committed write carries this tag."""
+        return any(p.tag == tag for p in self._committed())
 
     def read(self, version: int | None = None) -> DataFrame:
         """The current version, or a given one."""
-        for number, name in reversed(self._committed()):
-            if version in (None, number):
-                return self.spark.read.parquet(f"{self.path}/{name}")
-        raise LookupError(f"missing table {self.path}" + (f" version {version}" if version else ""))
+        base, *deltas = self._current(version)
+        rows = self.spark.read.parquet(base.path)
+        if not deltas:
+            return rows
+        read = [self.spark.read.parquet(p.path).withColumn("_number", F.lit(p.number)) for p in deltas]
+        changes = latest_rows(reduce(DataFrame.unionByName, read), [self.key], ["_number"]) if len(read) > 1 else read[0]
+        return overlay_rows(rows, changes, self.key)
 
     def replace(self, df: DataFrame, tag: str | None = None, partition_by: Sequence[str] = ()) -> int:
         """Write a whole new version and return its number."""
-        fs, root = self._fs()
-        taken = [int(s.getPath().getName()[1:10]) for s in fs.listStatus(root)] if fs.exists(root) else []
-        number = max(taken, default=0) + 1
-        writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-        writer.parquet(f"{self.path}/v{number:09d}" + (f"-{tag}" if tag else ""))
+        return self._write(df, False, tag, partition_by)
+
+    def apply(self, df: DataFrame, tag: str | None = None) -> int:
+        """Write changed rows, unique by key and flagged ``_deleted`` or not; a tag already committed is left alone."""
+        if self.key is None:
+            raise ValueError(f"table {self.path} has no key")
+        if tag and self.has_tag(tag):
+            return self.version
+        number = self._write(df.select(*self.read().columns, "_deleted"), True, tag)
+        base, *deltas = self._current()
+        if len(deltas) > self.max_deltas or self._bytes(deltas) > self.max_delta_share * self._bytes([base]):
+            number = self.replace(self.read())
         return number
 
-    def upsert(self, df: DataFrame, key: str, tag: str | None = None, newer_by: Sequence[str] = ()) -> int:
-        """Insert new keys and update known ones; a tag that is already committed is not applied again."""
+    def upsert(self, df: DataFrame, tag: str | None = None, newer_by: Sequence[str] = ()) -> int:
+        """Insert new keys and update known ones; with ``newer_by``, only by rows that are not older than the known one."""
         if tag and self.has_tag(tag):
             return self.version
-        return self.replace(upsert_rows(self.read(), df, key, newer_by) if self.exists() else df, tag)
+        if not self.exists():
+            return self.replace(df, tag)
+        rows = newer_rows(self.read(), df, self.key, newer_by) if newer_by else df
+        return self.apply(rows.withColumn("_deleted", F.lit(False)), tag)
 
     def vacuum(self, keep: int = 2) -> int:
-        """Delete all but the newest ``keep`` committed versions; returns how many went."""
-        old = self._committed()[: -max(keep, 1)]
-        fs, _ = self._fs()
-        for _, name in old:
-            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}"), True)
+        """Delete what lies before the newest ``keep`` full versions; returns how many folders went."""
+        parts = self._committed()
+        full = [p.number for p in parts if not p.is_delta][-max(keep, 1) :]
+        old = [p for p in parts if full and p.number < full[0]]
+        for part in old:
+            self._fs().delete(self._hadoop(part.path), True)
         return len(old)

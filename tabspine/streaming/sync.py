@@ -16,7 +16,7 @@ from tabspine.config import Config
 from tabspine.operators.engineer import feature_frame
 from tabspine.operators.scoring import prediction_rows
 from tabspine.operators.status import latest_rows
-from tabspine.operators.upsert import apply_changes
+from tabspine.operators.upsert import final_changes
 from tabspine.sources.tables import VersionedTable
 
 
@@ -39,7 +39,7 @@ def run_available(stream: DataFrame, apply: Callable[[DataFrame, int], None], ch
 
 
 def sync_rows(
-    stream: DataFrame, table: VersionedTable, key: str, sequence: Sequence[str], checkpoint: str, name: str = "sync"
+    stream: DataFrame, table: VersionedTable, sequence: Sequence[str], checkpoint: str, name: str = "sync"
 ) -> None:
     """Keep the newest row of each key, by ``sequence``, whatever order the files arrive in."""
 
@@ -47,9 +47,9 @@ def sync_rows(
         tag = f"{name}-{number}"
         if table.has_tag(tag):
             return
-        newest = latest_rows(batch, [key], sequence).persist()
+        newest = latest_rows(batch, [table.key], sequence).persist()
         try:
-            table.upsert(newest, key, tag, newer_by=sequence)
+            table.upsert(newest, tag, newer_by=sequence)
         finally:
             newest.unpersist()
 
@@ -57,19 +57,12 @@ def sync_rows(
 
 
 def sync_changes(
-    stream: DataFrame, table: VersionedTable, key: str, sequence: Sequence[str], checkpoint: str, name: str = "changes"
+    stream: DataFrame, table: VersionedTable, sequence: Sequence[str], checkpoint: str, name: str = "changes"
 ) -> None:
     """Apply a change feed, deletes included, to a table that exists. Batches must come in order."""
 
     def apply(batch: DataFrame, number: int) -> None:
-        tag = f"{name}-{number}"
-        if table.has_tag(tag):
-            return
-        changes = batch.persist()
-        try:
-            table.replace(apply_changes(table.read(), changes, key, sequence), tag)
-        finally:
-            changes.unpersist()
+        table.apply(final_changes(batch, table.key, sequence), f"{name}-{number}")
 
     run_available(stream, apply, checkpoint)
 
@@ -93,8 +86,8 @@ def refresh_features(
         tag = f"{name}-{number}"
         fresh = feature_frame(latest_rows(batch, [key], sequence), config.roles).persist()
         try:
-            features.upsert(fresh, key, tag)
-            predictions.upsert(prediction_rows(scorer(fresh), key, model_version, as_of), key, tag)
+            features.upsert(fresh, tag)
+            predictions.upsert(prediction_rows(scorer(fresh), key, model_version, as_of), tag)
         finally:
             fresh.unpersist()
 
