@@ -37,10 +37,11 @@ from tabspine.operators.compare import compare_versions
 from tabspine.operators.engineer import feature_frame
 from tabspine.operators.metrics import METRICS, class_balance, classification_metrics, long_metrics
 from tabspine.operators.ordering import exact_medians
-from tabspine.operators.profile import cardinality, distinct_values, modes, numeric_summary, table_profile
+from tabspine.operators.profile import cardinality, distinct_values, modes, numeric_summary
+from tabspine.plans.data import profile_job
 from tabspine.plans.model import monitor_job
 from tabspine.sources.scratch import scratch_path
-from tabspine.sources.tables import append_log, read_log
+from tabspine.sources.tables import VersionedTable, append_log, read_log
 
 _NAMES = [c for c in CENSUS]
 
@@ -139,8 +140,10 @@ def _profile_sql() -> str:
 
 @query(_profile_sql())
 def eda_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole profile as (metric, JSON value) rows."""
-    return table_profile(census(spark, sf_dir))
+    """Whole profile as (metric, JSON value) rows, stored and read back."""
+    profile = VersionedTable(spark, scratch_path(spark, "profile"))
+    profile_job(census(spark, sf_dir), profile)
+    return profile.read()
 
 
 _IMPUTE_SQL = f"WITH {CENSUS_SQL}, {FEATURES_SQL} " + _union(

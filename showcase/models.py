@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,14 +20,14 @@ from showcase.frames import (
     table,
 )
 from showcase.registry import query
-from tabspine.config import TreeParams
+from tabspine.config import Roles, TreeParams
 from tabspine.functions.keys import hash_split
 from tabspine.functions.numbers import positive_score, threshold
 from tabspine.operators.importance import importance_table, mean_importance, permutation_importance
 from tabspine.operators.engineer import feature_frame
 from tabspine.operators.metrics import METRICS, classification_metrics
 from tabspine.operators.payloads import payload_pins, score_rows
-from tabspine.operators.scoring import impute, impute_values, score_in_chunks, train_trees
+from tabspine.operators.scoring import fit_preprocessing, impute, impute_values, score_in_chunks, train_trees
 from tabspine.operators.spine import label_spine, labelled_scores, lookup_features
 from tabspine.functions.jsonvals import json_value, pair_map
 from tabspine.plans.data import with_split
@@ -144,6 +145,25 @@ def imputed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filled.select("row_id", *numeric, *categorical)
 
 
+@query(
+    """WITH kinds AS (SELECT DISTINCT p_type FROM part WHERE p_type <> 'SMALL'),
+    slots AS (SELECT p_type, row_number() OVER (ORDER BY p_type) AS slot FROM kinds)
+    SELECT p_partkey, p_size + 0e0 AS size, coalesce(slot, 0) AS slot, (SELECT count(*) FROM slots) + 1 AS width
+    FROM part LEFT JOIN slots USING (p_type)"""
+)
+def encoded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature vectors: the number and the one-hot slot of the category, no slot for a category unseen in fitting."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_type")
+    encoder = fit_preprocessing(part.filter("p_type <> 'SMALL'"), ["p_size"], ["p_type"])
+    vector = vector_to_array("_features")
+    return encoder.transform(part).select(
+        "p_partkey",
+        F.get(vector, F.lit(0)).alias("size"),
+        F.array_position(F.slice(vector, 2, 1_000), 1.0).alias("slot"),
+        F.size(vector).cast("long").alias("width"),
+    )
+
+
 @query()
 def trained_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train boosted trees on the census train split, score and evaluate the holdout."""
@@ -191,7 +211,26 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(importance_table(measured, "3"))
 
 
-@query()
+def _explained_sql() -> str:
+    """Only age and fnlwgt enter the rule; the other features keep every score."""
+    rule = "floor(({0} + 2000 * {1}) / 700) / 1000e0 >= 0.5"
+    hit = "avg(CASE WHEN ({0}) = (income_gt_50k = 1) THEN 1e0 ELSE 0e0 END)"
+    others = ", ".join(f"'{c}'" for c in Roles().model_features if c not in ("age", "fnlwgt"))
+    return f"""WITH {CENSUS_SQL},
+    ordered AS (SELECT raw.*, rep, md5(concat(rep, '|42|', row_id)) AS o, CAST('0x' || substr(md5(concat(row_id, '|42|', rep)), 1, 8) AS BIGINT)
+                  % (SELECT greatest(1, ceil(count(*) / 100000e0)) FROM raw WHERE split <> 'train') AS block
+                FROM raw, (SELECT unnest([0, 1, 2]) AS rep) WHERE split <> 'train'),
+    ring AS (SELECT *, coalesce(lead(fnlwgt) OVER w, first_value(fnlwgt) OVER w) AS other_fnlwgt,
+                    coalesce(lead(age) OVER w, first_value(age) OVER w) AS other_age
+             FROM ordered WINDOW w AS (PARTITION BY rep, block ORDER BY o, row_id)),
+    hits AS (SELECT {hit.format(rule.format('fnlwgt', 'age'))} AS base, {hit.format(rule.format('other_fnlwgt', 'age'))} AS weight,
+                    {hit.format(rule.format('fnlwgt', 'other_age'))} AS years FROM ring GROUP BY rep)
+    SELECT '3' AS model_version, 'age' AS feature, round(avg(base - years), 6) AS importance, 'permutation' AS method FROM hits
+    UNION ALL SELECT '3', 'fnlwgt', round(avg(base - weight), 6), 'permutation' FROM hits
+    UNION ALL SELECT '3', unnest([{others}]), 0, 'permutation'"""
+
+
+@query(_explained_sql())
 def explained_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The explain job: importance of all 18 features over the census holdout, stored and read back."""
     raw = with_split(census(spark, sf_dir))

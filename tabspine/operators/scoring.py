@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 import pandas as pd
@@ -11,7 +13,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.pipeline import Pipeline
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,23 +39,37 @@ def impute(df: DataFrame, medians: dict, frequent: dict) -> DataFrame:
     return df.withColumns(filled)
 
 
-class TreeModel:
-    """Imputation values, fitted pipeline and feature names; scores frames lazily."""
+@dataclass(frozen=True)
+class Model:
+    """Imputation values and a fitted pipeline over the imputed columns; scores frames lazily."""
 
-    def __init__(self, medians: dict, frequent: dict, pipeline: PipelineModel) -> None:
-        self.medians, self.frequent, self.pipeline = medians, frequent, pipeline
+    medians: dict
+    frequent: dict
+    pipeline: PipelineModel
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.pipeline.transform(impute(df, self.medians, self.frequent))
 
     def score(self, df: DataFrame, out: str = "score") -> DataFrame:
-        """Adds P(positive)."""
-        added = {"_prediction", "_raw", "_probability", "_features"}
-        scored = self.pipeline.transform(impute(df, self.medians, self.frequent))
+        """Adds P(positive); feature columns come out imputed."""
         probability = positive_score(vector_to_array("_probability")).alias(out)
-        originals = [c for c in df.columns if c not in added]
-        return scored.select(*originals, probability)
+        return self.transform(df).select(*df.columns, probability)
+
+    def save(self, path: str) -> None:
+        """Write the model to a folder that any session can load."""
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        spark = SparkSession.active()
+        values = json.dumps({"medians": self.medians, "frequent": self.frequent})
+        spark.range(1).select(F.lit(values).alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/imputation")
 
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Model:
+        values = json.loads(spark.read.text(f"{path}/imputation", wholetext=True).first()[0])
+        return Model(values["medians"], values["frequent"], PipelineModel.load(f"{path}/pipeline"))
 
-def _preprocess(numeric: Sequence[str], categorical: Sequence[str]) -> list:
-    """Index and one-hot the categories, unknown ones as all zeros, and assemble the vector."""
+
+def preprocessing(numeric: Sequence[str], categorical: Sequence[str]) -> list:
+    """Stages that index and one-hot the categories, unknown ones as all zeros, and assemble ``_features``."""
     stages: list = []
     hot = [f"{c}__hot" for c in categorical]
     if categorical:
@@ -61,32 +77,36 @@ def _preprocess(numeric: Sequence[str], categorical: Sequence[str]) -> list:
         stages.append(
             StringIndexer(inputCols=list(categorical), outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc")
         )
-        stages.append(OneHotEncoder(inputCols=index, outputCols=hot, handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=index, outputCols=hot))
     stages.append(VectorAssembler(inputCols=[*numeric, *hot], outputCol="_features", handleInvalid="keep"))
     return stages
 
 
+def fit_preprocessing(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> Model:
+    """Imputation and encoding learned from a frame."""
+    medians, frequent = impute_values(df, numeric, categorical)
+    rows = impute(df.select(*numeric, *categorical), medians, frequent)
+    return Model(medians, frequent, Pipeline(stages=preprocessing(numeric, categorical)).fit(rows))
+
+
 def train_trees(
     df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str], params: TreeParams = TreeParams()
-) -> TreeModel:
+) -> Model:
     """Gradient-boosted trees over all executors, positives weighted by negatives / positives."""
-    medians, frequent = impute_values(df, numeric, categorical)
+    encoder = fit_preprocessing(df, numeric, categorical)
     weight = class_balance(df, label).first()["class_weight"]
-    rows = impute(df.select(label, *numeric, *categorical), medians, frequent).select(
+    rows = encoder.transform(df).select(
         F.col(label).cast("double").alias(label),
-        *numeric,
-        *categorical,
         F.when(F.col(label) == 1, float(weight)).otherwise(1.0).alias("_weight"),
+        "_features",
     )
     trees = GBTClassifier(
         labelCol=label, featuresCol="_features", weightCol="_weight", predictionCol="_prediction",
-        maxIter=params.trees, maxDepth=params.depth,
-        stepSize=params.rate, subsamplingRate=params.row_sample, featureSubsetStrategy=str(params.column_sample),
-        seed=params.seed,
+        maxIter=params.trees, maxDepth=params.depth, stepSize=params.rate, subsamplingRate=params.row_sample,
+        featureSubsetStrategy=str(params.column_sample), seed=params.seed,
     )
-    trees = trees.setRawPredictionCol("_raw").setProbabilityCol("_probability")
-    pipeline = Pipeline(stages=[*_preprocess(numeric, categorical), trees]).fit(rows)
-    return TreeModel(medians, frequent, pipeline)
+    fitted = trees.setRawPredictionCol("_raw").setProbabilityCol("_probability").fit(rows)
+    return Model(encoder.medians, encoder.frequent, PipelineModel([*encoder.pipeline.stages, fitted]))
 
 
 def score_in_chunks(

@@ -21,7 +21,7 @@ from tabspine.operators.checks import (
 from tabspine.operators.compare import compare_versions
 from tabspine.operators.importance import importance_table, permutation_importance
 from tabspine.operators.metrics import classification_metrics, long_metrics
-from tabspine.operators.scoring import TreeModel, prediction_rows, train_trees
+from tabspine.operators.scoring import Model, prediction_rows, train_trees
 from tabspine.operators.spine import (
     alignment_counts,
     lookup_features,
@@ -44,7 +44,7 @@ def check_alignment(
     return checks
 
 
-def train_job(raw: DataFrame, features: DataFrame, spine: DataFrame, config: Config = Config()) -> TreeModel:
+def train_job(raw: DataFrame, features: DataFrame, spine: DataFrame, config: Config = Config()) -> Model:
     """Fit trees on the train split. The looked-up rows are written once, since fitting reads them many times."""
     roles = config.roles
     check_alignment(raw, features, spine, "train", config)

@@ -11,6 +11,7 @@ from tabspine.functions.keys import hash_split
 from tabspine.operators.checks import GateError
 from tabspine.operators.clean import LabelError
 from tabspine.operators.engineer import feature_frame
+from tabspine.operators.scoring import Model
 from tabspine.operators.spine import label_spine
 from tabspine.operators.status import latest_row
 from tabspine.plans.data import check_job, feature_job, profile_job, seed_job, with_split
@@ -101,6 +102,10 @@ def test_versions(spark, tmp_path):
         table.upsert(spark.range(1))
 
 
+def rows_of_frame(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
 def rows_of(table, version=None):
     return sorted(tuple(r) for r in table.read(version).collect())
 
@@ -244,7 +249,7 @@ def test_alignment(tables):
         check_alignment(raw, features, spine, "absent")
 
 
-def test_train_evaluate_compare(spark, tables):
+def test_train_evaluate_compare(spark, tables, tmp_path):
     raw, spine, features, _ = tables
     small = Config(trees=TreeParams(trees=5, depth=3))
     model = train_job(raw, features, spine, small)
@@ -254,6 +259,9 @@ def test_train_evaluate_compare(spark, tables):
     metrics = evaluate_job(spark, raw, features, spine, model.score, "2", config=small)
     found = {r["metric"]: r["value"] for r in metrics.collect()}
     assert found["roc_auc"] > 0.9 and set(found) == {"roc_auc", "f1", "accuracy", "eval_rows", "positive_rate"}
+    model.save(str(tmp_path / "model"))
+    again = Model.load(spark, str(tmp_path / "model"))
+    assert rows_of_frame(again.score(features)) == rows_of_frame(model.score(features))
     # Unseen categories and missing numbers still get a score.
     odd = features.withColumns({"sex": F.lit("unseen"), "age": F.lit(None).cast("bigint")})
     assert model.score(odd).filter("score IS NULL").count() == 0
