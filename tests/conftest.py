@@ -12,6 +12,8 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "")])
 
+from tabspine.sources.scratch import drop_scratch  # noqa: E402
+
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -30,6 +32,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_scratch(session)
     session.stop()
 
 
