@@ -217,7 +217,7 @@ def _explained_sql() -> str:
     hit = "avg(CASE WHEN ({0}) = (income_gt_50k = 1) THEN 1e0 ELSE 0e0 END)"
     others = ", ".join(f"'{c}'" for c in Roles().model_features if c not in ("age", "fnlwgt"))
     return f"""WITH {CENSUS_SQL},
-    ordered AS (SELECT raw.*, rep, md5(concat(rep, '|42|', row_id)) AS o, CAST('0x' || substr(md5(concat(row_id, '|42|', rep)), 1, 8) AS BIGINT)
+    ordered AS (SELECT raw.*, rep, md5(concat(rep, '|42|', row_id)) AS o, CAST('0x' || substr(md5(concat(rep, '|42|', row_id)), 1, 8) AS BIGINT)
                   % (SELECT greatest(1, ceil(count(*) / 100000e0)) FROM raw WHERE split <> 'train') AS block
                 FROM raw, (SELECT unnest([0, 1, 2]) AS rep) WHERE split <> 'train'),
     ring AS (SELECT *, coalesce(lead(fnlwgt) OVER w, first_value(fnlwgt) OVER w) AS other_fnlwgt,

@@ -8,8 +8,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabspine.functions.keys import md5_int
-
 
 def permuted_rows(
     df: DataFrame, key: str, features: Sequence[str], repeats: int = 3, seed: int = 42, block_rows: int = 100_000,
@@ -17,19 +15,15 @@ def permuted_rows(
 ) -> DataFrame:
     """Each row ``repeats`` times with ``_donor``, the features of another row drawn without replacement.
 
-    Rows fall into blocks by a seeded hash, and inside a block the donor is the next row in a second seeded order,
-    the last row taking the first. Blocks are even because keys are unique, so this is one balanced shuffle.
+    Rows fall into blocks by a seeded hash, and inside a block the donor is the next row in hash order, the last row taking
+    the first. Blocks are even because keys are unique, so this is one balanced shuffle.
     """
     total = df.count() if rows is None else rows
     blocks = max(1, math.ceil(total / block_rows))
     repeat = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_repeat")
-    salted = [F.col(key), F.lit(seed), F.col("_repeat")]
-    spread = df.select("*", repeat).withColumns(
-        {
-            "_block": F.pmod(md5_int(*salted), F.lit(blocks)),
-            "_order": F.md5(F.concat_ws("|", F.col("_repeat").cast("string"), F.lit(str(seed)), F.col(key).cast("string"))),
-        }
-    )
+    place = F.md5(F.concat_ws("|", F.col("_repeat").cast("string"), F.lit(str(seed)), F.col(key).cast("string")))
+    block = F.pmod(F.conv(F.substring("_order", 1, 8), 16, 10).cast("long"), F.lit(blocks))
+    spread = df.select("*", repeat).withColumn("_order", place).withColumn("_block", block)
     ring = Window.partitionBy("_repeat", "_block").orderBy("_order", key)
     own = F.struct(*features)
     ring_start = F.first(own).over(ring.rowsBetween(Window.unboundedPreceding, Window.currentRow))
