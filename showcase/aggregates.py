@@ -221,7 +221,7 @@ def _compare_sql() -> str:
     return f"""WITH {DOCUMENTS_SQL}, c AS ({metrics_sql('docs', 'quality', 'score', by='lang')}),
     p AS ({metrics_sql('docs', 'quality', 'score_b', by='lang')})
     SELECT lang, 'roc_auc' AS metric, round(c.roc_auc, 6) AS challenger, round(p.roc_auc, 6) AS champion,
-           CASE WHEN c.roc_auc >= p.roc_auc + 0.01 THEN 'go' ELSE 'no-go' END AS result, false AS first_version
+           CASE WHEN c.roc_auc IS NULL OR p.roc_auc IS NULL THEN 'error' WHEN c.roc_auc >= p.roc_auc + 0.01 THEN 'go' ELSE 'no-go' END AS result, false AS first_version
     FROM c JOIN p USING (lang)"""
 
 

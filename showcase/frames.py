@@ -107,7 +107,7 @@ def metrics_sql(source: str, label: str, score: str, by: str = "", threshold: fl
     tie = f"PARTITION BY {keys}{score}"
     group = f"GROUP BY {by}" if by else ""
     return f"""
-    SELECT {keys}(ranksum - p * (p + 1) / 2e0) / (p * n) AS roc_auc,
+    SELECT {keys}CASE WHEN p > 0 AND n > 0 THEN (ranksum - p * (p + 1) / 2e0) / (p * n) END AS roc_auc,
            CASE WHEN 2 * tp + fp + fn > 0 THEN 2e0 * tp / (2 * tp + fp + fn) ELSE 0 END AS f1,
            (tp + tn) / CAST(p + n AS DOUBLE) AS accuracy, p + n AS eval_rows, p / CAST(p + n AS DOUBLE) AS positive_rate
     FROM (SELECT {keys}sum(CASE WHEN {label} = 1 THEN rk ELSE 0 END) AS ranksum,

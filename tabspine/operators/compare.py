@@ -33,18 +33,15 @@ def compare_versions(
 
     A champion table that lacks the metric is an error, never a pass.
     """
-    by = list(by)
-    new = challenger.filter(F.col("metric") == metric).select(*by, F.col("value").alias("challenger"))
+    keys = [*by, "metric"]
+    new = challenger.filter(F.col("metric") == metric).select(*keys, F.col("value").alias("challenger"))
     if champion is None:
         pairs = new.withColumn("champion", F.lit(None).cast("double"))
-        exists = F.lit(False)
     else:
-        old = champion.filter(F.col("metric") == metric).select(*by, F.col("value").alias("champion"))
-        keyed = [F.lit(metric).alias("_metric")]
-        pairs = new.select("*", *keyed).join(old.select("*", *keyed), [*by, "_metric"], "full_outer").drop("_metric")
-        exists = F.lit(True)
+        old = champion.filter(F.col("metric") == metric).select(*keys, F.col("value").alias("champion"))
+        pairs = new.join(old, keys, "full_outer")
+    exists = F.lit(champion is not None)
     decision = compare_decision(F.col("challenger"), F.col("champion"), exists, higher_is_better, margin)
     return pairs.select(
-        *by, F.lit(metric).alias("metric"), "challenger", "champion", decision.alias("result"),
-        (~exists).alias("first_version"),
+        *keys, "challenger", "champion", decision.alias("result"), (~exists).alias("first_version")
     )

@@ -107,10 +107,10 @@ def as_of_lookup(
     in_bucket = (
         Window.partitionBy(key, "_bucket").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    filled = merged.withColumn("_here", F.last("_value", ignorenulls=True).over(in_bucket)).filter("_side = 1")
-    newest = merged.groupBy(key, "_bucket").agg(
-        F.max_by("_value", F.when(F.col("_side") == 0, F.col("_at"))).alias("_newest")
-    )
+    walked = merged.withColumn("_here", F.last("_value", ignorenulls=True).over(in_bucket))
+    filled = walked.filter("_side = 1")
+    # Over the same windowed rows, so the shuffle below is shared.
+    newest = walked.groupBy(key, "_bucket").agg(F.max_by("_here", F.struct("_at", "_side")).alias("_newest"))
     earlier = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = newest.select(key, "_bucket", F.last("_newest", ignorenulls=True).over(earlier).alias("_carried"))
     answers = filled.join(carried, [key, "_bucket"], "left").select(

@@ -17,10 +17,12 @@ from tabspine.operators.checks import (
     monitor_status,
     require,
     require_schema,
+    smoke_check,
 )
 from tabspine.operators.compare import compare_versions
 from tabspine.operators.importance import importance_table, permutation_importance
 from tabspine.operators.metrics import classification_metrics, long_metrics
+from tabspine.operators.ordering import first_by_key
 from tabspine.operators.scoring import Model, prediction_rows, train_trees
 from tabspine.operators.spine import (
     alignment_counts,
@@ -59,6 +61,15 @@ def score_keys(keys: DataFrame, features: DataFrame, scorer: Scorer, config: Con
     return scorer(found).select(roles.id_col, "score")
 
 
+def smoke_job(features: DataFrame, scorer: Scorer, rows: int = 20, config: Config = Config()) -> DataFrame:
+    """Score the first few keys of the feature table; raise unless each got a score."""
+    key = config.roles.id_col
+    keys = first_by_key(features, key, rows)
+    scored = materialize(score_keys(keys, features, scorer, config), "smoke")
+    require(smoke_check(keys, scored.filter(F.col("score").isNotNull()), key))
+    return scored
+
+
 def holdout_metrics(
     spine: DataFrame, features: DataFrame, scorer: Scorer, model_version: str, config: Config = Config()
 ) -> DataFrame:

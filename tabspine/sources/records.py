@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,14 +44,16 @@ def read_records(
 
 
 def read_first_available(
-    spark: SparkSession, candidates: Sequence[str], fmt: str = "parquet", schema: T.StructType | None = None
+    spark: SparkSession, candidates: Sequence[str], read: Callable[[str], DataFrame] | None = None
 ) -> DataFrame:
-    """The first candidate path that can be opened; an error naming the last failure if none can."""
+    """The first candidate path that can be opened; an error naming the last failure if none can.
+
+    ``read`` opens one path, as Parquet by default.
+    """
     last = "no candidates"
     for path in candidates:
         try:
-            reader = spark.read.format(fmt)
-            return (reader.schema(schema) if schema is not None else reader).load(path)
-        except AnalysisException as failure:
+            return read(path) if read else spark.read.parquet(path)
+        except PySparkException as failure:
             last = f"{path}: {failure.getCondition() or failure}"
     raise FileNotFoundError(f"no source could be opened, last tried {last}")

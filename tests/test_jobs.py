@@ -11,8 +11,8 @@ from tabspine.functions.keys import hash_split
 from tabspine.operators.checks import GateError
 from tabspine.operators.clean import LabelError
 from tabspine.operators.engineer import feature_frame
-from tabspine.operators.scoring import Model
-from tabspine.operators.spine import label_spine
+from tabspine.operators.scoring import Model, score_in_chunks
+from tabspine.operators.spine import label_spine, training_frame
 from tabspine.operators.status import latest_row
 from tabspine.plans.data import check_job, feature_job, profile_job, seed_job, with_split
 from tabspine.plans.model import (
@@ -24,6 +24,7 @@ from tabspine.plans.model import (
     monitor_job,
     predict_job,
     score_keys,
+    smoke_job,
     train_job,
 )
 from tabspine.sources import scratch
@@ -81,6 +82,8 @@ def test_first_available(spark, files, tmp_path):
     assert read_first_available(spark, [str(tmp_path / "none"), str(tmp_path / "a")]).count() == 3
     with pytest.raises(FileNotFoundError, match="none"):
         read_first_available(spark, [str(tmp_path / "none")])
+    lines = read_first_available(spark, [f"{files}/none.csv", f"{files}/train.csv"], lambda p: read_records(spark, p))
+    assert lines.count() == 2
 
 
 def test_versions(spark, tmp_path):
@@ -287,6 +290,29 @@ def test_evaluation_is_refused(spark, tables, tmp_path):
     assert latest_row(read_log(spark, log), ["as_of"]).first()["job_run_id"] == "b"
 
 
+def test_smoke(tables):
+    features = tables[2]
+    assert smoke_job(features, rule(CENSUS_SCORE)).count() == 20
+    with pytest.raises(GateError, match="smoke_parity"):
+        smoke_job(features, rule("CASE WHEN row_id > 4 THEN 0.5D END"))
+
+
+def test_training_reads_one_split_and_two_features(tables):
+    _, spine, features, _ = tables
+    rows = training_frame(spine, features, "train", columns=["age", "sex"])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in plan
+    assert "ReadSchema: struct<row_id:bigint,age:bigint,sex:string>" in plan
+
+
+def test_python_scorer_in_a_prediction_job(spark, tables, tmp_path):
+    raw, _, features, _ = tables
+    predictions = VersionedTable(spark, str(tmp_path / "p"), "row_id")
+    scorer = lambda df: score_in_chunks(df, "row_id", ["age", "fnlwgt"], lambda chunk: chunk["age"] / 100)
+    n = predict_job(raw, features, scorer, predictions, "1")
+    assert n == raw.count() == predictions.read().filter("score IS NOT NULL").count()
+
+
 def test_predictions(spark, tables, tmp_path):
     raw, _, features, _ = tables
     predictions = VersionedTable(spark, str(tmp_path / "predictions"), "row_id")

@@ -13,6 +13,7 @@ from tabspine.operators.fingerprint import table_fingerprint
 from tabspine.operators.importance import permutation_importance, permuted_rows
 from tabspine.operators.metrics import classification_metrics
 from tabspine.operators.ordering import (
+    approximate_medians,
     chronological_split,
     exact_medians,
     first_by_hash,
@@ -104,6 +105,11 @@ def test_exact_medians(spark, small_limit, n):
     assert exact_medians(df, ["x", "empty", "one"]) == {"x": pytest.approx(statistics.median(values)), "empty": None, "one": 1.0}
 
 
+def test_approximate_medians(spark):
+    row = approximate_medians(spark.range(1, 10_002), ["id"]).first()
+    assert abs(row["id"] - 5_001) <= 2
+
+
 @pytest.mark.parametrize("fraction", [0.0, 0.1, 0.8, 1.0])
 def test_chronological_split(spark, small_limit, fraction):
     draw = random.Random(3)
