@@ -309,22 +309,22 @@ def contract_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT event_type AS batch, count(*) AS requested, count(*) FILTER (WHERE event_type <> 'view' OR event_id % 10 <> 0) AS scored,
+    """SELECT event_type AS batch, count(*) AS requested, count(*) FILTER (WHERE event_type <> 'view' OR value >= 2) AS scored,
        event_type <> 'view' AS passed FROM events GROUP BY event_type"""
 )
 def score_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested and scored rows by batch; one batch lost some."""
-    events = table(spark, sf_dir, "events").select(F.col("event_type").alias("batch"), "event_id")
-    return score_count_check(events, events.filter("batch <> 'view' OR event_id % 10 <> 0"), "batch")
+    events = table(spark, sf_dir, "events").select(F.col("event_type").alias("batch"), "event_id", "value")
+    return score_count_check(events, events.filter("batch <> 'view' OR value >= 2"), "batch")
 
 
 @query(
-    """SELECT 'smoke_parity' AS "check", false AS passed, CAST(count(*) FILTER (WHERE o_orderkey % 100 = 0) AS DOUBLE) AS observed, 0e0 AS bound,
+    """SELECT 'smoke_parity' AS "check", false AS passed, CAST(count(*) FILTER (WHERE o_orderstatus = 'P') AS DOUBLE) AS observed, 0e0 AS bound,
        'keys without a score' AS detail FROM orders"""
 )
 def smoke_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = table(spark, sf_dir, "orders").select("o_orderkey")
-    return smoke_check(keys, keys.filter("o_orderkey % 100 <> 0"), "o_orderkey")
+    keys = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return smoke_check(keys, keys.filter("o_orderstatus <> 'P'"), "o_orderkey")
 
 
 @query(
@@ -340,7 +340,7 @@ def monitor_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = feature_frame(census(spark, sf_dir))
     path = scratch_path(spark, "monitor")
     monitor_job(spark, features, None, path, "2024-01-01 00:00:00", "a")
-    monitor_job(spark, features, features.filter("row_id < 0"), path, "2024-01-02 00:00:00", "b")
+    monitor_job(spark, features, features.filter("age < 0"), path, "2024-01-02 00:00:00", "b")
     monitor_job(spark, features, features, path, "2024-01-03 00:00:00", "c")
     strict = Config(limits=Limits(min_table_rows=100_000_000))
     for day, tag, frame in (("04", "d", features), ("05", "e", None)):

@@ -42,12 +42,13 @@ _CLEAN_SQL = ", ".join(
 )
 
 
-@query(f"WITH {RECORDS_SQL} SELECT CASE WHEN row_id % 3 = 0 THEN 'holdout' ELSE 'train' END AS split, {_CLEAN_SQL} FROM records")
+@query(f"WITH {RECORDS_SQL} SELECT CASE WHEN trim(education) = 'F' THEN 'train' ELSE 'holdout' END AS split, {_CLEAN_SQL} FROM records")
 def csv_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headerless train and holdout files, read, normalised, united and keyed 1..N; the key is left out here."""
     folder = scratch_path(spark, "csv")
     rows = records(spark, sf_dir)
-    for split, part in (("train", F.col("row_id") % 3 != 0), ("holdout", F.col("row_id") % 3 == 0)):
+    is_train = F.trim("education") == "F"
+    for split, part in (("train", is_train), ("holdout", ~is_train)):
         rows.filter(part).select(*CSV_COLUMNS).write.csv(f"{folder}/{split}")
     return seeded_rows(spark, f"{folder}/train", f"{folder}/holdout").drop("row_id")
 

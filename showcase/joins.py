@@ -61,8 +61,8 @@ def keys_without_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALIGNED = f"""WITH {CENSUS_SQL},
-    feat AS (SELECT row_id FROM raw WHERE row_id % 50 <> 0),
-    spine AS (SELECT row_id FROM raw WHERE split = 'holdout' AND row_id % 70 <> 0),
+    feat AS (SELECT row_id FROM raw WHERE workclass IS NOT NULL),
+    spine AS (SELECT row_id FROM raw WHERE split = 'holdout' AND native_country <> 'c7'),
     held AS (SELECT row_id FROM raw WHERE split = 'holdout'),
     counts AS (SELECT (SELECT count(*) FROM held) AS raw_rows, (SELECT count(*) FROM spine) AS spine_rows,
                       (SELECT count(*) FROM held ANTI JOIN feat USING (row_id)) AS no_features,
@@ -79,8 +79,8 @@ _ALIGNED = f"""WITH {CENSUS_SQL},
 def spine_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alignment of raw, feature table and spine for the holdout, with gaps in both of the latter."""
     raw = census(spark, sf_dir)
-    features = raw.filter("row_id % 50 <> 0")
-    spine = raw.filter("row_id % 70 <> 0")
+    features = raw.filter("workclass IS NOT NULL")
+    spine = raw.filter("native_country <> 'c7'")
     return alignment_checks(alignment_counts(raw, features, spine, "holdout"))
 
 
@@ -99,16 +99,16 @@ def as_of_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH old AS (SELECT o_orderkey, o_totalprice / 1000 AS score, '1' AS model_version FROM orders WHERE o_orderkey % 3 <> 0),
-    new AS (SELECT o_orderkey, o_totalprice / 2000 AS score, '2' AS model_version FROM orders WHERE o_orderkey % 4 = 0)
+    """WITH old AS (SELECT o_orderkey, o_totalprice / 1000 AS score, '1' AS model_version FROM orders WHERE o_orderstatus <> 'P'),
+    new AS (SELECT o_orderkey, o_totalprice / 2000 AS score, '2' AS model_version FROM orders WHERE o_orderstatus <> 'F')
     SELECT o_orderkey, round(score, 6) AS score, '2024-01-02' AS scored_on, model_version FROM new
     UNION ALL SELECT o_orderkey, round(score, 6), '2024-01-01', model_version FROM old ANTI JOIN new USING (o_orderkey)"""
 )
 def upsert_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two overlapping prediction batches; the later one wins where keys match."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    first = orders.filter("o_orderkey % 3 <> 0").withColumn("score", F.col("o_totalprice") / 1000)
-    second = orders.filter("o_orderkey % 4 = 0").withColumn("score", F.col("o_totalprice") / 2000)
+    """Two overlapping prediction batches over all orders; the later one wins where keys match."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    first = orders.filter("o_orderstatus <> 'P'").withColumn("score", F.col("o_totalprice") / 1000)
+    second = orders.filter("o_orderstatus <> 'F'").withColumn("score", F.col("o_totalprice") / 2000)
     merged = upsert_rows(
         prediction_rows(first, "o_orderkey", "1", "2024-01-01 00:00:00"),
         prediction_rows(second, "o_orderkey", "2", "2024-01-02 00:00:00"),
@@ -119,26 +119,29 @@ def upsert_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_SNAPSHOTS = """before AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 83 <> 0),
-    after AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 41 = 0 THEN NULL WHEN o_orderkey % 37 = 0 THEN o_totalprice + 1
-              ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderkey % 59 <> 0)"""
+# The old snapshot lacks one order status and the new one another; two priorities change their price.
+_SNAPSHOTS = """before AS (SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders WHERE o_orderstatus <> 'P'),
+    after AS (SELECT o_orderkey, o_orderpriority, CASE o_orderpriority WHEN '5-LOW' THEN NULL WHEN '2-HIGH' THEN o_totalprice + 1
+              ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderstatus <> 'F')"""
 
 
 def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    price, key = F.col("o_totalprice"), F.col("o_orderkey")
-    changed = F.when(key % 41 == 0, None).when(key % 37 == 0, price + 1).otherwise(price)
-    return orders.filter(key % 83 != 0), orders.filter(key % 59 != 0).withColumn("o_totalprice", changed)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderstatus")
+    price, priority = F.col("o_totalprice"), F.col("o_orderpriority")
+    changed = F.when(priority == "5-LOW", None).when(priority == "2-HIGH", price + 1).otherwise(price)
+    before = orders.filter("o_orderstatus <> 'P'").drop("o_orderstatus")
+    after = orders.filter("o_orderstatus <> 'F'").drop("o_orderstatus").withColumn("o_totalprice", changed)
+    return before, after
 
 
 @query(
     f"""WITH {_SNAPSHOTS}, both_sides AS (
-      SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey, b.o_orderkey AS bk, a.o_orderkey AS ak, b.o_orderstatus AS bs,
-             a.o_orderstatus AS "as", b.o_totalprice AS bp, a.o_totalprice AS ap
+      SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey, b.o_orderkey AS bk, a.o_orderkey AS ak, b.o_orderpriority AS bs,
+             a.o_orderpriority AS "as", b.o_totalprice AS bp, a.o_totalprice AS ap
       FROM before b FULL JOIN after a ON b.o_orderkey = a.o_orderkey
-      WHERE b.o_orderkey IS DISTINCT FROM a.o_orderkey OR b.o_orderstatus IS DISTINCT FROM a.o_orderstatus
+      WHERE b.o_orderkey IS DISTINCT FROM a.o_orderkey OR b.o_orderpriority IS DISTINCT FROM a.o_orderpriority
             OR b.o_totalprice IS DISTINCT FROM a.o_totalprice)
-    SELECT o_orderkey, CASE WHEN bk IS NULL THEN 'insert' ELSE 'update_postimage' END AS _change_type, "as" AS o_orderstatus,
+    SELECT o_orderkey, CASE WHEN bk IS NULL THEN 'insert' ELSE 'update_postimage' END AS _change_type, "as" AS o_orderpriority,
            round(ap, 6) AS o_totalprice FROM both_sides WHERE ak IS NOT NULL
     UNION ALL SELECT o_orderkey, CASE WHEN ak IS NULL THEN 'delete' ELSE 'update_preimage' END, bs, round(bp, 6)
     FROM both_sides WHERE bk IS NOT NULL"""
@@ -149,7 +152,7 @@ def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(change_feed(before, after, "o_orderkey"))
 
 
-@query(f"WITH {_SNAPSHOTS} SELECT o_orderkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice FROM after")
+@query(f"WITH {_SNAPSHOTS} SELECT o_orderkey, o_orderpriority, round(o_totalprice, 6) AS o_totalprice FROM after")
 def applied_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change feed applied to the old snapshot gives the new one."""
     before, after = _snapshots(spark, sf_dir)

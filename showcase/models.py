@@ -104,15 +104,15 @@ def compared_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {CENSUS_SQL}, {FEATURES_SQL}
-    SELECT row_id, {CENSUS_SCORE} AS score, '2' AS model_version FROM features WHERE row_id % 2 = 0
-    UNION ALL SELECT row_id, {CENSUS_SCORE_B}, '1' FROM features WHERE row_id % 2 = 1 AND row_id % 3 = 0"""
+    SELECT row_id, {CENSUS_SCORE} AS score, '2' AS model_version FROM features WHERE education <> 'F'
+    UNION ALL SELECT row_id, {CENSUS_SCORE_B}, '1' FROM features WHERE education = 'F'"""
 )
 def batch_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two prediction jobs into one table: the second renews some keys and adds others."""
     raw = census(spark, sf_dir)
     features = feature_frame(raw)
     predictions = VersionedTable(spark, scratch_path(spark, "predictions"), "row_id")
-    for version, part, rule in (("1", "row_id % 3 = 0", CENSUS_SCORE_B), ("2", "row_id % 2 = 0", CENSUS_SCORE)):
+    for version, part, rule in (("1", "education <> 'P'", CENSUS_SCORE_B), ("2", "education <> 'F'", CENSUS_SCORE)):
         predict_job(raw.filter(part), features, census_scorer(rule), predictions, version, "2024-01-01 00:00:00")
     return predictions.read().drop("scored_at")
 

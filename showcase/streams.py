@@ -35,16 +35,16 @@ def stream_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 37 = 0 THEN 'changed' ELSE o_orderpriority END AS o_orderpriority "
-    "FROM orders WHERE o_orderkey % 59 <> 0"
+    "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderpriority = '2-HIGH' THEN 'changed' ELSE o_orderpriority END AS o_orderpriority "
+    "FROM orders WHERE o_orderstatus <> 'F'"
 )
 def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A change feed streamed into the old snapshot gives the new one."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    key = F.col("o_orderkey")
-    before = orders.filter(key % 83 != 0)
-    after = orders.filter(key % 59 != 0).withColumn(
-        "o_orderpriority", F.when(key % 37 == 0, "changed").otherwise(F.col("o_orderpriority"))
+    priority = F.col("o_orderpriority")
+    before = orders.filter("o_orderstatus <> 'P'")
+    after = orders.filter("o_orderstatus <> 'F'").withColumn(
+        "o_orderpriority", F.when(priority == "2-HIGH", "changed").otherwise(priority)
     )
     feed = change_feed(before, after, "o_orderkey").withColumn("_version", F.lit(2))
     arrived = _stored(feed, "feed", 2)
