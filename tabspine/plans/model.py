@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabspine.config import Config
@@ -26,6 +26,7 @@ from tabspine.operators.ordering import first_by_key
 from tabspine.operators.scoring import Model, prediction_rows, train_trees
 from tabspine.operators.spine import (
     alignment_counts,
+    labelled_scores,
     lookup_features,
     prediction_inputs,
     training_frame,
@@ -33,6 +34,7 @@ from tabspine.operators.spine import (
 from tabspine.sources.scratch import materialize
 from tabspine.sources.tables import VersionedTable, append_log
 
+# Takes a frame of keys and features, gives at least the key and ``score``. For explaining it must keep all columns.
 Scorer = Callable[[DataFrame], DataFrame]
 
 
@@ -73,11 +75,12 @@ def smoke_job(features: DataFrame, scorer: Scorer, rows: int = 20, config: Confi
 def holdout_metrics(
     spine: DataFrame, features: DataFrame, scorer: Scorer, model_version: str, config: Config = Config()
 ) -> DataFrame:
-    """One row of holdout metrics of a model version."""
+    """One row of holdout metrics of a model version. Labels are joined to the scores afterwards, so the scorer never sees
+    them, and a score that got lost on the way shows up as a lost row."""
     roles = config.roles
     labels = spine.filter(F.col(roles.split_col) == "holdout").select(roles.id_col, roles.label_col)
-    scored = materialize(scorer(lookup_features(labels, features, roles.id_col, roles.model_features)).select(
-        roles.id_col, roles.label_col, "score"), "holdout-scores")
+    joined = labelled_scores(labels, score_keys(labels, features, scorer, config), roles.id_col)
+    scored = materialize(joined.select(roles.label_col, "score"), "holdout-scores")
     metrics = classification_metrics(scored, roles.label_col, "score", threshold=config.limits.threshold)
     return metrics.select(F.lit(model_version).alias("model_version"), "*")
 
@@ -122,19 +125,19 @@ def predict_job(
 ) -> int:
     """Score the distinct raw keys that have features and upsert the predictions; returns the rows scored.
 
-    The scored batch is written once and counted during that write; the upsert then reads the small written batch.
+    The scored batch is written once. Its count comes from the file footers, its key check reads one column, and the upsert
+    reads what was written, so nothing is scored twice.
     """
     roles = config.roles
     require_schema(features, roles)
     scored = scorer(prediction_inputs(raw, features, roles.id_col))
-    counter = Observation()
-    rows = prediction_rows(scored, roles.id_col, model_version, as_of).observe(counter, F.count(F.lit(1)).alias("n"))
-    batch = materialize(rows, "scored")
-    if not counter.get["n"]:
+    batch = materialize(prediction_rows(scored, roles.id_col, model_version, as_of), "scored")
+    count = batch.count()
+    if not count:
         raise LookupError("no raw key has features")
     require(key_check(batch, roles.id_col))
     predictions.upsert(batch)
-    return counter.get["n"]
+    return count
 
 
 def explain_job(

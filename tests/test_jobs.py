@@ -309,6 +309,8 @@ def test_python_scorer_in_a_prediction_job(spark, tables, tmp_path):
     raw, _, features, _ = tables
     predictions = VersionedTable(spark, str(tmp_path / "p"), "row_id")
     scorer = lambda df: score_in_chunks(df, "row_id", ["age", "fnlwgt"], lambda chunk: chunk["age"] / 100)
+    spine = label_spine(raw)
+    assert holdout_metrics(spine, features, scorer, "1").first()["lost_rows"] == 0
     n = predict_job(raw, features, scorer, predictions, "1")
     assert n == raw.count() == predictions.read().filter("score IS NOT NULL").count()
 
