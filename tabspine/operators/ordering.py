@@ -219,6 +219,14 @@ def range_buckets(df: DataFrame, col: str, rows_per_bucket: int = 1_000_000, fin
     return tree(0, len(bounds) - 2) if len(bounds) > 1 else F.lit(0)
 
 
+def _key_at(df: DataFrame, key_col: str, rank: int) -> Any:
+    """The key at a zero-based rank: by bracketing if it is a number or time, else by row numbers over the keys alone."""
+    if isinstance(df.schema[key_col].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return order_statistics(df, {key_col: [rank]})[key_col, rank]
+    numbered = global_row_number(df.select(key_col), [key_col], "_n")
+    return numbered.filter(F.col("_n") == rank + 1).first()[key_col]
+
+
 def chronological_split(
     df: DataFrame, time_col: str, key_col: str, fraction: float = 0.8, out: str = "split"
 ) -> DataFrame:
@@ -234,14 +242,14 @@ def chronological_split(
     if cut == 0:
         first_part = F.lit(False)
     elif cut <= untimed:
-        last_key = order_statistics(narrow.filter(time.isNull()), {key_col: [cut - 1]})[key_col, cut - 1]
+        last_key = _key_at(narrow.filter(time.isNull()), key_col, cut - 1)
         first_part = time.isNull() & (key <= _literal(df, key_col, last_key))
     else:
         rank = cut - untimed - 1
         last_time = order_statistics(narrow, {time_col: [rank]})[time_col, rank]
         edge = _literal(df, time_col, last_time)
         tied = rank - narrow.filter(time < edge).count()
-        last_key = order_statistics(narrow.filter(time == edge), {key_col: [tied]})[key_col, tied]
+        last_key = _key_at(narrow.filter(time == edge), key_col, tied)
         first_part = time.isNull() | (time < edge) | ((time == edge) & (key <= _literal(df, key_col, last_key)))
     return df.withColumn(out, F.when(first_part, "train").otherwise("holdout"))
 

@@ -124,6 +124,15 @@ def test_chronological_split(spark, small_limit, fraction):
         assert len(split) == len(rows)
 
 
+def test_chronological_split_with_text_keys(spark):
+    rows = [(f"k{i * 7919 % 100:02d}", 5 if i % 2 else None) for i in range(100)]
+    df = spark.createDataFrame(rows, "k string, t int")
+    for fraction in (0.3, 0.75):
+        split = {r["k"]: r["split"] for r in chronological_split(df, "t", "k", fraction).collect()}
+        order = sorted(rows, key=lambda r: (r[1] is not None, r[0]))
+        assert {k for k, s in split.items() if s == "train"} == {k for k, _ in order[: int(100 * fraction)]}
+
+
 @pytest.mark.parametrize("kind", ["double", "timestamp", "timestamp_ntz", "long"])
 def test_range_buckets_keep_order(spark, kind):
     seconds = F.pow(F.col("id") % 971, F.lit(2)).cast("long")
