@@ -37,6 +37,7 @@ class Settings:
     ``trees`` and ``depth``: independent trees, and how often a node may split. ``node_size``: members of a node that are compared with
     each other; the chunks of larger last nodes have that size too. ``tokens``: minwise tokens that nodes
     choose from, which also estimate similarity; an estimate below ``floor`` is not checked on full sets.
+    ``few_ids``: ids up to which looking up texts by id is a broadcast; their size is 8 bytes each.
     """
 
     shingle_words: int = 5
@@ -46,6 +47,7 @@ class Settings:
     node_size: int = 128
     tokens: int = 48
     floor: float = 0.5
+    few_ids: int = 250_000
     seed: int = 11
 
 
@@ -147,11 +149,8 @@ def _nodes(classes: DataFrame, s: Settings) -> DataFrame:
 
 
 def _close(nodes: DataFrame, s: Settings, across: bool) -> DataFrame:
-    """Pairs ``(a, b)`` of a node that may be links.
-
-    Within components unknown yet, each member names one partner: the smallest of those that look most alike, else the
-    likeliest. With ``across``, all pairs whose ends have different ``label``s; pairs of one chunk and ``stray`` members of
-    the whole node count as of one node.
+    """Pairs ``(a, b)`` of a node that may be links: each member names one partner, the smallest of those that surely look
+    alike, else the likeliest. With ``across``, the ends ``id`` of all pairs that may be links and have different ``label``s.
     """
     columns = ["node", "id", "n_shingles", "tokens", *(["label"] if across else [])]
     sure = (1 + s.percent / 100) / 2 - 0.1
@@ -180,11 +179,20 @@ def _close(nodes: DataFrame, s: Settings, across: bool) -> DataFrame:
             i, j = i[order], j[order]
             first = np.r_[True, i[1:] != i[:-1]]
             i, j = i[first], j[first]
+        if across:
+            return pa.RecordBatch.from_arrays([pa.array(distinct(np.concatenate([ids[i], ids[j]])), pa.int64())], ["id"])
         a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
         pairs = np.unique(np.stack([a, b]), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()), pa.array(pairs[1], pa.int64())], ["a", "b"])
 
-    def by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sorted_nodes = nodes.select(*columns).repartition("node").sortWithinPartitions("node", "n_shingles", "id")
+    return sorted_nodes.mapInArrow(_by_node(compare), "id long" if across else "a long, b long").distinct()
+
+
+def _by_node(function):
+    """Calls a function with the rows of whole nodes; rows come sorted by their first column, the node."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None  # the last node so far may go on in the next batch
         for batch in batches:
             rows = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch]).combine_chunks()
@@ -192,18 +200,21 @@ def _close(nodes: DataFrame, s: Settings, across: bool) -> DataFrame:
             cut = int(np.flatnonzero(node != node[-1])[-1]) + 1 if len(node) and node[0] != node[-1] else 0
             rest = rows.slice(cut)
             if cut:
-                yield compare(rows.slice(0, cut))
+                yield function(rows.slice(0, cut))
         if rest is not None and rest.num_rows:
-            yield compare(rest)
+            yield function(rest)
 
-    sorted_nodes = nodes.select(*columns).repartition("node").sortWithinPartitions("node", "n_shingles", "id")
-    return sorted_nodes.mapInArrow(by_node, "a long, b long").distinct()
+    return run
 
 
-def confirmed(docs: DataFrame, id: str, text: str, pairs: DataFrame, s: Settings) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets are similar enough. Of rows that repeat an id, any may make the link."""
-    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+def _sets(docs: DataFrame, id: str, text: str, wanted: DataFrame, s: Settings) -> DataFrame:
+    """``(id, set)``, the sorted shingles of the rows whose id is wanted, as bytes.
+
+    Few wanted ids are sent to the texts; above ``few_ids`` the texts are shuffled by id instead.
+    """
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    wanted = materialize(wanted, "wanted")
+    wanted = F.broadcast(wanted) if wanted.count() <= s.few_ids else wanted
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
@@ -214,6 +225,13 @@ def confirmed(docs: DataFrame, id: str, text: str, pairs: DataFrame, s: Settings
                         [batch.column(0).slice(block.first, len(block)), pa.array(sets, pa.binary())], ["id", "set"]
                     )
 
+    return materialize(rows.join(wanted, "id", "left_semi").mapInArrow(shingled, "id long, set binary"), "sets")
+
+
+def confirmed(docs: DataFrame, id: str, text: str, pairs: DataFrame, s: Settings) -> DataFrame:
+    """The pairs ``(a, b)`` whose full sets are similar enough. Of rows that repeat an id, any may make the link."""
+    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -225,12 +243,62 @@ def confirmed(docs: DataFrame, id: str, text: str, pairs: DataFrame, s: Settings
                 keep.append(len(both) > 0 and 100 * shared >= s.percent * (len(both) - shared))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sets = materialize(rows.join(ends, "id", "left_semi").mapInArrow(shingled, "id long, set binary"), "sets")
+    sets = _sets(docs, id, text, ends, s)
     with_a = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
     with_b = with_a.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
     return with_b.select("a", "b", "set_a", "set_b").mapInArrow(similar, "a long, b long").distinct()
 
 
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two sets share, as products of a membership matrix; shingles of one set alone are left out."""
+    every = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], owner[order]
+    new = np.r_[True, every[1:] != every[:-1]]
+    which = np.cumsum(new) - 1
+    common = np.bincount(which) > 1
+    keep = common[which]
+    column, owner = (np.cumsum(common) - 1)[which[keep]], owner[keep]
+    shared = np.zeros((len(sets), len(sets)), np.float64)
+    for low in range(0, int(common.sum()), _HASH_COLUMNS):
+        some = (column >= low) & (column < low + _HASH_COLUMNS)
+        member = np.zeros((len(sets), _HASH_COLUMNS), np.float32)
+        member[owner[some], column[some] - low] = 1
+        shared += member @ member.T
+    return shared
+
+
+def _confirmed_in_nodes(docs: DataFrame, id: str, text: str, nodes: DataFrame, s: Settings) -> DataFrame:
+    """Links ``(a, b)`` between members of a node that have different labels, of those whose estimate allows one.
+
+    All sets of a node are compared at once where they are, so a node gives its links and not its pairs.
+    """
+    ids = materialize(_close(nodes, s, True), "ends")
+
+    def link(rows: pa.Table) -> pa.RecordBatch:
+        node, ids, label = (rows.column(i).to_numpy() for i in range(3))
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column(3)]
+        size = np.array([len(x) for x in sets])
+        a, b = [], []
+        edges = np.flatnonzero(np.r_[True, node[1:] != node[:-1], True])
+        for low, high in zip(edges[:-1], edges[1:]):
+            if (label[low:high] == label[low]).all():
+                continue
+            shared = _shared(sets[low:high])
+            n = size[low:high]
+            alike = 100 * shared >= s.percent * (n[:, None] + n[None, :] - shared)
+            i, j = np.nonzero(np.triu(alike & (label[low:high, None] != label[None, low:high]), 1))
+            a.append(ids[low:high][i]), b.append(ids[low:high][j])
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+        arrays = [pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())]
+        return pa.RecordBatch.from_arrays(arrays, ["a", "b"])
+
+    rows = nodes.select("node", "id", "label").distinct().join(_sets(docs, id, text, ids, s), "id")
+    rows = rows.select("node", "id", "label", "set").repartition("node").sortWithinPartitions("node", "id")
+    return rows.mapInArrow(_by_node(link), "a long, b long").distinct()
+
+
 def _labelled(frame: DataFrame, found: DataFrame) -> DataFrame:
     known = found.select(F.col("node").alias("id"), F.col("component").alias("label"))
     return frame.join(known, "id", "left").withColumn("label", F.coalesce("label", "id"))
@@ -280,11 +348,10 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", set
     first = classes.select("set_key", F.col("id").alias("class_id"))
     links = materialize(links.unionByName(_repeated(signed, first)), "confirmed")
     found = materialize(components(links), "components")
-    pairs = materialize(_close(_second_look(nodes, found, s), s, True), "pairs")
-    if not pairs.isEmpty():
-        more = materialize(confirmed(docs, id, text, pairs, s), "confirmed")
-        if not more.isEmpty():
-            found = components(links.unionByName(more))
+    second = materialize(_second_look(nodes, found, s), "second-look")
+    more = materialize(_confirmed_in_nodes(docs, id, text, second, s), "confirmed")
+    if not more.isEmpty():
+        found = components(links.unionByName(more))
     rows = signed.select("id", "n_shingles", "set_key").join(first, "set_key", "left")
     rows = rows.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
     component = F.coalesce("component", "class_id", "id")

@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspine.llm import decontamination, language, near_duplicates, packing
+from tabspine.llm import decontamination, language, licenses, near_duplicates, packing, quality
 from tabspine.llm.oracles import ORACLES  # noqa: F401
+from tabspine.sources.scratch import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -73,3 +74,22 @@ def packing_settings() -> packing.Settings:
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), packing_settings())
+
+
+def quality_model(spark: SparkSession, stats: DataFrame, sf_dir: str) -> quality.Ensemble:
+    """Learns from labelled rows outside the held-out quarter."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("int").alias("quality"))
+    return quality.fit(stats.where(remainder("doc_id", 4) != 2).join(labels, "doc_id"))
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = materialize(quality.statistics(table(spark, sf_dir, "documents")), "statistics")
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(True))
+    rows = quality.scored(stats, quality_model(spark, stats, sf_dir))
+    return rows.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "detections")
