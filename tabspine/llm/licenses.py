@@ -1,10 +1,10 @@
 """Licence scans with ordered signature rules, in Spark expressions only.
 
-Every rule is a regular expression with a priority and the keywords that a text must have before it is tried. Rules come from a table of
-licences, each with its names, and from forms in which a licence is named: an SPDX tag, a metadata field, a grant, an
-address, a reference, a bare name. Matches are intervals of the text. One that lies within an interval of at least its
-priority is suppressed, so "GNU General Public License" inside a grant under version 3 gives one detection. All work on a
-text happens in its own row: nothing is shuffled.
+Every rule is a regular expression: a licence's name, and a form of words before it, such as a grant, a metadata field, a
+reference, nothing at all, or an SPDX tag before an identifier. The form gives the priority. A name is tried only on texts
+that have its keywords, and forms only where a name was found. Matches are intervals of the text. One that lies within an
+interval of at least its priority is suppressed, so "GNU General Public License" inside a grant under version 3 gives one
+detection. All work on a text happens in its own row: nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -77,16 +77,18 @@ LICENSES: tuple[tuple[str, tuple[str, ...], tuple[str, ...]], ...] = (
     ("all-rights-reserved", (), ("all~rights~reserved",)),
 )
 
-#: Form, priority, keywords besides the licence's own. "{}" takes a name or an identifier.
+#: What stands before a name in each form. The first three go before names, the last before SPDX identifiers.
 _GRANT = rf"(?:licen[cs]ed|released|distributed|available|provided|published|covered|governed|redistributed|dedicated)(?:{_GAP}(?:under|by|to|with|in))(?:{_GAP}(?:the|a|an|terms|conditions|and|of)){{0,6}}{_GAP}"
-NAME_FORMS = (
-    ("grant", 80, (), _GRANT + "{}"),
-    ("reference", 60, (), rf"(?:under|see|per){_GAP}(?:(?:the|a|terms|of){_GAP}){{0,4}}{{}}"),
-    ("text title", 50, (), r"(?m:^[\s#*/-]{0,8}(?:the )?{}[ \t]*$)"),
-    ("name", 40, (), "{}"),
-    ("field", 90, ("licen",), r"licen[cs]e\s{0,4}[:=]{1,2}\s{0,4}[\"'(\[]?{}"),
+#: Form, priority, pattern before the name.
+FORMS: tuple[tuple[str, int, str], ...] = (
+    ("spdx tag", 100, r"spdx-licen[cs]e-identifier\s{0,4}:\s{0,4}[(]?"),
+    ("field", 90, r"licen[cs]e\s{0,4}[:=]{1,2}\s{0,4}[\"'(\[]?"),
+    ("grant", 80, _GRANT),
+    ("reference", 60, rf"(?:under|see|per){_GAP}(?:(?:the|a|terms|of){_GAP}){{0,4}}"),
+    ("name", 40, ""),
 )
-SPDX_FORM = ("spdx tag", 100, ("spdx",), r"spdx-licen[cs]e-identifier\s{0,4}:\s{0,4}[(]?{}")
+#: Characters before a name in which the longest form fits.
+_CONTEXT = 160
 
 _MARKS = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 #: A word, in text whose case is left as it is.
@@ -97,40 +99,43 @@ PHRASES = (("mit", "under the mit license"), ("apache-2", "apache license versio
 
 
 @dataclass(frozen=True)
-class Rule:
-    number: int
+class Name:
+    """A name or identifier in order: ``gate`` finds all its places and perhaps more in lower case, ``pattern`` exactly its places."""
+
     label: str
-    form: str
-    priority: int
     needs: tuple[str, ...]
+    gate: str
     pattern: str
+    forms: tuple[str, ...]
 
 
-def _whole(pattern: str) -> str:
-    return rf"(?i)(?<![0-9A-Za-z]){pattern}(?![0-9A-Za-z]|\.[0-9])"
-
-
-def _needs(name: str, more: tuple[str, ...]) -> tuple[str, ...]:
+def _needs(name: str) -> tuple[str, ...]:
     """Letters that every text of a name has: the runs of a pattern outside its groups, which may be absent or differ."""
     while (plain := re.sub(r"\(\?:[^()]*\)\??", " ", name)) != name:
         name = plain
-    runs = re.findall("[a-z]{2,}", re.sub(r"\[[^\]]*\]", " ", name.replace("~?", " ")))
-    return tuple(sorted({*runs, *more} | ({"licen"} if runs == ["mit"] else set())))
-
-
-def rules() -> list[Rule]:
-    """All rules in order. A bare name of one short word is no rule, it needs a form around it."""
-    made: list[tuple] = []
-    for label, identifiers, names in LICENSES:
-        for name in names:
-            pattern = name.replace("~?", f"(?:{_GAP})?").replace("~", _GAP).replace("@", _VERSION)
-            for form, priority, needs, template in NAME_FORMS:
-                if len(name) > 5 or form in ("grant", "field"):
-                    made.append((label, form, priority, _needs(name, needs), _whole(template.replace("{}", f"(?:{pattern})"))))
+    return tuple(sorted(set(re.findall("[a-z]{2,}", re.sub(r"\[[^\]]*\]", " ", name.replace("~?", " "))))))
+
+
+def names() -> list[Name]:
+    """All names in order. A name of one short word is none by itself, it needs a form around it."""
+    made = []
+    for label, identifiers, texts in LICENSES:
+        for text in texts:
+            pattern = text.replace("~?", f"(?:{_GAP})?").replace("~", _GAP).replace("@", _VERSION)
+            forms = ("field", "grant", "reference", "name") if len(text) > 5 else ("field", "grant")
+            made.append((label, _needs(text), pattern, forms))
         for identifier in identifiers:
-            form, priority, needs, template = SPDX_FORM
-            made.append((label, form, priority, needs, _whole(template.replace("{}", re.escape(identifier)))))
-    return [Rule(i, *parts) for i, parts in enumerate(made)]
+            made.append((label, ("spdx",), re.escape(identifier.lower()), ("spdx tag",)))
+    whole = r"(?i)(?<![0-9A-Za-z])(?:%s)(?![0-9A-Za-z]|\.[0-9])"
+    return [Name(label, needs, pattern, whole % pattern, forms) for label, needs, pattern, forms in made]
+
+
+def rules() -> list[tuple[str, str, int, str]]:
+    """Every signature rule as ``(label, form, priority, pattern)``: each name in each of its forms."""
+    return [
+        (n.label, form, priority, f"(?i){before}" + n.pattern.removeprefix("(?i)"))
+        for n in names() for form, priority, before in FORMS if form in n.forms
+    ]
 
 
 #: Any text that a rule can match has one of these in lower case.
@@ -166,27 +171,39 @@ def base_places(docs: DataFrame, text: str) -> DataFrame:
     }).drop(*[f"_around{i}" for i in range(len(PHRASES))])
 
 
-_RULES = "array<struct<number: int, label: string, form: string, priority: int, needs: array<string>, pattern: string>>"
+_NAMES = "array<struct<label: string, needs: array<string>, gate: string, pattern: string, forms: array<string>>>"
 _DETECTION = "array<struct<start: int, end: int, label: string, form: string, priority: int>>"
 
 
-def _matches(text: Column, rule: Column) -> Column:
-    """Intervals of one rule's matches: lengths of the matches and of what lies between them add up to places."""
-    texts, between = F.regexp_extract_all(text, rule["pattern"], F.lit(0)), F.split(text, rule["pattern"], -1)
-    nothing = F.struct(F.lit(0).alias("upto"), F.array().cast(_DETECTION).alias("found"))
+def _matches(text: Column, name: Column) -> Column:
+    """Intervals of one name in each form that stands around it: lengths of matches and of what lies between add up to places."""
+    texts, between = F.regexp_extract_all(text, name["pattern"], F.lit(0)), F.split(text, name["pattern"], -1)
+    place = "struct<upto: int, found: array<struct<start: int, end: int>>>"
+    nothing = F.struct(F.lit(0).alias("upto"), F.array().cast("array<struct<start: int, end: int>>").alias("found")).cast(place)
 
     def step(state: Column, pair: Column) -> Column:
         start = state["upto"] + F.length(pair["gap"])
         end = start + F.length(pair["match"])
-        one = F.struct(
-            start.alias("start"), end.alias("end"), rule["label"].alias("label"), rule["form"].alias("form"),
-            rule["priority"].alias("priority"),
-        )
-        return F.struct(end.alias("upto"), F.concat(state["found"], F.array(one)).alias("found"))
+        one = F.struct(start.alias("start"), end.alias("end"))
+        return F.struct(end.alias("upto"), F.concat(state["found"], F.array(one)).alias("found")).cast(place)
 
     pairs = F.zip_with(texts, between, lambda match, gap: F.struct(match.alias("match"), gap.alias("gap")))
-    pairs = F.filter(pairs, lambda p: p["match"].isNotNull())
-    return F.aggregate(pairs, nothing, step)["found"]
+    places = F.aggregate(F.filter(pairs, lambda p: p["match"].isNotNull()), nothing, step)["found"]
+
+    def in_forms(at: Column) -> Column:
+        before = F.substring(text, F.greatest(at["start"] - _CONTEXT, F.lit(0)) + 1, F.least(at["start"], F.lit(_CONTEXT)))
+
+        def one(form: str, priority: int, pattern: str) -> Column:
+            length = F.length(F.regexp_extract(before, rf"(?i)(?<![0-9A-Za-z]){pattern}$", 0)) if pattern else F.lit(0)
+            fits = F.array_contains(name["forms"], form) & (length > 0 if pattern else F.lit(True))
+            return F.when(fits, F.struct(
+                (at["start"] - length).alias("start"), at["end"].alias("end"), name["label"].alias("label"),
+                F.lit(form).alias("form"), F.lit(priority).alias("priority"),
+            ))
+
+        return F.array_compact(F.array(*[one(*form) for form in FORMS])).cast(_DETECTION)
+
+    return F.flatten(F.transform(places, in_forms))
 
 
 def _unsuppressed(found: Column) -> Column:
@@ -195,7 +212,7 @@ def _unsuppressed(found: Column) -> Column:
     Intervals are swept by start, longer ones first. For each priority the furthest end so far, of it and those above, tells
     whether an interval lies within an earlier one.
     """
-    levels = sorted({p for _, p, *_ in NAME_FORMS} | {SPDX_FORM[1]})
+    levels = sorted(priority for _, priority, _ in FORMS)
     key = F.transform(found, lambda d, i: F.struct(
         d["start"].alias("start"), (-d["end"]).alias("back"), (-d["priority"]).alias("low"), i.alias("i"), d.alias("d")
     ))
@@ -221,10 +238,10 @@ def licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     added = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "detections")
     kept = [c for c in docs.columns if c not in added]
-    all_rules = rules()
-    keywords = sorted({k for r in all_rules for k in r.needs})
+    every = names()
+    keywords = sorted({k for n in every for k in n.needs})
     # One literal that Spark folds, in place of thousands of expressions.
-    table = F.from_json(F.lit(json.dumps([asdict(r) for r in all_rules])), _RULES)
+    table = F.from_json(F.lit(json.dumps([asdict(n) for n in every])), _NAMES)
     rows = docs.select(*kept).withColumn("_text", F.coalesce(F.col(text).cast("string"), F.lit("")))
     rows = rows.withColumn("_low", F.lower("_text"))
     gate = F.lit(False)
@@ -233,14 +250,15 @@ def licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = base_places(rows, "_text").withColumn("_gate", gate)
     has = F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(F.col("_low"), k))
     rows = rows.withColumn("_has", F.when(F.col("_gate"), has))
-    tried = F.filter(table, lambda r: F.forall(r["needs"], lambda k: F.array_contains(F.col("_has"), k)))
-    tried = F.filter(tried, lambda r: F.regexp_like(F.col("_text"), r["pattern"]))
-    found = F.flatten(F.transform(tried, lambda r: _matches(F.col("_text"), r)))
-    rows = rows.withColumn("_found", F.when(F.col("_gate"), found))
-    empty = F.array().cast(_DETECTION)
-    rows = rows.withColumn("detections", F.coalesce(F.when(F.size("_found") > 0, _unsuppressed(F.col("_found"))), empty))
+    tried = F.filter(table, lambda n: F.forall(n["needs"], lambda k: F.array_contains(F.col("_has"), k)))
+    tried = F.filter(tried, lambda n: F.regexp_like(F.col("_low"), n["gate"]))
+    found = F.flatten(F.transform(tried, lambda n: _matches(F.col("_text"), n)))
+    # Generators of one row each: what they yield is computed once, however often it is used above them.
+    rows = rows.select("*", F.explode(F.array(F.when(F.col("_gate"), found))).alias("_found"))
+    stand = F.coalesce(F.when(F.size("_found") > 0, _unsuppressed(F.col("_found"))), F.array().cast(_DETECTION))
+    rows = rows.select("*", F.explode(F.array(stand)).alias("detections"))
     labels = F.array_sort(F.array_distinct(F.concat("base", F.transform("detections", lambda d: d["label"]))))
-    top = F.coalesce(F.array_max(F.transform("detections", lambda d: d["priority"])), F.lit(0)) / SPDX_FORM[1]
+    top = F.coalesce(F.array_max(F.transform("detections", lambda d: d["priority"])), F.lit(0)) / FORMS[0][1]
     return rows.select(
         *kept, "n_words", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"),
         F.array_join(labels, ",").alias("labels"), F.when(F.col("n_base") > 0, 1.0).otherwise(top.cast("double")).alias("score"),
