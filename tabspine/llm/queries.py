@@ -9,9 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspine.llm import decontamination, language, licenses, near_duplicates, packing, quality
+from tabspine.llm import decontamination, language, licenses, near_duplicates, packing, quality, warc
 from tabspine.llm.oracles import ORACLES  # noqa: F401
-from tabspine.sources.scratch import materialize
+from tabspine.sources.scratch import materialize, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -93,3 +93,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "detections")
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), root)
+    return warc.read(spark, root, payloads=False).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
