@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspine.llm import decontamination, language, licenses, near_duplicates, packing, quality, warc
+from tabspine.llm import decontamination, language, language_model, licenses, near_duplicates, packing, quality, warc
 from tabspine.llm.oracles import ORACLES  # noqa: F401
 from tabspine.sources.scratch import materialize, scratch_path
 
@@ -102,3 +102,14 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, root, payloads=False).select(
         F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder("doc_id", 7) == 2, F.lit(True))
+    model = language_model.train(docs.where(~held_out))
+    return language_model.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score", "perplexity",
+    )
