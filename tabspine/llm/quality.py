@@ -91,18 +91,25 @@ def _measure(block: Block) -> np.ndarray:
     return out
 
 
-def statistics(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id`` and the statistics of each row's whole text; all are 0 where it is null, empty or blank."""
+def statistics(docs: DataFrame, id: str = "doc_id", text: str = "text", whole_rows: bool = False) -> DataFrame:
+    """``id`` and the statistics of each row's whole text; all are 0 where it is null, empty or blank.
+
+    With ``whole_rows`` all columns pass through before the statistics; columns named like one are replaced.
+    """
+    kept = [c for c in docs.columns if c not in STATISTICS] if whole_rows else [id]
+    place = kept.index(text) if whole_rows else 1
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(place)):
                 found = _measure(block)
-                own = batch.column(0).slice(block.first, len(block))
-                yield pa.RecordBatch.from_arrays([own, *(pa.array(x, pa.float64()) for x in found.T)], [id, *STATISTICS])
+                own = [batch.column(c).slice(block.first, len(block)) for c in range(len(kept))]
+                yield pa.RecordBatch.from_arrays([*own, *(pa.array(x, pa.float64()) for x in found.T)], [*kept, *STATISTICS])
 
-    schema = f"{id} long, " + ", ".join(f"{c} double" for c in STATISTICS)
-    return docs.select(F.col(id).cast("long").alias(id), F.col(text).cast("string").alias("text")).mapInArrow(measure, schema)
+    schema = docs.select(kept).schema
+    for name in STATISTICS:
+        schema = schema.add(name, "double")
+    return docs.select(*kept, *([] if whole_rows else [F.col(text).alias("_text")])).mapInArrow(measure, schema)
 
 
 Condition = tuple[str, bool, float]  # statistic, whether it is at most the bound or above, bound
