@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspine.llm import decontamination, language, language_model, licenses, near_duplicates, packing, quality, warc
+from tabspine.llm import decontamination, language, language_model, licenses, near_duplicates, neighbours, packing, quality, warc
 from tabspine.llm.oracles import ORACLES  # noqa: F401
 from tabspine.sources.scratch import materialize, scratch_path
 
@@ -113,3 +113,8 @@ def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
         "base_score", "score", "perplexity",
     )
+
+
+@query
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda id: id % 100 == 0)
