@@ -30,13 +30,13 @@ class Settings:
     that one group tells one member. ``rounds`` at most, or until under ``stop`` of the neighbours change. ``width``: vertices that a search keeps and expands;
     ``steps`` of a search at most. ``group``: members compared at once; larger groups are compared in parts."""
 
-    degree: int = 24
-    cells: int = 3
+    degree: int = 32
+    cells: int = 4
     cell_rows: int = 200
     sent: int = 8
     rounds: int = 9
     stop: float = 0.01
-    width: int = 32
+    width: int = 64
     steps: int = 4
     group: int = 512
     seed: int = 17

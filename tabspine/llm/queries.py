@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspine.llm import decontamination, language, language_model, licenses, near_duplicates, neighbours, packing, quality, warc
+from tabspine.llm import decontamination, language, language_model, licenses, near_duplicates, neighbours, packing, quality, token_counts, warc
 from tabspine.llm.oracles import ORACLES  # noqa: F401
 from tabspine.sources.scratch import materialize, scratch_path
 
@@ -118,3 +118,15 @@ def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda id: id % 100 == 0)
+
+
+#: What op9 edits: addresses of mail and runs of digits are masked, and repeated marks shortened.
+_MASKS = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}|[0-9]{3,}|[!#$%&*]{2,}"
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents before and after masking, of which only the touched segments are encoded again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    settings = token_counts.Settings(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return token_counts.count_tokens(token_counts.masked(docs, _MASKS, "[masked]"), settings).drop("tree")
