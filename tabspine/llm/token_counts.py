@@ -91,7 +91,9 @@ def count_edited(data: np.ndarray, starts: np.ndarray, tree: np.ndarray, edits:
     return int(tree[1]), again
 
 
-EDITS = T.ArrayType(T.StructType().add("start", "int").add("end", "int").add("replacement", "string"))
+EDITS = T.ArrayType(
+    T.StructType().add("start", T.IntegerType()).add("end", T.IntegerType()).add("replacement", T.StringType())
+)
 
 
 def masked(docs: DataFrame, pattern: str, replacement: str, text: str = "text", edits: str = "edits") -> DataFrame:
