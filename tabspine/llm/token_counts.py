@@ -115,7 +115,7 @@ def masked(docs: DataFrame, pattern: str, replacement: str, text: str = "text",
             yield pa.RecordBatch.from_arrays([*batch.columns, found], [*kept, edits])
 
     rows = docs.select(kept)
-    return rows.mapInArrow(find, rows.schema.add(edits, EDITS))
+    return rows.mapInArrow(find, docs.select(kept).schema.add(edits, EDITS))
 
 
 def count_tokens(
