@@ -24,10 +24,15 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabspine.sources.scratch import materialize
+
 #: Format of the seek table: magic of a skippable frame, magic of its footer.
 _SKIPPABLE = 0x184D2A5E
 _SEEKABLE = 0x8F92EAB1
 
+#: Names up to which the list of bundles is sent to those that read them, at about 50 bytes each.
+FEW_BUNDLES = 100_000
+
 INDEX = (
     "bundle string, frame long, frame_start long, frame_bytes long, record_start long, record_bytes long, record_id string, "
     "key long, record_type string"
@@ -232,7 +237,9 @@ def _bundles(spark: SparkSession, root: str, named: DataFrame) -> DataFrame:
         return spark.createDataFrame([], "bundle string, content binary")
     files = spark.read.format("binaryFile").load(f"{root}/bundles")
     name = F.element_at(F.split("path", "/"), -1)
-    return files.select(name.alias("bundle"), "content").join(named.select("bundle").distinct(), "bundle", "left_semi")
+    listed = materialize(named.select("bundle").distinct(), "bundles")
+    listed = F.broadcast(listed) if listed.count() <= FEW_BUNDLES else listed
+    return files.select(name.alias("bundle"), "content").join(listed, "bundle", "left_semi")
 
 
 def read(spark: SparkSession, root: str, payloads: bool = True) -> DataFrame:
