@@ -159,7 +159,7 @@ def encoded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoder.transform(part).select(
         "p_partkey",
         F.get(vector, F.lit(0)).alias("size"),
-        F.array_position(F.slice(vector, 2, 1_000), 1.0).alias("slot"),
+        F.array_position(F.slice(vector, F.lit(2), F.size(vector) - 1), 1.0).alias("slot"),
         F.size(vector).cast("long").alias("width"),
     )
 
@@ -217,12 +217,11 @@ def _explained_sql() -> str:
     hit = "avg(CASE WHEN ({0}) = (income_gt_50k = 1) THEN 1e0 ELSE 0e0 END)"
     others = ", ".join(f"'{c}'" for c in Roles().model_features if c not in ("age", "fnlwgt"))
     return f"""WITH {CENSUS_SQL},
-    ordered AS (SELECT raw.*, rep, md5(concat(rep, '|42|', row_id)) AS o, CAST('0x' || substr(md5(concat(rep, '|42|', row_id)), 1, 8) AS BIGINT)
-                  % (SELECT greatest(1, ceil(count(*) / 100000e0)) FROM raw WHERE split <> 'train') AS block
+    ordered AS (SELECT raw.*, rep, md5(concat(rep, '|42|', row_id)) AS o
                 FROM raw, (SELECT unnest([0, 1, 2]) AS rep) WHERE split <> 'train'),
     ring AS (SELECT *, coalesce(lead(fnlwgt) OVER w, first_value(fnlwgt) OVER w) AS other_fnlwgt,
                     coalesce(lead(age) OVER w, first_value(age) OVER w) AS other_age
-             FROM ordered WINDOW w AS (PARTITION BY rep, block ORDER BY o, row_id)),
+             FROM ordered WINDOW w AS (PARTITION BY rep ORDER BY o, row_id)),
     hits AS (SELECT {hit.format(rule.format('fnlwgt', 'age'))} AS base, {hit.format(rule.format('other_fnlwgt', 'age'))} AS weight,
                     {hit.format(rule.format('fnlwgt', 'other_age'))} AS years FROM ring GROUP BY rep)
     SELECT '3' AS model_version, 'age' AS feature, round(avg(base - years), 6) AS importance, 'permutation' AS method FROM hits

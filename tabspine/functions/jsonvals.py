@@ -15,7 +15,7 @@ _OBJECTS = "array<map<string,variant>>"
 
 def json_value(col: Column) -> Column:
     """JSON text of one value: arrays, maps and structs as such, a scalar as a bare value, null as ``null``."""
-    wrapped = F.to_json(F.struct(col.alias("v")))
+    wrapped = F.to_json(F.struct(col.alias("v")), {"ignoreNullFields": "false"})
     return F.when(col.isNull(), "null").otherwise(F.regexp_extract(wrapped, r'(?s)^\{"v":(.*)\}$', 1))
 
 
@@ -29,9 +29,12 @@ def _number(value: str) -> str:
 
 
 def _scalar_or_pair(value: str) -> str:
-    """A number, or of an array its second member or the only one."""
-    return "coalesce({0}, {1}, {2})".format(
-        *[f"try_variant_get({value}, '{path}', 'double')" for path in ("$", "$[1]", "$[0]")]
+    """A number, or of an array its second member, or the only one; null if that one cannot be read."""
+    member = {path: f"try_variant_get({value}, '{path}', 'double')" for path in ("$", "$[1]", "$[0]")}
+    size = f"size(try_variant_get({value}, '$', 'array<variant>'))"
+    return (
+        f"CASE WHEN NOT {_is(value, 'ARRAY')} THEN {member['$']} WHEN {size} > 1 THEN {member['$[1]']} "
+        f"WHEN {size} = 1 THEN {member['$[0]']} END"
     )
 
 

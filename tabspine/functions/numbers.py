@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 
 
 def to_number(col: Column) -> Column:
-    """Double value of a text; null where it is not a number."""
-    return col.try_cast("double")
+    """Double value of a plain decimal text, an exponent allowed; null for anything else, ``nan``, ``inf`` and ``12d`` included."""
+    text = F.trim(col.cast("string"))
+    return F.when(text.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), text.try_cast("double"))
 
 
 def threshold(score: Column, cut: float = 0.5) -> Column:

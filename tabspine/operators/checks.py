@@ -63,8 +63,9 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def key_check(df: DataFrame, key: str) -> DataFrame:
-    """Key unique."""
-    counts = duplicate_keys(df, key).agg(F.count("*").alias("n"))
+    """Key unique and not null."""
+    counts = df.groupBy(key).agg(F.count("*").alias("rows")).filter((F.col("rows") > 1) | F.col(key).isNull())
+    counts = counts.agg(F.count("*").alias("n"))
     return _rows(counts, [_check("key_unique", F.col("n") == 0, F.col("n"), 0, "duplicate keys")])
 
 
@@ -160,7 +161,7 @@ def monitor_check(log: DataFrame | None, spark: SparkSession) -> DataFrame:
     """The latest monitor row must be ok; no log or an empty log passes."""
     if log is None:
         return schema_check(spark, "monitor_ok", [])
-    latest = latest_row(log, ["as_of"]).agg(
+    latest = latest_row(log.withColumn("_bad", ~F.coalesce(is_truthy(F.col("gate_ok")), F.lit(False))), ["as_of", "_bad"]).agg(
         F.count("*").alias("n"), F.max(F.struct(is_truthy(F.col("gate_ok")).alias("ok"), "reason")).alias("row")
     )
     ok = (F.col("n") == 0) | F.col("row.ok")

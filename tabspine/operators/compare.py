@@ -31,7 +31,7 @@ def compare_versions(
 ) -> DataFrame:
     """One decision per segment from two long metric tables; ``champion=None`` means there is none yet.
 
-    A champion table that lacks the metric is an error, never a pass.
+    A champion table that lacks the metric is an error, never a pass. Without segments there is always one row.
     """
     keys = [*by, "metric"]
     new = challenger.filter(F.col("metric") == metric).select(*keys, F.col("value").alias("challenger"))
@@ -40,6 +40,9 @@ def compare_versions(
     else:
         old = champion.filter(F.col("metric") == metric).select(*keys, F.col("value").alias("champion"))
         pairs = new.join(old, keys, "full_outer")
+    if not by:
+        named = challenger.sparkSession.range(1).select(F.lit(metric).alias("metric"))
+        pairs = named.join(pairs, "metric", "left")
     exists = F.lit(champion is not None)
     decision = compare_decision(F.col("challenger"), F.col("champion"), exists, higher_is_better, margin)
     return pairs.select(

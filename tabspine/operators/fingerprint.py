@@ -13,14 +13,14 @@ from tabspine.functions.keys import md5_int
 def table_fingerprint(df: DataFrame, columns: Sequence[str] | None = None, portable: bool = False) -> DataFrame:
     """(rows, hash_xor, hash_sum) over whole rows, the same however the rows are ordered or split into files.
 
-    The xor alone would miss a pair of equal rows, so the sum of the hashes goes with it. ``portable`` hashes the
+    Null columns are told apart. The xor alone would miss a pair of equal rows, so the sum of the hashes goes with it. ``portable`` hashes the
     text of the columns with md5, which other engines can repeat.
     """
     columns = list(columns or df.columns)
     if portable:
         row_hash = md5_int(*[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns])
     else:
-        row_hash = F.xxhash64(*columns)
+        row_hash = F.xxhash64(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))])
     return df.select(row_hash.alias("h")).agg(
         F.count("*").alias("rows"),
         F.bit_xor("h").alias("hash_xor"),

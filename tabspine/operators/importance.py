@@ -15,20 +15,24 @@ def permuted_rows(
 ) -> DataFrame:
     """Each row ``repeats`` times with ``_donor``, the features of another row drawn without replacement.
 
-    Rows fall into blocks by a seeded hash, and inside a block the donor is the next row in hash order, the last row taking
-    the first. Blocks are even because keys are unique, so this is one balanced shuffle.
+    Rows stand in a ring ordered by a seeded hash, and the donor is the next row. Blocks are ranges of the hash, even because keys
+    are unique, so this is one balanced shuffle; a block's last row takes the first of the next block from a table with one
+    row per block. So the result is the same for every number of blocks.
     """
     total = df.count() if rows is None else rows
     blocks = max(1, math.ceil(total / block_rows))
     repeat = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_repeat")
     place = F.md5(F.concat_ws("|", F.col("_repeat").cast("string"), F.lit(str(seed)), F.col(key).cast("string")))
-    block = F.pmod(F.conv(F.substring("_order", 1, 8), 16, 10).cast("long"), F.lit(blocks))
+    block = F.floor(F.conv(F.substring("_order", 1, 8), 16, 10).cast("long") * blocks / (1 << 32))
     spread = df.select("*", repeat).withColumn("_order", place).withColumn("_block", block)
     ring = Window.partitionBy("_repeat", "_block").orderBy("_order", key)
     own = F.struct(*features)
-    ring_start = F.first(own).over(ring.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    donor = F.coalesce(F.lead(own).over(ring), ring_start)
-    return spread.withColumn("_donor", donor).drop("_block", "_order")
+    firsts = spread.groupBy("_repeat", "_block").agg(F.min_by(own, F.struct("_order", key)).alias("_first"))
+    around = Window.partitionBy("_repeat").orderBy("_block")
+    start = F.first("_first").over(around.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    following = firsts.select("_repeat", "_block", F.coalesce(F.lead("_first").over(around), start).alias("_following"))
+    paired = spread.withColumn("_next", F.lead(own).over(ring)).join(following, ["_repeat", "_block"])
+    return paired.withColumn("_donor", F.coalesce("_next", "_following")).drop("_block", "_order", "_next", "_following")
 
 
 def permutation_importance(

@@ -20,14 +20,14 @@ def classification_metrics(
     threshold: float = 0.5,
     rows_per_bucket: int = 1_000_000,
 ) -> DataFrame:
-    """One row per group: roc_auc, f1, accuracy, eval_rows, positive_rate, and rows without score or label.
+    """One row per group: roc_auc, f1, accuracy, eval_rows, positive_rate, and rows lost: without a score, or with a label other than 0 and 1.
 
     Rows collapse to one per distinct score before anything is ordered. AUC is the tie-averaged rank sum: pairs are
     counted inside score ranges by a window, and between ranges from one total per range.
     """
     by = list(by)
-    usable = F.col(score).isNotNull() & F.col(label).isNotNull() & ~F.isnan(F.col(score).cast("double"))
-    bucket = range_buckets(df, score, rows_per_bucket)
+    usable = F.col(score).isNotNull() & F.coalesce(F.col(label).isin(0, 1), F.lit(False)) & ~F.isnan(F.col(score).cast("double"))
+    bucket = range_buckets(df.filter(usable), score, rows_per_bucket)
     histogram = (
         df.groupBy(*by, F.when(usable, F.col(score).cast("double")).alias(score))
         .agg(

@@ -28,7 +28,7 @@ class PayloadError(ValueError):
 
 
 def score_rows(df: DataFrame, key: str, payload_col: str) -> DataFrame:
-    """(key, position, score) rows; an unreadable payload gives one row with null position and score.
+    """(key, position, score) rows; an unreadable payload gives one row with null position and score, an empty list none.
 
     Each parse is a column of its own, so that it happens once per row.
     """
@@ -40,7 +40,7 @@ def score_rows(df: DataFrame, key: str, payload_col: str) -> DataFrame:
     items = bodies.select(key, "_text", body_items("_body").alias("_items"))
     staged = items.select(key, "_items", ordered_objects("_items", "_text").alias("_ordered"))
     scores = staged.select(key, item_scores("_items", "_ordered").alias("_scores"))
-    whole = scores.select(key, if_complete("_scores").alias("_scores"))
+    whole = scores.select(key, if_complete("_scores").alias("_scores")).filter("_scores IS NULL OR size(_scores) > 0")
     return whole.select(key, F.posexplode_outer("_scores").alias("position", "score"))
 
 

@@ -75,7 +75,7 @@ def alignment_counts(raw: DataFrame, features: DataFrame, spine: DataFrame, spli
     return per_key.agg(
         F.coalesce(F.sum("r"), F.lit(0)).alias("raw_rows"),
         F.coalesce(F.sum("s"), F.lit(0)).alias("spine_rows"),
-        F.coalesce(F.sum(F.when(F.col("f") == 0, F.col("r"))), F.lit(0)).alias("raw_without_features"),
+        F.coalesce(F.sum(F.when(F.col("f") != 1, F.col("r"))), F.lit(0)).alias("raw_without_features"),
         F.count_if((F.col("r") > 0) & (F.col("s") == 0)).alias("raw_without_spine"),
         F.count_if((F.col("s") > 0) & (F.col("r") == 0)).alias("spine_without_raw"),
     )

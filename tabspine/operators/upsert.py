@@ -24,6 +24,12 @@ def newer_rows(target: DataFrame, source: DataFrame, key: str, newer_by: Sequenc
     )
 
 
+def changed_rows(target: DataFrame, source: DataFrame, key: str, newer_by: Sequence[str]) -> DataFrame:
+    """Source rows that are not older than the target's row with the same key, and differ from it."""
+    known = target.join(source.select(key), key, "left_semi").select(*target.columns)
+    return newer_rows(target, source.select(*target.columns), key, newer_by).subtract(known)
+
+
 def overlay_rows(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Target with changed rows, unique by key, in place of the rows with the same key; ``_deleted`` ones remove it.
 
@@ -33,11 +39,19 @@ def overlay_rows(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(changes.filter(~F.col("_deleted")).select(*target.columns))
 
 
+def refuse_new_columns(target: DataFrame, source: DataFrame) -> None:
+    """An error if the source has columns that the target would lose; names that begin with ``_`` are bookkeeping."""
+    lost = [c for c in source.columns if c not in target.columns and not c.startswith("_")]
+    if lost:
+        raise ValueError(f"columns that the table does not have: {', '.join(lost)}")
+
+
 def upsert_rows(target: DataFrame, source: DataFrame, key: str, newer_by: Sequence[str] = ()) -> DataFrame:
     """Target with source rows inserted or put in place of the row with the same key. Source keys must be unique.
 
     With ``newer_by`` a source row only replaces a target row whose ``newer_by`` values are not greater.
     """
+    refuse_new_columns(target, source)
     rows = source.select(*target.columns)
     if newer_by:
         rows = newer_rows(target, rows, key, newer_by)
@@ -47,9 +61,14 @@ def upsert_rows(target: DataFrame, source: DataFrame, key: str, newer_by: Sequen
 def change_feed(before: DataFrame, after: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Row changes between two snapshots: insert, delete, and both images of an update.
 
-    One full outer join on the unique key; unchanged rows leave before the images are exploded.
+    One full outer join on the unique key; unchanged rows leave before the images are exploded. A column that only one
+    snapshot has is null in the other.
     """
-    columns = list(columns or [c for c in after.columns if c != key])
+    columns = list(columns or dict.fromkeys(c for c in [*after.columns, *before.columns] if c != key))
+    kinds = {**dict(before.dtypes), **dict(after.dtypes)}
+    before, after = (
+        frame.withColumns({c: F.lit(None).cast(kinds[c]) for c in columns if c not in frame.columns}) for frame in (before, after)
+    )
     image = F.struct(*columns)
     old = before.select(F.col(key), image.alias("_old"))
     new = after.select(F.col(key), image.alias("_new"))

@@ -6,6 +6,7 @@ in the folder the cluster names in ``spark.checkpoint.dir``. A written table out
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,7 +21,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(f"{_SETTING} is not set: name a folder that every executor can reach")
     root = tempfile.mkdtemp(prefix="tabspine-")
     spark.sparkContext.setCheckpointDir(root)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabspine.operators.status import latest_rows
-from tabspine.operators.upsert import newer_rows, overlay_rows
+from tabspine.operators.upsert import newer_rows, overlay_rows, refuse_new_columns
 
 
 def require_table(spark: SparkSession, name: str) -> DataFrame:
@@ -119,6 +119,8 @@ class VersionedTable:
 
     def _write(self, df: DataFrame, is_delta: bool, tag: str | None, partition_by: Sequence[str] = ()) -> int:
         number = max((p.number for p in self._folders()), default=0) + 1
+        while not self._fs().createNewFile(self._hadoop(f"{self.path}/_claims/{number:09d}")):
+            number += 1  # another writer has it
         name = f"v{number:09d}{'d' if is_delta else ''}" + (f"-{tag}" if tag else "")
         (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(f"{self.path}/{name}")
         return number
@@ -135,6 +137,19 @@ class VersionedTable:
         """Whether some committed write carries this tag."""
         return any(p.tag == tag for p in self._committed())
 
+    def owner(self, name: str, candidate: str) -> str:
+        """Who was first to write under this name; the candidate if nobody was before."""
+        path, fs = self._hadoop(f"{self.path}/_streams/{name}"), self._fs()
+        if not fs.exists(path):
+            out = fs.create(path, False)
+            out.writeUTF(candidate)
+            out.close()
+        source = fs.open(path)
+        try:
+            return source.readUTF()
+        finally:
+            source.close()
+
     def read(self, version: int | None = None) -> DataFrame:
         """The current version, or a given one."""
         base, *deltas = self._current(version)
@@ -155,18 +170,28 @@ class VersionedTable:
             raise ValueError(f"table {self.path} has no key")
         if tag and self.has_tag(tag):
             return self.version
+        refuse_new_columns(self.read(), df)
+        self._require_keys(df)
         number = self._write(df.select(*self.read().columns, "_deleted"), True, tag)
         base, *deltas = self._current()
         if len(deltas) > self.max_deltas or self._bytes(deltas) > self.max_delta_share * self._bytes([base]):
             number = self.replace(self.read())
         return number
 
+    def _require_keys(self, df: DataFrame) -> None:
+        """An error if a key is null or has several rows."""
+        bad = df.groupBy(self.key).agg(F.count("*").alias("n")).filter((F.col("n") > 1) | F.col(self.key).isNull())
+        if not bad.isEmpty():
+            raise ValueError(f"null or repeated {self.key} in the rows for {self.path}")
+
     def upsert(self, df: DataFrame, tag: str | None = None, newer_by: Sequence[str] = ()) -> int:
         """Insert new keys and update known ones; with ``newer_by``, only by rows that are not older than the known one."""
         if tag and self.has_tag(tag):
             return self.version
         if not self.exists():
+            self._require_keys(df)
             return self.replace(df, tag)
+        refuse_new_columns(self.read(), df)
         rows = newer_rows(self.read(), df, self.key, newer_by) if newer_by else df
         return self.apply(rows.withColumn("_deleted", F.lit(False)), tag)
 

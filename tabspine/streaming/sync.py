@@ -1,11 +1,13 @@
 """Triggered incremental sync of changed rows into keyed tables.
 
 Each trigger takes whatever arrived since the last one (``availableNow``) and stops. A batch is applied under a tag made
-of the stream's name and the batch number, so a batch that is replayed after a failure is not applied twice.
+of the stream's name, the identity of its checkpoint and the batch number, so a batch that is replayed after a failure is not
+applied twice, and a new checkpoint's batches are applied anew.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
@@ -16,7 +18,7 @@ from tabspine.config import Config
 from tabspine.operators.engineer import feature_frame
 from tabspine.operators.scoring import prediction_rows
 from tabspine.operators.status import latest_rows
-from tabspine.operators.upsert import final_changes
+from tabspine.operators.upsert import changed_rows, final_changes
 from tabspine.sources.tables import VersionedTable
 
 
@@ -38,18 +40,31 @@ def run_available(stream: DataFrame, apply: Callable[[DataFrame, int], None], ch
     query.awaitTermination()
 
 
+def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """Identity of a stream's checkpoint: a new one numbers its batches anew, over other files."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"][:13]
+
+
+def _tag(table: VersionedTable, name: str, checkpoint: str, number: int) -> str:
+    """Tag of a batch: name and number for the first checkpoint that fed the table, its identity between them for any other."""
+    own = _checkpoint_id(table.spark, checkpoint)
+    return f"{name}-{number}" if table.owner(name, own) == own else f"{name}-{own}-{number}"
+
+
 def sync_rows(
     stream: DataFrame, table: VersionedTable, sequence: Sequence[str], checkpoint: str, name: str = "sync"
 ) -> None:
     """Keep the newest row of each key, by ``sequence``, whatever order the files arrive in."""
 
     def apply(batch: DataFrame, number: int) -> None:
-        tag = f"{name}-{number}"
+        tag = _tag(table, name, checkpoint, number)
         if table.has_tag(tag):
             return
         newest = latest_rows(batch, [table.key], sequence).persist()
         try:
-            table.upsert(newest, tag, newer_by=sequence)
+            # A new checkpoint brings known rows again: what would change nothing is not written.
+            if not table.exists() or not changed_rows(table.read(), newest, table.key, sequence).isEmpty():
+                table.upsert(newest, tag, newer_by=sequence)
         finally:
             newest.unpersist()
 
@@ -62,7 +77,8 @@ def sync_changes(
     """Apply a change feed, deletes included, to a table that exists. Batches must come in order."""
 
     def apply(batch: DataFrame, number: int) -> None:
-        table.apply(final_changes(batch, table.key, sequence), f"{name}-{number}")
+        order_only = [c for c in sequence if c not in table.read().columns]
+        table.apply(final_changes(batch, table.key, sequence).drop(*order_only), _tag(table, name, checkpoint, number))
 
     run_available(stream, apply, checkpoint)
 
@@ -83,7 +99,7 @@ def refresh_features(
     key = config.roles.id_col
 
     def apply(batch: DataFrame, number: int) -> None:
-        tag = f"{name}-{number}"
+        tag = _tag(features, name, checkpoint, number)
         fresh = feature_frame(latest_rows(batch, [key], sequence), config.roles).persist()
         try:
             features.upsert(fresh, tag)
