@@ -164,25 +164,34 @@ def encoded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    f"WITH {CENSUS_SQL} SELECT count(*) AS eval_rows, round(avg(CAST(income_gt_50k AS DOUBLE)), 6) AS positive_rate, "
+    "CAST(0 AS BIGINT) AS lost_rows, true AS auc_passes, true AS above_constant FROM raw WHERE split <> 'train'"
+)
 def trained_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train boosted trees on the census train split, score and evaluate the holdout."""
+    """Train boosted trees on the census train split, score the holdout, and say whether the fit is any good."""
     raw = with_split(census(spark, sf_dir))
     spine, features = label_spine(raw), feature_frame(raw)
     model = train_job(raw, features, spine)
     labels = spine.filter("split = 'holdout'").select("row_id", "income_gt_50k")
     scored = score_keys(labels, features, model.score)
     joined = materialize(labelled_scores(labels, scored, "row_id"), "trained-scores")
-    return rounded(classification_metrics(joined, "income_gt_50k", "score"))
+    metrics = rounded(classification_metrics(joined, "income_gt_50k", "score"))
+    constant = F.greatest(F.col("positive_rate"), 1 - F.col("positive_rate"))
+    return metrics.select(
+        "eval_rows", "positive_rate", "lost_rows", F.coalesce(F.col("roc_auc") >= 0.7, F.lit(False)).alias("auc_passes"),
+        F.coalesce(F.col("accuracy") > constant, F.lit(False)).alias("above_constant"),
+    )
 
 
-@query()
+@query(f"WITH {DOCUMENTS_SQL} SELECT doc_id, quality, true AS in_range FROM docs")
 def document_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Small trees on document features, with unseen categories in the scored rows."""
+    """Small trees on document features, with unseen categories in the scored rows: every row gets a probability."""
     rows = labelled_documents(spark, sf_dir).select("doc_id", "quality", "lang", "n_chars")
     train = rows.filter((hash_split(F.col("doc_id")) == "train") & (F.col("lang") != "es"))
     model = train_trees(train, "quality", ["n_chars"], ["lang"], TreeParams(trees=10))
-    return rounded(model.score(rows)).select("doc_id", "quality", "score")
+    in_range = F.coalesce(F.col("score").between(0, 1), F.lit(False))
+    return model.score(rows).select("doc_id", "quality", in_range.alias("in_range"))
 
 
 def _importance_sql() -> str:
