@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tabspine.llm.blocks import Block, blocks, mix
 
 #: Entries of a count matrix that are held at once.
-_CELLS = 8 << 20
+_CELLS = 4 << 20
 
 
 @dataclass(frozen=True)

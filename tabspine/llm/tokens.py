@@ -16,7 +16,7 @@ import tiktoken
 from tabspine.llm.blocks import Block, run_hashes
 
 #: Parts that are remembered between blocks.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 _WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 28, 29, 30, 31, 32])
 #: Bytes that may begin white space beyond ASCII, and the two before its last byte.
@@ -45,9 +45,10 @@ class Encoder:
         self._bytes = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self._bytes[rank] = len(token)
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drop what is remembered; workers live on after a task and would hold it."""
         self._known, self._at, self._n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self._pool = np.zeros(0, np.uint32)
 
@@ -56,7 +57,7 @@ class Encoder:
 
     def _remember(self, hashes: np.ndarray, at: np.ndarray, n: np.ndarray, pool: np.ndarray) -> None:
         if len(self._known) + len(hashes) > REMEMBERED:
-            self._forget()
+            self.forget()
         at = at + len(self._pool)
         self._pool = np.concatenate([self._pool, pool])
         known = np.concatenate([self._known, hashes])
