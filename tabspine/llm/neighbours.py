@@ -6,8 +6,8 @@ other; pairs of which both have been together before are left out. What is neare
 vector, which keeps the best. Rounds end when few neighbours change. A query walks the finished graph: the nearest vectors seen so
 far are expanded to their neighbours until no nearer ones appear.
 
-The graph compares vectors rounded to bytes; the distances returned are exact. Equal vectors are one vertex, so a vector that a third of all rows
-share is as cheap as any other.
+Vectors are compared as they are, never rounded, so neither an outlier nor near copies change what is near. Equal
+vectors are one vertex, so a vector that a third of all rows share is as cheap as any other.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from tabspine.sources.scratch import materialize
 
@@ -51,10 +52,15 @@ def usable(rows: DataFrame, id: str, vector: str) -> DataFrame:
     return rows.where(F.size("vector") == (size["n"] if size else 0))
 
 
-def _bytes(column) -> np.ndarray:
-    """A binary column as rows of signed bytes."""
+def _vectors(column, kind: str) -> np.ndarray:
+    """A binary column of packed vectors as rows of doubles."""
     data = column.to_pylist()
-    return np.frombuffer(b"".join(data), np.int8).reshape(len(data), -1).astype(np.float32)
+    return np.frombuffer(b"".join(data), kind).reshape(len(data), -1).astype(np.float64)
+
+
+def _kind(rows: DataFrame, vector: str) -> str:
+    """How components are packed without loss: floats as floats, all else as doubles."""
+    return "<f4" if isinstance(getattr(rows.schema[vector].dataType, "elementType", None), FloatType) else "<f8"
 
 
 def _groups(key: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
@@ -88,17 +94,18 @@ def _found(v: list, w: list, d: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["v", "w", "d"])
 
 
-def _local_join(sent: int, most: int, all_pairs: bool):
+def _local_join(sent: int, most: int, all_pairs: bool, kind: str):
     """Compares the members of each group; tells each member its nearest others that are near enough."""
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
         key, ids = (rows.column(i).to_numpy() for i in range(2))
-        q, worst, fresh = _bytes(rows.column(2)), rows.column(3).to_numpy(), rows.column(4).to_numpy(zero_copy_only=False)
+        q, worst, fresh = _vectors(rows.column(2), kind), rows.column(3).to_numpy(), rows.column(4).to_numpy(zero_copy_only=False)
         out_v, out_w, out_d = [], [], []
         for low, high in _groups(key, most):
             x, own, new = q[low:high], ids[low:high], fresh[low:high]
             if high - low < 2 or not (all_pairs or new.any()):
                 continue
+            x = x - x[0]  # members are alike: products of what is left of them lose less
             square = (x * x).sum(axis=1)
             d = np.maximum(square[:, None] + square[None, :] - 2 * (x @ x.T), 0)
             bad = (own[:, None] == own[None, :]) | (d >= worst[low:high, None])
@@ -107,19 +114,19 @@ def _local_join(sent: int, most: int, all_pairs: bool):
             d[bad] = np.inf
             take = min(sent, high - low)
             near = np.argpartition(d, take - 1, axis=1)[:, :take]
-            d = np.take_along_axis(d, near, axis=1)
-            ok = np.isfinite(d)
+            ok = np.isfinite(np.take_along_axis(d, near, axis=1))
             some = np.flatnonzero(ok.any(axis=1))
             out_v.append(own[some])
             for i in some:
-                out_w.append(own[near[i][ok[i]]].astype("<i8").tobytes())
-                out_d.append(d[i][ok[i]].astype("<f4").tobytes())
+                found = near[i][ok[i]]
+                out_w.append(own[found].astype("<i8").tobytes())
+                out_d.append(((q[low + found] - q[low + i]) ** 2).sum(axis=1).astype("<f8").tobytes())
         return _found(out_v, out_w, out_d)
 
     return _whole_groups(compare)
 
 
-_GRAPH = "v long, q binary, ids array<long>, dist array<float>, fresh array<boolean>, changed long"
+_GRAPH = "v long, q binary, ids array<long>, dist array<double>, fresh array<boolean>, changed long"
 
 
 def _merge(degree: int):
@@ -134,7 +141,7 @@ def _merge(degree: int):
             if own is None:
                 continue
             ids = np.frombuffer(b"".join(w[low:high]), "<i8")
-            dist = np.frombuffer(b"".join(d[low:high]), "<f4")
+            dist = np.frombuffer(b"".join(d[low:high]), "<f8")
             known = np.concatenate([np.full(len(w[k]) // 8, bool(old[k])) for k in range(low, high)])
             order = np.lexsort((~known, ids))  # a known neighbour before its repetition as a candidate
             ids, dist, known = ids[order], dist[order], known[order]
@@ -143,7 +150,7 @@ def _merge(degree: int):
             near = np.lexsort((ids, dist))[:degree]
             out.append((int(key[low]), own, ids[near].tolist(), dist[near].tolist(), (~known[near]).tolist(), int((~known[near]).sum())))
         columns = list(zip(*out)) if out else [[]] * 6
-        kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float32()), pa.list_(pa.bool_()), pa.int64()]
+        kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.bool_()), pa.int64()]
         return pa.RecordBatch.from_arrays(
             [pa.array(list(c), k) for c, k in zip(columns, kinds)], ["v", "q", "ids", "dist", "fresh", "changed"]
         )
@@ -155,7 +162,7 @@ def _packed_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """Neighbour lists as packed bytes, like candidates."""
     for batch in batches:
         w = [np.asarray(x, "<i8").tobytes() for x in batch.column(2).to_pylist()]
-        d = [np.asarray(x, "<f4").tobytes() for x in batch.column(3).to_pylist()]
+        d = [np.asarray(x, "<f8").tobytes() for x in batch.column(3).to_pylist()]
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(w, pa.binary()), pa.array(d, pa.binary())], ["v", "q", "w", "d"])
 
 
@@ -176,36 +183,42 @@ def neighbourhoods(graph: DataFrame) -> DataFrame:
     return forward.unionByName(reverse)
 
 
-def build(vectors: DataFrame, s: Settings) -> DataFrame:
-    """The neighbour graph ``(v, q, ids, dist, fresh, changed)`` of distinct vectors ``(id, vector)``; ``q`` is the vector in bytes."""
-    n, scale = vectors.agg(F.count("*"), F.max(F.array_max(F.transform("vector", F.abs)))).first()
+def build(vectors: DataFrame, s: Settings, kind: str = "<f8") -> DataFrame:
+    """The neighbour graph ``(v, q, ids, dist, fresh, changed)`` of distinct vectors ``(id, vector)``; ``q`` is the vector packed as ``kind``."""
+    n = vectors.count()
     size = vectors.select(F.size("vector").alias("n")).first()
     dimensions = size["n"] if size else 0
     bits = max(0, math.ceil(math.log2(max(n, 1) / s.cell_rows)))
     planes = np.random.default_rng(s.seed).normal(size=(s.cells, dimensions, bits))
 
-    def rounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat = np.asarray(batch.column(1).flatten(), float).reshape(batch.num_rows, dimensions)
-            q = np.rint(flat / scale * 127).astype(np.int8)
             codes = [((flat @ planes[c] > 0) * (1 << np.arange(bits))).sum(axis=1) + (c << 40) for c in range(s.cells)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([x.tobytes() for x in q], pa.binary()), pa.array(np.stack(codes, axis=1).tolist(), pa.list_(pa.int64()))],
+                [
+                    batch.column(0), pa.array([x.tobytes() for x in flat.astype(kind)], pa.binary()),
+                    pa.array(np.stack(codes, axis=1).tolist(), pa.list_(pa.int64())),
+                ],
                 ["v", "q", "cells"],
             )
 
-    start = materialize(vectors.select("id", "vector").mapInArrow(rounded, "v long, q binary, cells array<long>"), "vertices")
-    dealt = start.select(F.explode("cells").alias("u"), "v", "q", F.lit(float("inf")).cast("float").alias("worst"), F.lit(True).alias("fresh"))
+    start = materialize(vectors.select("id", "vector").mapInArrow(packed, "v long, q binary, cells array<long>"), "vertices")
+    cells = start.select("v", F.posexplode("cells").alias("c", "u")).select("v", F.col("c").cast("long").alias("c"), "u")
+    dealt = cells.join(start.select("v", "q"), "v").select(
+        "u", "v", "q", F.lit(float("inf")).alias("worst"), F.lit(True).alias("fresh")
+    )
     first = dealt.repartition("u").sortWithinPartitions("u", F.xxhash64("v")).mapInArrow(
-        _local_join(s.degree, s.group, True), "v long, w binary, d binary"
+        _local_join(s.degree, s.group, True, kind), "v long, w binary, d binary"
     )
-    empty = start.select("v", "q", F.array().cast("array<long>").alias("ids"), F.array().cast("array<float>").alias("dist"))
+    empty = start.select("v", "q", F.array().cast("array<long>").alias("ids"), F.array().cast("array<double>").alias("dist"))
     graph = materialize(_updated(empty, first, s), "graph")
     for _ in range(s.rounds):
-        worst = F.when(F.size("ids") < s.degree, float("inf")).otherwise(F.element_at("dist", -1)).cast("float")
+        worst = F.when(F.size("ids") < s.degree, float("inf")).otherwise(F.element_at("dist", -1))
         members = neighbourhoods(graph).join(graph.select(F.col("v").alias("m"), "q", worst.alias("worst")), "m")
-        members = members.select("u", "m", "q", "worst", "fresh").repartition("u").sortWithinPartitions("u", F.xxhash64("m"))
-        candidates = members.mapInArrow(_local_join(s.sent, s.group, False), "v long, w binary, d binary")
+        members = members.select("u", "m", "q", "worst", "fresh").repartition("u")
+        members = members.sortWithinPartitions("u", F.xxhash64("m"))
+        candidates = members.mapInArrow(_local_join(s.sent, s.group, False, kind), "v long, w binary, d binary")
         graph = materialize(_updated(graph, candidates, s), "graph")
         changed = graph.agg(F.coalesce(F.sum("changed"), F.lit(0))).first()[0]
         if changed <= s.stop * s.degree * n:
@@ -213,7 +226,7 @@ def build(vectors: DataFrame, s: Settings) -> DataFrame:
     return graph
 
 
-def search(graph: DataFrame, queries: DataFrame, s: Settings) -> DataFrame:
+def search(graph: DataFrame, queries: DataFrame, s: Settings, kind: str = "<f8") -> DataFrame:
     """``(query, v)``: the ``width`` vertices that a greedy walk from each query's own vertex finds nearest.
 
     ``queries`` has ``query``, a vertex of the graph. Each step expands, of the nearest seen, those not expanded yet.
@@ -221,12 +234,12 @@ def search(graph: DataFrame, queries: DataFrame, s: Settings) -> DataFrame:
     near = materialize(neighbourhoods(graph).select("u", "m").distinct(), "links")
     points = graph.select("v", "q")
     asked = queries.select("query").join(points.select(F.col("v").alias("query"), F.col("q").alias("query_q")), "query")
-    seen = asked.select("query", "query_q", F.col("query").alias("v"), F.lit(0.0).cast("float").alias("d"), F.lit(False).alias("expanded"))
+    seen = asked.select("query", "query_q", F.col("query").alias("v"), F.lit(0.0).alias("d"), F.lit(False).alias("expanded"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            d = ((_bytes(batch.column(1)) - _bytes(batch.column(3))) ** 2).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(d, pa.float32())], ["query", "query_q", "v", "d"])
+            d = ((_vectors(batch.column(1), kind) - _vectors(batch.column(3), kind)) ** 2).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(d, pa.float64())], ["query", "query_q", "v", "d"])
 
     nearest = Window.partitionBy("query").orderBy("d", "v")
     for _ in range(s.steps):
@@ -237,7 +250,7 @@ def search(graph: DataFrame, queries: DataFrame, s: Settings) -> DataFrame:
         reached = ahead.select("query", "query_q", F.col("v").alias("u")).join(near, "u").select("query", "query_q", F.col("m").alias("v"))
         reached = reached.dropDuplicates(["query", "v"]).join(seen.select("query", "v"), ["query", "v"], "left_anti")
         reached = reached.join(points, "v").select("query", "query_q", "v", "q").mapInArrow(
-            measure, "query long, query_q binary, v long, d float"
+            measure, "query long, query_q binary, v long, d double"
         )
         every = seen.withColumn("expanded", F.lit(True)).unionByName(reached.withColumn("expanded", F.lit(False)))
         seen = every.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= s.width + 1).drop("place")
@@ -251,14 +264,14 @@ def nearest(rows: DataFrame, wanted, id: str = "vec_id", vector: str = "embeddin
     with null or non-finite components, of another length than most, or with a null id take no part. Rows that repeat an id and
     vector are one row. Fewer than ``k`` other rows give as many as there are; an empty table gives none.
     """
-    s = settings or Settings()
+    s, kind = settings or Settings(), _kind(rows, vector)
     rows = materialize(usable(rows, id, vector).dropDuplicates(["id", "vector"]), "vectors")
     # Equal vectors are one vertex, named by its smallest id; of their ids the k + 1 smallest can be needed.
     vertices = materialize(rows.groupBy("vector").agg(F.min("id").alias("v")), "vertices")
-    graph = build(vertices.select(F.col("v").alias("id"), "vector"), s)
+    graph = build(vertices.select(F.col("v").alias("id"), "vector"), s, kind)
     named = rows.join(vertices, "vector")
     queries = materialize(named.where(wanted(F.col("id"))).select(F.col("id").alias("query_id"), F.col("v").alias("query")), "queries")
-    found = search(graph, queries.select("query").distinct(), s)
+    found = search(graph, queries.select("query").distinct(), s, kind)
     place = F.row_number().over(Window.partitionBy("v").orderBy("id"))
     members = named.select("v", "id").withColumn("place", place).where(F.col("place") <= k + 1).drop("place")
     point = vertices.select("v", "vector")

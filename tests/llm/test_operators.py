@@ -252,6 +252,27 @@ def test_neighbours_of_awkward_vectors(spark):
     assert neighbours.nearest(frame.limit(0), lambda i: i >= 0).count() == 0
 
 
+def neighbour_recall(spark, vectors, asked, kind="float"):
+    """Share of the true 10 nearest rows of the asked rows that are found."""
+    queries.workers_find_library(spark)
+    frame = spark.createDataFrame(list(enumerate(vectors.tolist())), f"vec_id long, embedding array<{kind}>")
+    found = defaultdict(set)
+    for r in neighbours.nearest(frame, lambda i: i.isin(asked)).collect():
+        found[r["query_id"]].add(r["vec_id"])
+    hits = 0
+    for q in asked:
+        d = ((vectors - vectors[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        hits += len(found[q] & set(np.argsort(d, kind="stable")[:10].tolist()))
+    return hits / 10 / len(asked)
+
+
+def test_neighbours_beside_an_outlier(spark):
+    vectors = np.random.default_rng(3).normal(size=(2000, 16)).astype(np.float32).astype(float)
+    vectors[7, 0] = 1e5
+    assert neighbour_recall(spark, vectors, list(range(100, 2000, 50))) > 0.9
+
+
 def test_language_model_equals_brute_force(spark, texts):
     docs = dict(list(texts.items())[:120]) | {30_000: None, 30_001: "", 30_002: "Zzz unknown zzz"}
     train = [i for i in docs if i % 5]
