@@ -6,7 +6,8 @@ other; pairs of which both have been together before are left out. What is neare
 vector, which keeps the best. Rounds end when few neighbours change. A query walks the finished graph: the nearest vectors seen so
 far are expanded to their neighbours until no nearer ones appear.
 
-Vectors are compared as they are, never rounded, so neither an outlier nor near copies change what is near. Equal
+Cells that come out too large are halved at the median of further random projections, so a tight cluster of distinct vectors is
+dealt anew in each cell. Vectors are compared as they are, never rounded, so neither an outlier nor near copies change what is near. Equal
 vectors are one vertex, so a vector that a third of all rows share is as cheap as any other.
 """
 
@@ -29,7 +30,8 @@ from tabspine.sources.scratch import materialize
 class Settings:
     """``degree``: neighbours of a vertex. ``cells`` and ``cell_rows``: how often, and into cells of about how many, vectors are dealt to start. ``sent``: most
     that one group tells one member. ``rounds`` at most, or until under ``stop`` of the neighbours change. ``width``: vertices that a search keeps and expands;
-    ``steps`` of a search at most. ``group``: members compared at once; larger groups are compared in parts."""
+    ``steps`` of a search at most. ``group``: members compared at once; larger cells are split, larger neighbourhoods are compared in parts that
+    each vertex and round deals anew."""
 
     degree: int = 32
     cells: int = 4
@@ -183,6 +185,31 @@ def neighbourhoods(graph: DataFrame) -> DataFrame:
     return forward.unionByName(reverse)
 
 
+def _split_cells(start: DataFrame, dealt: DataFrame, dimensions: int, s: Settings, kind: str, most: int) -> DataFrame:
+    """``(v, c, u)`` in which cells ``u`` of more than ``group`` vertices are halved until none is left, ``most`` times at most.
+
+    A cell is halved at the median of its members' projections on a random direction, which each of the ``cells`` draws for itself.
+    """
+    for level in range(most):
+        directions = np.random.default_rng([s.seed, level]).normal(size=(dimensions, s.cells))
+
+        def project(batches: Iterator[pa.RecordBatch], directions=directions) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                p = _vectors(batch.column(1), kind) @ directions
+                columns = [np.repeat(batch.column(0).to_numpy(), s.cells), np.tile(np.arange(s.cells), batch.num_rows), p.ravel()]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["v", "c", "p"])
+
+        large = materialize(dealt.groupBy("u").agg(F.count("*").alias("n")).where(F.col("n") > s.group).select("u"), "large")
+        if large.isEmpty():
+            break
+        placed = start.select("v", "q").mapInArrow(project, "v long, c long, p double").join(dealt, ["v", "c"])
+        placed = materialize(placed, "placed")
+        middle = placed.join(large, "u", "left_semi").groupBy("u").agg(F.percentile_approx("p", 0.5).alias("middle"))
+        half = F.when(F.col("middle").isNull(), F.col("u")).otherwise(F.xxhash64("u", F.col("p") > F.col("middle")))
+        dealt = materialize(placed.join(middle, "u", "left").select("v", "c", half.alias("u")), "dealt")
+    return dealt
+
+
 def build(vectors: DataFrame, s: Settings, kind: str = "<f8") -> DataFrame:
     """The neighbour graph ``(v, q, ids, dist, fresh, changed)`` of distinct vectors ``(id, vector)``; ``q`` is the vector packed as ``kind``."""
     n = vectors.count()
@@ -205,19 +232,20 @@ def build(vectors: DataFrame, s: Settings, kind: str = "<f8") -> DataFrame:
 
     start = materialize(vectors.select("id", "vector").mapInArrow(packed, "v long, q binary, cells array<long>"), "vertices")
     cells = start.select("v", F.posexplode("cells").alias("c", "u")).select("v", F.col("c").cast("long").alias("c"), "u")
+    cells = _split_cells(start, cells, dimensions, s, kind, bits + 8)
     dealt = cells.join(start.select("v", "q"), "v").select(
         "u", "v", "q", F.lit(float("inf")).alias("worst"), F.lit(True).alias("fresh")
     )
-    first = dealt.repartition("u").sortWithinPartitions("u", F.xxhash64("v")).mapInArrow(
+    first = dealt.repartition("u").sortWithinPartitions("u", F.xxhash64("v", "u")).mapInArrow(
         _local_join(s.degree, s.group, True, kind), "v long, w binary, d binary"
     )
     empty = start.select("v", "q", F.array().cast("array<long>").alias("ids"), F.array().cast("array<double>").alias("dist"))
     graph = materialize(_updated(empty, first, s), "graph")
-    for _ in range(s.rounds):
+    for turn in range(s.rounds):
         worst = F.when(F.size("ids") < s.degree, float("inf")).otherwise(F.element_at("dist", -1))
         members = neighbourhoods(graph).join(graph.select(F.col("v").alias("m"), "q", worst.alias("worst")), "m")
         members = members.select("u", "m", "q", "worst", "fresh").repartition("u")
-        members = members.sortWithinPartitions("u", F.xxhash64("m"))
+        members = members.sortWithinPartitions("u", F.xxhash64("m", "u", F.lit(turn)))
         candidates = members.mapInArrow(_local_join(s.sent, s.group, False, kind), "v long, w binary, d binary")
         graph = materialize(_updated(graph, candidates, s), "graph")
         changed = graph.agg(F.coalesce(F.sum("changed"), F.lit(0))).first()[0]

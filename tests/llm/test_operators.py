@@ -273,6 +273,12 @@ def test_neighbours_beside_an_outlier(spark):
     assert neighbour_recall(spark, vectors, list(range(100, 2000, 50))) > 0.9
 
 
+def test_neighbours_in_a_cluster_of_near_copies(spark):
+    draw = np.random.default_rng(4)
+    vectors = np.concatenate([draw.normal(size=(3000, 16)), draw.normal(size=16) + 1e-4 * draw.normal(size=(6000, 16))])
+    assert neighbour_recall(spark, vectors, list(range(3000, 9000, 100)), "double") > 0.9
+
+
 def test_language_model_equals_brute_force(spark, texts):
     docs = dict(list(texts.items())[:120]) | {30_000: None, 30_001: "", 30_002: "Zzz unknown zzz"}
     train = [i for i in docs if i % 5]
