@@ -138,8 +138,13 @@ def rules() -> list[tuple[str, str, int, str]]:
     ]
 
 
-#: Any text that a rule can match has one of these in lower case.
-GATE = ("licen", "spdx", "gpl", "apache", "bsd", "creative", "cc", "mpl", "cddl", "eupl", "public", "wtfpl", "reserved")
+#: Words that open the gate for the names that need them; a name that needs none of them opens it by the longest word it needs.
+_COMMON = ("licen", "spdx", "gpl", "apache", "bsd", "creative", "cc", "mpl", "cddl", "eupl", "public", "wtfpl", "reserved")
+
+
+def gate_words(every: list[Name]) -> tuple[str, ...]:
+    """Any text that a rule can match has one of these in lower case."""
+    return tuple(dict.fromkeys(next((w for w in _COMMON if any(w in need for need in n.needs)), max(n.needs, key=len)) for n in every))
 
 
 def _words(text: Column) -> Column:
@@ -245,7 +250,7 @@ def licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = docs.select(*kept).withColumn("_text", F.coalesce(F.col(text).cast("string"), F.lit("")))
     rows = rows.withColumn("_low", F.lower("_text"))
     gate = F.lit(False)
-    for word in GATE:
+    for word in gate_words(every):
         gate = gate | F.col("_low").contains(word)
     rows = base_places(rows, "_text").withColumn("_gate", gate)
     has = F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(F.col("_low"), k))

@@ -110,6 +110,21 @@ def test_licences_in_context(spark, awkward, empty):
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
 
 
+def test_every_licence_rule_fires_on_its_own_match(spark):
+    before = {"spdx tag": "spdx-license-identifier: ", "field": "license: ", "grant": "covered by ", "reference": "per ", "name": ""}
+    cases = set()
+    for name in licenses.names():
+        own = name.pattern.removeprefix("(?i)(?<![0-9A-Za-z])(?:").removesuffix(r")(?![0-9A-Za-z]|\.[0-9])")
+        own = own.replace(licenses._VERSION, " ").replace(f"(?:{licenses._GAP})?", " ").replace(licenses._GAP, " ").replace("[cs]", "c").replace("[123]", "1")
+        own = re.sub(r"\[1-4\]", "3", re.sub(r"\(\?:[^()]*\)\?", "", re.sub(r"\(\?:([^()|]*)[^()]*\)(?!\?)", r"\1", own)))
+        own = re.sub(r"\\(.)", r"\1", re.sub(r"(?<!\\).\?", "", own))
+        cases |= {(before[form] + own, name.label, form) for form in name.forms}
+    cases |= {(t, "mit", "grant") for t in ("This project is released under MIT.", "Distributed under the terms of MIT", "available under MIT")}
+    rows = licenses.licenses(spark.createDataFrame([(t,) for t in sorted({t for t, _, _ in cases})], "text string")).collect()
+    found = {(r["text"], d["label"], d["form"]) for r in rows for d in r["detections"]}
+    assert cases <= found, sorted(cases - found)
+
+
 def test_archives_give_back_every_page(spark, tmp_path):
     queries.workers_find_library(spark)
     pages = [(3, "u3", "<p>a</p>"), (1, "u1", "<p>a</p>"), (2, None, ""), (4, "u4", None), (5, "u5", "é" * 5000), (None, "u", "<p>a</p>"), (6, "u\r\n6", "x\r\n\r\ny")]
