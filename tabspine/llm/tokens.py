@@ -3,11 +3,14 @@
 The pattern that splits text before merges never joins a character that is no white space with white space after it. So a text
 can be cut at every single space between two other characters, each part encoded by itself, and the ids put together again.
 Parts repeat: those of a block are hashed together, each is encoded once, and a bounded memory keeps what earlier blocks encoded.
+Added tokens of the vocabulary are found in texts first; what lies between them is encoded as if it were a text of its own.
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import re
 from array import array
 
 import numpy as np
@@ -35,8 +38,18 @@ def cuts(data: np.ndarray) -> np.ndarray:
     return at[fine]
 
 
+def added_tokens(path: str) -> dict[bytes, int]:
+    """Added tokens of the tokenizer's JSON that lies beside a rank file, and their ids."""
+    with open(path.removesuffix(".tiktoken") + ".json", encoding="utf-8") as file:
+        every = json.load(file).get("added_tokens") or []
+    for token in every:
+        if token["lstrip"] or token["rstrip"] or token["single_word"]:
+            raise ValueError(f"added token {token['content']!r} takes white space or whole words only: not supported")
+    return {token["content"].encode(): token["id"] for token in every}
+
+
 class Encoder:
-    """Encodes texts with a vocabulary stored as base64 ranks; strings of special tokens are ordinary text."""
+    """Encodes texts with a vocabulary stored as base64 ranks, and added tokens by the JSON of the same name beside it."""
 
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as lines:
@@ -45,6 +58,9 @@ class Encoder:
         self._bytes = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self._bytes[rank] = len(token)
+        self._added = added_tokens(path)
+        # The longest of those that begin at one place.
+        self._places = re.compile(b"|".join(map(re.escape, sorted(self._added, key=len, reverse=True)))) if self._added else None
         self.forget()
 
     def forget(self) -> None:
@@ -52,9 +68,19 @@ class Encoder:
         self._known, self._at, self._n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self._pool = np.zeros(0, np.uint32)
 
-    def ids(self, text: str) -> np.ndarray:
+    def _ordinary(self, text: str) -> np.ndarray:
         return np.frombuffer(array("I", self._bpe.encode_ordinary(text)), np.uint32)
 
+    def _added_in(self, raw: bytes, low: int, high: int) -> list[tuple[int, int]]:
+        return [m.span() for m in self._places.finditer(raw, low, high)] if self._places else []
+
+    def ids(self, text: str) -> np.ndarray:
+        raw, found, at = text.encode(), [], 0
+        for low, high in self._added_in(raw, 0, len(raw)):
+            found += [self._ordinary(raw[at:low].decode()), np.array([self._added[raw[low:high]]], np.uint32)]
+            at = high
+        return np.concatenate([*found, self._ordinary(raw[at:].decode())]) if found else self._ordinary(text)
+
     def _remember(self, hashes: np.ndarray, at: np.ndarray, n: np.ndarray, pool: np.ndarray) -> None:
         if len(self._known) + len(hashes) > REMEMBERED:
             self.forget()
@@ -77,7 +103,7 @@ class Encoder:
         pool, old = self._pool, len(self._pool)
         if new.any():
             low, high = starts[first[new]], ends[first[new]]
-            ids = self.ids(b"".join([data[a:b].tobytes() for a, b in zip(low, high)]).decode())
+            ids = self._ordinary(b"".join([data[a:b].tobytes() for a, b in zip(low, high)]).decode())
             closes = np.searchsorted(np.cumsum(self._bytes[ids]), np.cumsum(high - low)) + 1
             begins = np.r_[0, closes[:-1]]
             at[new], n[new] = begins + old, closes - begins
@@ -85,6 +111,12 @@ class Encoder:
             self._remember(own[new], begins, closes - begins, ids)
         return pool, at[which], n[which]
 
+    def _added_of_rows(self, raw: bytes, offsets: np.ndarray) -> set[tuple[int, int]]:
+        """Where added tokens lie, none across two rows."""
+        if not self._added_in(raw, 0, len(raw)):
+            return set()
+        return {place for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist()) for place in self._added_in(raw, low, high)}
+
     def block(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows end to end, and where each row's begin (one more than rows)."""
         data, offsets, rows = block.data, block.offsets, len(block)
@@ -94,13 +126,21 @@ class Encoder:
         first[offsets] = True
         head[offsets] = True
         head[cuts(data)] = True
+        added = self._added_of_rows(data.tobytes(), offsets)
+        for low, high in added:
+            head[low:high] = False
+            head[[low, high]] = first[[low, high]] = True
         starts = np.flatnonzero(head[:-1])
         ends = np.r_[starts[1:], len(data)]
-        # The first part of a row begins with no space of its own, and the last may end in white space: these go by themselves.
+        # The first part of a row begins with no space of its own, and the last may end in white space: these go by themselves. So
+        # do the parts around added tokens.
         first[-1] = True
         alone = first[starts] | (first[ends] & (_WHITE[data[ends - 1]] | (data[ends - 1] >= 0x80)))
         pool, at, n = self._parts(data, starts[~alone], ends[~alone])
-        own = [self.ids(data[a:b].tobytes().decode()) for a, b in zip(starts[alone], ends[alone])]
+        own = [
+            np.array([self._added[data[a:b].tobytes()]], np.uint32) if (a, b) in added else self._ordinary(data[a:b].tobytes().decode())
+            for a, b in zip(starts[alone].tolist(), ends[alone].tolist())
+        ]
         all_at, all_n = np.empty(len(starts), np.int64), np.empty(len(starts), np.int64)
         all_at[~alone], all_n[~alone] = at, n
         all_n[alone] = [len(x) for x in own]

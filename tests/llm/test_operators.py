@@ -373,6 +373,22 @@ def test_packing_holds_every_token_once(spark, bpe, awkward, empty):
     assert packing.pack(empty, SETTINGS).count() == 0
 
 
+def test_added_tokens_keep_their_ids(spark):
+    queries.workers_find_library(spark)
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    texts = [f"a {mark} b", mark, f"{mark}{mark}", f"one two {mark}three  {mark} \n é{mark}", f"x{mark[:7]}", f"{mark[7:]} y", "ordinary words of a text", f"\u00a0{mark}\u00a0 z ", ""]
+    ids = [np.array([*plain.encode(t, add_special_tokens=False).ids, 0], "<u4") for t in texts]
+    assert ids[0].tolist() == [64, 220, 50256, 275, 0]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows = by_id(packing.pack(frame, SETTINGS))
+    assert {i: (r["length"], r["ids_crc32"]) for i, r in rows.items()} == {i: (len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(ids)}
+    edits = spark.createDataFrame([(i, t, [(0, 0, f"n {mark} ")]) for i, t in enumerate(texts)], "doc_id long, text string, edits array<struct<start: int, end: int, replacement: string>>")
+    counts = by_id(token_counts.count_tokens(edits, token_counts.Settings(SETTINGS.vocabulary, SETTINGS.pattern, 8)))
+    assert {i: (r["n_tokens"], r["n_tokens_edited"]) for i, r in counts.items()} == {
+        i: (len(ids[i]) - 1, len(plain.encode(f"n {mark} {t}", add_special_tokens=False).ids)) for i, t in enumerate(texts)}
+
+
 def test_patterns_waste_little():
     draw = np.random.default_rng(0)
     lengths = np.concatenate([draw.integers(1, 256, 3000), 256 * draw.integers(1, 4, 3000)])
