@@ -6,9 +6,10 @@ token being chosen by the node itself, until few enough remain to be compared wi
 together on a path of depth ``d`` with probability ``s ** d``, and the trees repeat that independently.
 
 Nodes that stay large on the whole path hold sets that are all alike. They are cut into chunks. What is found in chunks first
-becomes components; a second look at every node then takes only pairs whose ends lie in different components, and
-in cut nodes the members outside the node's main component meet all chunks. So a dense group costs a forest, not
-all its pairs, and no link between components that share a node is lost. Links are confirmed on full sets.
+becomes components; a second look at every node then takes only pairs whose ends lie in different components. In cut
+nodes the members outside the node's main component meet all others block by block, two blocks to a task's group, however many there
+are. So a dense group costs a forest, not all its pairs, and no link between components that share a node is lost. Links are confirmed
+on full sets.
 """
 
 from __future__ import annotations
@@ -311,15 +312,23 @@ def _second_look(nodes: DataFrame, found: DataFrame, s: Settings) -> DataFrame:
     small = known.where("whole is null").join(mixed, "node", "left_semi").select("node", "id", "n_shingles", "tokens", "label")
     cut = known.where("whole is not null")
     votes = cut.groupBy("whole", "label").agg(F.count("*").alias("n")).groupBy("whole").agg(
-        F.max_by("label", F.struct("n", -F.col("label"))).alias("main"), F.count("*").alias("labels")
+        F.max_by("label", F.struct("n", -F.col("label"))).alias("main"), F.count("*").alias("labels"),
+        (F.sum("n") - F.max("n")).alias("n_strays"), F.max("n").alias("n_main"),
     ).where("labels > 1")
     cut = cut.join(votes, "whole")
-    # Members outside the main component go to every chunk of the node; members inside stay where they are.
-    chunks = F.ceil(F.col("size") / s.node_size).cast("long")
-    strays = cut.where("label != main").withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    strays = strays.withColumn("node", F.xxhash64("whole", "chunk"))
+    # Members outside the main component meet each other and those inside, block against block; those inside have one label.
+    stray_blocks, main_blocks = (F.ceil(F.col(n) / s.node_size).cast("long") for n in ("n_strays", "n_main"))
+    stray = F.col("label") != F.col("main")
+    block = F.pmod(F.xxhash64("whole", "id"), F.when(stray, stray_blocks).otherwise(main_blocks))
+    cut = cut.withColumns({"block": block, "stray": stray, "stray_blocks": stray_blocks, "main_blocks": main_blocks})
+    other = F.sequence(F.lit(0).cast("long"), F.col("stray_blocks") - 1)
+    with_stray = cut.withColumn("other", F.explode(other)).withColumn("node", F.when(
+        F.col("stray"), F.xxhash64("whole", F.lit(0), F.least("block", "other"), F.greatest("block", "other"))
+    ).otherwise(F.xxhash64("whole", F.lit(1), "other", "block")))
+    with_main = cut.where("stray").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("main_blocks") - 1)))
+    with_main = with_main.withColumn("node", F.xxhash64("whole", F.lit(1), "block", "other"))
     columns = ["node", "id", "n_shingles", "tokens", "label"]
-    return small.unionByName(cut.where("label = main").select(columns)).unionByName(strays.select(columns))
+    return small.unionByName(with_stray.select(columns)).unionByName(with_main.select(columns))
 
 
 def _repeated(signed: DataFrame, first: DataFrame) -> DataFrame:

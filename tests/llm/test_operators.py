@@ -179,6 +179,35 @@ def test_near_duplicates_equal_brute_force(spark, texts, size):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)
 
 
+def template_pairs(pairs):
+    """Pairs of documents that are just links; documents of different pairs share a template, and are none. A word is a shingle."""
+    texts = {}
+    for k in range(pairs):
+        both = [f"t{i}" for i in range(150)] + [f"p{k}x{i}" for i in range(28)]
+        for side in (0, 1):
+            texts[2 * k + side] = " ".join(both + [f"q{k}x{side}x{i}" for i in range(22)])
+    return texts
+
+
+def test_no_group_of_the_second_look_holds_more_than_two_blocks(spark):
+    queries.workers_find_library(spark)
+    texts = template_pairs(150)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    s = near_duplicates.Settings(shingle_words=1, node_size=8, depth=2)
+    classes = near_duplicates.signatures(frame, "doc_id", "text", s)
+    nodes = near_duplicates.materialize(near_duplicates._nodes(classes, s), "nodes")
+    cut = [sorted(r["ids"]) for r in nodes.where("whole is not null").groupBy("whole").agg({"id": "collect_list"}).toDF("whole", "ids").collect()]
+    assert max(map(len, cut)) > 64
+    second = near_duplicates._second_look(nodes, spark.createDataFrame([], "node long, component long"), s)
+    groups = [frozenset(r["ids"]) for r in second.groupBy("node").agg({"id": "collect_list"}).toDF("node", "ids").collect()]
+    # Blocks are dealt by hash, so some are larger than node_size.
+    assert max(map(len, groups)) <= 2 * 3 * s.node_size
+    met = {(a, b) for g in groups for a in g for b in g}
+    assert all((a, b) in met for own in cut for a in own for b in own)
+    rows = near_duplicates.near_duplicates(frame, settings=s).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == near_truth(texts, 1, 80)
+
+
 def test_near_duplicates_of_awkward_rows(awkward, empty):
     rows = near_duplicates.near_duplicates(awkward).collect()
     found = {r["doc_id"]: r["component_id"] for r in rows}
