@@ -15,6 +15,7 @@ on full sets.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,7 +36,8 @@ class Settings:
     """What is linked, and how it is searched.
 
     ``shingle_words`` and ``percent``: a link joins sets of word shingles with 100 * intersection >= percent * union.
-    ``trees`` and ``depth``: independent trees, and how often a node may split. ``node_size``: members of a node that are compared with
+    ``recall`` and ``depth``: probability that two sets just similar enough meet in a last node even if all nodes on their ways split
+    ``depth`` times, the most; as many trees are grown. ``node_size``: members of a node that are compared with
     each other; the chunks of larger last nodes have that size too. ``tokens``: minwise tokens that nodes
     choose from, which also estimate similarity; an estimate below ``floor`` is not checked on full sets.
     ``few_ids``: ids up to which looking up texts by id is a broadcast; their size is 8 bytes each.
@@ -43,7 +45,7 @@ class Settings:
 
     shingle_words: int = 5
     percent: int = 80
-    trees: int = 12
+    recall: float = 0.999
     depth: int = 6
     node_size: int = 128
     tokens: int = 48
@@ -51,6 +53,11 @@ class Settings:
     few_ids: int = 250_000
     seed: int = 11
 
+    @property
+    def trees(self) -> int:
+        meet = (self.percent / 100) ** self.depth
+        return 1 if meet >= 1 else math.ceil(math.log(1 - self.recall) / math.log(1 - meet))
+
 
 def _shingles(block, size: int) -> list[np.ndarray]:
     """Each row's distinct shingles, sorted; fewer words than ``size`` make one shingle of all, no words none."""

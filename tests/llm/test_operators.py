@@ -208,6 +208,18 @@ def test_no_group_of_the_second_look_holds_more_than_two_blocks(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == near_truth(texts, 1, 80)
 
 
+def test_pairs_at_the_threshold_meet_at_production_depth(spark):
+    queries.workers_find_library(spark)
+    s = near_duplicates.Settings(shingle_words=1, node_size=16)
+    assert s.depth == 6 and 1 - (1 - 0.8**s.depth) ** s.trees >= 0.999
+    pairs = 400
+    frame = spark.createDataFrame(list(template_pairs(pairs).items()), "doc_id long, text string")
+    nodes = near_duplicates._nodes(near_duplicates.materialize(near_duplicates.signatures(frame, "doc_id", "text", s), "signed"), s)
+    assert nodes.where("whole is not null").count() > 0
+    together = nodes.selectExpr("coalesce(whole, node) node", "id div 2 pair").groupBy("node", "pair").count().where("count = 2")
+    assert together.select("pair").distinct().count() >= 0.995 * pairs
+
+
 def test_near_duplicates_of_awkward_rows(awkward, empty):
     rows = near_duplicates.near_duplicates(awkward).collect()
     found = {r["doc_id"]: r["component_id"] for r in rows}
