@@ -117,12 +117,12 @@ class Words:
         return np.searchsorted(self.row, np.arange(rows + 1))
 
 
-def words(block: Block, breaks: np.ndarray) -> Words:
-    """The words of each row: longest runs of bytes that are no ``breaks``, with A-Z in lower case."""
+def places(block: Block, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and rows of the longest runs of bytes that are no ``breaks``, row by row."""
     data, n = block.data, len(block.data)
     if not n:
         none = np.zeros(0, np.int64)
-        return Words(none.astype(np.uint64), none, none, none)
+        return none, none, none
     inside = ~breaks[data]
     head = np.zeros(n + 1, bool)  # where a row begins
     head[block.offsets] = True
@@ -131,4 +131,10 @@ def words(block: Block, breaks: np.ndarray) -> Words:
     ends = inside
     ends[:-1] &= ~inside[1:] | head[1:n]
     starts, ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    return Words(run_hashes(LOWER[data], starts, ends), starts, ends, np.searchsorted(block.offsets, starts, "right") - 1)
+    return starts, ends, np.searchsorted(block.offsets, starts, "right") - 1
+
+
+def words(block: Block, breaks: np.ndarray) -> Words:
+    """The words of each row: longest runs of bytes that are no ``breaks``, with A-Z in lower case."""
+    starts, ends, row = places(block, breaks)
+    return Words(run_hashes(LOWER[block.data], starts, ends), starts, ends, row)

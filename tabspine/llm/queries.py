@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspine.llm import decontamination, language, language_model, licenses, near_duplicates, neighbours, packing, quality, token_counts, warc
+from tabspine.llm import (
+    decontamination, language, language_model, licenses, near_duplicates, neighbours, packing, quality, resampling, secret_spans, token_counts, warc,
+)
 from tabspine.llm.oracles import ORACLES  # noqa: F401
 from tabspine.sources.scratch import materialize, scratch_path
 
@@ -130,3 +132,16 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     settings = token_counts.Settings(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return token_counts.count_tokens(token_counts.masked(docs, _MASKS, "[masked]"), settings).drop("tree")
+
+
+@query
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secret_spans.secret_spans(table(spark, sf_dir, "documents"))
+    base = F.sha2(secret_spans.listed("base").cast("binary"), 256).alias("base_sha256")
+    return rows.select("doc_id", "n_assign", "n_access", "n_hex", base, secret_spans.listed("spans").alias("spans"), "n_random")
+
+
+@query
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
