@@ -9,6 +9,8 @@ from showcase.frames import CENSUS_SCORE, CENSUS_SQL, FEATURES_SQL, census, tabl
 from showcase.models import census_scorer
 from showcase.registry import query
 from tabspine.operators.upsert import change_feed
+from tabspine.plans.data import feature_job
+from tabspine.sources.changelog import ChangeLog
 from tabspine.sources.scratch import scratch_path
 from tabspine.sources.tables import VersionedTable
 from tabspine.streaming.sync import file_stream, refresh_features, sync_changes, sync_rows
@@ -57,17 +59,39 @@ def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {CENSUS_SQL}, {FEATURES_SQL}
+    SELECT row_id, CASE WHEN row_id % 5 = 0 THEN 99 ELSE age END AS age, capital_net,
+           CASE WHEN education = 'P' THEN 3 WHEN row_id % 5 = 0 THEN 2 ELSE 1 END AS _commit_version FROM features WHERE education <> 'F'"""
+)
+def logged_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three feature jobs log their changes; the log alone takes a copy of the first version to the third, a version a batch."""
+    raw = census(spark, sf_dir)
+    older = raw.withColumn("age", F.when(F.col("row_id") % 5 == 0, 99).otherwise(F.col("age")))
+    spine, features, copy = (VersionedTable(spark, scratch_path(spark, n), "row_id") for n in ("spine", "features", "copy"))
+    feed = ChangeLog(spark, scratch_path(spark, "feature-log"), "row_id")
+    for rows in (raw.filter("education <> 'P'"), older.filter("education = 'O'"), older.filter("education <> 'F'")):
+        feature_job(rows, spine, features, feed)
+    copy.replace(features.read(1).withColumn("_commit_version", F.lit(1).cast("long")))
+    sync_changes(feed.stream(), copy, ["_commit_version"], scratch_path(spark, "log-checkpoint"))
+    return copy.read().select("row_id", "age", "capital_net", "_commit_version")
+
+
+@query(
+    f"""WITH {CENSUS_SQL.replace("o_custkey * 7", "o_custkey * 7 + CASE WHEN o_orderkey % 3 = 0 THEN 9 ELSE 1 END")}, {FEATURES_SQL}
     SELECT row_id, capital_net, hours_over_40, {CENSUS_SCORE} AS score, '5' AS model_version FROM features"""
 )
 def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New raw rows become features and predictions, batch by batch."""
+    """New raw rows become features and predictions, batch by batch. Rows of day 1 arrive after a third of the keys had theirs of day 9."""
     raw = census(spark, sf_dir)
-    arrived = _stored(raw, "raw", 2)
+    arrived = scratch_path(spark, "raw")
+    for day, some in ((9, "row_id % 3 = 1"), (1, "true")):  # a key is one more than the order's
+        gain = F.when((F.col("row_id") - 1) % 11 == 0, F.col("capital_gain") + day).otherwise(F.col("capital_gain"))
+        late = raw.filter(some).withColumns({"capital_gain": gain, "day": F.lit(day)})
+        late.coalesce(1).write.mode("append").parquet(arrived)
     features = VersionedTable(spark, scratch_path(spark, "features"), "row_id")
     predictions = VersionedTable(spark, scratch_path(spark, "predictions"), "row_id")
-    stream = file_stream(spark, arrived, raw.schema, files_per_batch=1)
+    stream = file_stream(spark, arrived, late.schema, files_per_batch=1)
     refresh_features(
-        stream, features, predictions, census_scorer(CENSUS_SCORE), "5", ["row_id"],
+        stream, features, predictions, census_scorer(CENSUS_SCORE), "5", ["day"],
         scratch_path(spark, "refresh-checkpoint"), "2024-01-01 00:00:00",
     )
     renewed = predictions.read().drop("scored_at")

@@ -26,8 +26,11 @@ def newer_rows(target: DataFrame, source: DataFrame, key: str, newer_by: Sequenc
 
 def changed_rows(target: DataFrame, source: DataFrame, key: str, newer_by: Sequence[str]) -> DataFrame:
     """Source rows that are not older than the target's row with the same key, and differ from it."""
-    known = target.join(source.select(key), key, "left_semi").select(*target.columns)
-    return newer_rows(target, source.select(*target.columns), key, newer_by).subtract(known)
+    touched = target.join(source.select(key), key, "left_semi")
+    known = touched.select(F.col(key).alias("_key"), F.struct(*newer_by).alias("_known"), F.struct(*target.columns).alias("_row"))
+    newer = (F.struct(*newer_by) >= F.col("_known")) & ~F.struct(*target.columns).eqNullSafe(F.col("_row"))
+    joined = source.select(*target.columns).join(known, F.col(key) == F.col("_key"), "left")
+    return joined.filter(F.col("_known").isNull() | newer).select(*target.columns)
 
 
 def overlay_rows(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
@@ -62,7 +65,7 @@ def change_feed(before: DataFrame, after: DataFrame, key: str, columns: Sequence
     """Row changes between two snapshots: insert, delete, and both images of an update.
 
     One full outer join on the unique key; unchanged rows leave before the images are exploded. A column that only one
-    snapshot has is null in the other.
+    snapshot has is null in the other. A null key is an error, as in upserts.
     """
     columns = list(columns or dict.fromkeys(c for c in [*after.columns, *before.columns] if c != key))
     kinds = {**dict(before.dtypes), **dict(after.dtypes)}
@@ -82,7 +85,8 @@ def change_feed(before: DataFrame, after: DataFrame, key: str, columns: Sequence
         .when(F.col("_new").isNull(), F.array(entry("delete", "_old")))
         .otherwise(F.array(entry("update_preimage", "_old"), entry("update_postimage", "_new")))
     )
-    return both.select(key, F.inline(images)).select(key, F.col("change").alias("_change_type"), "image.*")
+    named = F.coalesce(F.col(key), F.raise_error(F.lit(f"null {key} in a snapshot")).cast(kinds[key])).alias(key)
+    return both.select(named, F.inline(images)).select(key, F.col("change").alias("_change_type"), "image.*")
 
 
 def final_changes(changes: DataFrame, key: str, sequence: Sequence[str] = ()) -> DataFrame:

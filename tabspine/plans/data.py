@@ -16,8 +16,9 @@ from tabspine.operators.engineer import feature_frame
 from tabspine.operators.ordering import chronological_split, global_row_number
 from tabspine.operators.profile import table_profile
 from tabspine.operators.spine import label_spine
-from tabspine.operators.upsert import change_feed
+from tabspine.sources.changelog import ChangeLog
 from tabspine.sources.records import read_records
+from tabspine.sources.scratch import materialize
 from tabspine.sources.tables import VersionedTable
 
 _POSITION = ("_file", "_block", "_row")
@@ -76,26 +77,38 @@ def with_split(raw: DataFrame, config: Config = Config()) -> DataFrame:
     return raw.withColumn(roles.split_col, hash_split(F.col(roles.id_col)))
 
 
-def publish_features(raw: DataFrame, features: VersionedTable, roles: Roles = Roles()) -> int:
-    """Replace the feature table after refusing duplicate keys, a leaked label, or a broken contract."""
+def publish_features(raw: DataFrame, features: VersionedTable, roles: Roles = Roles(), feed: ChangeLog | None = None) -> int:
+    """Replace the feature table after refusing duplicate keys, a leaked label, or a broken contract.
+
+    With a ``feed``, the changes from the version it was fed last are staged first, so that a crash loses none.
+    """
     frame = feature_frame(raw, roles)
     require_schema(frame, roles)
     require(key_check(raw, roles.id_col))
-    return features.replace(frame)
+    if feed is None:
+        return features.replace(frame)
+    feed.catch_up(features)
+    if not features.exists():
+        version = features.replace(frame)
+        feed.start(version)
+        return version
+    frame = materialize(frame, "features")
+    version = features.reserve()
+    feed.stage(features.read(), frame, version)
+    features.replace(frame, number=version)
+    feed.settle(features)
+    return version
 
 
 def feature_job(
     raw: DataFrame,
     spine: VersionedTable,
     features: VersionedTable,
-    feed: VersionedTable | None = None,
+    feed: ChangeLog | None = None,
     config: Config = Config(),
 ) -> None:
-    """Label spine by split, feature table, and the change feed from the feature version before."""
+    """Label spine by split, feature table, and the changes from the feature version before, appended to the feed."""
     roles = config.roles
     split = with_split(raw, config)
     spine.replace(label_spine(split, roles), partition_by=[roles.split_col])
-    before = features.read() if features.exists() else None
-    version = publish_features(split, features, roles)
-    if feed is not None and before is not None:
-        feed.replace(change_feed(before, features.read(version), roles.id_col), tag=f"features-{version}")
+    publish_features(split, features, roles, feed)

@@ -7,6 +7,7 @@ counts only once the write has committed its ``_SUCCESS`` marker, so readers see
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -79,6 +80,10 @@ class VersionedTable:
     An upsert writes only the changed rows, as a delta folder ``v000000002d[-tag]`` with a ``_deleted`` flag, and reading
     lays the newest deltas over the last full version. Once deltas are many or large, they are folded into a new
     full version, so neither writes nor reads grow with the wrong thing.
+
+    Writers claim a number before they write and may commit in any order; the table is what the writes give in order of their
+    numbers. So a fold names the numbers before it that were not committed when it read. If one of them commits later,
+    the fold no longer counts, and readers go back to the full version before it and all its deltas, until the next fold.
     """
 
     spark: SparkSession
@@ -86,6 +91,7 @@ class VersionedTable:
     key: str | None = None
     max_deltas: int = 8
     max_delta_share: float = 0.2
+    patience: float = 24 * 3600.0
 
     def _hadoop(self, path: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -109,27 +115,77 @@ class VersionedTable:
         parts = self._committed()
         if version is not None:
             parts = [p for p in parts if p.number <= version]
-        full = [i for i, p in enumerate(parts) if not p.is_delta]
-        if not full or version not in (None, parts[-1].number):
+        base = self._base(parts)
+        if base is None or version not in (None, parts[-1].number):
             raise LookupError(f"missing table {self.path}" + (f" version {version}" if version else ""))
-        return parts[full[-1] :]
+        return [base, *(p for p in parts if p.is_delta and p.number > base.number)]
+
+    def _base(self, parts: Sequence[_Part]) -> _Part | None:
+        """The newest full version that holds every committed write before it."""
+        numbers = {p.number for p in parts}
+        return next((p for p in reversed(parts) if not p.is_delta and not self._missed(p) & numbers), None)
+
+    def _missed(self, part: _Part) -> set[int]:
+        """Numbers before a fold that it does not hold; none for a version that replaced the table."""
+        return {int(n) for n in (self._read_note(f"_folds/{part.number:09d}") or "").split()}
+
+    def _read_note(self, name: str) -> str | None:
+        path, fs = self._hadoop(f"{self.path}/{name}"), self._fs()
+        if not fs.exists(path):
+            return None
+        source = fs.open(path)
+        try:
+            return source.readUTF()
+        finally:
+            source.close()
+
+    def _write_note(self, name: str, text: str, overwrite: bool = False) -> None:
+        out = self._fs().create(self._hadoop(f"{self.path}/{name}"), overwrite)
+        try:
+            out.writeUTF(text)
+        finally:
+            out.close()
 
     def _bytes(self, parts: Sequence[_Part]) -> int:
         return sum(self._fs().getContentSummary(self._hadoop(p.path)).getLength() for p in parts)
 
-    def _write(self, df: DataFrame, is_delta: bool, tag: str | None, partition_by: Sequence[str] = ()) -> int:
+    def _claim(self, number: int):
+        return self._hadoop(f"{self.path}/_claims/{number:09d}")
+
+    def reserve(self) -> int:
+        """Claim the next version number for a write."""
         number = max((p.number for p in self._folders()), default=0) + 1
-        while not self._fs().createNewFile(self._hadoop(f"{self.path}/_claims/{number:09d}")):
+        while not self._fs().createNewFile(self._claim(number)):
             number += 1  # another writer has it
+        return number
+
+    def _write(self, df: DataFrame, is_delta: bool, tag: str | None, partition_by: Sequence[str] = (), number: int | None = None) -> int:
+        number = number or self.reserve()
         name = f"v{number:09d}{'d' if is_delta else ''}" + (f"-{tag}" if tag else "")
         (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(f"{self.path}/{name}")
+        if not self._fs().exists(self._claim(number)):
+            self._fs().delete(self._hadoop(f"{self.path}/{name}"), True)
+            raise RuntimeError(f"write {number} of {self.path} took longer than {self.patience:g} seconds and was given up")
         return number
 
+    def _fold(self) -> int:
+        """Write a full version of what is committed now."""
+        number = self.reserve()
+        parts = self._current()
+        held = {p.number for p in self._committed()}
+        missed = {n for n in range(parts[0].number + 1, number) if n not in held} | (self._missed(parts[0]) - held)
+        self._write_note(f"_folds/{number:09d}", " ".join(map(str, sorted(missed))))
+        return self._write(self._laid(parts), False, None, number=number)
+
     @property
     def version(self) -> int:
         """Current version number, 0 before the first write."""
         return max((p.number for p in self._committed()), default=0)
 
+    def versions(self) -> set[int]:
+        """Numbers of all committed writes that are still there."""
+        return {p.number for p in self._committed()}
+
     def exists(self) -> bool:
         return self.version > 0
 
@@ -139,20 +195,17 @@ class VersionedTable:
 
     def owner(self, name: str, candidate: str) -> str:
         """Who was first to write under this name; the candidate if nobody was before."""
-        path, fs = self._hadoop(f"{self.path}/_streams/{name}"), self._fs()
-        if not fs.exists(path):
-            out = fs.create(path, False)
-            out.writeUTF(candidate)
-            out.close()
-        source = fs.open(path)
-        try:
-            return source.readUTF()
-        finally:
-            source.close()
+        if self._read_note(f"_streams/{name}") is None:
+            self._write_note(f"_streams/{name}", candidate)
+        return self._read_note(f"_streams/{name}")
 
     def read(self, version: int | None = None) -> DataFrame:
         """The current version, or a given one."""
-        base, *deltas = self._current(version)
+        return self._laid(self._current(version))
+
+    def _laid(self, parts: Sequence[_Part]) -> DataFrame:
+        """Deltas laid over a full version."""
+        base, *deltas = parts
         rows = self.spark.read.parquet(base.path)
         if not deltas:
             return rows
@@ -160,46 +213,72 @@ class VersionedTable:
         changes = latest_rows(reduce(DataFrame.unionByName, read), [self.key], ["_number"]) if len(read) > 1 else read[0]
         return overlay_rows(rows, changes, self.key)
 
-    def replace(self, df: DataFrame, tag: str | None = None, partition_by: Sequence[str] = ()) -> int:
-        """Write a whole new version and return its number."""
-        return self._write(df, False, tag, partition_by)
+    def replace(self, df: DataFrame, tag: str | None = None, partition_by: Sequence[str] = (), number: int | None = None) -> int:
+        """Write a whole new version, under a reserved number if one is given, and return its number."""
+        return self._write(df, False, tag, partition_by, number)
 
-    def apply(self, df: DataFrame, tag: str | None = None) -> int:
-        """Write changed rows, unique by key and flagged ``_deleted`` or not; a tag already committed is left alone."""
+    def apply(self, df: DataFrame, tag: str | None = None, unique: bool = False) -> int:
+        """Write changed rows, unique by key and flagged ``_deleted`` or not; a tag already committed is left alone.
+
+        A caller that made the keys ``unique`` spares the look for repeated ones.
+        """
         if self.key is None:
             raise ValueError(f"table {self.path} has no key")
         if tag and self.has_tag(tag):
             return self.version
-        refuse_new_columns(self.read(), df)
-        self._require_keys(df)
-        number = self._write(df.select(*self.read().columns, "_deleted"), True, tag)
+        known = self.read()
+        refuse_new_columns(known, df)
+        self._require_keys(df, unique)
+        number = self._write(df.select(*known.columns, "_deleted"), True, tag)
         base, *deltas = self._current()
         if len(deltas) > self.max_deltas or self._bytes(deltas) > self.max_delta_share * self._bytes([base]):
-            number = self.replace(self.read())
+            number = self._fold()
         return number
 
-    def _require_keys(self, df: DataFrame) -> None:
+    def _require_keys(self, df: DataFrame, unique: bool = False) -> None:
         """An error if a key is null or has several rows."""
-        bad = df.groupBy(self.key).agg(F.count("*").alias("n")).filter((F.col("n") > 1) | F.col(self.key).isNull())
+        null = F.col(self.key).isNull()
+        bad = df.filter(null) if unique else df.groupBy(self.key).agg(F.count("*").alias("n")).filter((F.col("n") > 1) | null)
         if not bad.isEmpty():
             raise ValueError(f"null or repeated {self.key} in the rows for {self.path}")
 
-    def upsert(self, df: DataFrame, tag: str | None = None, newer_by: Sequence[str] = ()) -> int:
+    def upsert(self, df: DataFrame, tag: str | None = None, newer_by: Sequence[str] = (), unique: bool = False) -> int:
         """Insert new keys and update known ones; with ``newer_by``, only by rows that are not older than the known one."""
         if tag and self.has_tag(tag):
             return self.version
         if not self.exists():
-            self._require_keys(df)
+            self._require_keys(df, unique)
             return self.replace(df, tag)
-        refuse_new_columns(self.read(), df)
-        rows = newer_rows(self.read(), df, self.key, newer_by) if newer_by else df
-        return self.apply(rows.withColumn("_deleted", F.lit(False)), tag)
+        if newer_by:
+            known = self.read()
+            refuse_new_columns(known, df)
+            df = newer_rows(known, df, self.key, newer_by)
+        return self.apply(df.withColumn("_deleted", F.lit(False)), tag, unique)
 
     def vacuum(self, keep: int = 2) -> int:
-        """Delete what lies before the newest ``keep`` full versions; returns how many folders went."""
+        """Delete what lies before the newest ``keep`` full versions; returns how many folders went.
+
+        What a fold has missed may still be on its way. Such a claim keeps all that readers need if it commits, until it is
+        older than ``patience`` seconds; then it is taken back, and its writer is told so.
+        """
         parts = self._committed()
-        full = [p.number for p in parts if not p.is_delta][-max(keep, 1) :]
-        old = [p for p in parts if full and p.number < full[0]]
+        full = [p for p in parts if not p.is_delta][-max(keep, 1) :]
+        base = self._base(parts)
+        if base is None:
+            return 0
+        first = min(base.number, full[0].number)
+        if any([self._may_commit(n) for p in parts if not p.is_delta and p.number >= first for n in self._missed(p)]):
+            return 0
+        old = [p for p in parts if p.number < first]
         for part in old:
             self._fs().delete(self._hadoop(part.path), True)
         return len(old)
+
+    def _may_commit(self, number: int) -> bool:
+        claim, fs = self._claim(number), self._fs()
+        if not fs.exists(claim):
+            return False
+        if time.time() - fs.getFileStatus(claim).getModificationTime() / 1000 <= self.patience:
+            return True
+        fs.delete(claim, False)
+        return False

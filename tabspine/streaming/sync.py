@@ -18,7 +18,7 @@ from tabspine.config import Config
 from tabspine.operators.engineer import feature_frame
 from tabspine.operators.scoring import prediction_rows
 from tabspine.operators.status import latest_rows
-from tabspine.operators.upsert import changed_rows, final_changes
+from tabspine.operators.upsert import changed_rows, final_changes, newer_rows
 from tabspine.sources.tables import VersionedTable
 
 
@@ -42,7 +42,12 @@ def run_available(stream: DataFrame, apply: Callable[[DataFrame, int], None], ch
 
 def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
     """Identity of a stream's checkpoint: a new one numbers its batches anew, over other files."""
-    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"][:13]
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/metadata")
+    source = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        return json.loads(source.readLine())["id"][:13]
+    finally:
+        source.close()
 
 
 def _tag(table: VersionedTable, name: str, checkpoint: str, number: int) -> str:
@@ -60,13 +65,17 @@ def sync_rows(
         tag = _tag(table, name, checkpoint, number)
         if table.has_tag(tag):
             return
-        newest = latest_rows(batch, [table.key], sequence).persist()
+        newest = latest_rows(batch, [table.key], sequence)
+        if not table.exists():
+            table.upsert(newest, tag, unique=True)
+            return
+        # A new checkpoint brings known rows again: what would change nothing is not written.
+        changed = changed_rows(table.read(), newest, table.key, sequence).persist()
         try:
-            # A new checkpoint brings known rows again: what would change nothing is not written.
-            if not table.exists() or not changed_rows(table.read(), newest, table.key, sequence).isEmpty():
-                table.upsert(newest, tag, newer_by=sequence)
+            if not changed.isEmpty():
+                table.upsert(changed, tag, unique=True)
         finally:
-            newest.unpersist()
+            changed.unpersist()
 
     run_available(stream, apply, checkpoint)
 
@@ -77,8 +86,12 @@ def sync_changes(
     """Apply a change feed, deletes included, to a table that exists. Batches must come in order."""
 
     def apply(batch: DataFrame, number: int) -> None:
-        order_only = [c for c in sequence if c not in table.read().columns]
-        table.apply(final_changes(batch, table.key, sequence).drop(*order_only), _tag(table, name, checkpoint, number))
+        tag = _tag(table, name, checkpoint, number)
+        if table.has_tag(tag):
+            return
+        known = table.read().columns
+        final = final_changes(batch, table.key, sequence)
+        table.apply(final.drop(*(c for c in sequence if c not in known)), tag, unique=bool(sequence))
 
     run_available(stream, apply, checkpoint)
 
@@ -95,16 +108,34 @@ def refresh_features(
     config: Config = Config(),
     name: str = "refresh",
 ) -> None:
-    """Daily refresh: new raw rows, the newest by ``sequence`` per key, become features and renew the predictions."""
+    """Daily refresh: new raw rows, the newest by ``sequence`` per key, become features and renew the predictions.
+
+    The sequence that each key was last refreshed at is kept beside the feature table, so a row that arrives late, in whatever
+    batch, changes neither features nor predictions; one of equal sequence does.
+    """
     key = config.roles.id_col
+    applied = refreshed_at(features)
 
     def apply(batch: DataFrame, number: int) -> None:
         tag = _tag(features, name, checkpoint, number)
-        fresh = feature_frame(latest_rows(batch, [key], sequence), config.roles).persist()
+        if applied.has_tag(tag):
+            return
+        newest = latest_rows(batch, [key], sequence)
+        if applied.exists():
+            newest = newer_rows(applied.read(), newest, key, sequence)
+        newest = newest.persist()
         try:
-            features.upsert(fresh, tag)
+            fresh = feature_frame(newest, config.roles)
+            features.upsert(fresh, tag, unique=True)
             predictions.upsert(prediction_rows(scorer(fresh), key, model_version, as_of), tag)
+            # Last: a batch that fails before is taken again, and finds the same rows newer.
+            applied.upsert(newest.select(*dict.fromkeys([key, *sequence])), tag, unique=True)
         finally:
-            fresh.unpersist()
+            newest.unpersist()
 
     run_available(stream, apply, checkpoint)
+
+
+def refreshed_at(features: VersionedTable) -> VersionedTable:
+    """Keys of a feature table with the sequence they were last refreshed at."""
+    return VersionedTable(features.spark, f"{features.path}/_sequences", features.key)

@@ -28,6 +28,7 @@ from tabspine.plans.model import (
     train_job,
 )
 from tabspine.sources import scratch
+from tabspine.sources.changelog import ChangeLog
 from tabspine.sources.records import read_first_available, read_records
 from tabspine.sources.tables import VersionedTable, append_log, read_log, replace_table, require_table, table_or_none
 from tabspine.streaming.sync import file_stream, refresh_features, sync_changes, sync_rows
@@ -128,6 +129,78 @@ def test_deltas(spark, tmp_path):
     assert table.vacuum(1) == 5 and rows_of(table) == [(0, "a"), (1, "b"), (2, "d"), (7, "c")]
 
 
+def test_a_fold_loses_no_write_that_commits_late(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), "id", max_deltas=0)
+    row = lambda k, v: spark.range(k, k + 1).withColumn("v", F.lit(v))
+    deleted = F.lit(False).alias("_deleted")
+    table.upsert(row(0, "first"))
+    late = table.reserve()
+    assert late == 2 and table.upsert(row(1, "a")) == 4  # 3, folded into 4
+    assert rows_of(table) == [(0, "first"), (1, "a")] and table.vacuum(1) == 0
+    row(1, "late").unionByName(row(2, "late")).select("*", deleted).write.parquet(str(tmp_path / "t" / "v000000002d"))
+    # What was written under a larger number stands, whatever committed last.
+    assert rows_of(table) == [(0, "first"), (1, "a"), (2, "late")]
+    assert table.upsert(row(3, "b")) == 6 and rows_of(table) == [(0, "first"), (1, "a"), (2, "late"), (3, "b")]
+    assert table.vacuum(1) == 5 and rows_of(table) == [(0, "first"), (1, "a"), (2, "late"), (3, "b")]
+
+
+def test_a_writer_that_was_given_up_is_told(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), "id", max_deltas=0, patience=-1.0)
+    table.upsert(spark.range(1))
+    late = table.reserve()
+    table.upsert(spark.range(1, 2))
+    assert table.vacuum(1) == 2
+    with pytest.raises(RuntimeError, match="given up"):
+        table.replace(spark.range(9), number=late)
+    assert table.read().count() == 2
+
+
+def test_the_log_misses_no_version(spark, tmp_path, monkeypatch):
+    features, copy = (VersionedTable(spark, str(tmp_path / n), "k") for n in ("features", "copy"))
+    log = ChangeLog(spark, str(tmp_path / "log"), "k")
+    frame = lambda rows: spark.createDataFrame(rows, "k long, v string")
+
+    def publish(rows, crash=""):
+        log.catch_up(features)
+        version = features.reserve()
+        log.stage(features.read(), frame(rows), version)
+        if crash == "before":
+            return
+        features.replace(frame(rows), number=version)
+        if crash != "after":
+            log.settle(features)
+
+    log.start(features.replace(frame([(1, "a"), (2, "b")])))
+    publish([(1, "lost")], "before")  # staged, never published
+    publish([(1, "A"), (2, "b"), (3, "c")], "after")  # published, not settled
+    assert not log.exists()
+    publish([(1, "A"), (3, "C")])
+    features.upsert(frame([(4, "d")]))  # by another writer
+    log.catch_up(features)
+    assert sorted({r["_commit_version"] for r in log.read().collect()}) == [3, 4, features.version]
+    assert log.read().filter("v = 'lost'").count() == 0
+    assert sorted((r["k"], r["_change_type"], r["v"]) for r in log.read(after=3).filter("_commit_version = 4").collect()) == [
+        (2, "delete", "b"), (3, "update_postimage", "C"), (3, "update_preimage", "c")]
+    copy.replace(features.read(1))
+    sync_changes(log.stream(files_per_batch=1), copy, ["_commit_version"], str(tmp_path / "c"))
+    assert rows_of(copy) == rows_of(features) == [(1, "A"), (3, "C"), (4, "d")]
+
+
+def test_changes_staged_beside_another_writer_are_told_anew(spark, tmp_path):
+    features = VersionedTable(spark, str(tmp_path / "features"), "k")
+    log = ChangeLog(spark, str(tmp_path / "log"), "k")
+    frame = lambda *ks: spark.createDataFrame([(k,) for k in ks], "k long")
+    log.start(features.replace(frame(1)))
+    first, second = features.reserve(), features.reserve()
+    log.stage(features.read(), frame(1, 2), first)
+    log.stage(features.read(), frame(1, 3), second)
+    features.replace(frame(1, 2), number=first)
+    features.replace(frame(1, 3), number=second)
+    log.settle(features)
+    found = {(r["_commit_version"], r["_change_type"], r["k"]) for r in log.read().collect()}
+    assert found == {(2, "insert", 2), (3, "delete", 2), (3, "insert", 3)}
+
+
 def test_large_delta_is_folded_at_once(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"), "id")
     table.upsert(spark.range(10).withColumn("v", F.lit("a")))
@@ -210,7 +283,8 @@ def tables(spark, sf_dir, tmp_path_factory):
     root = tmp_path_factory.mktemp("tables")
     raw = VersionedTable(spark, str(root / "raw"))
     raw.replace(census(spark, sf_dir))
-    spine, features, feed = (VersionedTable(spark, str(root / n)) for n in ("spine", "features", "feed"))
+    spine, features = (VersionedTable(spark, str(root / n)) for n in ("spine", "features"))
+    feed = ChangeLog(spark, str(root / "feed"), "row_id")
     feature_job(raw.read(), spine, features, feed)
     changed = raw.read().filter("row_id <> 5").withColumn("age", F.when(F.col("row_id") == 7, 99).otherwise(F.col("age")))
     assert not feed.exists()
@@ -395,7 +469,14 @@ def test_refresh(spark, tables, tmp_path):
     later.write.mode("append").parquet(arrived)
     run()
     assert features.read().count() == predictions.read().count() == 399
+    # A day that arrives late changes neither features nor scores of the keys that had a later one.
+    scores = rows_of(predictions)
+    late = raw.filter("row_id BETWEEN 300 AND 401").withColumns({"day": F.lit(0), "age": F.lit(77).cast("bigint")})
+    late.write.mode("append").parquet(arrived)
+    run()
+    assert [r["row_id"] for r in features.read().filter("age = 77").orderBy("row_id").collect()] == [401]
+    assert [r for r in rows_of(predictions) if r[0] != 401] == scores and features.read().count() == 400
     assert features.read().filter("row_id = 295").first()["age"] == 20
-    assert features.has_tag("refresh-1") and not features.has_tag("refresh-2")
+    assert features.has_tag("refresh-2") and not features.has_tag("refresh-3")
     assert feature_frame(raw).columns == features.read().columns
     assert label_spine(raw).columns == ["row_id", "split", "income_gt_50k"]

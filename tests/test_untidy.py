@@ -73,6 +73,12 @@ def test_two_writers_get_two_numbers(spark, tmp_path):
     assert table.read().count() == 2
 
 
+def test_change_feed_refuses_null_keys(spark):
+    rows = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    with pytest.raises(Exception, match="null k in a snapshot"):
+        change_feed(rows, rows, "k").collect()
+
+
 def test_change_feed_over_different_columns(spark):
     before, after = spark.createDataFrame([(1, "a", 5)], "k int, v string, gone int"), spark.createDataFrame([(1, "a", 7)], "k int, v string, new int")
     rows = {r["_change_type"]: (r["gone"], r["new"]) for r in change_feed(before, after, "k").collect()}
