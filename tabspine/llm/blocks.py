@@ -8,18 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of a block, and of a piece that is hashed at once.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 PIECE_BYTES = 1 << 19
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_POWERS: dict[str, np.ndarray] = {}
 
 _BYTE = np.arange(256)
 _UPPER = (_BYTE >= 65) & (_BYTE <= 90)
@@ -79,12 +79,17 @@ def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[Block]:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
-        for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            _POWERS[name] = np.multiply.accumulate(steps)
-    return _POWERS["up"], _POWERS["down"]
+    made = []
+    for base in (_BASE, _BASE_INVERSE):
+        steps = np.full(n, base, np.uint64)
+        steps[0] = 1
+        made.append(np.multiply.accumulate(steps))
+    return made[0], made[1]
+
+
+@cache
+def _piece_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(PIECE_BYTES + 1)
 
 
 def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -94,9 +99,10 @@ def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     while low < len(starts):
         high = max(low + 1, int(np.searchsorted(ends, starts[low] + PIECE_BYTES, "right")))
         first, last = starts[low], ends[high - 1]
-        up, down = _powers(max(int(last - first), PIECE_BYTES) + 1)
-        sums = np.zeros(last - first + 1, np.uint64)
-        np.cumsum((data[first:last].astype(np.uint64) + np.uint64(1)) * up[: last - first], out=sums[1:])
+        n = int(last - first)
+        up, down = _piece_powers() if n <= PIECE_BYTES else _powers(n + 1)  # those of a longer word aren't kept
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((data[first:last].astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
         at = starts[low:high] - first
         hashes[low:high] = (sums[ends[low:high] - first] - sums[at]) * down[at]
         low = high

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabspine.llm.blocks import LOWER, MARK, blocks
+from tabspine.llm.workers import held, tidy
 
 _NORMAL = bytes(np.where(MARK, 32, LOWER).astype(np.uint8))
 _WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -46,19 +47,12 @@ def _windows(items: list[tuple[str, str]], size: int) -> dict[bytes, tuple[int,
     return found
 
 
-_AUTOMATA: dict[int, ahocorasick.Automaton] = {}
-
-
-def _automaton(key: int, windows: dict[bytes, tuple[int, set[str]]]) -> ahocorasick.Automaton:
-    """The automaton of a broadcast, built once per worker process."""
-    if key not in _AUTOMATA:
-        _AUTOMATA.clear()
-        made = ahocorasick.Automaton()
-        for window, value in windows.items():
-            made.add_word(window.decode(), (len(window.decode()), *value))
-        made.make_automaton()
-        _AUTOMATA[key] = made
-    return _AUTOMATA[key]
+def _automaton(windows: dict[bytes, tuple[int, set[str]]]) -> ahocorasick.Automaton:
+    made = ahocorasick.Automaton()
+    for window, value in windows.items():
+        made.add_word(window.decode(), (len(window.decode()), *value))
+    made.make_automaton()
+    return made
 
 
 def _scan(words: list[bytes], automaton: ahocorasick.Automaton) -> tuple[np.ndarray, set[str]]:
@@ -110,7 +104,7 @@ def contaminated(
         some = items.where(F.pmod(F.xxhash64("item"), F.lit(shards)) == shard).collect()
         sent = spark.sparkContext.broadcast(_windows([(r["item"], r["words"]) for r in some], s.window))
         rows = rows.mapInArrow(_search(sent), "id long, text string, turns array<long>, items array<string>")
-    return rows.mapInArrow(_report, _REPORT).withColumnRenamed("id", id)
+    return rows.mapInArrow(tidy(_report), _REPORT).withColumnRenamed("id", id)
 
 
 _REPORT = "id long, n_words long, n_hit long, items array<string>, spans array<struct<start: long, end: long>>, contaminated boolean"
@@ -118,10 +112,10 @@ _REPORT = "id long, n_words long, n_hit long, items array<string>, spans array<s
 
 def _search(sent):
     """Adds the hits of one shard: ``turns`` has the first word of each run of hit words and the first after it."""
-    key = sent._jbroadcast.id()
+    key = ("automaton", sent._jbroadcast.id())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = _automaton(key, sent.value)
+        automaton = held(key, lambda: _automaton(sent.value))
         for batch in batches:
             for block in blocks(batch.column(1)):
                 earlier = [batch.column(c).slice(block.first, len(block)).to_pylist() for c in (2, 3)]
@@ -137,7 +131,7 @@ def _search(sent):
                 arrays = [*own, pa.array(turns, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays(arrays, ["id", "text", "turns", "items"])
 
-    return scan
+    return tidy(scan, holds=True)
 
 
 def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

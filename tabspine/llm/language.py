@@ -20,9 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabspine.llm.blocks import Block, blocks, mix
+from tabspine.llm.workers import tidy
 
-#: Entries of a count matrix that are held at once.
-_CELLS = 4 << 20
+#: Bytes of a block of texts; entries of a count matrix, and n-grams whose vectors are made, that are held at once.
+_BLOCK = 1 << 20
+_CELLS = 1 << 20
+_GRAMS = 1024
 
 
 @dataclass(frozen=True)
@@ -50,7 +53,7 @@ def _codes(block: Block) -> tuple[np.ndarray, np.ndarray]:
     for i in range(len(block)):
         text = block.text(i).decode().lower()
         p = np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), np.uint32)
-        points.append(p), rows.append(np.full(len(p), i))
+        points.append(p), rows.append(np.full(len(p), i, np.int32))
     points, rows = np.concatenate(points), np.concatenate(rows)
     present = np.flatnonzero(np.bincount(points)) if len(points) else points
     letter = np.zeros(int(points.max()) + 1, bool)
@@ -63,25 +66,29 @@ def _codes(block: Block) -> tuple[np.ndarray, np.ndarray]:
 def _profiles(block: Block, s: Settings) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Some rows at a time: their numbers, their profiles, and whether they have a letter."""
     points, rows = _codes(block)
-    letters, coded = np.unique(points, return_inverse=True)
+    letters = np.flatnonzero(np.bincount(points))
+    numbers = np.zeros(int(letters.max(initial=0)) + 1, np.int32)
+    numbers[letters] = np.arange(len(letters))
+    coded = numbers[points]
     n, size = len(points) - s.size + 1, s.size
     if n <= 0:
         yield np.arange(len(block)), np.zeros((len(block), s.dimensions), np.float32), np.zeros(len(block), bool)
         return
-    gram = np.zeros(n, np.int64)
+    gram = np.zeros(n, np.int32 if len(letters) ** size < 1 << 31 else np.int64)
     for k in range(size):
-        gram = gram * len(letters) + coded[k : n + k]
+        gram *= gram.dtype.type(len(letters))
+        gram += coded[k : n + k]
     row = rows[:n]
     # A run of spaces is one, so any n-gram within a row has a letter.
     inside = row == rows[size - 1 :]
     if len(letters) ** size <= _CELLS:
         grams = np.flatnonzero(np.bincount(gram[inside], minlength=1))
-        index = np.zeros(len(letters) ** size, np.int64)
+        index = np.zeros(len(letters) ** size, np.int32)
         index[grams] = np.arange(len(grams))
         which = index[gram]
     else:
         grams, which = np.unique(gram[inside], return_inverse=True)
-        spread = np.zeros(n, np.int64)
+        spread = np.zeros(n, np.int32)
         spread[inside] = which
         which = spread
     single = _letter_vectors(letters, s)
@@ -91,16 +98,16 @@ def _profiles(block: Block, s: Settings) -> Iterator[tuple[np.ndarray, np.ndarra
     for low in range(0, len(block), step):
         high = min(low + step, len(block))
         own = slice(bounds[low], bounds[high])
-        cells = ((row[own] - low) * len(grams) + which[own])[inside[own]]
+        cells = ((row[own] - low).astype(np.int64) * len(grams) + which[own])[inside[own]]
         sums = np.zeros((high - low, s.dimensions), np.float32)
         counts = np.bincount(cells, minlength=(high - low) * len(grams)).reshape(high - low, -1).astype(np.float32)
-        for first in range(0, len(grams), 4096):  # vectors of some n-grams at a time
-            rest, vectors = grams[first : first + 4096], None
+        for first in range(0, len(grams), _GRAMS):  # vectors of some n-grams at a time
+            rest, vectors = grams[first : first + _GRAMS], None
             for k in range(size - 1, -1, -1):
                 rotated = np.roll(single, k, axis=1)[rest % len(letters)]
                 vectors = rotated if vectors is None else vectors * rotated
                 rest = rest // len(letters)
-            sums += counts[:, first : first + 4096] @ vectors
+            sums += counts[:, first : first + _GRAMS] @ vectors
         yield np.arange(low, high), sums, has_letter[low:high]
 
 
@@ -116,7 +123,7 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", settings: Set
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             langs = batch.column(0).to_pylist()
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), _BLOCK):
                 for rows, profiles, _ in _profiles(block, s):
                     own = np.array([langs[block.first + i] for i in rows], object)
                     for name in dict.fromkeys(own):
@@ -127,7 +134,7 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", settings: Set
             yield pa.RecordBatch.from_arrays([names, pa.array([v.tolist() for v in sums.values()], pa.list_(pa.int64()))], ["lang", "sums"])
 
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")).where("lang is not null")
-    sums = rows.mapInArrow(bundle, "lang string, sums array<long>").select("lang", F.posexplode("sums").alias("d", "x"))
+    sums = rows.mapInArrow(tidy(bundle), "lang string, sums array<long>").select("lang", F.posexplode("sums").alias("d", "x"))
     whole = sums.groupBy("lang", "d").agg(F.sum("x").alias("x"))
     whole = whole.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("d", "x"))), lambda p: p["x"]).alias("sums"))
     found = whole.orderBy("lang").limit(s.languages + 1).collect()
@@ -151,7 +158,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             guess, score = [], []
-            for block in blocks(batch.column(place)):
+            for block in blocks(batch.column(place), _BLOCK):
                 for rows, profiles, has_letter in _profiles(block, s):
                     if not names:
                         guess += ["und"] * len(rows)
@@ -168,4 +175,4 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
             )
 
     shape = docs.select(kept).schema.add("lang_pred", "string").add("score", "double")
-    return docs.select(kept).mapInArrow(label, shape)
+    return docs.select(kept).mapInArrow(tidy(label), shape)

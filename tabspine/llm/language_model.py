@@ -15,6 +15,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabspine.llm.blocks import SPACE, Block, blocks, mix, words
+from tabspine.llm.workers import held, tidy
 from tabspine.sources.scratch import materialize, scratch_path
 
 _START, _END = np.uint64(0x5D1F0A2C9B3E4D71), np.uint64(0xA7C3E59D1B2F6048)
@@ -216,7 +218,7 @@ def train(docs: DataFrame, text: str = "text", settings: Settings | None = None)
         u, w, n = (np.concatenate(x) for x in zip(*(_unpack(d, 3) for d in held)))
         keys, at, n = _summed(_pair_keys(u, w), n)
         u, w = u[at], w[at]
-        file = _save(folder, f"pairs-{shard}", [keys, np.minimum(n, 0xFFFFFFFF).astype(np.uint32)])
+        file = _save(folder, f"pairs-{shard}", [keys, n.astype(np.uint32) if int(n.max(initial=0)) < 1 << 32 else n.astype(np.uint64)])
         yield {"shard": shard, "file": file, "n": len(keys), "sums": _classes(n)}
         one, two, more = ((n == 1), (n == 2), (n >= 3))
         context, _, sums = _summed(u, np.stack([n, one, two, more], axis=1).astype(np.uint64))
@@ -270,8 +272,11 @@ def train(docs: DataFrame, text: str = "text", settings: Settings | None = None)
     return Model(shards, files(found), files(pairs), heavy, tokens, types, pair_types, _discounts(n1, n2, n3, n4), unigram, rest)
 
 
-def _map(file: str, n: int, kinds: list[str]) -> list[np.ndarray]:
-    """Arrays of a file, mapped. A store that can't be mapped is copied to a local file that goes when the process does."""
+def _map(file: str, n: int, kinds: list[str | None]) -> list[np.ndarray]:
+    """Arrays of a file, mapped; a kind of None is whole numbers of the width that is left.
+
+    A store that can't be mapped is copied to a local file that goes when the process does.
+    """
     store, path = pyarrow.fs.FileSystem.from_uri(file)
     local = path
     if not isinstance(store, pyarrow.fs.LocalFileSystem):
@@ -280,7 +285,9 @@ def _map(file: str, n: int, kinds: list[str]) -> list[np.ndarray]:
             while piece := source.read(1 << 24):
                 out.write(piece)
     arrays, at = [], 0
+    width = os.path.getsize(local) // n - sum(np.dtype(kind).itemsize for kind in kinds if kind)
     for kind in kinds:
+        kind = kind or f"<u{width}"
         arrays.append(np.memmap(local, kind, "r", at, (n,)))
         at += n * np.dtype(kind).itemsize
     if local != path:
@@ -288,20 +295,30 @@ def _map(file: str, n: int, kinds: list[str]) -> list[np.ndarray]:
     return arrays
 
 
+#: Files of each kind that a worker maps at the same time.
+_MAPPED = 4096
+
+
 class _Tables:
-    """The mapped arrays of a model."""
+    """The arrays of a model, each mapped when it is first looked into; of many, those used last stay mapped."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.words = {shard: _map(file, n, ["<u8", *["<f8"] * 6]) for shard, file, n in model.vocabulary if n}
-        self.pairs = {shard: _map(file, n, ["<u8", "<u4"]) for shard, file, n in model.pairs if n}
+        self.words = self._mapped(model.vocabulary, ["<u8", *["<f8"] * 6])
+        self.pairs = self._mapped(model.pairs, ["<u8", None])
+
+    @staticmethod
+    def _mapped(files, kinds: list[str | None]) -> Callable[[int], list[np.ndarray] | None]:
+        of = {shard: (file, n) for shard, file, n in files if n}
+        return lru_cache(_MAPPED)(lambda shard: _map(*of[shard], kinds) if shard in of else None)
 
-    def _find(self, tables: dict, shard: np.ndarray, keys: np.ndarray, shift: int, out: list[np.ndarray]) -> None:
+    def _find(self, table: Callable[[int], list[np.ndarray] | None], shard: np.ndarray, keys: np.ndarray, shift: int, out: list[np.ndarray]) -> None:
         order = np.lexsort((keys, shard))
-        edges = np.searchsorted(shard[order], np.arange(self.model.shards + 1))
-        for k, columns in tables.items():
-            mine = order[edges[k] : edges[k + 1]]
-            if not len(mine):
+        edges = np.flatnonzero(np.r_[True, np.diff(shard[order]) != 0, True]) if len(order) else np.zeros(0, np.int64)
+        for low, high in zip(edges[:-1], edges[1:]):
+            mine = order[low:high]
+            columns = table(int(shard[mine[0]]))
+            if columns is None:
                 continue
             place = np.searchsorted(columns[0], keys[mine] << np.uint64(shift))
             place[place == len(columns[0])] = 0
@@ -342,27 +359,17 @@ class _Tables:
         return sums[0], sums[1], sums[2]
 
 
-_TABLES: dict[str, _Tables] = {}
-
-
-def _tables(key: str, model: Model) -> _Tables:
-    if key not in _TABLES:
-        _TABLES.clear()
-        _TABLES[key] = _Tables(model)
-    return _TABLES[key]
-
-
 def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, n_tokens, n_known, base_score, score, perplexity)`` of every row; log10 probabilities of the whole text and its end.
 
     ``base_score`` sums log10((c + 1) / (N + V + 1)), the add-one unigram model; a model without training text gives every
     token probability 1. Null and empty texts are their end alone. An empty table gives no rows.
     """
-    key = uuid.uuid4().hex
+    key = ("model", uuid.uuid4().hex)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = _tables(key, sent.value)
+        tables = held(key, lambda: _Tables(sent.value))
         with np.errstate(over="ignore"):
             for batch in batches:
                 for block in blocks(batch.column(1)):
@@ -377,4 +384,4 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
 
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     schema = "id long, n_tokens long, n_known long, base_score double, score double, perplexity double"
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id)
+    return rows.mapInArrow(tidy(run, holds=True), schema).withColumnRenamed("id", id)

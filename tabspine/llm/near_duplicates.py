@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tabspine.llm.blocks import SPACE, blocks, distinct, mix, words
 from tabspine.llm.components import components
+from tabspine.llm.workers import tidy
 from tabspine.sources.scratch import materialize
 
 _HASH_COLUMNS = 4096
@@ -45,7 +46,7 @@ class Settings:
 
     shingle_words: int = 5
     percent: int = 80
-    recall: float = 0.999
+    recall: float = 0.9999
     depth: int = 6
     node_size: int = 128
     tokens: int = 48
@@ -130,7 +131,7 @@ def signatures(docs: DataFrame, id: str, text: str, s: Settings) -> DataFrame:
                     )
 
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(sign, "id long, n_shingles long, set_key binary, tokens binary, roots array<long>")
+    return rows.mapInArrow(tidy(sign), "id long, n_shingles long, set_key binary, tokens binary, roots array<long>")
 
 
 def _nodes(classes: DataFrame, s: Settings) -> DataFrame:

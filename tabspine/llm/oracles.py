@@ -49,4 +49,13 @@ ORACLES: dict[str, str] = {
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
            sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_ranked_search": f"""WITH d AS (SELECT doc_id, {_words('text', _WORD)} AS w FROM documents),
+    q AS (SELECT item_id, t, count(*) AS times FROM (SELECT item_id, unnest({_words('text', _WORD)}) AS t FROM benchmark) GROUP BY ALL),
+    n AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM d WHERE len(w) > 0),
+    tf AS (SELECT doc_id, t, count(*) AS tf, any_value(len) AS len FROM (SELECT doc_id, len(w) AS len, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY doc_id, t),
+    weights AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM tf, n GROUP BY t, docs),
+    scores AS (SELECT item_id, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * len * docs) // terms)))) AS BIGINT) AS score
+               FROM tf JOIN weights USING (t) JOIN q USING (t), n GROUP BY item_id, doc_id),
+    ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }

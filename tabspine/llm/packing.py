@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tabspine.llm.blocks import blocks
 from tabspine.llm.cutting_stock import plan
 from tabspine.llm.tokens import encoder
+from tabspine.llm.workers import tidy
 from tabspine.sources.scratch import materialize
 
 
@@ -60,9 +61,9 @@ def pieces(docs: DataFrame, id: str, text: str, s: Settings) -> DataFrame:
                 numbers = [pa.array(x, pa.int64()) for x in (start, length, crc, total)]
                 names = ["id", "start", "length", "ids_crc32", "doc_tokens"]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), *numbers], names)
-        encode.forget()
 
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    cut = tidy(cut, holds=True, after=lambda: encoder(s.vocabulary, s.pattern).forget())
     return rows.mapInArrow(cut, "id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabspine.llm.blocks import SPACE, Block, blocks, distinct, words
+from tabspine.llm.workers import tidy
 from tabspine.sources.scratch import materialize
 
 
@@ -109,7 +110,7 @@ def statistics(docs: DataFrame, id: str = "doc_id", text: str = "text", whole_ro
     schema = docs.select(kept).schema
     for name in STATISTICS:
         schema = schema.add(name, "double")
-    return docs.select(*kept, *([] if whole_rows else [F.col(text).alias("_text")])).mapInArrow(measure, schema)
+    return docs.select(*kept, *([] if whole_rows else [F.col(text).alias("_text")])).mapInArrow(tidy(measure), schema)
 
 
 Condition = tuple[str, bool, float]  # statistic, whether it is at most the bound or above, bound

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabspine.llm import (
-    decontamination, language, language_model, licenses, near_duplicates, neighbours, packing, quality, resampling, secret_spans, token_counts, warc,
+    decontamination, language, language_model, licenses, near_duplicates, neighbours, packing, quality, ranked_search, resampling,
+    secret_spans, token_counts, warc,
 )
 from tabspine.llm.oracles import ORACLES  # noqa: F401
 from tabspine.sources.scratch import materialize, scratch_path
@@ -134,6 +135,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(token_counts.masked(docs, _MASKS, "[masked]"), settings).drop("tree")
 
 
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = secret_spans.secret_spans(table(spark, sf_dir, "documents"))

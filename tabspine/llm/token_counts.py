@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from tabspine.llm.blocks import Block, blocks
 from tabspine.llm.tokens import Encoder, cuts, encoder
+from tabspine.llm.workers import tidy
 
 
 @dataclass(frozen=True)
@@ -148,10 +149,10 @@ def count_tokens(
                     [batch.column(0).slice(block.first, len(block)), *numbers, pa.array(trees, pa.list_(pa.int64()))],
                     ["id", "n_tokens", "n_tokens_edited", "n_edits", "n_segments", "n_encoded_again", "tree"],
                 )
-        encode.forget()
 
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"), F.col(edits).alias("edits"))
     schema = "id long, n_tokens long, n_tokens_edited long, n_edits long, n_segments long, n_encoded_again long, tree array<long>"
+    run = tidy(run, holds=True, after=lambda: encoder(s.vocabulary, s.pattern).forget())
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id)
 
 

@@ -17,6 +17,7 @@ import numpy as np
 import tiktoken
 
 from tabspine.llm.blocks import Block, run_hashes
+from tabspine.llm.workers import held
 
 #: Parts that are remembered between blocks.
 REMEMBERED = 200_000
@@ -151,11 +152,6 @@ class Encoder:
         return ids, np.r_[0, upto][np.searchsorted(starts, offsets)]
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(path: str, pattern: str) -> Encoder:
-    """One encoder of each vocabulary per worker process."""
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = Encoder(path, pattern)
-    return _ENCODERS[path, pattern]
+    """The encoder of a vocabulary, held by each worker process."""
+    return held(("encoder", path, pattern), lambda: Encoder(path, pattern))

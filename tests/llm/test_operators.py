@@ -193,7 +193,8 @@ def test_no_group_of_the_second_look_holds_more_than_two_blocks(spark):
     queries.workers_find_library(spark)
     texts = template_pairs(150)
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    s = near_duplicates.Settings(shingle_words=1, node_size=8, depth=2)
+    # 150 links that nothing else holds together: with this recall one of them is lost once in several thousand draws.
+    s = near_duplicates.Settings(shingle_words=1, node_size=8, depth=2, recall=0.999999)
     classes = near_duplicates.signatures(frame, "doc_id", "text", s)
     nodes = near_duplicates.materialize(near_duplicates._nodes(classes, s), "nodes")
     cut = [sorted(r["ids"]) for r in nodes.where("whole is not null").groupBy("whole").agg({"id": "collect_list"}).toDF("whole", "ids").collect()]
