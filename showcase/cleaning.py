@@ -34,7 +34,7 @@ from tabspine.sources.tables import VersionedTable, replace_table, require_table
 # Cleaned census values as SQL over the text records.
 _TOKEN = "CASE WHEN trim({0}) IN ('nan', 'None', '?', '') THEN NULL ELSE trim({0}) END"
 _CLEAN_SQL = ", ".join(
-    [f'TRY_CAST("{c}" AS DOUBLE) AS {c.replace("-", "_")}' for c in
+    [f"""CASE WHEN regexp_full_match(trim("{c}"), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') THEN TRY_CAST("{c}" AS DOUBLE) END AS {c.replace("-", "_")}""" for c in
      ("age", "fnlwgt", "education-num", "capital-gain", "capital-loss", "hours-per-week")]
     + [_TOKEN.format(f'"{c}"') + f' AS {c.replace("-", "_")}' for c in
        ("workclass", "education", "marital-status", "occupation", "relationship", "race", "sex", "native-country")]
@@ -42,15 +42,21 @@ _CLEAN_SQL = ", ".join(
 )
 
 
-@query(f"WITH {RECORDS_SQL} SELECT CASE WHEN trim(education) = 'F' THEN 'train' ELSE 'holdout' END AS split, {_CLEAN_SQL} FROM records")
+@query(
+    f"""WITH {RECORDS_SQL} SELECT CASE WHEN trim(education) = 'F' THEN 'train' ELSE 'holdout' END AS split, {_CLEAN_SQL},
+    row_number() OVER (ORDER BY trim(education) <> 'F', row_id) AS row_id FROM records"""
+)
 def csv_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Headerless train and holdout files, read, normalised, united and keyed 1..N; the key is left out here."""
+    """Headerless train and holdout files, read, normalised, united and keyed 1..N in the order of their lines, between malformed ones."""
     folder = scratch_path(spark, "csv")
     rows = records(spark, sf_dir)
     is_train = F.trim("education") == "F"
     for split, part in (("train", is_train), ("holdout", ~is_train)):
-        rows.filter(part).select(*CSV_COLUMNS).write.csv(f"{folder}/{split}")
-    return seeded_rows(spark, f"{folder}/train", f"{folder}/holdout").drop("row_id")
+        lines = rows.filter(part).select("row_id", F.concat_ws(",", *[F.coalesce(f"`{c}`", F.lit("")) for c in CSV_COLUMNS]).alias("line"))
+        broken = lines.filter("row_id % 997 = 3").withColumn("line", F.concat("line", F.lit(",one more")))
+        ordered = lines.unionByName(broken.withColumn("row_id", F.col("row_id") - 0.5)).orderBy("row_id")
+        ordered.select("line").write.text(f"{folder}/{split}")
+    return seeded_rows(spark, f"{folder}/train", f"{folder}/holdout", quarantine=1_000_000)
 
 
 @query("SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")

@@ -32,7 +32,8 @@ CENSUS = {
 # The same records as text, before cleaning: hyphenated names, blanks, missing tokens, dotted labels, bad numbers.
 RECORDS = {
     "row_id": "o_orderkey + 1",
-    "age": "CASE WHEN o_orderkey % 53 = 0 THEN 'n/a' ELSE concat(' ', 17 + o_custkey % 60) END",
+    "age": "CASE WHEN o_orderkey % 53 = 0 THEN 'n/a' WHEN o_orderkey % 59 = 0 THEN concat(o_custkey % 60, 'd') "
+    "WHEN o_orderkey % 61 = 0 THEN ' nan' WHEN o_orderkey % 67 = 0 THEN concat('+', o_custkey % 60, '.5e1 ') ELSE concat(' ', 17 + o_custkey % 60) END",
     "workclass": "CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN ' ?' ELSE concat(' ', o_orderpriority) END",
     "fnlwgt": "concat('', CAST(floor(o_totalprice) AS BIGINT))",
     "education": "concat(o_orderstatus, ' ')",

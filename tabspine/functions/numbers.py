@@ -10,7 +10,10 @@ from pyspark.sql import types as T
 def to_number(col: Column) -> Column:
     """Double value of a plain decimal text, an exponent allowed; null for anything else, ``nan``, ``inf`` and ``12d`` included."""
     text = F.trim(col.cast("string"))
-    return F.when(text.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), text.try_cast("double"))
+    value = text.try_cast("double")
+    # Of digits, signs and points alone, the cast takes plain numbers only; the pattern is for the few others it takes.
+    plain = F.translate(text, "0123456789.+-", "") == ""
+    return F.when(value.isNotNull() & (plain | text.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)[eE][+-]?[0-9]+$")), value)
 
 
 def threshold(score: Column, cut: float = 0.5) -> Column:

@@ -13,32 +13,31 @@ from tabspine.functions.keys import hash_split
 from tabspine.operators.checks import key_check, require, require_schema, table_checks
 from tabspine.operators.clean import normalize_records, normalize_split, raw_columns, require_known_labels
 from tabspine.operators.engineer import feature_frame
-from tabspine.operators.ordering import chronological_split, global_row_number
+from tabspine.operators.ordering import chronological_split
 from tabspine.operators.profile import table_profile
 from tabspine.operators.spine import label_spine
 from tabspine.sources.changelog import ChangeLog
-from tabspine.sources.records import read_records
+from tabspine.sources.records import load_records, require_few_malformed
 from tabspine.sources.scratch import materialize
 from tabspine.sources.tables import VersionedTable
 
-_POSITION = ("_file", "_block", "_row")
-
 
 def seeded_rows(
-    spark: SparkSession, train_paths: str | Sequence[str], holdout_paths: str | Sequence[str], roles: Roles = Roles()
+    spark: SparkSession, train_paths: str | Sequence[str], holdout_paths: str | Sequence[str], roles: Roles = Roles(), quarantine: int = 0
 ) -> DataFrame:
     """Normalised train and holdout files as one raw table, keys 1..N in train-then-holdout line order.
 
-    The files are parsed once; unknown class names are looked for in the written, keyed rows.
+    Lines are parsed once and numbered where they lie. Lines with too few or too many fields are no rows: ``quarantine`` tells how
+    many of them are borne, none by default. Unknown class names are looked for in the written rows.
     """
 
-    def part(paths: str | Sequence[str], split: str) -> DataFrame:
-        lines = read_records(spark, paths, with_position=True)
-        return normalize_records(lines, roles, split, extra=[*_POSITION, "income"], strict=False)
+    def parse(lines: DataFrame, part: int) -> DataFrame:
+        extra = [c for c in lines.columns if c.startswith("_")]
+        return normalize_records(lines, roles, ("train", "holdout")[part], extra=[*extra, "income"], strict=False)
 
-    both = part(train_paths, "train").unionByName(part(holdout_paths, "holdout"))
-    ordered = both.withColumn("_part", (F.col(roles.split_col) != "train").cast("int"))
-    keyed = global_row_number(ordered, ["_part", *_POSITION], roles.id_col)
+    found = load_records(spark, [train_paths, holdout_paths], parse=parse)
+    require_few_malformed(found.malformed, quarantine)
+    keyed = found.rows.withColumnRenamed("_number", roles.id_col)
     return raw_columns(require_known_labels(keyed, "income"), roles)
 
 
@@ -48,9 +47,10 @@ def seed_job(
     holdout_paths: str | Sequence[str],
     raw: VersionedTable,
     roles: Roles = Roles(),
+    quarantine: int = 0,
 ) -> int:
     """Replace the raw table from files; returns its version."""
-    return raw.replace(seeded_rows(spark, train_paths, holdout_paths, roles))
+    return raw.replace(seeded_rows(spark, train_paths, holdout_paths, roles, quarantine))
 
 
 def check_job(raw: DataFrame, config: Config = Config(), as_of: datetime | str | None = None) -> DataFrame:

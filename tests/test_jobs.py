@@ -29,7 +29,7 @@ from tabspine.plans.model import (
 )
 from tabspine.sources import scratch
 from tabspine.sources.changelog import ChangeLog
-from tabspine.sources.records import read_first_available, read_records
+from tabspine.sources.records import load_records, read_first_available, read_records, require_few_malformed
 from tabspine.sources.tables import VersionedTable, append_log, read_log, replace_table, require_table, table_or_none
 from tabspine.streaming.sync import file_stream, refresh_features, sync_changes, sync_rows
 
@@ -72,6 +72,37 @@ def test_seed_keys_follow_the_lines(spark, files, tmp_path):
     assert raw.read().columns == ["row_id", *Roles().features, "split", "income_gt_50k"]
 
 
+def test_malformed_lines_are_set_aside(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("|x\n1,b\n|2,c\n2,c,extra\n3\n")
+    (tmp_path / "b.csv").write_text("\n  \n|4,d\n\n5,e\n6,f\n|7,g\n")
+    (tmp_path / "c.csv").write_text("one\n|8,h\n9,\n")
+    found = load_records(spark, [[str(tmp_path / f"{n}.csv") for n in "cab"]], ["k", "v"])
+    # Files go by their paths; a pipe line is data unless it is the first of its file.
+    assert sorted(map(tuple, found.rows.select("_number", "k", "v").collect())) == [
+        (1, "1", "b"), (2, "|2", "c"), (3, "5", "e"), (4, "6", "f"), (5, "|7", "g"), (6, "|8", "h"), (7, "9", None)]
+    assert sorted((r["_file"][-5:], r["line"]) for r in found.malformed.collect()) == [("a.csv", "2,c,extra"), ("a.csv", "3"), ("c.csv", "one")]
+    with pytest.raises(ValueError, match="more than 2 lines"):
+        require_few_malformed(found.malformed, 2)
+    require_few_malformed(found.malformed, 3)
+
+
+def test_lines_are_numbered_where_they_lie(spark, tmp_path):
+    lines = [f"{i},{'x' * (i % 50)}" for i in range(20_000)]
+    for n, part in enumerate((lines[:9_000], lines[9_000:9_001], lines[9_001:])):
+        (tmp_path / f"{n}.csv").write_text("|head,er\n" * (n != 1) + "\n".join(part) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = load_records(spark, [str(tmp_path / "[01].csv"), str(tmp_path / "2.csv")], ["k", "v"]).rows
+        assert rows.rdd.getNumPartitions() > 4
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "rangepartitioning" not in plan and "Window" not in plan
+        assert rows.filter("_number <=> try_cast(k AS BIGINT) + 1").count() == 20_000 and rows.count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_seed_refuses_unknown_labels(spark, files, tmp_path):
     (tmp_path / "bad.csv").write_text(HOLDOUT.replace(">50K.", "rich"))
     with pytest.raises(LabelError, match="rich"):
