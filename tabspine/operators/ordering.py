@@ -183,40 +183,60 @@ def _measure(df: DataFrame, col: str) -> Column:
     return F.col(col).cast("double")
 
 
-def range_buckets(df: DataFrame, col: str, rows_per_bucket: int = 1_000_000, fine: int = 512) -> Column:
-    """Column expression giving an ordered bucket of about ``rows_per_bucket`` rows of ``df`` each.
-
-    One pass sketches up to 63 cuts; between two cuts the value range is divided evenly, into at most ``fine`` parts. The
-    cuts sit in the plan as a balanced tree of comparisons, so the bucket of a row depends on its value alone, in every
-    stage and retry, and equal values share a bucket. Only balance, never the result, depends on the sketch.
-    """
-    shares = [i / _CUTS for i in range(_CUTS + 1)]
-    measured = df.select(F.col(col), _measure(df, col).alias("_measure"))
-    count, cuts, low, high = measured.agg(
-        F.count(col), F.percentile_approx("_measure", shares, 100 * _CUTS), F.min("_measure"), F.max("_measure")
-    ).first()
-    wanted = math.ceil(count / rows_per_bucket)
-    if wanted <= 1:
-        return F.lit(0)
-    step = max(1, _CUTS // wanted)
-    bounds = sorted({low, *cuts[::step], high})
-    parts = min(fine, math.ceil(wanted / (len(bounds) - 1))) if len(bounds) > 1 else 1
-    measure = _measure(df, col)
-
-    def leaf(i: int) -> Column:
-        width = bounds[i + 1] - bounds[i]
-        if parts == 1 or not math.isfinite(width):
-            return F.lit(i * parts)
-        part = F.floor((measure - bounds[i]) * (parts / width)).cast("int")
-        return F.greatest(F.lit(0), F.least(F.lit(parts - 1), part)) + i * parts
+def _bucket_of(measure: Column, cuts: Sequence[float]) -> Column:
+    """How many of the sorted cuts are not above the measure: a tree of comparisons for few, a search in an array for many."""
 
     def tree(first: int, last: int) -> Column:
         if first == last:
-            return leaf(first)
+            return F.lit(first)
         middle = (first + last) // 2
-        return F.when(measure < F.lit(bounds[middle + 1]), tree(first, middle)).otherwise(tree(middle + 1, last))
+        return F.when(measure < F.lit(cuts[middle]), tree(first, middle)).otherwise(tree(middle + 1, last))
+
+    if len(cuts) < 2 * _CUTS:
+        return tree(0, len(cuts))
+    array = F.split(F.lit(",".join(map(repr, cuts))), ",").cast("array<double>")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+
+    def advance(place: Column, step: Column) -> Column:
+        return F.when(F.get(array, place + step - 1) <= measure, place + step).otherwise(place)
+
+    return F.aggregate(steps, F.lit(0), advance)
 
-    return tree(0, len(bounds) - 2) if len(bounds) > 1 else F.lit(0)
+
+def range_buckets(df: DataFrame, col: str, rows_per_bucket: int = 1_000_000) -> Column:
+    """Column expression giving an ordered bucket of about ``rows_per_bucket`` rows of ``df`` each.
+
+    A pass sketches up to 63 cuts inside every part that is still too large, the whole column first, so each pass makes parts 64
+    times smaller whatever the values look like. The cuts sit in the plan, so the bucket of a row depends on its value alone, in
+    every stage and retry, and equal values share a bucket. Only balance, never the result, depends on the sketches. What
+    reaches the driver is the cuts, about one for each bucket.
+    """
+    measured = df.select(_measure(df, col).alias("_measure")).filter(F.col("_measure").isNotNull())
+    shares = [i / _CUTS for i in range(1, _CUTS)]
+    cuts: list[float] = []
+    part_rows = None  # expected in a part that is to be cut
+    while part_rows is None or part_rows > rows_per_bucket:
+        part = _bucket_of(F.col("_measure"), cuts)
+        sketched = measured.groupBy(part.alias("part")).agg(
+            F.count("*").alias("n"), F.min("_measure").alias("low"), F.max("_measure").alias("high"),
+            F.percentile_approx("_measure", shares, 20 * _CUTS).alias("at"),
+        )
+        # A part is left alone when it is small enough, or holds one value.
+        found = sketched.filter((F.col("n") > rows_per_bucket) & (F.col("high") > F.col("low"))).collect()
+        if not found:
+            break
+        new: set[float] = set()
+        for row in found:
+            step = max(1, _CUTS * rows_per_bucket // row["n"])
+            picked = [x for x in row["at"][step - 1 :: step] if math.isfinite(x)]
+            # A value that fills a bucket ends one: what is above it is cut by itself.
+            filling = {x for x, y in zip(picked, picked[1:]) if x == y}.union(x for x in picked if x == row["low"])
+            new |= {x for x in picked if x > row["low"]}.union(math.nextafter(x, math.inf) for x in filling)
+        if not new - set(cuts):
+            break
+        cuts = sorted(new.union(cuts))
+        part_rows = max(row["n"] for row in found) / (_CUTS - 1)
+    return _bucket_of(_measure(df, col), cuts)
 
 
 def _key_at(df: DataFrame, key_col: str, rank: int) -> Any:

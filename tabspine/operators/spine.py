@@ -92,29 +92,37 @@ def as_of_lookup(
 ) -> DataFrame:
     """Each spine row with the feature values known at its time: the latest feature row not after it.
 
-    (key, time) must be unique among the features. Only distinct (key, time) points of the spine are looked up. Time is
-    cut into buckets, so even one key with most of the rows spreads over many tasks: inside a bucket the last value is
-    carried by a window, across buckets by one value per (key, bucket).
+    (key, time) must be unique among the features. Time is cut into buckets, so even one key with most of the rows spreads over
+    many tasks. Spine rows go through one shuffle, by (key, bucket), together with the feature rows: a window carries the
+    last value inside a bucket. Across buckets one value per (key, bucket) is carried; these come from rows combined in their
+    tasks, and join where the spine rows already lie. Rows of one key and one instant stay in one bucket. Rows without a key or
+    a time have no values.
     """
-    value = F.struct(*columns)
-    known = features.select(F.col(key), F.col(feature_time).alias("_at"), F.lit(0).alias("_side"), value.alias("_value"))
-    points = spine.select(F.col(key), F.col(spine_time).alias("_at")).distinct()
-    asked = points.select(key, "_at", F.lit(1).alias("_side"), F.lit(None).cast(known.schema["_value"].dataType).alias("_value"))
-    merged = known.unionByName(asked)
+    value, key_col = F.struct(*columns), F.col(key)
+    known = features.filter(key_col.isNotNull() & F.col(feature_time).isNotNull()).select(
+        key_col, F.col(feature_time).alias("_at"), F.lit(0).alias("_side"), value.alias("_value")
+    )
+    kind = known.schema["_value"].dataType
     times = known.select("_at").unionByName(spine.select(F.col(spine_time).alias("_at")))
-    bucket = range_buckets(times, "_at", rows_per_bucket)
-    merged = merged.filter(F.col("_at").isNotNull()).withColumn("_bucket", bucket)
+    bucket = range_buckets(times, "_at", rows_per_bucket).alias("_bucket")
+    known = known.select("*", bucket)
+    placed = key_col.isNotNull() & F.col(spine_time).isNotNull()
+    asked = spine.filter(placed).select(key, F.col(spine_time).alias("_at"), F.struct(*spine.columns).alias("_row")).select("*", bucket)
+    merged = known.withColumn("_row", F.lit(None).cast(asked.schema["_row"].dataType)).unionByName(
+        asked.withColumns({"_side": F.lit(1), "_value": F.lit(None).cast(kind)})
+    )
     in_bucket = (
         Window.partitionBy(key, "_bucket").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    walked = merged.withColumn("_here", F.last("_value", ignorenulls=True).over(in_bucket))
-    filled = walked.filter("_side = 1")
-    # Over the same windowed rows, so the shuffle below is shared.
-    newest = walked.groupBy(key, "_bucket").agg(F.max_by("_here", F.struct("_at", "_side")).alias("_newest"))
-    earlier = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = newest.select(key, "_bucket", F.last("_newest", ignorenulls=True).over(earlier).alias("_carried"))
-    answers = filled.join(carried, [key, "_bucket"], "left").select(
-        key, F.col("_at").alias(spine_time), F.coalesce("_here", "_carried").alias("_value")
+    walked = merged.withColumn("_here", F.last("_value", ignorenulls=True).over(in_bucket)).filter("_side = 1")
+    ends = known.select(key, "_bucket", "_at", "_value", F.lit(0).alias("_asked")).unionByName(
+        asked.select(key, "_bucket", F.lit(None).cast(known.schema["_at"].dataType).alias("_at"), F.lit(None).cast(kind).alias("_value"), F.lit(1).alias("_asked"))
     )
-    looked_up = spine.join(answers, [key, spine_time], "left")
-    return looked_up.select(*spine.columns, *[F.col("_value")[c].alias(c) for c in columns])
+    ends = ends.groupBy(key, "_bucket").agg(F.max_by("_value", "_at").alias("_newest"), F.max("_asked").alias("_asked"))
+    earlier = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumn("_carried", F.last("_newest", ignorenulls=True).over(earlier)).filter("_asked = 1 AND _carried IS NOT NULL")
+    found = walked.join(carried.select(key, "_bucket", "_carried"), [key, "_bucket"], "left")
+    value = F.coalesce("_here", "_carried")
+    answers = found.select("_row.*", *[value[c].alias(c) for c in columns])
+    rest = spine.filter(~placed).select("*", *[F.lit(None).cast(kind[c].dataType).alias(c) for c in columns])
+    return answers.unionByName(rest)

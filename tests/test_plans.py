@@ -21,6 +21,14 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def exchanges_of(node, column):
+    """Shuffles of a column in a physical plan."""
+    own = node.getClass().getSimpleName() == "ShuffleExchangeExec" and any(
+        column in node.output().apply(i).name() for i in range(node.output().size()))
+    children = node.children()
+    return own + sum(exchanges_of(children.apply(i), column) for i in range(children.size()))
+
+
 def test_split_needs_no_shuffle(spark, sf_dir):
     text = plan(chronological_split(table(spark, sf_dir, "events"), "ts", "event_id"))
     assert "Exchange" not in text and "Window" not in text
@@ -74,6 +82,15 @@ def test_as_of_windows_are_keyed(spark, sf_dir):
     spine = events.select("event_id", "user_id", "ts")
     text = plan(as_of_lookup(spine, events.select("user_id", F.col("ts").alias("at"), "value"), "user_id", "ts", "at", ["value"], 100))
     assert "SinglePartition" not in text and "Python" not in text
+    # Whole spine rows are shuffled once; what else is shuffled has neither ids nor rows.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        wide = spine.withColumns({f"c{i}": F.col("event_id") + i for i in range(5)})
+        found = as_of_lookup(wide, events.select("user_id", F.col("ts").alias("at"), "value"), "user_id", "ts", "at", ["value"], 100)
+        tree = found._jdf.queryExecution().executedPlan()
+        assert exchanges_of(tree.initialPlan(), "_row") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.mark.parametrize("module", ["clean", "engineer", "spine", "upsert", "status", "profile", "canary", "compare", "fingerprint", "importance"])

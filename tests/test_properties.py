@@ -144,6 +144,19 @@ def test_range_buckets_keep_order(spark, kind):
     assert max(buckets.count(b) for b in set(buckets)) < 400
 
 
+def test_range_buckets_are_even_whatever_the_values(spark):
+    n, wish = 200_000, 50
+    u = (F.pmod(F.xxhash64("id"), F.lit(1_000_003)) + 1) / 1_000_004
+    shapes = {"tail": F.pow(u, -3.0), "narrow": 1e9 + u / 10, "tied": F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.exp(20 * u))}
+    for name, value in shapes.items():
+        df = spark.range(n).select(value.alias("v"))
+        counts = df.groupBy(range_buckets(df, "v", wish).alias("b")).agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        rows = counts.orderBy("b").collect()
+        assert all(a["high"] < b["low"] for a, b in zip(rows, rows[1:]))
+        tied = n // 3 + 1 if name == "tied" else 0
+        assert max(r["n"] - (tied if r["low"] <= 7.0 <= r["high"] else 0) for r in rows) <= 4 * wish, name
+
+
 def test_as_of_with_a_hot_key_equals_brute_force(spark):
     draw = random.Random(1)
     key = lambda i: 0 if i % 3 == 0 else draw.randint(1, 20)
@@ -155,6 +168,9 @@ def test_as_of_with_a_hot_key_equals_brute_force(spark):
     for i, k, t in asked:
         times = [at for (kk, at) in known if kk == k and at <= t]
         assert found[i] == (known[k, max(times)] if times else None)
+    odd = spark.createDataFrame([(1, None, 5), (2, 0, None), (2, 0, None)], "i int, k int, t int")
+    rows = as_of_lookup(odd, features.unionByName(odd.select("k", F.col("t").alias("at"), F.lit(9).alias("v"))), "k", "t", "at", ["v"])
+    assert sorted(map(tuple, rows.collect()), key=str) == [(1, None, 5, None), (2, 0, None, None), (2, 0, None, None)]
 
 
 def snapshots(spark):
