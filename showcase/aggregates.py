@@ -124,6 +124,10 @@ def _profile_sql() -> str:
         "id_col": '"row_id"',
         "label_col": '"income_gt_50k"',
         "leakage_label_in_features": "false",
+        "dataset": '"census income"',
+        "target_definition": '"income_gt_50k is 1 if the class is >50K, 0 if it is <=50K"',
+        "positive_class": '">50K"',
+        "negative_class": '"<=50K"',
     }
     parts = [
         "SELECT 'rows' AS metric, CAST(count(*) AS VARCHAR) AS value FROM raw",

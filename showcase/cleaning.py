@@ -254,8 +254,10 @@ def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FINGERPRINT = (
-    "SELECT CAST('0x' || substr(md5(concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_orderpriority)), 1, 8) AS BIGINT) AS h "
-    "FROM orders"
+    "SELECT CAST('0x' || substr(md5(concat("
+    + ", ".join(f"coalesce(CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("o_orderkey", "o_custkey", "status", "o_orderpriority"))
+    + ")), 1, 8) AS BIGINT) AS h "
+    "FROM (SELECT *, CASE WHEN o_orderstatus <> 'P' THEN concat(o_orderstatus, '|', o_orderkey % 3) END AS status FROM orders)"
 )
 
 
@@ -263,9 +265,10 @@ _FINGERPRINT = (
     f"SELECT count(*) AS rows, bit_xor(h) AS hash_xor, CAST(sum(h) AS BIGINT) AS hash_sum FROM ({_FINGERPRINT})"
 )
 def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row count and order-free hash of a table version."""
-    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-    printed = table_fingerprint(table(spark, sf_dir, "orders"), columns, portable=True)
+    """Row count and order-free hash of a table version, some fields null and some with marks in them."""
+    columns = ["o_orderkey", "o_custkey", "status", "o_orderpriority"]
+    status = F.expr("CASE WHEN o_orderstatus <> 'P' THEN concat(o_orderstatus, '|', o_orderkey % 3) END")
+    printed = table_fingerprint(table(spark, sf_dir, "orders").withColumn("status", status), columns, portable=True)
     return printed.withColumn("hash_sum", F.col("hash_sum").cast("long"))
 
 

@@ -31,7 +31,7 @@ from tabspine.operators.scoring import fit_preprocessing, impute, impute_values,
 from tabspine.operators.spine import label_spine, labelled_scores, lookup_features
 from tabspine.functions.jsonvals import json_value, pair_map
 from tabspine.plans.data import with_split
-from tabspine.plans.model import compare_job, evaluate_job, explain_job, predict_job, score_keys, train_job
+from tabspine.plans.model import compare_evaluated, evaluate_job, evaluate_versions, explain_job, predict_job, score_keys, train_job
 from tabspine.sources.scratch import materialize, scratch_path
 from tabspine.sources.tables import VersionedTable
 
@@ -92,14 +92,11 @@ def evaluated_version(spark: SparkSession, sf_dir: str) -> DataFrame:
            CASE WHEN c.roc_auc >= p.roc_auc THEN 'go' ELSE 'no-go' END AS result, false AS first_version FROM c, p"""
 )
 def compared_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Evaluate two versions on the same holdout, then decide."""
+    """Evaluate two versions on the same holdout in one pass, then decide."""
     raw = with_split(census(spark, sf_dir))
-    features, spine = feature_frame(raw), label_spine(raw)
-    challenger, champion = (
-        evaluate_job(spark, raw, features, spine, census_scorer(rule), version)
-        for rule, version in ((CENSUS_SCORE, "3"), (CENSUS_SCORE_B, "2"))
-    )
-    return rounded(compare_job(challenger, champion))
+    scorers = {"3": census_scorer(CENSUS_SCORE), "2": census_scorer(CENSUS_SCORE_B)}
+    metrics = evaluate_versions(spark, raw, feature_frame(raw), label_spine(raw), scorers)
+    return rounded(compare_evaluated(metrics, "3", "2"))
 
 
 @query(

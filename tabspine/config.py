@@ -31,6 +31,10 @@ class Roles:
     categorical: tuple[str, ...] = CATEGORICAL
     engineered: tuple[str, ...] = ENGINEERED
     event_time_col: str | None = None
+    dataset: str = "census income"
+    target_definition: str = "income_gt_50k is 1 if the class is >50K, 0 if it is <=50K"
+    positive_class: str = POSITIVE_CLASS
+    negative_class: str = NEGATIVE_CLASS
 
     @property
     def features(self) -> tuple[str, ...]:

@@ -94,6 +94,10 @@ def table_profile(df: DataFrame, roles: Roles = Roles(), approximate: bool = Fal
         "id_col": F.lit(roles.id_col),
         "label_col": F.lit(roles.label_col),
         "leakage_label_in_features": F.lit(leak),
+        "dataset": F.lit(roles.dataset),
+        "target_definition": F.lit(roles.target_definition),
+        "positive_class": F.lit(roles.positive_class),
+        "negative_class": F.lit(roles.negative_class),
     }
     names = [*main.columns, *fixed]
     values = [F.col(c) for c in main.columns] + list(fixed.values())

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.pipeline import Pipeline
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +22,7 @@ from tabspine.functions.numbers import positive_score
 from tabspine.functions.times import job_time
 from tabspine.operators.metrics import class_balance
 from tabspine.operators.ordering import exact_medians
-from tabspine.operators.profile import modes
+from tabspine.operators.profile import cardinality, modes
 
 
 def impute_values(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> tuple[dict, dict]:
@@ -41,11 +41,12 @@ def impute(df: DataFrame, medians: dict, frequent: dict) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    """Imputation values and a fitted pipeline over the imputed columns; scores frames lazily."""
+    """Imputation values and a fitted pipeline over the imputed columns; scores frames lazily. ``inputs``: versions of what it was fitted on."""
 
     medians: dict
     frequent: dict
     pipeline: PipelineModel
+    inputs: dict = field(default_factory=dict)
 
     def transform(self, df: DataFrame) -> DataFrame:
         return self.pipeline.transform(impute(df, self.medians, self.frequent))
@@ -59,34 +60,58 @@ class Model:
         """Write the model to a folder that any session can load."""
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
         spark = SparkSession.active()
-        values = json.dumps({"medians": self.medians, "frequent": self.frequent})
+        values = json.dumps({"medians": self.medians, "frequent": self.frequent, "inputs": self.inputs})
         spark.range(1).select(F.lit(values).alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/imputation")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Model:
         values = json.loads(spark.read.text(f"{path}/imputation", wholetext=True).first()[0])
-        return Model(values["medians"], values["frequent"], PipelineModel.load(f"{path}/pipeline"))
+        return Model(values["medians"], values["frequent"], PipelineModel.load(f"{path}/pipeline"), values.get("inputs", {}))
 
 
-def preprocessing(numeric: Sequence[str], categorical: Sequence[str]) -> list:
-    """Stages that index and one-hot the categories, unknown ones as all zeros, and assemble ``_features``."""
+#: Categories of a column up to which each has a slot of its own; a column of more is hashed into ``HASHED_SLOTS`` slots.
+MOST_CATEGORIES = 10_000
+HASHED_SLOTS = 4096
+
+
+def many_valued(df: DataFrame, categorical: Sequence[str], most: int = MOST_CATEGORIES) -> list[str]:
+    """The columns with more than ``most`` categories. What is counted stays in the tasks but for one number a column."""
+    if not categorical:
+        return []
+    counts = cardinality(df, categorical).filter(F.col("n_distinct") > most)
+    large = {r["column_name"] for r in counts.select("column_name").collect()}
+    return [c for c in categorical if c in large]
+
+
+def preprocessing(numeric: Sequence[str], categorical: Sequence[str], hashed: Sequence[str] = (), slots: int = HASHED_SLOTS) -> list:
+    """Stages that index and one-hot the categories, unknown ones as all zeros, and assemble ``_features``.
+
+    The vocabulary of an indexed column goes to the driver. ``hashed`` columns have none: their categories share ``slots`` slots, in
+    which a category unseen in fitting has one as well.
+    """
     stages: list = []
+    categorical = [c for c in categorical if c not in hashed]
     hot = [f"{c}__hot" for c in categorical]
+    if hashed:
+        stages.append(FeatureHasher(inputCols=list(hashed), outputCol="_hashed", numFeatures=slots, categoricalCols=list(hashed)))
     if categorical:
         index = [f"{c}__index" for c in categorical]
         stages.append(
             StringIndexer(inputCols=list(categorical), outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc")
         )
         stages.append(OneHotEncoder(inputCols=index, outputCols=hot))
-    stages.append(VectorAssembler(inputCols=[*numeric, *hot], outputCol="_features", handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=[*numeric, *hot, *(["_hashed"] if hashed else [])], outputCol="_features", handleInvalid="keep"))
     return stages
 
 
-def fit_preprocessing(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> Model:
-    """Imputation and encoding learned from a frame."""
+def fit_preprocessing(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], most: int = MOST_CATEGORIES, slots: int = HASHED_SLOTS
+) -> Model:
+    """Imputation and encoding learned from a frame; a column of more than ``most`` categories is hashed."""
     medians, frequent = impute_values(df, numeric, categorical)
     rows = impute(df.select(*numeric, *categorical), medians, frequent)
-    return Model(medians, frequent, Pipeline(stages=preprocessing(numeric, categorical)).fit(rows))
+    stages = preprocessing(numeric, categorical, many_valued(df, categorical, most), slots)
+    return Model(medians, frequent, Pipeline(stages=stages).fit(rows))
 
 
 def train_trees(

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Mapping
+from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +39,7 @@ from tabspine.sources.tables import VersionedTable, append_log
 
 # Takes a frame of keys and features, gives at least the key and ``score``. For explaining it must keep all columns.
 Scorer = Callable[[DataFrame], DataFrame]
+Table = DataFrame | VersionedTable
 
 
 def check_alignment(
@@ -48,12 +52,30 @@ def check_alignment(
     return checks
 
 
-def train_job(raw: DataFrame, features: DataFrame, spine: DataFrame, config: Config = Config()) -> Model:
-    """Fit trees on the train split. The looked-up rows are written once, since fitting reads them many times."""
+def pinned(*tables: Table) -> list[DataFrame]:
+    """Frames of tables; of versioned ones the version that is current now, whatever is written meanwhile."""
+    return [t.read(t.version) if isinstance(t, VersionedTable) else t for t in tables]
+
+
+def input_versions(**tables: Table) -> dict[str, dict]:
+    """Version and fingerprint of each versioned table."""
+    return {
+        name: {"version": t.version, "fingerprint": str(t.fingerprint())} for name, t in tables.items() if isinstance(t, VersionedTable)
+    }
+
+
+def train_job(raw: Table, features: Table, spine: Table, config: Config = Config()) -> Model:
+    """Fit trees on the train split. The looked-up rows are written once, since fitting reads them many times.
+
+    The model knows the versions and fingerprints of the versioned tables it was fitted on.
+    """
     roles = config.roles
+    inputs = input_versions(raw=raw, features=features, spine=spine)
+    raw, features, spine = pinned(raw, features, spine)
     check_alignment(raw, features, spine, "train", config)
     rows = materialize(training_frame(spine, features, "train", roles), "training")
-    return train_trees(rows, roles.label_col, roles.model_numeric, roles.categorical, config.trees)
+    model = train_trees(rows, roles.label_col, roles.model_numeric, roles.categorical, config.trees)
+    return replace(model, inputs=inputs)
 
 
 def score_keys(keys: DataFrame, features: DataFrame, scorer: Scorer, config: Config = Config()) -> DataFrame:
@@ -72,44 +94,89 @@ def smoke_job(features: DataFrame, scorer: Scorer, rows: int = 20, config: Confi
     return scored
 
 
+def version_metrics(spine: DataFrame, features: DataFrame, scorers: Mapping[str, Scorer], config: Config = Config()) -> DataFrame:
+    """One row of holdout metrics for each model version, all out of one lookup and one join with the labels.
+
+    The looked-up features are written once for all scorers. Labels are joined to the scores afterwards, so no scorer ever sees them, and a
+    score that got lost on the way shows up as a lost row of its version.
+    """
+    roles = config.roles
+    key, version = roles.id_col, F.col("model_version")
+    labels = spine.filter(F.col(roles.split_col) == "holdout").select(key, roles.label_col)
+    found = lookup_features(labels.select(key), features, key, roles.model_features)
+    if len(scorers) > 1:
+        found = materialize(found, "holdout-features")
+    scored = [s(found).select(key, F.lit(v).alias("model_version"), F.col("score").cast("double").alias("score")) for v, s in scorers.items()]
+    asked = labels.withColumn("model_version", F.explode(F.array(*map(F.lit, scorers))))
+    joined = asked.join(reduce(DataFrame.unionByName, scored), [key, "model_version"], "left")
+    stored = materialize(joined.select(version, roles.label_col, "score"), "holdout-scores")
+    return classification_metrics(stored, roles.label_col, "score", ["model_version"], config.limits.threshold)
+
+
 def holdout_metrics(
     spine: DataFrame, features: DataFrame, scorer: Scorer, model_version: str, config: Config = Config()
 ) -> DataFrame:
-    """One row of holdout metrics of a model version. Labels are joined to the scores afterwards, so the scorer never sees
-    them, and a score that got lost on the way shows up as a lost row."""
-    roles = config.roles
-    labels = spine.filter(F.col(roles.split_col) == "holdout").select(roles.id_col, roles.label_col)
-    joined = labelled_scores(labels, score_keys(labels, features, scorer, config), roles.id_col)
-    scored = materialize(joined.select(roles.label_col, "score"), "holdout-scores")
-    metrics = classification_metrics(scored, roles.label_col, "score", threshold=config.limits.threshold)
-    return metrics.select(F.lit(model_version).alias("model_version"), "*")
+    """One row of holdout metrics of a model version."""
+    return version_metrics(spine, features, {model_version: scorer}, config)
 
 
-def evaluate_job(
+def evaluate_versions(
     spark: SparkSession,
-    raw: DataFrame,
-    features: DataFrame,
-    spine: DataFrame,
-    scorer: Scorer,
-    model_version: str,
+    raw: Table,
+    features: Table,
+    spine: Table,
+    scorers: Mapping[str, Scorer],
     monitor_log: DataFrame | None = None,
     config: Config = Config(),
 ) -> DataFrame:
-    """Monitor gate, alignment, holdout metrics, evaluation gate; returns (model_version, metric, value) rows."""
+    """Monitor gate, one alignment, holdout metrics of all versions, evaluation gates; returns (model_version, metric, value) rows.
+
+    Of versioned tables, ``inputs`` tells the versions and fingerprints as JSON.
+    """
     if monitor_log is not None:
         require(monitor_check(monitor_log, spark))
+    inputs = input_versions(raw=raw, features=features, spine=spine)
+    raw, features, spine = pinned(raw, features, spine)
     check_alignment(raw, features, spine, "holdout", config)
-    metrics = materialize(holdout_metrics(spine, features, scorer, model_version, config), "metrics")
-    require(evaluation_checks(metrics, config.limits))
-    return long_metrics(metrics, ["model_version"])
+    metrics = materialize(version_metrics(spine, features, scorers, config), "metrics")
+    for version in scorers:
+        own = metrics.filter(F.col("model_version") == version)
+        # A holdout without rows gives none for a version, and none would pass any gate.
+        require(evaluation_checks(own if not own.isEmpty() else _no_rows(metrics), config.limits))
+    rows = long_metrics(metrics, ["model_version"])
+    return rows.withColumn("inputs", F.lit(json.dumps(inputs))) if inputs else rows
+
+
+def _no_rows(metrics: DataFrame) -> DataFrame:
+    return metrics.sparkSession.range(1).select(*[F.lit(0 if n.endswith("rows") else None).cast(t).alias(n) for n, t in metrics.dtypes])
+
+
+def evaluate_job(
+    spark: SparkSession,
+    raw: Table,
+    features: Table,
+    spine: Table,
+    scorer: Scorer,
+    model_version: str,
+    monitor_log: DataFrame | None = None,
+    config: Config = Config(),
+) -> DataFrame:
+    """:func:`evaluate_versions` of one version."""
+    return evaluate_versions(spark, raw, features, spine, {model_version: scorer}, monitor_log, config)
+
+
+def compare_evaluated(metrics: DataFrame, challenger: str, champion: str | None, config: Config = Config()) -> DataFrame:
+    """Decision row between two versions that were evaluated together."""
+    rows = {v: metrics.filter(F.col("model_version") == v) for v in (challenger, champion) if v is not None}
+    return compare_job(rows[challenger], rows.get(champion), config)
 
 
 def compare_job(challenger: DataFrame, champion: DataFrame | None, config: Config = Config()) -> DataFrame:
     """Decision row on the configured metric; inputs are (model_version, metric, value) rows."""
     limits = config.limits
-    old = champion.drop("model_version") if champion is not None else None
+    old = champion.drop("model_version", "inputs") if champion is not None else None
     return compare_versions(
-        challenger.drop("model_version"), old, limits.compare_metric,
+        challenger.drop("model_version", "inputs"), old, limits.compare_metric,
         higher_is_better=limits.higher_is_better, margin=limits.compare_margin,
     )
 

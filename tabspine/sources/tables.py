@@ -6,6 +6,8 @@ counts only once the write has committed its ``_SUCCESS`` marker, so readers see
 
 from __future__ import annotations
 
+import hashlib
+import json
 import re
 import time
 from collections.abc import Sequence
@@ -14,7 +16,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tabspine.operators.fingerprint import Fingerprint, fingerprint_of
 from tabspine.operators.status import latest_rows
 from tabspine.operators.upsert import newer_rows, overlay_rows, refuse_new_columns
 
@@ -84,6 +88,9 @@ class VersionedTable:
     Writers claim a number before they write and may commit in any order; the table is what the writes give in order of their
     numbers. So a fold names the numbers before it that were not committed when it read. If one of them commits later,
     the fold no longer counts, and readers go back to the full version before it and all its deltas, until the next fold.
+
+    With ``buckets``, full versions are bucketed and sorted by the key. The layout is noted with the version and used on reads, so
+    tables of as many buckets join by their keys without a shuffle, as long as no deltas lie over them.
     """
 
     spark: SparkSession
@@ -92,6 +99,7 @@ class VersionedTable:
     max_deltas: int = 8
     max_delta_share: float = 0.2
     patience: float = 24 * 3600.0
+    buckets: int = 0
 
     def _hadoop(self, path: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -135,14 +143,14 @@ class VersionedTable:
             return None
         source = fs.open(path)
         try:
-            return source.readUTF()
+            return bytes(source.readAllBytes()).decode()
         finally:
             source.close()
 
     def _write_note(self, name: str, text: str, overwrite: bool = False) -> None:
         out = self._fs().create(self._hadoop(f"{self.path}/{name}"), overwrite)
         try:
-            out.writeUTF(text)
+            out.write(bytearray(text.encode()))
         finally:
             out.close()
 
@@ -162,7 +170,18 @@ class VersionedTable:
     def _write(self, df: DataFrame, is_delta: bool, tag: str | None, partition_by: Sequence[str] = (), number: int | None = None) -> int:
         number = number or self.reserve()
         name = f"v{number:09d}{'d' if is_delta else ''}" + (f"-{tag}" if tag else "")
-        (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(f"{self.path}/{name}")
+        bucketed = bool(self.buckets and self.key and not is_delta)
+        inner = [f for f in df.schema.fields if f.name not in partition_by]
+        schema = T.StructType([*inner, *(df.schema[c] for c in partition_by)])
+        about = {"schema": schema.jsonValue(), "partition_by": list(partition_by), "buckets": self.buckets if bucketed else 0, "key": self.key}
+        self._write_note(f"_about/{number:09d}", json.dumps(about))
+        if bucketed:
+            # Rows of a bucket meet in one task, so that each bucket becomes one file.
+            writer = df.repartition(self.buckets, self.key).write.bucketBy(self.buckets, self.key).sortBy(self.key)
+            writer = writer.partitionBy(*partition_by) if partition_by else writer
+            writer.format("parquet").option("path", f"{self.path}/{name}").saveAsTable(self._catalog_name(name))
+        else:
+            (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(f"{self.path}/{name}")
         if not self._fs().exists(self._claim(number)):
             self._fs().delete(self._hadoop(f"{self.path}/{name}"), True)
             raise RuntimeError(f"write {number} of {self.path} took longer than {self.patience:g} seconds and was given up")
@@ -175,7 +194,11 @@ class VersionedTable:
         held = {p.number for p in self._committed()}
         missed = {n for n in range(parts[0].number + 1, number) if n not in held} | (self._missed(parts[0]) - held)
         self._write_note(f"_folds/{number:09d}", " ".join(map(str, sorted(missed))))
-        return self._write(self._laid(parts), False, None, number=number)
+        known = self._read_note(self._print_of(parts))
+        if known is not None:
+            self._write_note(f"_prints/{number}", known, overwrite=True)
+        partition_by = json.loads(self._read_note(f"_about/{parts[0].number:09d}") or '{"partition_by": []}')["partition_by"]
+        return self._write(self._laid(parts), False, None, partition_by, number)
 
     @property
     def version(self) -> int:
@@ -206,12 +229,61 @@ class VersionedTable:
     def _laid(self, parts: Sequence[_Part]) -> DataFrame:
         """Deltas laid over a full version."""
         base, *deltas = parts
-        rows = self.spark.read.parquet(base.path)
-        if not deltas:
-            return rows
-        read = [self.spark.read.parquet(p.path).withColumn("_number", F.lit(p.number)) for p in deltas]
-        changes = latest_rows(reduce(DataFrame.unionByName, read), [self.key], ["_number"]) if len(read) > 1 else read[0]
-        return overlay_rows(rows, changes, self.key)
+        return overlay_rows(self._rows(base), self._changes(deltas), self.key) if deltas else self._rows(base)
+
+    def _changes(self, deltas: Sequence[_Part]) -> DataFrame:
+        """The last change of each key."""
+        read = [self._rows(p).withColumn("_number", F.lit(p.number)) for p in deltas]
+        return latest_rows(reduce(DataFrame.unionByName, read), [self.key], ["_number"]) if len(read) > 1 else read[0]
+
+    def _rows(self, part: _Part) -> DataFrame:
+        """What one write has written."""
+        note = self._read_note(f"_about/{part.number:09d}")
+        if note is None:
+            return self.spark.read.parquet(part.path)
+        about = json.loads(note)
+        schema = T.StructType.fromJson(about["schema"])
+        if not about["buckets"]:
+            return self.spark.read.schema(schema).parquet(part.path)
+        name, key = self._catalog_name(part.path.rsplit("/", 1)[-1]), about["key"]
+        if not self.spark.catalog.tableExists(name):
+            parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in about['partition_by'])})" if about["partition_by"] else ""
+            place = part.path.replace("'", "\\'")
+            self.spark.sql(
+                f"CREATE TABLE {name} ({schema.toDDL()}) USING parquet {parts} "
+                f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {about['buckets']} BUCKETS LOCATION '{place}'"
+            )
+            if parts:
+                self.spark.catalog.recoverPartitions(name)
+        return self.spark.table(name)
+
+    def _catalog_name(self, folder: str) -> str:
+        """Name under which a session's catalog knows a bucketed folder."""
+        return "tabspine_" + hashlib.md5(f"{self.path}/{folder}".encode()).hexdigest()
+
+    def fingerprint(self) -> Fingerprint:
+        """Fingerprint of the current rows: that of the last state that has one, updated by the rows that deltas since then changed.
+
+        It is noted for the state, so only rows that a delta touched are hashed again, not the table.
+        """
+        parts = self._current()
+        for n in range(len(parts), 0, -1):
+            note = self._read_note(self._print_of(parts[:n]))
+            if note is not None:
+                known = Fingerprint.parse(note)
+                break
+        else:
+            n, known = 1, fingerprint_of(self._laid(parts[:1]))
+        if n < len(parts):
+            before, changes = self._laid(parts[:n]), self._changes(parts[n:])
+            columns = before.columns
+            known -= fingerprint_of(before.join(changes.select(self.key), self.key, "left_semi").select(*columns))
+            known += fingerprint_of(changes.filter(~F.col("_deleted")).select(*columns))
+        self._write_note(self._print_of(parts), str(known), overwrite=True)
+        return known
+
+    def _print_of(self, parts: Sequence[_Part]) -> str:
+        return "_prints/" + "-".join(str(p.number) for p in parts)
 
     def replace(self, df: DataFrame, tag: str | None = None, partition_by: Sequence[str] = (), number: int | None = None) -> int:
         """Write a whole new version, under a reserved number if one is given, and return its number."""
@@ -272,6 +344,7 @@ class VersionedTable:
         old = [p for p in parts if p.number < first]
         for part in old:
             self._fs().delete(self._hadoop(part.path), True)
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._catalog_name(part.path.rsplit('/', 1)[-1])}")
         return len(old)
 
     def _may_commit(self, number: int) -> bool:

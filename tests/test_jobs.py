@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from showcase.frames import CENSUS_SCORE, CENSUS_SCORE_B, census
@@ -11,14 +14,18 @@ from tabspine.functions.keys import hash_split
 from tabspine.operators.checks import GateError
 from tabspine.operators.clean import LabelError
 from tabspine.operators.engineer import feature_frame
-from tabspine.operators.scoring import Model, score_in_chunks
-from tabspine.operators.spine import label_spine, training_frame
+from tabspine.operators.fingerprint import fingerprint_of
+from tabspine.operators.scoring import Model, fit_preprocessing, many_valued, score_in_chunks
+from tabspine.operators.spine import label_spine, lookup_features, prediction_inputs, training_frame
 from tabspine.operators.status import latest_row
 from tabspine.plans.data import check_job, feature_job, profile_job, seed_job, with_split
+from tabspine.plans import model as model_plans
 from tabspine.plans.model import (
     check_alignment,
+    compare_evaluated,
     compare_job,
     evaluate_job,
+    evaluate_versions,
     explain_job,
     holdout_metrics,
     monitor_job,
@@ -175,6 +182,53 @@ def test_a_fold_loses_no_write_that_commits_late(spark, tmp_path):
     assert table.vacuum(1) == 5 and rows_of(table) == [(0, "first"), (1, "a"), (2, "late"), (3, "b")]
 
 
+def test_fingerprints_follow_the_deltas(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), "id", max_deltas=3, max_delta_share=10.0)
+    rows = lambda low, n, v: spark.range(low, low + n).withColumn("v", F.lit(v))
+    table.upsert(rows(0, 300, "a"))
+    first = table.fingerprint()
+    for i in range(10):
+        low = (i * 67) % 330
+        if i % 3 == 2:
+            table.apply(rows(low, 9, "").withColumn("_deleted", F.lit(True)))
+        else:
+            table.upsert(rows(low, 25, f"v{i % 4}"))
+        assert table.fingerprint() == fingerprint_of(table.read()), i
+    assert table.fingerprint() != first
+    # A state that has a fingerprint is not read again, a later one only where deltas touch it.
+    for file in (tmp_path / "t").glob("v*/*.parquet"):
+        file.rename(file.with_suffix(".gone"))
+    assert table.fingerprint().rows > 0
+
+
+def test_tables_of_as_many_buckets_join_without_a_shuffle(spark, sf_dir, tmp_path):
+    raw, spine, features = (VersionedTable(spark, str(tmp_path / n), "row_id", buckets=4) for n in ("raw", "spine", "features"))
+    raw.replace(census(spark, sf_dir))
+    feature_job(raw.read(), spine, features)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for again in (False, True):
+            lookups = {
+                "train": training_frame(spine.read(), features.read(), "train"),
+                "evaluate": lookup_features(spine.read().filter("split = 'holdout'").select("row_id"), features.read(), "row_id", ["age"]),
+                "predict": prediction_inputs(raw.read(), features.read(), "row_id"),
+                "explain": training_frame(spine.read(), features.read(), "holdout", keep_key=True),
+            }
+            for name, frame in lookups.items():
+                assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString(), name
+            assert lookups["predict"].count() == raw.read().count()
+            assert lookups["train"].filter("age IS NULL").isEmpty() and lookups["train"].count() > 0
+            if not again:  # another session's catalog knows none of the tables
+                for found in spark.catalog.listTables():
+                    spark.sql(f"DROP TABLE IF EXISTS {found.name}")
+        assert features.read().filter("row_id = 5").count() == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    version = features.version
+    features.upsert(features.read().filter("row_id = 5").withColumn("age", F.lit(1).cast(features.read().schema["age"].dataType)))
+    assert features.version > version and features.read().filter("age = 1").count() == 1
+
+
 def test_a_writer_that_was_given_up_is_told(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"), "id", max_deltas=0, patience=-1.0)
     table.upsert(spark.range(1))
@@ -373,12 +427,56 @@ def test_train_evaluate_compare(spark, tables, tmp_path):
     # Unseen categories and missing numbers still get a score.
     odd = features.withColumns({"sex": F.lit("unseen"), "age": F.lit(None).cast("bigint")})
     assert model.score(odd).filter("score IS NULL").count() == 0
+    assert model.inputs == {} and again.inputs == {}
     weak = evaluate_job(spark, raw, features, spine, rule(CENSUS_SCORE_B), "1", config=small)
     assert compare_job(metrics, None).first()["first_version"]
     decision = compare_job(metrics, weak).first()
     assert decision["result"] == ("go" if decision["challenger"] >= decision["champion"] else "no-go")
 
 
+def test_versions_are_evaluated_in_one_pass(spark, tables, tmp_path, monkeypatch):
+    raw, spine, features, _ = tables
+    stored = VersionedTable(spark, str(tmp_path / "features"), "row_id")
+    stored.replace(features)
+    seen = []
+    monkeypatch.setattr(model_plans, "check_alignment", lambda *a, **k: seen.append(check_alignment(*a, **k)))
+    scorers = {"3": rule(CENSUS_SCORE), "2": rule(CENSUS_SCORE_B), "1": rule("CAST(fnlwgt % 1000 AS DOUBLE) / 1000 + CAST(fnlwgt > 250000 AS INT)")}
+    together = evaluate_versions(spark, raw, stored, spine, scorers)
+    assert len(seen) == 1
+    alone = [evaluate_job(spark, raw, features, spine, s, v) for v, s in scorers.items()]
+    pairs = lambda *frames: sorted((r["model_version"], r["metric"], round(r["value"], 9)) for f in frames for r in f.collect())
+    assert pairs(together) == pairs(*alone)
+    inputs = json.loads(together.first()["inputs"])
+    assert inputs == {"features": {"version": 1, "fingerprint": str(fingerprint_of(features))}}
+    decision = compare_evaluated(together, "2", "3").first()
+    assert decision["result"] == ("go" if decision["challenger"] >= decision["champion"] else "no-go")
+    with pytest.raises(GateError, match="min_roc_auc"):
+        evaluate_versions(spark, raw, features, spine, {"3": rule(CENSUS_SCORE), "0": rule("0.5D")})
+    with pytest.raises(GateError, match="no_lost_rows"):
+        evaluate_versions(spark, raw, features, spine, {"3": rule(CENSUS_SCORE), "0": rule("CASE WHEN row_id % 2 = 0 THEN 0.5D END")})
+
+
+def test_a_model_knows_its_inputs(spark, tables, tmp_path):
+    raw, spine, features, _ = tables
+    stored = VersionedTable(spark, str(tmp_path / "features"), "row_id")
+    stored.replace(features)
+    model = train_job(raw, stored, spine, Config(trees=TreeParams(trees=2, depth=2)))
+    assert model.inputs["features"] == {"version": 1, "fingerprint": str(fingerprint_of(features))}
+    model.save(str(tmp_path / "model"))
+    assert Model.load(spark, str(tmp_path / "model")).inputs == model.inputs
+
+
+def test_a_column_of_many_categories_is_hashed(spark):
+    rows = spark.range(3_000).select("id", (F.col("id") % 7).cast("double").alias("n"), F.concat(F.lit("c"), F.col("id")).alias("many"), (F.col("id") % 3).cast("string").alias("few"))
+    encoder = fit_preprocessing(rows, ["n"], ["many", "few"], most=1_000, slots=64)
+    stages = {type(s).__name__: s for s in encoder.pipeline.stages}
+    assert stages["FeatureHasher"].getInputCols() == ["many"] and [len(x) for x in stages["StringIndexerModel"].labelsArray] == [3]
+    out = encoder.transform(rows).select(vector_to_array("_features").alias("v"))
+    assert out.filter(F.size("v") != 1 + 3 + 64).isEmpty()
+    assert out.filter(F.aggregate(F.slice("v", 5, 64), F.lit(0.0), lambda a, x: a + x) != 1).isEmpty()
+    assert many_valued(rows, ["many", "few"]) == [] and many_valued(rows, []) == []
+
+
 def test_evaluation_is_refused(spark, tables, tmp_path):
     raw, spine, features, _ = tables
     with pytest.raises(GateError, match="min_roc_auc"):

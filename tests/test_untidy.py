@@ -44,6 +44,8 @@ def test_a_missing_metric_still_gives_a_decision(spark):
 def test_fingerprint_tells_nulls_apart(spark):
     a, b = (spark.createDataFrame([row], "x string, y string") for row in ((None, "x"), ("x", None)))
     assert table_fingerprint(a).first() != table_fingerprint(b).first()
+    one = lambda *row: table_fingerprint(spark.createDataFrame([row], "a string, b string"), portable=True).first()
+    assert one("p|q", "x") != one("p", "q|x") and one(None, "x") != one("\\N", "x") and one("", None) != one(None, "")
 
 
 def test_blocks_do_not_change_the_ring(spark):
