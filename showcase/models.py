@@ -267,17 +267,24 @@ _PAYLOADS = [
     f"concat('{{\"foo\": ', {_A}, '}}')",
     _A,
     f"concat('{{\"predictions\": [{{\"prediction\": ', {_B}, '}}, \"x\"]}}')",
+    "'[]'",
+    "'true'",
+    f"concat('{{\"predictions\": [[', {_A}, '], {{\"score\": \"', {_B}, '\"}}]}}')",
+    f"concat('{{\"predictions\": [', {_A})",
+    "'{\"predictions\": []}'",
+    f"concat('[', {_A}, ', null]')",
 ]
-_PAYLOAD = "CASE event_id % 10 " + " ".join(f"WHEN {i} THEN {p}" for i, p in enumerate(_PAYLOADS)) + " END"
-_SCORES_SQL = f"""WITH n AS (SELECT event_id, event_id % 10 AS shape, CAST({_A} AS DOUBLE) AS a, CAST({_B} AS DOUBLE) AS b FROM events)
-    SELECT event_id, 0 AS position, CASE WHEN shape IN (0, 1, 2, 5, 8) THEN a ELSE b END AS score FROM n WHERE shape NOT IN (6, 7, 9)
-    UNION ALL SELECT event_id, 1, CASE WHEN shape = 3 THEN a ELSE b END FROM n WHERE shape IN (0, 1, 3, 5)
-    UNION ALL SELECT event_id, NULL, NULL FROM n WHERE shape IN (6, 7, 9)"""
+_PAYLOAD = "CASE event_id % 16 " + " ".join(f"WHEN {i} THEN {p}" for i, p in enumerate(_PAYLOADS)) + " END"
+_SCORES_SQL = f"""WITH n AS (SELECT event_id, event_id % 16 AS shape, CAST({_A} AS DOUBLE) AS a, CAST({_B} AS DOUBLE) AS b FROM events)
+    SELECT event_id, 0 AS position, CASE WHEN shape = 11 THEN 1 WHEN shape IN (0, 1, 2, 5, 8, 12) THEN a ELSE b END AS score
+    FROM n WHERE shape NOT IN (6, 7, 9, 10, 13, 14, 15)
+    UNION ALL SELECT event_id, 1, CASE WHEN shape = 3 THEN a ELSE b END FROM n WHERE shape IN (0, 1, 3, 5, 12)
+    UNION ALL SELECT event_id, NULL, NULL FROM n WHERE shape IN (6, 7, 9, 13, 15)"""
 
 
 @query(_SCORES_SQL)
 def score_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores out of JSON payloads of ten shapes."""
+    """Scores out of JSON payloads of sixteen shapes."""
     payloads = table(spark, sf_dir, "events").select("event_id", F.expr(_PAYLOAD).alias("payload"))
     return score_rows(payloads, "event_id", "payload")
 

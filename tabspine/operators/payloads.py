@@ -40,8 +40,11 @@ def score_rows(df: DataFrame, key: str, payload_col: str) -> DataFrame:
     items = bodies.select(key, "_text", body_items("_body").alias("_items"))
     staged = items.select(key, "_items", ordered_objects("_items", "_text").alias("_ordered"))
     scores = staged.select(key, item_scores("_items", "_ordered").alias("_scores"))
-    whole = scores.select(key, if_complete("_scores").alias("_scores")).filter("_scores IS NULL OR size(_scores) > 0")
-    return whole.select(key, F.posexplode_outer("_scores").alias("position", "score"))
+    whole = scores.select(key, if_complete("_scores").alias("_scores"))
+    # No filter on the scores: it would be pushed below every stage, and each stage evaluated again for it.
+    unread = F.array(F.struct(F.lit(None).cast("int").alias("position"), F.lit(None).cast("double").alias("score")))
+    read = F.transform("_scores", lambda s, i: F.struct(i.alias("position"), s.alias("score")))
+    return whole.select(key, F.inline(F.when(F.col("_scores").isNull(), unread).otherwise(read)))
 
 
 def require_readable(scored: DataFrame) -> DataFrame:

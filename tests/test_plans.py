@@ -11,6 +11,7 @@ from showcase.frames import census, table
 from tabspine.operators.engineer import feature_frame
 from tabspine.operators.metrics import classification_metrics
 from tabspine.operators.ordering import chronological_split, global_row_number
+from tabspine.operators.payloads import score_rows
 from tabspine.operators.profile import table_profile
 from tabspine.operators.spine import as_of_lookup, training_frame
 from tabspine.operators.status import latest_rows
@@ -93,6 +94,12 @@ def test_as_of_windows_are_keyed(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_payload_stages_are_evaluated_once(spark):
+    payloads = spark.range(9).select("id", F.lit("[[0.1, 0.2], 0.3]").alias("p"))
+    text = plan(score_rows(payloads, "id", "p"))
+    assert "Filter" not in text and text.count("try_parse_json") <= 1
+
+
 @pytest.mark.parametrize("module", ["clean", "engineer", "spine", "upsert", "status", "profile", "canary", "compare", "fingerprint", "importance"])
 def test_operators_do_not_pull_rows_to_the_driver(module):
     with open(f"tabspine/operators/{module}.py") as source:
