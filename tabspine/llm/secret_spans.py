@@ -217,11 +217,11 @@ def secret_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", settin
     def named(spans):
         return F.transform(F.array_sort(spans), lambda x: F.struct(x["start"].alias("start"), F.get(kinds, x["kind"]).alias("kind"), x["end"].alias("end")))
 
-    counted = [
-        F.size(F.filter("forms", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS[:3])
-    ]
+    def count(kind: int):
+        return F.size(F.filter("forms", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
+
     return rows.select(
-        F.col("id").alias(id), *counted, F.size(found).cast("long").alias("n_random"),
+        F.col("id").alias(id), *map(count, range(3)), F.size(found).cast("long").alias("n_random"),
         named(F.col("forms")).alias("base"), named(F.concat("forms", found)).alias("spans"),
     )
 
