@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 from tabspine.llm import (
     cutting_stock, decontamination, language, language_model, licenses, near_duplicates, neighbours, packing, quality, queries,
-    token_counts, warc,
+    token_counts, warc, workers,
 )
 
 SMALL = "/root/testdata/sf0.001"
@@ -276,6 +276,41 @@ def test_contamination_equals_brute_force(spark, texts, shard_bytes):
     assert cases[2][rows[2]["spans"][0]["start"] : rows[2]["spans"][0]["end"]] == long.upper()
 
 
+def test_each_shard_of_a_benchmark_is_a_pass_of_its_own(spark, texts, monkeypatch):
+    docs, bench = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "benchmark"))
+    seen, write = [], decontamination.materialize
+
+    def watched(frame, name):
+        seen.append((name, frame._jdf.queryExecution().executedPlan().toString().count("MapInArrow")))
+        return write(frame, name)
+
+    whole = by_id(decontamination.contaminated(docs, bench))
+    monkeypatch.setattr(decontamination, "materialize", watched)
+    size = sum(len(r["text"]) for r in bench.collect())
+    settings = decontamination.Settings(shard_bytes=size // 10, part_words=15)
+    assert by_id(decontamination.contaminated(docs, bench, settings=settings)) == whole
+    hits = [n for name, n in seen if name == "hits"]
+    assert len(hits) >= 10 and set(hits) == {1}
+    items = {r["item_id"]: r["text"] for r in bench.collect()}
+    assert any(r["contaminated"] for r in whole.values())
+    for i, r in whole.items():
+        assert (r["n_words"], r["n_hit"], r["items"], r["contaminated"]) == leak_truth(texts[i], items)
+
+
+def test_one_thing_is_held_at_a_time():
+    made = []
+    assert workers.held("a", lambda: made.append("a") or 1) == 1 == workers.held("a", lambda: made.append("again"))
+    assert workers.held("b", lambda: 2) == 2 and list(workers._HELD) == ["b"] and made == ["a"]
+    assert list(workers.tidy(iter)(iter([1, 2]))) == [1, 2] and not workers._HELD
+    workers.held("c", lambda: 3)
+    ended = []
+    cut_short = workers.tidy(iter, holds=True, after=lambda: ended.append(1))(iter([1, 2]))
+    next(cut_short)
+    cut_short.close()
+    assert ended == [1] and list(workers._HELD) == ["c"]
+    workers._HELD.clear()
+
+
 def test_contamination_of_awkward_tables(spark, awkward, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     assert not any(r["contaminated"] for r in decontamination.contaminated(awkward, none).collect())
