@@ -63,18 +63,19 @@ class _Windows:
 
     numbers: dict[bytes, int] = field(default_factory=dict)
     automaton: ahocorasick.Automaton | None = None
+    runs: re.Pattern[bytes] | None = None
 
     @classmethod
     def of(cls, parts: list[tuple[str, bytes]], size: int) -> _Windows:
         made = cls()
         owners: dict[tuple[int, ...], set[str]] = {}
         for item, words in parts:
-            # 0 is every word that no item has.
-            ids = [made.numbers.setdefault(w, len(made.numbers) + 1) for w in words.split()]
+            ids = [made.numbers.setdefault(w, len(made.numbers)) for w in words.split()]
             for i in range(max(1, len(ids) - size + 1)):
                 owners.setdefault(tuple(ids[i : i + size]), set()).add(item)
         if owners:
             made.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+            made.runs = re.compile(b"\x01{%d,}" % min(map(len, owners)))
             while owners:
                 window, items = owners.popitem()
                 made.automaton.add_word(window, (len(window), tuple(items)))
@@ -85,11 +86,14 @@ class _Windows:
         """Words inside any window, as a mask; items that have a window here."""
         edges = np.zeros(len(words) + 1, np.int64)
         items: set[str] = set()
-        if self.automaton is not None and words:
-            number = self.numbers.get
-            for last, (n, owners) in self.automaton.iter(tuple([number(w, 0) for w in words])):
-                edges[last - n + 1] += 1
-                edges[last + 1] -= 1
+        if self.automaton is None:
+            return edges[:-1] > 0, items
+        # A window lies in a run of words that items have, as long as the shortest window at least.
+        for run in self.runs.finditer(bytes(map(self.numbers.__contains__, words))):
+            first = run.start()
+            for last, (n, owners) in self.automaton.iter(tuple([self.numbers[w] for w in words[first : run.end()]])):
+                edges[first + last - n + 1] += 1
+                edges[first + last + 1] -= 1
                 items.update(owners)
         return np.cumsum(edges[:-1]) > 0, items
 
