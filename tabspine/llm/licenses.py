@@ -1,16 +1,19 @@
 """Licence scans with ordered signature rules, in Spark expressions only.
 
-Every rule is a regular expression: a licence's name, and a form of words before it, such as a grant, a metadata field, a
-reference, nothing at all, or an SPDX tag before an identifier. The form gives the priority. A name is tried only on texts
-that have its keywords, and forms only where a name was found. Matches are intervals of the text. One that lies within an
-interval of at least its priority is suppressed, so "GNU General Public License" inside a grant under version 3 gives one
-detection. All work on a text happens in its own row: nothing is shuffled.
+Every rule is a regular expression: wording of a licence or of its notices, a URL, a trove classifier, or a licence's name and a form of
+words before it, such as a grant, a metadata field, a reference, nothing at all, or an SPDX tag before an identifier. The form
+gives the priority. A name or signature is tried only on texts that have its keywords, and forms only where a name was found.
+Matches are intervals of the text. One that lies within an interval of at least its priority is suppressed, so "GNU General
+Public License" inside a grant under version 3 gives one detection. All work on a text happens in its own row: nothing is
+shuffled. Running sums and maxima over a text's matches go by chunks, so a text with very many matches takes time nearly in
+proportion.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +21,8 @@ from pyspark.sql import functions as F
 
 #: Between two words of a name.
 _GAP = r"[\s,.;:()\"'_/-]{1,6}"
+#: Between two words of a signature, comment marks included.
+_LOOSE = r"[\W_]{1,12}"
 _VERSION = rf"(?:{_GAP}(?:version|v\.?))?[\s,v-]{{0,3}}"
 
 #: Label, SPDX identifiers, names as regular expressions. "~" stands for a gap between words and
@@ -77,10 +82,90 @@ LICENSES: tuple[tuple[str, tuple[str, ...], tuple[str, ...]], ...] = (
     ("all-rights-reserved", (), ("all~rights~reserved",)),
 )
 
+#: Label, form and pattern of what tells a licence without its name, or with it inside. A blank stands for any few marks and spaces.
+SIGNATURES: tuple[tuple[str, str, str], ...] = (
+    ("mit", "wording", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "wording", "the above copyright notice and this permission notice (?:including the next paragraph )?shall be included in all copies or substantial portions of the software"),
+    ("bsd", "wording", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd-3", "wording", "neither the name of [\\s\\S]{1,80}? nor the names of (?:its|any|other) contributors may be used to endorse or promote products derived from this software"),
+    ("bsd-4", "wording", "all advertising materials mentioning features or use of this software must display the following acknowledg(?:e)?ment"),
+    ("isc", "wording", "permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted"),
+    ("apache-2", "wording", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("apache-2", "wording", "apache license version 2\\.0 january 2004"),
+    ("apache-1.1", "wording", "this product includes software developed by the apache software foundation"),
+    ("gpl-1", "wording", "(?:licensed |released |distributed )?(?:under the terms of the )?gnu general public license as published by the free software foundation either version 1"),
+    ("gpl-2", "wording", "(?:licensed |released |distributed )?(?:under the terms of the )?gnu general public license as published by the free software foundation either version 2"),
+    ("gpl-3", "wording", "(?:licensed |released |distributed )?(?:under the terms of the )?gnu general public license as published by the free software foundation either version 3"),
+    ("gpl-2", "wording", "(?:licensed |released |distributed )?(?:under the terms of the )?gnu general public license version 2 as published by the free software foundation"),
+    ("gpl-3", "wording", "(?:licensed |released |distributed )?(?:under the terms of the )?gnu general public license version 3 as published by the free software foundation"),
+    ("gpl-2", "wording", "(?:licensed |released |distributed )?(?:under the terms of the )?gnu general public license version 2 june 1991"),
+    ("gpl-3", "wording", "(?:licensed |released |distributed )?(?:under the terms of the )?gnu general public license version 3 29 june 2007"),
+    ("lgpl-2", "wording", "(?:licensed |released |distributed )?(?:under the terms of the )?gnu library general public license as published by the free software foundation either version 2"),
+    ("lgpl-2.1", "wording", "(?:licensed |released |distributed )?(?:under the terms of the )?gnu lesser general public license as published by the free software foundation either version 2\\.1"),
+    ("lgpl-3", "wording", "(?:licensed |released |distributed )?(?:under the terms of the )?gnu lesser general public license as published by the free software foundation either version 3"),
+    ("lgpl-2.1", "wording", "(?:licensed |released |distributed )?(?:under the terms of the )?gnu lesser general public license version 2\\.1 february 1999"),
+    ("lgpl-3", "wording", "(?:licensed |released |distributed )?(?:under the terms of the )?gnu lesser general public license version 3 29 june 2007"),
+    ("agpl-3", "wording", "(?:licensed |released |distributed )?(?:under the terms of the )?gnu affero general public license as published by the free software foundation either version 3"),
+    ("agpl-3", "wording", "(?:licensed |released |distributed )?(?:under the terms of the )?gnu affero general public license version 3 19 november 2007"),
+    ("fdl", "wording", "permission is granted to copy distribute and(?: or)? modify this document under the terms of the gnu free documentation license"),
+    ("mpl-2", "wording", "this source code form is subject to the terms of the mozilla public license v 2\\.0"),
+    ("mpl-2", "wording", "if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("mpl-1.1", "wording", "the contents of this file are subject to the mozilla public license version 1\\.1"),
+    ("epl-1", "wording", "made available under the terms of the eclipse public license v 1\\.0"),
+    ("epl-2", "wording", "made available under the terms of the eclipse public license(?: v)? 2\\.0"),
+    ("cddl-1", "wording", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("cpl-1", "wording", "the accompanying program is provided under the terms of this common public license"),
+    ("zlib", "wording", "in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose"),
+    ("boost-1", "wording", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("unlicense", "wording", "this is free and unencumbered software released into the public domain"),
+    ("wtfpl", "wording", "do what the fuck you want to public license"),
+    ("artistic-1", "wording", "the intent of this document is to state the conditions under which a package may be copied"),
+    ("artistic-2", "wording", "this license establishes the terms under which a given free software package may be copied modified distributed"),
+    ("psf-2", "wording", "this license agreement is between the python software foundation"),
+    ("postgresql", "wording", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("openssl", "wording", "this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("ncsa", "wording", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimers"),
+    ("ofl-1.1", "wording", "this font software is licensed under the sil open font license version 1\\.1"),
+    ("ms-pl", "wording", "this license governs use of the accompanying software if you use the software you accept this license"),
+    ("cc0-1", "wording", "the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("public-domain", "wording", "this (?:work|file|code|software) is (?:hereby )?(?:released|dedicated|placed) (?:into|to|in) the public domain"),
+    ("mit", "url", "opensource\\.org/license(?:s)?/mit"), ("mit", "url", "choosealicense\\.com/licenses/mit"),
+    ("bsd-2", "url", "opensource\\.org/license(?:s)?/bsd-2-clause"), ("bsd-3", "url", "opensource\\.org/license(?:s)?/bsd-3-clause"),
+    ("isc", "url", "opensource\\.org/license(?:s)?/isc"), ("apache-2", "url", "opensource\\.org/license(?:s)?/apache-2\\.0"),
+    ("apache-2", "url", "apache\\.org/licenses/license-2\\.0"), ("apache-1.1", "url", "apache\\.org/licenses/license-1\\.1"),
+    ("gpl-2", "url", "gnu\\.org/(?:old-)?licenses/(?:old-licenses/)?gpl-2\\.0"), ("gpl-3", "url", "gnu\\.org/licenses/gpl-3\\.0"),
+    ("lgpl-2.1", "url", "gnu\\.org/(?:old-)?licenses/(?:old-licenses/)?lgpl-2\\.1"), ("lgpl-3", "url", "gnu\\.org/licenses/lgpl-3\\.0"),
+    ("agpl-3", "url", "gnu\\.org/licenses/agpl-3\\.0"), ("fdl", "url", "gnu\\.org/licenses/fdl"),
+    ("gpl-3", "url", "opensource\\.org/license(?:s)?/gpl-3\\.0"), ("gpl-2", "url", "opensource\\.org/license(?:s)?/gpl-2\\.0"),
+    ("mpl-2", "url", "mozilla\\.org/(?:en-us/)?mpl/2\\.0"), ("mpl-1.1", "url", "mozilla\\.org/(?:en-us/)?mpl/1\\.1"),
+    ("epl-1", "url", "eclipse\\.org/legal/epl-v10"), ("epl-2", "url", "eclipse\\.org/legal/epl-2\\.0"),
+    ("boost-1", "url", "boost\\.org/license_1_0"), ("unlicense", "url", "unlicense\\.org"), ("wtfpl", "url", "wtfpl\\.net"),
+    ("ofl-1.1", "url", "scripts\\.sil\\.org/ofl"), ("odbl-1", "url", "opendatacommons\\.org/licenses/odbl"),
+    ("cc0-1", "url", "creativecommons\\.org/publicdomain/zero"), ("cc-by", "url", "creativecommons\\.org/licenses/by(?!-)"),
+    ("cc-by-sa", "url", "creativecommons\\.org/licenses/by-sa"), ("cc-by-nd", "url", "creativecommons\\.org/licenses/by-nd"),
+    ("cc-by-nc", "url", "creativecommons\\.org/licenses/by-nc(?!-)"), ("cc-by-nc-sa", "url", "creativecommons\\.org/licenses/by-nc-sa"),
+    ("cc-by-nc-nd", "url", "creativecommons\\.org/licenses/by-nc-nd"),
+    ("mit", "classifier", "license :: osi approved :: mit license"), ("apache-2", "classifier", "license :: osi approved :: apache software license"),
+    ("bsd", "classifier", "license :: osi approved :: bsd license"), ("isc", "classifier", "license :: osi approved :: isc license"),
+    ("gpl-2", "classifier", "license :: osi approved :: gnu general public license v2"), ("gpl-3", "classifier", "license :: osi approved :: gnu general public license v3"),
+    ("lgpl-2", "classifier", "license :: osi approved :: gnu lesser general public license v2"),
+    ("lgpl-3", "classifier", "license :: osi approved :: gnu lesser general public license v3"),
+    ("agpl-3", "classifier", "license :: osi approved :: gnu affero general public license v3"),
+    ("mpl-2", "classifier", "license :: osi approved :: mozilla public license 2\\.0"), ("mpl-1.1", "classifier", "license :: osi approved :: mozilla public license 1\\.1"),
+    ("psf-2", "classifier", "license :: osi approved :: python software foundation license"), ("zlib", "classifier", "license :: osi approved :: zlib libpng license"),
+    ("unlicense", "classifier", "license :: osi approved :: the unlicense"), ("boost-1", "classifier", "license :: osi approved :: boost software license 1\\.0"),
+    ("epl-1", "classifier", "license :: osi approved :: eclipse public license 1\\.0"), ("epl-2", "classifier", "license :: osi approved :: eclipse public license 2\\.0"),
+    ("eupl", "classifier", "license :: osi approved :: european union public licen[cs]e 1\\.[12]"), ("cc0-1", "classifier", "license :: cc0 1\\.0 universal"),
+    ("public-domain", "classifier", "license :: public domain"),
+)
+
 #: What stands before a name in each form. The first three go before names, the last before SPDX identifiers.
 _GRANT = rf"(?:licen[cs]ed|released|distributed|available|provided|published|covered|governed|redistributed|dedicated)(?:{_GAP}(?:under|by|to|with|in))(?:{_GAP}(?:the|a|an|terms|conditions|and|of)){{0,6}}{_GAP}"
 #: Form, priority, pattern before the name.
 FORMS: tuple[tuple[str, int, str], ...] = (
+    ("wording", 95, ""),
+    ("classifier", 92, ""),
+    ("url", 85, ""),
     ("spdx tag", 100, r"spdx-licen[cs]e-identifier\s{0,4}:\s{0,4}[(]?"),
     ("field", 90, r"licen[cs]e\s{0,4}[:=]{1,2}\s{0,4}[\"'(\[]?"),
     ("grant", 80, _GRANT),
@@ -89,6 +174,8 @@ FORMS: tuple[tuple[str, int, str], ...] = (
 )
 #: Characters before a name in which the longest form fits.
 _CONTEXT = 160
+#: Matches of a text whose running sums are taken together.
+_CHUNK = 512
 
 _MARKS = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 #: A word, in text whose case is left as it is.
@@ -126,6 +213,10 @@ def names() -> list[Name]:
             made.append((label, _needs(text), pattern, forms))
         for identifier in identifiers:
             made.append((label, ("spdx",), re.escape(identifier.lower()), ("spdx tag",)))
+    for label, form, text in SIGNATURES:
+        # The three longest words are gate enough.
+        needs = tuple(sorted(sorted(_needs(text.replace("(?!-)", "")), key=len)[-3:]))
+        made.append((label, needs, text.replace("(?: ", f"(?:{_LOOSE}").replace(" )?", f"{_LOOSE})?").replace(" ", _LOOSE), (form,)))
     whole = r"(?i)(?<![0-9A-Za-z])(?:%s)(?![0-9A-Za-z]|\.[0-9])"
     return [Name(label, needs, pattern, whole % pattern, forms) for label, needs, pattern, forms in made]
 
@@ -180,23 +271,53 @@ _NAMES = "array<struct<label: string, needs: array<string>, gate: string, patter
 _DETECTION = "array<struct<start: int, end: int, label: string, form: string, priority: int>>"
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What ``use`` makes of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _before_each(items: Column, zero: Column, step: Callable, join: Callable) -> Column:
+    """For each item, the state that the items before it lead to from ``zero``; ``join`` puts two states together.
+
+    States of chunks are put together first, so that arrays which grow item by item stay short.
+    """
+
+    def running(part: Column, first: Column, step: Callable) -> Column:
+        start = F.struct(first.alias("now"), F.slice(F.array(first), 1, 0).alias("found"))
+        return F.aggregate(part, start, lambda s, x: F.struct(
+            step(s["now"], x).alias("now"), F.concat(s["found"], F.array(s["now"])).alias("found")
+        ))["found"]
+
+    def by_chunk(every: Column) -> Column:
+        last = F.floor((F.size(every) - 1) / _CHUNK).cast("int")
+        chunks = F.transform(F.sequence(F.lit(0), last), lambda j: F.slice(every, j * _CHUNK + 1, F.lit(_CHUNK)))
+        return _let(chunks, lambda parts: F.flatten(F.zip_with(
+            parts, running(F.transform(parts, lambda c: F.aggregate(c, zero, step)), zero, join), lambda c, first: running(c, first, step)
+        )))
+
+    return _let(items, lambda every: F.when(F.size(every) > 0, by_chunk(every)).otherwise(F.slice(F.array(zero), 1, 0)))
+
+
 def _matches(text: Column, name: Column) -> Column:
     """Intervals of one name in each form that stands around it: lengths of matches and of what lies between add up to places."""
-    texts, between = F.regexp_extract_all(text, name["pattern"], F.lit(0)), F.split(text, name["pattern"], -1)
-    place = "struct<upto: int, found: array<struct<start: int, end: int>>>"
-    nothing = F.struct(F.lit(0).alias("upto"), F.array().cast("array<struct<start: int, end: int>>").alias("found")).cast(place)
 
-    def step(state: Column, pair: Column) -> Column:
-        start = state["upto"] + F.length(pair["gap"])
-        end = start + F.length(pair["match"])
-        one = F.struct(start.alias("start"), end.alias("end"))
-        return F.struct(end.alias("upto"), F.concat(state["found"], F.array(one)).alias("found")).cast(place)
+    def pairs(texts: Column) -> Column:
+        gaps = F.zip_with(F.split(text, name["pattern"], -1), F.concat(F.array(F.lit("")), texts), lambda gap, earlier: F.struct(
+            F.length(gap).alias("gap"), F.right(F.concat(earlier, gap), F.lit(_CONTEXT)).alias("before")
+        ))
+        sized = F.zip_with(gaps, texts, lambda g, match: F.struct(g["gap"].alias("gap"), g["before"].alias("before"), F.length(match).alias("size")))
+        return F.filter(sized, lambda p: p["size"].isNotNull())
+
+    def placed(found: Column) -> Column:
+        starts = _before_each(found, F.lit(0), lambda upto, p: upto + p["gap"] + p["size"], lambda a, b: a + b)
+        return F.zip_with(found, starts, lambda p, upto: F.struct(
+            (upto + p["gap"]).alias("start"), (upto + p["gap"] + p["size"]).alias("end"), p["before"].alias("before")
+        ))
 
-    pairs = F.zip_with(texts, between, lambda match, gap: F.struct(match.alias("match"), gap.alias("gap")))
-    places = F.aggregate(F.filter(pairs, lambda p: p["match"].isNotNull()), nothing, step)["found"]
+    places = _let(_let(F.regexp_extract_all(text, name["pattern"], F.lit(0)), pairs), placed)
 
     def in_forms(at: Column) -> Column:
-        before = F.substring(text, F.greatest(at["start"] - _CONTEXT, F.lit(0)) + 1, F.least(at["start"], F.lit(_CONTEXT)))
+        before = at["before"]
 
         def one(form: str, priority: int, pattern: str) -> Column:
             length = F.length(F.regexp_extract(before, rf"(?i)(?<![0-9A-Za-z]){pattern}$", 0)) if pattern else F.lit(0)
@@ -221,16 +342,23 @@ def _unsuppressed(found: Column) -> Column:
     key = F.transform(found, lambda d, i: F.struct(
         d["start"].alias("start"), (-d["end"]).alias("back"), (-d["priority"]).alias("low"), i.alias("i"), d.alias("d")
     ))
-    nothing = F.struct(F.array(*[F.lit(0)] * len(levels)).alias("ends"), F.array().cast(_DETECTION).alias("kept"))
+    nothing = F.array(*[F.lit(0)] * len(levels))
+
+    def level(x: Column) -> Column:
+        return F.array_position(F.array(*[F.lit(p) for p in levels]), x["d"]["priority"]).cast("int")
+
+    def further(ends: Column, x: Column) -> Column:
+        return F.transform(ends, lambda e, i: F.when(i < level(x), F.greatest(e, x["d"]["end"])).otherwise(e))
+
+    def furthest(a: Column, b: Column) -> Column:
+        return F.zip_with(a, b, lambda x, y: F.greatest(x, y))
 
-    def step(state: Column, x: Column) -> Column:
-        d = x["d"]
-        level = F.array_position(F.array(*[F.lit(p) for p in levels]), d["priority"]).cast("int")
-        inside = F.element_at(state["ends"], level) >= d["end"]
-        ends = F.transform(state["ends"], lambda e, i: F.when(i < level, F.greatest(e, d["end"])).otherwise(e))
-        return F.struct(ends.alias("ends"), F.when(inside, state["kept"]).otherwise(F.concat(state["kept"], F.array(d))).alias("kept"))
+    def outer(ordered: Column) -> Column:
+        ends = _before_each(ordered, nothing, further, furthest)
+        seen = F.zip_with(ordered, ends, lambda x, e: F.when(F.element_at(e, level(x)) < x["d"]["end"], x["d"]))
+        return F.array_compact(seen)
 
-    return F.aggregate(F.array_sort(key), nothing, step)["kept"]
+    return _let(F.array_sort(key), outer)
 
 
 def licenses(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -240,6 +368,7 @@ def licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     ``start`` (included) and ``end`` (not) in characters of the text, label, form and priority. The score is the highest
     priority over the highest there is, 1 for a base phrase. Null text counts as empty: no words, no labels, score 0. Rows are
     handled each by itself, so repeated rows and ids give repeated results; columns of the same names are replaced, others pass.
+    Very long texts are scanned whole.
     """
     added = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "detections")
     kept = [c for c in docs.columns if c not in added]
@@ -263,7 +392,7 @@ def licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     stand = F.coalesce(F.when(F.size("_found") > 0, _unsuppressed(F.col("_found"))), F.array().cast(_DETECTION))
     rows = rows.select("*", F.explode(F.array(stand)).alias("detections"))
     labels = F.array_sort(F.array_distinct(F.concat("base", F.transform("detections", lambda d: d["label"]))))
-    top = F.coalesce(F.array_max(F.transform("detections", lambda d: d["priority"])), F.lit(0)) / FORMS[0][1]
+    top = F.coalesce(F.array_max(F.transform("detections", lambda d: d["priority"])), F.lit(0)) / max(p for _, p, _ in FORMS)
     return rows.select(
         *kept, "n_words", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"),
         F.array_join(labels, ",").alias("labels"), F.when(F.col("n_base") > 0, 1.0).otherwise(top.cast("double")).alias("score"),
