@@ -129,10 +129,11 @@ _MASKS = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}|[0-9]{3,}|[!#$%&*]{2,}"
 
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token counts of all documents before and after masking, of which only the touched segments are encoded again."""
+    """Token counts of all documents before and after masking: trees are built and kept, then edits are applied to what was kept."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     settings = token_counts.Settings(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return token_counts.count_tokens(token_counts.masked(docs, _MASKS, "[masked]"), settings).drop("tree")
+    kept = materialize(token_counts.build(docs, settings), "token-trees")
+    return token_counts.apply(token_counts.masked(kept, _MASKS, "[masked]"), settings).select("doc_id", *token_counts.NUMBERS)
 
 
 @query

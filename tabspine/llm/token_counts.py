@@ -61,11 +61,14 @@ def replace(tree: np.ndarray, segment: int, count: int) -> None:
         i //= 2
 
 
-def count_edited(data: np.ndarray, starts: np.ndarray, tree: np.ndarray, edits: list[tuple[int, int, bytes]], encode: Encoder) -> tuple[int, int]:
-    """Tokens after the edits, and the segments that were encoded again; ``tree`` is updated in place.
+def edited(
+    data: np.ndarray, starts: np.ndarray, tree: np.ndarray, edits: list[tuple[int, int, bytes]], encode: Encoder, segment_bytes: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Text, segment starts and tree after the edits, and how many segments of the old ones were encoded again.
 
     Edits are ``(start, end, replacement)`` in bytes, in order and not overlapping. Touched segments that follow each other are encoded
-    as one; its count goes to the first of them, and the others count 0.
+    together. One that stays small keeps its place, and the sums above it change; others are cut anew, and the sums are
+    added up from the counts, of which those of untouched segments are the old ones.
     """
     ends = np.r_[starts[1:], len(data)]
     spans: list[list] = []  # first and last touched segment, edits
@@ -78,18 +81,36 @@ def count_edited(data: np.ndarray, starts: np.ndarray, tree: np.ndarray, edits:
             spans[-1][2].append((start, end, new))
         else:
             spans.append([first, last, [(start, end, new)]])
-    again = 0
+    counts = tree[len(tree) // 2 :][: len(starts)]
+    text, placed, counted, again = [], [], [], 0
+    at_byte = at_segment = moved = 0
+    same = True
     for first, last, own in spans:
-        text, at = [], int(starts[first]) if len(starts) else 0
+        low, high = (int(starts[first]), int(ends[last])) if len(starts) else (0, 0)
+        parts, at = [], low
         for start, end, new in own:
-            text += [data[at:start].tobytes(), new]
+            parts += [data[at:start].tobytes(), new]
             at = end
-        text.append(data[at : ends[last]].tobytes() if len(starts) else b"")
-        count = len(encode.ids(b"".join(text).decode()))
-        for segment in range(first, last + 1):
-            replace(tree, segment, count if segment == first else 0)
-        again += last - first + 1
-    return int(tree[1]), again
+        region = np.frombuffer(b"".join([*parts, data[at:high].tobytes()]), np.uint8)
+        keeps = first == last and 0 < len(region) <= 4 * segment_bytes
+        cut = np.zeros(1, np.int64) if keeps else _starts(region, segment_bytes)
+        found = np.diff(encode.block(Block(0, region, np.r_[cut, len(region)]))[1]) if len(cut) else np.zeros(0, np.int64)
+        text += [data[at_byte:low], region]
+        placed += [starts[at_segment:first] + moved, cut + low + moved]
+        counted += [counts[at_segment:first], found]
+        same = same and keeps
+        moved += len(region) - (high - low)
+        at_byte, at_segment = high, last + 1
+        again += last - first + 1 if len(starts) else 0
+    new_starts = np.concatenate([*placed, starts[at_segment:] + moved])
+    new_counts = np.concatenate([*counted, counts[at_segment:]])
+    if same and len(starts):
+        tree = tree.copy()
+        for first, _, _ in spans:
+            replace(tree, first, int(new_counts[first]))
+    else:
+        tree = sums(new_counts)
+    return np.concatenate([*text, data[at_byte:]]), new_starts, tree, again
 
 
 EDITS = T.ArrayType(
@@ -119,41 +140,73 @@ def masked(docs: DataFrame, pattern: str, replacement: str, text: str = "text",
     return rows.mapInArrow(find, docs.select(kept).schema.add(edits, EDITS))
 
 
-def count_tokens(
-    docs: DataFrame, s: Settings, id: str = "doc_id", text: str = "text", edits: str = "edits"
-) -> DataFrame:
-    """``(id, n_tokens, n_tokens_edited, n_edits, n_segments, n_encoded_again, tree)`` of every row.
+KEPT = "id long, text string, starts array<int>, tree array<long>"
 
-    ``edits`` is an array of structs ``start``, ``end``, ``replacement`` in characters of the text, in order and not overlapping; null is
-    none. ``tree`` holds the counts after the edits. Null texts count as empty, an empty text has no tokens and no segments, and edits of it insert.
-    Rows are counted each by itself, so repeated ids and rows don't matter. Other columns are not read. An empty table gives no rows.
+
+def build(docs: DataFrame, s: Settings, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(id, text, starts, tree)`` of every row: where its segments begin in bytes of UTF-8, and the tree of their token counts.
+
+    The table is what later edits start from. ``tree[1]`` is the count of the whole text. A null text is kept as an empty one, which has
+    no segments; very long texts are encoded whole; rows are handled each by itself, so repeated ids and rows don't matter. Other columns are not
+    read. An empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(s.vocabulary, s.pattern)
         for batch in batches:
             for block in blocks(batch.column(1)):
-                changes = batch.column(2).slice(block.first, len(block)).to_pylist()
-                before, after, n_edits, segments, again, trees = [], [], [], [], [], []
                 starts, counts = _segments(block, s, encode)
-                for i in range(len(block)):
-                    data = block.data[block.offsets[i] : block.offsets[i + 1]]
-                    tree = sums(counts[i])
-                    before.append(int(tree[1])), segments.append(len(counts[i]))
-                    own = _in_bytes(data, changes[i] or [])
-                    n_edits.append(len(own))
-                    total, n = count_edited(data, starts[i], tree, own, encode) if own else (int(tree[1]), 0)
-                    after.append(total), again.append(n), trees.append(tree)
-                numbers = [pa.array(x, pa.int64()) for x in (before, after, n_edits, segments, again)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(block.first, len(block)), *numbers, pa.array(trees, pa.list_(pa.int64()))],
-                    ["id", "n_tokens", "n_tokens_edited", "n_edits", "n_segments", "n_encoded_again", "tree"],
-                )
-
-    rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"), F.col(edits).alias("edits"))
-    schema = "id long, n_tokens long, n_tokens_edited long, n_edits long, n_segments long, n_encoded_again long, tree array<long>"
+                texts = batch.column(1).slice(block.first, len(block)).fill_null("")
+                yield _kept(batch.column(0).slice(block.first, len(block)), texts, starts, [sums(c) for c in counts], [])
+
+    rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    run = tidy(run, holds=True, after=lambda: encoder(s.vocabulary, s.pattern).forget())
+    return rows.mapInArrow(run, KEPT).withColumnsRenamed({"id": id, "text": text})
+
+
+def _kept(ids, texts, starts, trees, numbers) -> pa.RecordBatch:
+    columns = [ids, texts, pa.array([x.astype(np.int32) for x in starts], pa.list_(pa.int32())), pa.array(trees, pa.list_(pa.int64()))]
+    names = ["id", "text", "starts", "tree", *NUMBERS][: 4 + len(numbers)]
+    return pa.RecordBatch.from_arrays([*columns, *(pa.array(x, pa.int64()) for x in numbers)], names)
+
+
+#: What ``apply`` tells of each row besides the kept columns.
+NUMBERS = ("n_tokens", "n_tokens_edited", "n_edits", "n_segments", "n_encoded_again")
+
+
+def apply(kept: DataFrame, s: Settings, id: str = "doc_id", text: str = "text", edits: str = "edits") -> DataFrame:
+    """Rows of :func:`build` after their edits, in the same form, with ``n_tokens`` before and ``n_tokens_edited`` after the edits,
+    ``n_edits``, and of ``n_segments`` how many were encoded again.
+
+    ``edits`` is an array of structs ``start``, ``end``, ``replacement`` in characters of the text, in order and not overlapping; null is
+    none. Rows without edits are not encoded at all. The result can be kept and edited again.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(s.vocabulary, s.pattern)
+        for batch in batches:
+            texts, starts, trees, numbers = [], [], [], []
+            for own, at, tree, changes in zip(*(batch.column(c) for c in range(1, 5))):
+                data = np.frombuffer(own.as_py().encode(), np.uint8)
+                at, tree = (x.values.to_numpy().astype(np.int64) for x in (at, tree))
+                places = _in_bytes(data, changes.as_py() or [])
+                new, new_at, new_tree, again = edited(data, at, tree, places, encode, s.segment_bytes) if places else (data, at, tree, 0)
+                texts.append(new.tobytes().decode()), starts.append(new_at), trees.append(new_tree)
+                numbers.append((int(tree[1]), int(new_tree[1]), len(places), len(at), again))
+            yield _kept(batch.column(0), pa.array(texts, pa.string()), starts, trees, list(zip(*numbers)) or [()] * len(NUMBERS))
+
+    rows = kept.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"), "starts", "tree", F.col(edits).alias("edits"))
     run = tidy(run, holds=True, after=lambda: encoder(s.vocabulary, s.pattern).forget())
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id)
+    schema = KEPT + "".join(f", {n} long" for n in NUMBERS)
+    return rows.mapInArrow(run, schema).withColumnsRenamed({"id": id, "text": text})
+
+
+def with_edits(kept: DataFrame, edits: DataFrame, id: str = "doc_id", column: str = "edits") -> DataFrame:
+    """Kept rows with the edits that a table ``(id, start, end, replacement)`` has for them, in order of their places, insertions at one place
+    in order of their texts. All rows that repeat an id get its edits; edits of an id that has no row, or of a null id, change nothing. One document's edits are gathered in one row."""
+    place = F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), F.col("replacement"))
+    gathered = edits.where(F.col(id).isNotNull()).groupBy(id).agg(F.array_sort(F.collect_list(place)).alias(column))
+    return kept.drop(column).join(gathered, id, "left")
 
 
 def _segments(block: Block, s: Settings, encode: Encoder) -> tuple[list[np.ndarray], list[np.ndarray]]:

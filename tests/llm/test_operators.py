@@ -13,6 +13,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tabspine.llm import (
@@ -452,25 +453,81 @@ def test_language_model_without_text(awkward, empty):
     assert language_model.score(empty, model).count() == 0
 
 
-def test_counts_follow_edits(spark, bpe, texts):
-    texts = dict(list(texts.items())[:60]) | {40_000: "", 40_001: None, 40_002: " a  b\nc", 40_003: "x" * 3000}
+def some_edits(draw, text):
+    places = sorted(draw.integers(0, len(text) + 1, 2 * draw.integers(0, 5)).tolist())
+    words = ["", " ", "new words", "\n", "é", " and so on" * 60]
+    edits = [{"start": a, "end": b, "replacement": str(draw.choice(words))} for a, b in zip(places[::2], places[1::2])]
+    return sorted(edits, key=lambda e: (e["start"], e["end"], e["replacement"]))
+
+
+def after_edits(text, edits):
+    new, at = [], 0
+    for e in edits:
+        new += [text[at : e["start"]], e["replacement"]]
+        at = e["end"]
+    return "".join(new) + text[at:]
+
+
+def test_counts_follow_two_rounds_of_edits(spark, bpe, texts):
+    texts = dict(list(texts.items())[:60]) | {40_000: "", 40_001: None, 40_002: " a  b\nc", 40_003: "x" * 3000, 40_004: "word " * 100_000}
     draw = np.random.default_rng(1)
-    rows, expected = [], {}
-    for i, text in texts.items():
-        places = sorted(draw.integers(0, len(text or "") + 1, 2 * draw.integers(0, 5)).tolist())
-        edits = [{"start": a, "end": b, "replacement": str(draw.choice(["", " ", "new words", "\n", "é"]))} for a, b in zip(places[::2], places[1::2])]
-        new, at = [], 0
-        for e in edits:
-            new += [(text or "")[at : e["start"]], e["replacement"]]
-            at = e["end"]
-        rows.append((i, text, edits))
-        expected[i] = (len(bpe(text)), len(bpe("".join(new) + (text or "")[at:])))
-    frame = spark.createDataFrame(rows, "doc_id long, text string, edits array<struct<start: int, end: int, replacement: string>>")
     s = token_counts.Settings(SETTINGS.vocabulary, SETTINGS.pattern, 64)
-    found = by_id(token_counts.count_tokens(frame, s))
-    assert {i: (r["n_tokens"], r["n_tokens_edited"]) for i, r in found.items()} == expected
-    assert sum(r["n_encoded_again"] for r in found.values()) < sum(r["n_segments"] for r in found.values())
-    assert all(r["tree"][1] == r["n_tokens_edited"] for r in found.values())
+    kept = near_duplicates.materialize(token_counts.build(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), s), "kept")
+    assert {r["doc_id"]: r["tree"][1] for r in kept.collect()} == {i: len(bpe(t)) for i, t in texts.items()}
+    now = {i: t or "" for i, t in texts.items()}
+    for turn in range(2):
+        edits = {i: some_edits(draw, t) for i, t in now.items()}
+        edits[40_002 + turn] = []
+        rows = [(i, e["start"], e["end"], e["replacement"]) for i, own in edits.items() for e in own] + [(99, 0, 1, "x"), (None, 0, 1, "x")]
+        changes = spark.createDataFrame(rows, "doc_id long, start long, end int, replacement string").repartition(3)
+        edited = near_duplicates.materialize(token_counts.apply(token_counts.with_edits(kept, changes), s), "kept")
+        before, now = now, {i: after_edits(t, edits[i]) for i, t in now.items()}
+        found = by_id(edited)
+        for i, r in found.items():
+            assert (r["text"], r["n_tokens"], r["n_tokens_edited"], r["n_edits"]) == (now[i], len(bpe(before[i])), len(bpe(now[i])), len(edits[i]))
+            assert r["tree"][1] == r["n_tokens_edited"] and r["n_encoded_again"] <= r["n_segments"]
+            data = np.frombuffer(now[i].encode(), np.uint8)
+            pieces = [data[a:b].tobytes().decode() for a, b in zip(r["starts"], [*r["starts"][1:], len(data)])]
+            assert "".join(pieces) == now[i] and r["tree"][len(r["tree"]) // 2 :][: len(pieces)] == [len(bpe(p)) for p in pieces]
+            assert r["n_encoded_again"] == 0 or edits[i]
+        # Some edits delete long stretches, whose segments count as touched.
+        assert sum(r["n_encoded_again"] for r in found.values()) < sum(r["n_segments"] for r in found.values()) / 2
+        kept = edited
+
+
+def test_only_touched_segments_are_encoded_again(bpe):
+    class Counting:
+        bytes_seen = 0
+
+        def block(self, block):
+            self.bytes_seen += len(block.data)
+            return encode.block(block)
+
+    from tabspine.llm.tokens import Encoder
+
+    encode, seen = Encoder(SETTINGS.vocabulary, SETTINGS.pattern), Counting()
+    text = " ".join(f"word{i}" for i in range(20_000))
+    data = np.frombuffer(text.encode(), np.uint8)
+    s = token_counts.Settings(SETTINGS.vocabulary, SETTINGS.pattern, 64)
+    starts, counts = token_counts._segments(token_counts.Block(0, data, np.array([0, len(data)])), s, encode)
+    at, tree = starts[0], token_counts.sums(counts[0])
+    for turn in range(3):
+        place = 50_000 + 100 * turn
+        new, at, tree, again = token_counts.edited(data, at, tree, [(place, place + 5, b"new")], seen, 64)
+        text = text[:place] + "new" + text[place + 5 :]
+        data = new
+        assert new.tobytes().decode() == text and tree[1] == len(bpe(text)) and again <= 3
+    assert seen.bytes_seen < 1_500
+
+
+def test_token_trees_of_awkward_and_empty_tables(spark, bpe, awkward, empty):
+    s = token_counts.Settings(SETTINGS.vocabulary, SETTINGS.pattern)
+    kept = token_counts.build(awkward, s)
+    assert kept.columns == ["doc_id", "text", "starts", "tree"] and token_counts.build(empty, s).count() == 0
+    counts = sorted((r["doc_id"] or 0, r["tree"][1]) for r in kept.collect())
+    assert counts == sorted((r["doc_id"] or 0, len(bpe(r["text"]))) for r in awkward.collect())
+    masked = token_counts.apply(token_counts.masked(kept.withColumn("edits", F.lit("clash")), "[0-9]+", "#"), s)
+    assert masked.count() == 14 and token_counts.apply(token_counts.masked(token_counts.build(empty, s), "a", "b"), s).count() == 0
 
 
 def test_packing_holds_every_token_once(spark, bpe, awkward, empty):
