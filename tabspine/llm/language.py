@@ -30,7 +30,7 @@ _GRAMS = 1024
 
 @dataclass(frozen=True)
 class Settings:
-    """``dimensions`` of the vectors, ``size`` of an n-gram in characters, ``languages``: most prototypes that may be sent to the tasks."""
+    """``dimensions`` of the vectors, ``size`` of an n-gram in characters, ``languages``: prototypes that a text is compared with at once."""
 
     dimensions: int = 1024
     size: int = 3
@@ -115,7 +115,7 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", settings: Set
     """Prototype of each language of the rows that have one. Texts without letters add nothing.
 
     Each task sums its texts per language; the sums of the tasks are added in Spark by language and dimension. The
-    driver gets one vector per language, and more languages than ``settings.languages`` are refused.
+    driver gets one vector per language, of 8 kB.
     """
     s = settings or Settings()
 
@@ -137,21 +137,20 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", settings: Set
     sums = rows.mapInArrow(tidy(bundle), "lang string, sums array<long>").select("lang", F.posexplode("sums").alias("d", "x"))
     whole = sums.groupBy("lang", "d").agg(F.sum("x").alias("x"))
     whole = whole.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("d", "x"))), lambda p: p["x"]).alias("sums"))
-    found = whole.orderBy("lang").limit(s.languages + 1).collect()
-    if len(found) > s.languages:
-        raise ValueError(f"more than {s.languages} languages")
+    found = whole.orderBy("lang").collect()
     return {r["lang"]: np.array(r["sums"], np.float64) for r in found if any(r["sums"])}
 
 
 def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text", settings: Settings | None = None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, the cosine with the best prototype, at least 0.
 
-    Null texts, texts without letters, and all texts when there is no prototype, are ``und`` with score 0. Equal cosines go to the
+    However many languages there are, a text is compared with some of them at a time and the best is kept. Very long texts are read whole. Null texts, texts without letters, and all texts when there is no prototype, are ``und`` with score 0. Equal cosines go to the
     smaller name. Columns of the same names are replaced; all others pass through. An empty table gives no rows.
     """
     s = settings or Settings()
     names = sorted(prototypes)
     units = np.array([prototypes[n] / np.linalg.norm(prototypes[n]) for n in names], np.float32).reshape(len(names), s.dimensions)
+    sent = docs.sparkSession.sparkContext.broadcast(units)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     place = kept.index(text)
 
@@ -165,11 +164,14 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
                         score += [0.0] * len(rows)
                         continue
                     size = np.sqrt((profiles**2).sum(axis=1))
-                    cosine = profiles @ units.T / np.where(size > 0, size, 1)[:, None]
-                    best = cosine.argmax(axis=1)
+                    best, top = np.zeros(len(rows), np.int64), np.full(len(rows), -np.inf, np.float32)
+                    for first in range(0, len(names), s.languages):
+                        cosine = profiles @ sent.value[first : first + s.languages].T / np.where(size > 0, size, 1)[:, None]
+                        own, high = cosine.argmax(axis=1), cosine.max(axis=1)
+                        best, top = np.where(high > top, own + first, best), np.maximum(top, high)
                     usable = has_letter & (size > 0)
                     guess += [names[b] if u else "und" for b, u in zip(best, usable)]
-                    score += np.where(usable, np.clip(cosine.max(axis=1), 0, 1), 0).astype(float).tolist()
+                    score += np.where(usable, np.clip(top, 0, 1), 0).astype(float).tolist()
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(guess, pa.string()), pa.array(score, pa.float64())], [*kept, "lang_pred", "score"]
             )

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import math
 import re
 import time
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -63,6 +65,38 @@ def test_language_of_awkward_texts(awkward, empty):
     assert language.predict(empty, prototypes).count() == 0
 
 
+def profile_truth(text, s):
+    """A text's profile by plain loops: rotated letter vectors multiplied in every run of letters, spaces between words being letters too."""
+    letters = [c if unicodedata.category(c).startswith("L") else " " for c in f" {text.lower()} "]
+    letters = [c for i, c in enumerate(letters) if c != " " or i == 0 or letters[i - 1] != " "]
+    total = np.zeros(s.dimensions)
+    vector = {c: language._letter_vectors(np.array([ord(c)]), s)[0] for c in set(letters)}
+    for i in range(len(letters) - s.size + 1):
+        bound = np.ones(s.dimensions)
+        for k in range(s.size):
+            bound = bound * np.roll(vector[letters[i + k]], k)
+        total += bound
+    return total
+
+
+def test_profiles_and_predictions_equal_plain_loops(spark):
+    s = language.Settings(dimensions=256, languages=2)
+    texts = {0: "the cat and the dog", 1: "der Hund und die Katze", 2: "le chat et le chien", 3: "Ça va? 12 l'été!!", 4: "el gato y el perro", 5: "a", 6: "ein Hund, the dog"}
+    langs = {0: "en", 1: "de", 2: "fr", 4: "es"}
+    frame = spark.createDataFrame([(i, t, langs.get(i)) for i, t in texts.items()], "doc_id long, text string, lang string")
+    prototypes = language.train(frame, settings=s)
+    assert set(prototypes) == {"de", "en", "es", "fr"}
+    for i, lang in langs.items():
+        assert np.array_equal(prototypes[lang], profile_truth(texts[i], s))
+    rows = by_id(language.predict(frame, prototypes, settings=s))
+    many = by_id(language.predict(frame, prototypes, settings=language.Settings(dimensions=256)))
+    for i, text in texts.items():
+        own = profile_truth(text, s)
+        cosines = {n: float(own @ p / np.linalg.norm(own) / np.linalg.norm(p)) for n, p in prototypes.items()}
+        best = max(sorted(cosines), key=cosines.get)
+        assert rows[i]["lang_pred"] == many[i]["lang_pred"] == best and abs(rows[i]["score"] - max(0, cosines[best])) < 1e-5
+
+
 def license_truth(text):
     words = WORD.findall((text or "").translate(LOWER))
     places, labels = [], set()
@@ -279,6 +313,51 @@ def test_quality_on_held_out_documents(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7) for r in rows)
 
 
+def statistics_truth(text):
+    """The statistics by plain loops over bytes, words and lines."""
+    data = (text or "").encode()
+    split = lambda breaks: [bytes(g) for k, g in itertools.groupby(data, lambda b: b in breaks) if not k]
+    words, lines = split({9, 10, 11, 12, 13, 32}), [x.lower() for x in split({10})]
+    if not words:
+        return [0.0] * 18
+    low = [w.lower() for w in words]
+    ink = sum(map(len, words))
+    kinds = [
+        lambda b: 97 <= b <= 122, lambda b: 65 <= b <= 90, lambda b: 48 <= b <= 57, lambda b: b in b".,;:?'-",
+        lambda b: b < 128 and not (97 <= b <= 122 or 65 <= b <= 90 or 48 <= b <= 57 or b in b".,;:?'-" or b in (9, 10, 11, 12, 13, 32)), lambda b: b >= 128,
+    ]
+    pairs = list(zip(low, low[1:]))
+    other_mark = lambda b: kinds[4](b)
+    return [
+        math.log1p(len(data)), math.log1p(len(words)), ink / len(words), max(map(len, words)), *(sum(map(k, data)) / ink for k in kinds),
+        len(lines), len(words) / max(1, len(lines)), len(set(low)) / len(low), len(set(pairs)) / len(pairs) if pairs else 1.0,
+        len(set(lines)) / max(1, len(lines)), max(Counter(low).values()) / len(low), sum(other_mark(w[-1]) for w in words) / len(words),
+        sum(len(w) <= 2 for w in words) / len(words),
+    ]
+
+
+def test_statistics_and_scores_equal_plain_loops(spark, texts):
+    texts = dict(texts) | {90_000: "A b\n\nA b\n c!! d# \te", 90_001: "x", 90_002: "\n\n", 90_003: None, 90_004: "Ünï 12-3; it's?\r\nEND"}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = by_id(quality.statistics(frame))
+    for i, text in texts.items():
+        assert np.allclose([rows[i][c] for c in quality.STATISTICS], statistics_truth(text), rtol=1e-9), (i, (text or "")[:60])
+    ensemble = queries.quality_model(spark, quality.statistics(spark.read.parquet(f"{SMALL}/documents.parquet")), SMALL)
+    assert len(ensemble.rules) > 3
+    for i, r in by_id(quality.scored(quality.statistics(frame), ensemble)).items():
+        own = dict(zip(quality.STATISTICS, statistics_truth(texts[i])))
+        held = lambda rule: all(own[c] <= x if at_most else own[c] > x for c, at_most, x in rule)
+        total = ensemble.intercept + sum(w for rule, w in ensemble.rules if held(rule))
+        near = any(abs(own[c] - x) < 1e-9 for rule, _ in ensemble.rules for c, _, x in rule)
+        assert near or abs(r["score"] - 1 / (1 + math.exp(-total))) < 1e-9
+
+
+def test_quality_of_columns_named_like_statistics(spark):
+    frame = spark.createDataFrame([(1, "some words here", 7.0, 0.5), (1, "some words here", 8.0, 0.5)], "doc_id long, text string, digit double, score double")
+    rows = quality.scored(quality.statistics(frame, whole_rows=True), quality.Ensemble(((((("digit", True, 0.5),)), 2.0),), 0.0, 0.7)).collect()
+    assert len(rows) == 2 and all(r["digit"] == 0 and abs(r["score"] - 1 / (1 + math.exp(-2))) < 1e-12 for r in rows)
+
+
 def test_quality_of_awkward_texts(awkward, empty):
     stats = quality.statistics(awkward)
     assert stats.count() == 14 and quality.statistics(empty).count() == 0
@@ -559,8 +638,9 @@ def test_added_tokens_keep_their_ids(spark):
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
     rows = by_id(packing.pack(frame, SETTINGS))
     assert {i: (r["length"], r["ids_crc32"]) for i, r in rows.items()} == {i: (len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(ids)}
-    edits = spark.createDataFrame([(i, t, [(0, 0, f"n {mark} ")]) for i, t in enumerate(texts)], "doc_id long, text string, edits array<struct<start: int, end: int, replacement: string>>")
-    counts = by_id(token_counts.count_tokens(edits, token_counts.Settings(SETTINGS.vocabulary, SETTINGS.pattern, 8)))
+    s = token_counts.Settings(SETTINGS.vocabulary, SETTINGS.pattern, 8)
+    edits = spark.createDataFrame([(i, 0, 0, f"n {mark} ") for i in range(len(texts))], "doc_id long, start int, end int, replacement string")
+    counts = by_id(token_counts.apply(token_counts.with_edits(token_counts.build(frame, s), edits), s))
     assert {i: (r["n_tokens"], r["n_tokens_edited"]) for i, r in counts.items()} == {
         i: (len(ids[i]) - 1, len(plain.encode(f"n {mark} {t}", add_special_tokens=False).ids)) for i, t in enumerate(texts)}
 
