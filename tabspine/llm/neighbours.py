@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ class Settings:
     """``degree``: neighbours of a vertex. ``cells`` and ``cell_rows``: how often, and into cells of about how many, vectors are dealt to start. ``sent``: most
     that one group tells one member. ``rounds`` at most, or until under ``stop`` of the neighbours change. ``width``: vertices that a search keeps and expands;
     ``steps`` of a search at most. ``group``: members compared at once; larger cells are split, larger neighbourhoods are compared in parts that
-    each vertex and round deals anew."""
+    each vertex and round deals anew. ``hub``: memberships from which the candidates of a vertex are merged in parts first."""
 
     degree: int = 32
     cells: int = 4
@@ -42,6 +43,7 @@ class Settings:
     width: int = 64
     steps: int = 4
     group: int = 512
+    hub: int = 4096
     seed: int = 17
 
 
@@ -185,11 +187,42 @@ def neighbourhoods(graph: DataFrame) -> DataFrame:
     return forward.unionByName(reverse)
 
 
+def _parts(graph: DataFrame, turn: int, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """``(u, m, fresh)`` of the neighbourhoods that have a fresh edge, those of more than ``group`` members in parts under names of their own; and
+    ``(u, n)``, the members of each neighbourhood. A vertex that is in every list is so compared in many tasks."""
+    members = neighbourhoods(graph)
+    sizes = materialize(members.groupBy("u").agg(F.count("*").alias("n"), F.max("fresh").alias("any")), "sizes")
+    part = F.pmod(F.xxhash64("m", "u", F.lit(turn)), F.ceil(F.col("n") / s.group))
+    name = F.when(F.col("n") <= s.group, F.col("u")).otherwise(F.xxhash64("u", part, F.lit(turn)))
+    return members.join(sizes.where("any").select("u", "n"), "u").select(name.alias("u"), "m", "fresh"), sizes.select("u", "n")
+
+
+def _folded(candidates: DataFrame, hubs: DataFrame, s: Settings) -> DataFrame:
+    """Candidates in which those of vertices with very many are merged in parts first, to the nearest of each part."""
+
+    def nearest(rows: pa.Table) -> pa.RecordBatch:
+        key, v = (rows.column(i).to_numpy() for i in range(2))
+        w, d = (rows.column(i).to_pylist() for i in (2, 3))
+        out_v, out_w, out_d = [], [], []
+        for low, high in _groups(key, len(key)):
+            ids, first = np.unique(np.frombuffer(b"".join(w[low:high]), "<i8"), return_index=True)
+            dist = np.frombuffer(b"".join(d[low:high]), "<f8")[first]
+            near = np.lexsort((ids, dist))[: s.degree]
+            out_v.append(v[low : low + 1]), out_w.append(ids[near].tobytes()), out_d.append(dist[near].tobytes())
+        return _found(out_v, out_w, out_d)
+
+    part = F.pmod(F.xxhash64("w"), F.ceil(F.col("n") / s.hub))
+    of_hubs = candidates.join(hubs, "v").select(F.xxhash64("v", part).alias("key"), "v", "w", "d")
+    folded = of_hubs.repartition("key").sortWithinPartitions("key").mapInArrow(_whole_groups(nearest), "v long, w binary, d binary")
+    return candidates.join(hubs, "v", "left_anti").select("v", "w", "d").unionByName(folded)
+
+
 def _split_cells(start: DataFrame, dealt: DataFrame, dimensions: int, s: Settings, kind: str, most: int) -> DataFrame:
     """``(v, c, u)`` in which cells ``u`` of more than ``group`` vertices are halved until none is left, ``most`` times at most.
 
     A cell is halved at the median of its members' projections on a random direction, which each of the ``cells`` draws for itself.
     """
+    done: list[DataFrame] = []
     for level in range(most):
         directions = np.random.default_rng([s.seed, level]).normal(size=(dimensions, s.cells))
 
@@ -202,12 +235,15 @@ def _split_cells(start: DataFrame, dealt: DataFrame, dimensions: int, s: Setting
         large = materialize(dealt.groupBy("u").agg(F.count("*").alias("n")).where(F.col("n") > s.group).select("u"), "large")
         if large.isEmpty():
             break
-        placed = start.select("v", "q").mapInArrow(project, "v long, c long, p double").join(dealt, ["v", "c"])
-        placed = materialize(placed, "placed")
-        middle = placed.join(large, "u", "left_semi").groupBy("u").agg(F.percentile_approx("p", 0.5).alias("middle"))
-        half = F.when(F.col("middle").isNull(), F.col("u")).otherwise(F.xxhash64("u", F.col("p") > F.col("middle")))
-        dealt = materialize(placed.join(middle, "u", "left").select("v", "c", half.alias("u")), "dealt")
-    return dealt
+        # Cells that are small enough stay as they are; only members of the others are projected and written again.
+        done.append(dealt.join(large, "u", "left_anti").select("v", "c", "u"))
+        members = dealt.join(large, "u", "left_semi")
+        vectors = start.select("v", "q").join(members.select("v").distinct(), "v", "left_semi")
+        placed = materialize(vectors.mapInArrow(project, "v long, c long, p double").join(members, ["v", "c"]), "placed")
+        middle = placed.groupBy("u").agg(F.percentile_approx("p", 0.5).alias("middle"))
+        half = F.xxhash64("u", F.col("p") > F.col("middle"))
+        dealt = materialize(placed.join(middle, "u").select("v", "c", half.alias("u")), "dealt")
+    return reduce(DataFrame.unionByName, [*done, dealt.select("v", "c", "u")])
 
 
 def build(vectors: DataFrame, s: Settings, kind: str = "<f8") -> DataFrame:
@@ -243,10 +279,14 @@ def build(vectors: DataFrame, s: Settings, kind: str = "<f8") -> DataFrame:
     graph = materialize(_updated(empty, first, s), "graph")
     for turn in range(s.rounds):
         worst = F.when(F.size("ids") < s.degree, float("inf")).otherwise(F.element_at("dist", -1))
-        members = neighbourhoods(graph).join(graph.select(F.col("v").alias("m"), "q", worst.alias("worst")), "m")
+        members, sizes = _parts(graph, turn, s)
+        members = members.join(graph.select(F.col("v").alias("m"), "q", worst.alias("worst")), "m")
         members = members.select("u", "m", "q", "worst", "fresh").repartition("u")
         members = members.sortWithinPartitions("u", F.xxhash64("m", "u", F.lit(turn)))
         candidates = members.mapInArrow(_local_join(s.sent, s.group, False, kind), "v long, w binary, d binary")
+        hubs = materialize(sizes.where(F.col("n") > s.hub).select(F.col("u").alias("v"), "n"), "hubs")
+        if not hubs.isEmpty():
+            candidates = _folded(materialize(candidates, "candidates"), hubs, s)
         graph = materialize(_updated(graph, candidates, s), "graph")
         changed = graph.agg(F.coalesce(F.sum("changed"), F.lit(0))).first()[0]
         if changed <= s.stop * s.degree * n:

@@ -487,6 +487,35 @@ def test_neighbours_beside_an_outlier(spark):
     assert neighbour_recall(spark, vectors, list(range(100, 2000, 50))) > 0.9
 
 
+def test_neighbours_beside_a_vertex_in_every_list(spark, monkeypatch):
+    # Points on a sphere are further from each other than from its middle.
+    draw = np.random.default_rng(6)
+    vectors = draw.normal(size=(1500, 160))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[0] = 1e-6
+    queries.workers_find_library(spark)
+    frame = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id long, embedding array<double>")
+    largest, split, folded = [], neighbours._parts, neighbours._folded
+
+    def parts(graph, turn, s):
+        members, sizes = split(graph, turn, s)
+        largest.append((members.groupBy("u").count().agg({"count": "max"}).first()[0], sizes.agg({"n": "max"}).first()[0]))
+        return members, sizes
+
+    def watched(candidates, hubs, s):
+        out = neighbours.materialize(folded(candidates, hubs, s), "folded")
+        assert out.where("octet_length(w) > 8 * 8").isEmpty()
+        return out
+
+    monkeypatch.setattr(neighbours, "_parts", parts)
+    monkeypatch.setattr(neighbours, "_folded", watched)
+    settings = neighbours.Settings(degree=8, group=64, hub=200, width=32, rounds=5)
+    rows = neighbours.nearest(frame, lambda i: i % 50 == 0, settings=settings).collect()
+    firsts = {r["query_id"]: r["vec_id"] for r in rows if r["rank"] == 1}
+    assert all(v == 0 for q, v in firsts.items() if q) and len(firsts) == 30
+    assert max(n for _, n in largest) > 1000 and max(n for n, _ in largest) <= 2 * 64
+
+
 def test_neighbours_in_a_cluster_of_near_copies(spark):
     draw = np.random.default_rng(4)
     vectors = np.concatenate([draw.normal(size=(3000, 16)), draw.normal(size=16) + 1e-4 * draw.normal(size=(6000, 16))])
