@@ -31,3 +31,18 @@ def test_awkward_documents(spark, awkward, empty):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, SMALL)
         docs.collect()
+
+
+def test_documents_with_more_columns(spark, awkward):
+    """Columns ``id`` and ``score`` beside those of documents: the first passes, the second is what a stage made of it."""
+    docs = awkward
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SMALL)
+        assert docs.columns == awkward.columns, name
+    rows = docs.collect()
+    assert all(r["id"] == "x" and 0 <= r["score"] <= 1 for r in rows)
+    plain = awkward.select("doc_id", "text", "lang", "source", "n_chars")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        plain = stage(spark, plain, SMALL)
+    key = lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"])
+    assert sorted(map(key, rows)) == sorted(map(key, plain.collect()))
