@@ -5,7 +5,10 @@ duplicates: one document of each group stays, the one with the smallest id. Deco
 the benchmark go. Packing: what is left becomes pieces of token sequences.
 
 Rows that repeat a doc_id are one document and go or stay together; rows with a null doc_id are only judged by themselves and take
-no part in groups. Null and empty texts have no language and go in the first stage. Empty tables give empty results.
+no part in groups. Null and empty texts have no language and go in the first stage. Very long texts are read whole in every stage. Of
+documents that are equally near a group's start, the smallest id stays; a score that equals the quality threshold is kept. Columns beyond those of
+documents pass through all stages but the last; one that has the name of what a stage adds to its rows (``lang_pred``, ``score``,
+``predicted``, a statistic of ``quality``) comes out with that stage's value. Empty tables give empty results.
 """
 
 from __future__ import annotations
