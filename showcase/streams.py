@@ -16,10 +16,9 @@ from tabspine.sources.tables import VersionedTable
 from tabspine.streaming.sync import file_stream, refresh_features, sync_changes, sync_rows
 
 
-def _stored(df: DataFrame, name: str, files: int) -> str:
-    path = scratch_path(df.sparkSession, name)
-    df.repartition(files).write.parquet(path)
-    return path
+def _arrive(rows: DataFrame, path: str) -> None:
+    """More files for a stream, as many as the rows have partitions, so that tasks do not grow with the table."""
+    rows.write.mode("append").parquet(path)
 
 
 @query(
@@ -27,12 +26,13 @@ def _stored(df: DataFrame, name: str, files: int) -> str:
     "ORDER BY ts DESC, event_id DESC) = 1"
 )
 def stream_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events arriving in four files, two per batch, keep the newest row of each user up to date."""
+    """Events arriving in two batches keep the newest row of each user up to date."""
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value", "ts")
-    arrived = _stored(events, "arrived", 4)
+    arrived, checkpoint = scratch_path(spark, "arrived"), scratch_path(spark, "sync-checkpoint")
     state = VersionedTable(spark, scratch_path(spark, "state"), "user_id")
-    stream = file_stream(spark, arrived, events.schema, files_per_batch=2)
-    sync_rows(stream, state, ["ts", "event_id"], scratch_path(spark, "sync-checkpoint"))
+    for half in (0, 1):
+        _arrive(events.filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half), arrived)
+        sync_rows(file_stream(spark, arrived, events.schema), state, ["ts", "event_id"], checkpoint)
     return state.read().drop("ts")
 
 
@@ -49,7 +49,8 @@ def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderpriority", F.when(priority == "2-HIGH", "changed").otherwise(priority)
     )
     feed = change_feed(before, after, "o_orderkey").withColumn("_version", F.lit(2))
-    arrived = _stored(feed, "feed", 2)
+    arrived = scratch_path(spark, "feed")
+    _arrive(feed, arrived)
     target = VersionedTable(spark, scratch_path(spark, "target"), "o_orderkey")
     target.replace(before)
     stream = file_stream(spark, arrived, feed.schema)
@@ -82,17 +83,16 @@ def logged_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New raw rows become features and predictions, batch by batch. Rows of day 1 arrive after a third of the keys had theirs of day 9."""
     raw = census(spark, sf_dir)
-    arrived = scratch_path(spark, "raw")
+    arrived, checkpoint = scratch_path(spark, "raw"), scratch_path(spark, "refresh-checkpoint")
+    features = VersionedTable(spark, scratch_path(spark, "features"), "row_id")
+    predictions = VersionedTable(spark, scratch_path(spark, "predictions"), "row_id")
     for day, some in ((9, "row_id % 3 = 1"), (1, "true")):  # a key is one more than the order's
         gain = F.when((F.col("row_id") - 1) % 11 == 0, F.col("capital_gain") + day).otherwise(F.col("capital_gain"))
         late = raw.filter(some).withColumns({"capital_gain": gain, "day": F.lit(day)})
-        late.coalesce(1).write.mode("append").parquet(arrived)
-    features = VersionedTable(spark, scratch_path(spark, "features"), "row_id")
-    predictions = VersionedTable(spark, scratch_path(spark, "predictions"), "row_id")
-    stream = file_stream(spark, arrived, late.schema, files_per_batch=1)
-    refresh_features(
-        stream, features, predictions, census_scorer(CENSUS_SCORE), "5", ["day"],
-        scratch_path(spark, "refresh-checkpoint"), "2024-01-01 00:00:00",
-    )
+        _arrive(late, arrived)
+        stream = file_stream(spark, arrived, late.schema)
+        refresh_features(
+            stream, features, predictions, census_scorer(CENSUS_SCORE), "5", ["day"], checkpoint, "2024-01-01 00:00:00"
+        )
     renewed = predictions.read().drop("scored_at")
     return features.read().select("row_id", "capital_net", "hours_over_40").join(renewed, "row_id")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from showcase import streams
 from showcase.frames import CENSUS_SCORE, CENSUS_SCORE_B, census
 from tabspine.config import CSV_COLUMNS, Config, Limits, Roles, TreeParams
 from tabspine.functions.keys import hash_split
@@ -609,3 +610,18 @@ def test_refresh(spark, tables, tmp_path):
     assert features.has_tag("refresh-2") and not features.has_tag("refresh-3")
     assert feature_frame(raw).columns == features.read().columns
     assert label_spine(raw).columns == ["row_id", "split", "income_gt_50k"]
+
+
+@pytest.mark.parametrize("name, folder, batches", [("stream_refresh", "raw", 2), ("stream_sync", "arrived", 2)])
+def test_streams_arrive_in_as_many_files_as_the_table_has_partitions(spark, tmp_path, monkeypatch, name, folder, batches):
+    row = "id AS o_orderkey, id % 50 AS o_custkey, CASE id % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'O' ELSE 'P' END AS o_orderstatus"
+    orders = spark.range(1200).selectExpr(*row.split(", ", 2), "200000e0 + id AS o_totalprice", "concat(1 + id % 5, '-X') AS o_orderpriority")
+    orders.repartition(12).write.parquet(str(tmp_path / "orders.parquet"))
+    events = spark.range(1200).selectExpr("id % 100 AS user_id", "id AS event_id", "'x' AS event_type", "id * 1e0 AS value", "timestamp_seconds(id) AS ts")
+    events.repartition(12).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(streams, "scratch_path", lambda _, what: str(tmp_path / what))
+    found = getattr(streams, name)(spark, str(tmp_path))
+    assert found.count() == {"stream_refresh": 1200, "stream_sync": 100}[name]
+    files = [p for p in (tmp_path / folder).glob("*.parquet") if spark.read.parquet(str(p)).count()]
+    assert len(files) >= 5 * batches
+    assert len([p for p in next(tmp_path.glob("*-checkpoint")).glob("commits/*") if p.name.isdigit()]) == batches
