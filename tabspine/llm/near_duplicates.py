@@ -134,32 +134,50 @@ def signatures(docs: DataFrame, id: str, text: str, s: Settings) -> DataFrame:
     return rows.mapInArrow(tidy(sign), "id long, n_shingles long, set_key binary, tokens binary, roots array<long>")
 
 
+def _part(set_key: str = "set_key"):
+    """Tells the classes of a repeated id apart; two that it does not tell apart are compared in each other's nodes as well."""
+    return F.hash(set_key).alias("part")
+
+
+def _paths(classes: DataFrame, s: Settings) -> DataFrame:
+    """``(node, id, part, path)``: the node of each tree after two tokens, and the tokens of all later ones, a byte each."""
+    at = classes.select(F.explode("roots").alias("node"), "id", _part(), "tokens").withColumn("last", F.col("node"))
+    path = [F.lit(bytearray())]
+    for level in range(2, s.depth):
+        chosen = F.pmod(F.xxhash64("last", F.lit(s.seed)), F.lit(s.tokens)).cast("int") + 1
+        at = at.withColumn(f"token_{level}", F.substring(F.col("tokens"), chosen, F.lit(1)))
+        at = at.withColumn("last", F.xxhash64("last", f"token_{level}", F.lit(level)))
+        path.append(F.col(f"token_{level}"))
+    return at.select("node", "id", "part", F.concat(*path).alias("path"))
+
+
 def _nodes(classes: DataFrame, s: Settings) -> DataFrame:
-    """``(node, size, id, n_shingles, tokens)``: members of last nodes with more than one, large ones cut into chunks.
+    """``(node, id, part, whole)``: members of last nodes with more than one, large ones cut into chunks.
 
-    ``whole`` is the node before it was cut, null for nodes that were small enough.
+    ``whole`` is the node before it was cut, null for nodes that were small enough. What is shuffled for each tree and level is a
+    class and the few tokens of its way; those that estimate similarity are looked up for members of last nodes only.
     """
-    at = classes.select(F.explode("roots").alias("node"), "id", "n_shingles", "tokens")
+    at = _paths(classes, s)
     ended = None
     for level in range(2, s.depth + 1):
         sizes = at.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
         sized = materialize(at.join(sizes, "node"), "nodes")
-        small = sized.where(F.col("size") <= s.node_size).withColumn("whole", F.lit(None).cast("long"))
+        small = sized.where(F.col("size") <= s.node_size).select("node", "id", "part", F.lit(None).cast("long").alias("whole"))
         ended = small if ended is None else ended.unionByName(small)
         large = sized.where(F.col("size") > s.node_size)
         if level == s.depth:
             chunks = F.ceil(F.col("size") / s.node_size).cast("long")
             chunk = F.pmod(F.xxhash64("node", "id"), chunks)
-            return ended.unionByName(large.withColumn("whole", F.col("node")).withColumn("node", F.xxhash64("node", chunk)))
-        chosen = F.pmod(F.xxhash64("node", F.lit(s.seed)), F.lit(s.tokens)).cast("int") + 1
-        token = F.substring(F.col("tokens"), chosen, F.lit(1))
-        at = large.select(F.xxhash64("node", token, F.lit(level)).alias("node"), "id", "n_shingles", "tokens")
+            return ended.unionByName(large.select(F.xxhash64("node", chunk).alias("node"), "id", "part", F.col("node").alias("whole")))
+        token = F.substring("path", level - 1, 1)
+        at = large.select(F.xxhash64("node", token, F.lit(level)).alias("node"), "id", "part", "path")
     raise ValueError("depth must be at least 2")
 
 
-def _close(nodes: DataFrame, s: Settings, across: bool) -> DataFrame:
+def _close(nodes: DataFrame, classes: DataFrame, s: Settings, across: bool) -> DataFrame:
     """Pairs ``(a, b)`` of a node that may be links: each member names one partner, the smallest of those that surely look
-    alike, else the likeliest. With ``across``, the ends ``id`` of all pairs that may be links and have different ``label``s.
+    alike, else the likeliest. With ``across``, all pairs that may be links and have different ``label``s, these beside them, with the
+    ``node`` and how many such pairs ``n`` it has.
     """
     columns = ["node", "id", "n_shingles", "tokens", *(["label"] if across else [])]
     sure = (1 + s.percent / 100) / 2 - 0.1
@@ -189,13 +207,30 @@ def _close(nodes: DataFrame, s: Settings, across: bool) -> DataFrame:
             first = np.r_[True, i[1:] != i[:-1]]
             i, j = i[first], j[first]
         if across:
-            return pa.RecordBatch.from_arrays([pa.array(distinct(np.concatenate([ids[i], ids[j]])), pa.int64())], ["id"])
+            i, j = np.where(ids[i] < ids[j], i, j), np.where(ids[i] < ids[j], j, i)
+            _, which, many = np.unique(node[i], return_inverse=True, return_counts=True)
+            found = (ids[i], ids[j], label[i], label[j], node[i], many[which])
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["a", "b", "label_a", "label_b", "node", "n"])
         a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
         pairs = np.unique(np.stack([a, b]), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()), pa.array(pairs[1], pa.int64())], ["a", "b"])
 
-    sorted_nodes = nodes.select(*columns).repartition("node").sortWithinPartitions("node", "n_shingles", "id")
-    return sorted_nodes.mapInArrow(_by_node(compare), "id long" if across else "a long, b long").distinct()
+    members = nodes.join(classes.select("id", _part(), "n_shingles", "tokens"), ["id", "part"])
+    sorted_nodes = members.select(*columns).repartition("node").sortWithinPartitions("node", "n_shingles", "id")
+    if across:
+        return sorted_nodes.mapInArrow(_by_node(compare), "a long, b long, label_a long, label_b long, node long, n long")
+    return sorted_nodes.mapInArrow(_by_node(compare), "a long, b long").distinct()
+
+
+def _meeting(pairs: DataFrame) -> DataFrame:
+    """``(node, id, label)``: the ends of all pairs, each pair in one of the nodes where it meets, that with the most pairs.
+
+    Alike sets meet in many trees, but need be compared once; pairs of one group mostly choose the same node.
+    """
+    labels = [F.first(c).alias(c) for c in ("label_a", "label_b")]
+    met = pairs.groupBy("a", "b").agg(F.max(F.struct("n", "node")).alias("most"), *labels)
+    ends = [F.struct(F.col(c).alias("id"), F.col(f"label_{c}").alias("label")) for c in ("a", "b")]
+    return met.select(F.col("most.node").alias("node"), F.inline(F.array(*ends))).distinct()
 
 
 def _by_node(function):
@@ -278,12 +313,13 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
     return shared
 
 
-def _confirmed_in_nodes(docs: DataFrame, id: str, text: str, nodes: DataFrame, s: Settings) -> DataFrame:
+def _confirmed_in_nodes(docs: DataFrame, id: str, text: str, nodes: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
     """Links ``(a, b)`` between members of a node that have different labels, of those whose estimate allows one.
 
-    All sets of a node are compared at once where they are, so a node gives its links and not its pairs.
+    Every such pair is looked at in one node. All sets that a node was given are compared at once where they are, so it gives its
+    links and not its pairs.
     """
-    ids = materialize(_close(nodes, s, True), "ends")
+    ends = materialize(_meeting(_close(nodes, classes, s, True)), "ends")
 
     def link(rows: pa.Table) -> pa.RecordBatch:
         node, ids, label = (rows.column(i).to_numpy() for i in range(3))
@@ -303,7 +339,7 @@ def _confirmed_in_nodes(docs: DataFrame, id: str, text: str, nodes: DataFrame, s
         arrays = [pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())]
         return pa.RecordBatch.from_arrays(arrays, ["a", "b"])
 
-    rows = nodes.select("node", "id", "label").distinct().join(_sets(docs, id, text, ids, s), "id")
+    rows = ends.join(_sets(docs, id, text, ends.select("id").distinct(), s), "id")
     rows = rows.select("node", "id", "label", "set").repartition("node").sortWithinPartitions("node", "id")
     return rows.mapInArrow(_by_node(link), "a long, b long").distinct()
 
@@ -317,7 +353,7 @@ def _second_look(nodes: DataFrame, found: DataFrame, s: Settings) -> DataFrame:
     """Pairs of a node whose ends are in different components so far."""
     known = materialize(_labelled(nodes, found), "labelled")
     mixed = known.groupBy("node").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("node")
-    small = known.where("whole is null").join(mixed, "node", "left_semi").select("node", "id", "n_shingles", "tokens", "label")
+    small = known.where("whole is null").join(mixed, "node", "left_semi").select("node", "id", "part", "label")
     cut = known.where("whole is not null")
     votes = cut.groupBy("whole", "label").agg(F.count("*").alias("n")).groupBy("whole").agg(
         F.max_by("label", F.struct("n", -F.col("label"))).alias("main"), F.count("*").alias("labels"),
@@ -335,7 +371,7 @@ def _second_look(nodes: DataFrame, found: DataFrame, s: Settings) -> DataFrame:
     ).otherwise(F.xxhash64("whole", F.lit(1), "other", "block")))
     with_main = cut.where("stray").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("main_blocks") - 1)))
     with_main = with_main.withColumn("node", F.xxhash64("whole", F.lit(1), "block", "other"))
-    columns = ["node", "id", "n_shingles", "tokens", "label"]
+    columns = ["node", "id", "part", "label"]
     return small.unionByName(with_stray.select(columns)).unionByName(with_main.select(columns))
 
 
@@ -361,12 +397,12 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", set
     )
     classes = materialize(classes, "classes")
     nodes = materialize(_nodes(classes, s), "last-nodes")
-    links = confirmed(docs, id, text, materialize(_close(nodes, s, False), "pairs"), s)
+    links = confirmed(docs, id, text, materialize(_close(nodes, classes, s, False), "pairs"), s)
     first = classes.select("set_key", F.col("id").alias("class_id"))
     links = materialize(links.unionByName(_repeated(signed, first)), "confirmed")
     found = materialize(components(links), "components")
     second = materialize(_second_look(nodes, found, s), "second-look")
-    more = materialize(_confirmed_in_nodes(docs, id, text, second, s), "confirmed")
+    more = materialize(_confirmed_in_nodes(docs, id, text, second, classes, s), "confirmed")
     if not more.isEmpty():
         found = components(links.unionByName(more))
     rows = signed.select("id", "n_shingles", "set_key").join(first, "set_key", "left")

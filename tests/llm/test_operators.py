@@ -286,6 +286,31 @@ def test_no_group_of_the_second_look_holds_more_than_two_blocks(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == near_truth(texts, 1, 80)
 
 
+def test_a_pair_that_meets_in_many_trees_is_looked_at_once(spark):
+    queries.workers_find_library(spark)
+    texts = {k: " ".join(f"p{k // 2}x{i}" if i < 160 else f"q{k}x{i}" for i in range(200)) for k in range(60)}  # 160 of 240: no links
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    s = near_duplicates.Settings(shingle_words=1, depth=3)
+    signed = near_duplicates.materialize(near_duplicates.signatures(frame, "doc_id", "text", s), "signed")
+    nodes = near_duplicates.materialize(near_duplicates._nodes(signed, s), "nodes")
+    assert nodes.columns == ["node", "id", "part", "whole"]  # the tokens stay where the classes are
+    second = near_duplicates._second_look(nodes, spark.createDataFrame([], "node long, component long"), s)
+    pairs = near_duplicates._close(second, signed, s, True)
+    assert pairs.count() > 90 and pairs.select("a", "b").distinct().count() == 30
+    ends = near_duplicates._meeting(pairs).collect()
+    assert len(ends) == 60 and {r["id"] for r in ends} == set(texts)
+    assert {frozenset(r["id"] for r in ends if r["node"] == node) for node in {r["node"] for r in ends}} == {frozenset((2 * k, 2 * k + 1)) for k in range(30)}
+    rows = near_duplicates.near_duplicates(frame, settings=s).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == near_truth(texts, 1, 80)
+
+
+def test_many_texts_under_one_id(spark):
+    queries.workers_find_library(spark)
+    rows = [(7, " ".join(f"a{k}x{i}" for i in range(20))) for k in range(300)] + [(9, " ".join(f"a5x{i}" for i in range(19))), (8, "b")]
+    found = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == 302 and {(r["doc_id"], r["component_id"]) for r in found} == {(7, 7), (9, 7), (8, 8)}
+
+
 def test_pairs_at_the_threshold_meet_at_production_depth(spark):
     queries.workers_find_library(spark)
     s = near_duplicates.Settings(shingle_words=1, node_size=16)
