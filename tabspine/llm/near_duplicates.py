@@ -9,7 +9,8 @@ Nodes that stay large on the whole path hold sets that are all alike. They are c
 becomes components; a second look at every node then takes only pairs whose ends lie in different components. In cut
 nodes the members outside the node's main component meet all others block by block, two blocks to a task's group, however many there
 are. So a dense group costs a forest, not all its pairs, and no link between components that share a node is lost. Links are confirmed
-on full sets.
+on full sets. A node is asked which of its members need be compared, not for their pairs, and answers with a forest of links, so that
+rows are as many as its members, however many of them look alike.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from tabspine.llm.workers import tidy
 from tabspine.sources.scratch import materialize
 
 _HASH_COLUMNS = 4096
+#: Numbers of nodes end in their tree. Trees beyond these share an end; their pairs may be looked at more than once.
+_TREE_MASK = 1023
 
 
 @dataclass(frozen=True)
@@ -98,7 +101,7 @@ def signatures(docs: DataFrame, id: str, text: str, s: Settings) -> DataFrame:
     """``(id, n_shingles, set_key, tokens, roots)``; without shingles the last three are null.
 
     ``set_key`` is the same for equal sets only. ``tokens`` has a byte of each minwise token, ``roots`` the node of each
-    tree after its first two tokens.
+    tree after its first two tokens, which ends in the number of the tree.
     """
     draw = np.random.default_rng(s.seed)
     n = s.tokens + 2 * s.trees
@@ -107,6 +110,7 @@ def signatures(docs: DataFrame, id: str, text: str, s: Settings) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = np.arange(s.trees, dtype=np.uint64)
+        mask = np.uint64(_TREE_MASK)
         with np.errstate(over="ignore"):
             for batch in batches:
                 ids = batch.column(0)
@@ -121,7 +125,8 @@ def signatures(docs: DataFrame, id: str, text: str, s: Settings) -> DataFrame:
                         least = _minima(found, odd, flip)
                         tokens.append((least[: s.tokens] & np.uint32(255)).astype(np.uint8).tobytes())
                         pairs = least[s.tokens :].reshape(s.trees, 2).astype(np.uint64)
-                        roots.append(mix(mix(pairs[:, 0] + (tree << np.uint64(32))) + pairs[:, 1]).astype(np.int64))
+                        node = mix(mix(pairs[:, 0] + (tree << np.uint64(32))) + pairs[:, 1])
+                        roots.append((node & ~mask | tree & mask).astype(np.int64))
                     yield pa.RecordBatch.from_arrays(
                         [
                             ids.slice(block.first, len(block)), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
@@ -151,6 +156,12 @@ def _paths(classes: DataFrame, s: Settings) -> DataFrame:
     return at.select("node", "id", "part", F.concat(*path).alias("path"))
 
 
+def _child(*parts):
+    """The node under ``node`` that the parts name, of the same tree."""
+    tree = F.col("node").bitwiseAND(F.lit(_TREE_MASK))
+    return F.xxhash64("node", *parts).bitwiseAND(F.lit(~_TREE_MASK)).bitwiseOR(tree)
+
+
 def _nodes(classes: DataFrame, s: Settings) -> DataFrame:
     """``(node, id, part, whole)``: members of last nodes with more than one, large ones cut into chunks.
 
@@ -170,22 +181,29 @@ def _nodes(classes: DataFrame, s: Settings) -> DataFrame:
             chunk = F.pmod(F.xxhash64("node", "id"), chunks)
             return ended.unionByName(large.select(F.xxhash64("node", chunk).alias("node"), "id", "part", F.col("node").alias("whole")))
         token = F.substring("path", level - 1, 1)
-        at = large.select(F.xxhash64("node", token, F.lit(level)).alias("node"), "id", "part", "path")
+        at = large.select(_child(token, F.lit(level)).alias("node"), "id", "part", "path")
     raise ValueError("depth must be at least 2")
 
 
 def _close(nodes: DataFrame, classes: DataFrame, s: Settings, across: bool) -> DataFrame:
     """Pairs ``(a, b)`` of a node that may be links: each member names one partner, the smallest of those that surely look
-    alike, else the likeliest. With ``across``, all pairs that may be links and have different ``label``s, these beside them, with the
-    ``node`` and how many such pairs ``n`` it has.
+    alike, else the likeliest.
+
+    With ``across``, a pair that may be a link of its ends' different ``label``s, these beside it, for each member that has one, with
+    the ``node`` and how many such pairs ``n`` it has: every member that need be compared is an end, but not every pair is there. Members of
+    the same ``side`` are compared elsewhere, unless it is -1. If members bring all their ``others`` (see ``_with_others``), so are those that
+    also meet in a last node of larger number.
     """
-    columns = ["node", "id", "n_shingles", "tokens", *(["label"] if across else [])]
+    aware = across and "others" in nodes.columns
+    columns = ["node", "id", "n_shingles", "tokens", *(["label", "side"] if across else []), *(["last", "others"] if aware else [])]
     sure = (1 + s.percent / 100) / 2 - 0.1
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
         node, ids, sizes = (rows.column(i).to_numpy() for i in range(3))
         tokens = np.frombuffer(b"".join(rows.column(3).to_pylist()), np.uint8).reshape(len(ids), s.tokens)
-        label = rows.column(4).to_numpy() if across else None
+        label, side = (rows.column(i).to_numpy() for i in (4, 5)) if across else (None, None)
+        if aware:
+            last, others = rows.column(6).to_numpy(), _by_tree(rows.column(7).combine_chunks(), s)
         left, right, alike = [], [], []
         for k in range(1, len(ids)):
             i = np.flatnonzero(node[:-k] == node[k:])
@@ -194,23 +212,30 @@ def _close(nodes: DataFrame, classes: DataFrame, s: Settings, across: bool) -> D
             j = i + k
             keep = 100 * np.minimum(sizes[i], sizes[j]) >= s.percent * np.maximum(sizes[i], sizes[j])
             if across:
-                keep &= label[i] != label[j]
+                keep &= (label[i] != label[j]) & ((side[i] != side[j]) | (side[i] == -1))
             i, j = i[keep], j[keep]
             same = (tokens[i] == tokens[j]).mean(axis=1)
             keep = same >= s.floor
-            left.append(i[keep]), right.append(j[keep]), alike.append(same[keep])
+            i, j, same = i[keep], j[keep], same[keep]
+            if aware:
+                here = ~((others[i] == others[j]) & (others[i] > last[i, None])).any(axis=1)
+                i, j, same = i[here], j[here], same[here]
+            left.append(i), right.append(j), alike.append(same)
         i, j, same = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right, alike))
-        if len(i) and not across:
+        if across:
+            _, which, many = np.unique(node[i], return_inverse=True, return_counts=True)
+            first = np.unique(np.concatenate([i, j]), return_index=True)[1] % max(1, len(i))
+            first = np.unique(first)  # a pair for each end
+            i, j, many = i[first], j[first], many[which[first]]
+            i, j = np.where(ids[i] < ids[j], i, j), np.where(ids[i] < ids[j], j, i)
+            found = (ids[i], ids[j], label[i], label[j], node[i], many)
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["a", "b", "label_a", "label_b", "node", "n"])
+        if len(i):
             i, j, same = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([same, same])
             order = np.lexsort((ids[j], np.where(same >= sure, 0, 1 - same), i))
             i, j = i[order], j[order]
             first = np.r_[True, i[1:] != i[:-1]]
             i, j = i[first], j[first]
-        if across:
-            i, j = np.where(ids[i] < ids[j], i, j), np.where(ids[i] < ids[j], j, i)
-            _, which, many = np.unique(node[i], return_inverse=True, return_counts=True)
-            found = (ids[i], ids[j], label[i], label[j], node[i], many[which])
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["a", "b", "label_a", "label_b", "node", "n"])
         a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
         pairs = np.unique(np.stack([a, b]), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()), pa.array(pairs[1], pa.int64())], ["a", "b"])
@@ -222,15 +247,32 @@ def _close(nodes: DataFrame, classes: DataFrame, s: Settings, across: bool) -> D
     return sorted_nodes.mapInArrow(_by_node(compare), "a long, b long").distinct()
 
 
-def _meeting(pairs: DataFrame) -> DataFrame:
-    """``(node, id, label)``: the ends of all pairs, each pair in one of the nodes where it meets, that with the most pairs.
+def _with_others(second: DataFrame) -> DataFrame:
+    """Adds to each member of the second look all its last nodes there as ``others``. Two members meet in those that both have.
 
-    Alike sets meet in many trees, but need be compared once; pairs of one group mostly choose the same node.
+    Alike sets meet in many trees, but need be compared in one: that of the largest number.
     """
+    others = second.groupBy("id", "part").agg(F.collect_set("last").alias("others"))
+    return second.join(others, ["id", "part"])
+
+
+def _by_tree(others: pa.ListArray, s: Settings) -> np.ndarray:
+    """A row for each list, with the node of each tree in the tree's column; the smallest number stands for none."""
+    known = others.flatten().to_numpy()
+    rows = np.repeat(np.arange(len(others)), others.value_lengths().to_numpy())
+    matrix = np.full((len(others), min(s.trees, _TREE_MASK + 1)), np.iinfo(np.int64).min)
+    matrix[rows, known & _TREE_MASK] = known
+    return matrix
+
+
+def _meeting(pairs: DataFrame) -> DataFrame:
+    """``(node, id, label)``: the ends of all pairs. A pair that is the only one of its node stays in one of the nodes where it is
+    found, that with the most pairs."""
     labels = [F.first(c).alias(c) for c in ("label_a", "label_b")]
-    met = pairs.groupBy("a", "b").agg(F.max(F.struct("n", "node")).alias("most"), *labels)
+    more = F.collect_set(F.when(F.col("n") > 1, F.col("node")))
+    met = pairs.groupBy("a", "b").agg(F.array_union(more, F.array(F.max(F.struct("n", "node"))["node"])).alias("nodes"), *labels)
     ends = [F.struct(F.col(c).alias("id"), F.col(f"label_{c}").alias("label")) for c in ("a", "b")]
-    return met.select(F.col("most.node").alias("node"), F.inline(F.array(*ends))).distinct()
+    return met.select(F.explode("nodes").alias("node"), F.array(*ends).alias("ends")).select("node", F.inline("ends")).distinct()
 
 
 def _by_node(function):
@@ -313,13 +355,29 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
     return shared
 
 
+def _forest(x: np.ndarray, y: np.ndarray) -> list[int]:
+    """Which of the links between labels join what those before have not joined."""
+    above: dict[int, int] = {}
+    joining = []
+    for k, ends in enumerate(zip(x.tolist(), y.tolist())):
+        a, b = ends
+        while a in above:
+            a = above[a]
+        while b in above:
+            b = above[b]
+        if a != b:
+            above[max(a, b)] = min(a, b)
+            joining.append(k)
+    return joining
+
+
 def _confirmed_in_nodes(docs: DataFrame, id: str, text: str, nodes: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
     """Links ``(a, b)`` between members of a node that have different labels, of those whose estimate allows one.
 
-    Every such pair is looked at in one node. All sets that a node was given are compared at once where they are, so it gives its
-    links and not its pairs.
+    Every such pair is looked at in one node. All sets that a node was given are compared at once where they are, so it gives a forest
+    of its links, which holds the same labels together, and not its pairs.
     """
-    ends = materialize(_meeting(_close(nodes, classes, s, True)), "ends")
+    ends = materialize(_meeting(_close(_with_others(nodes), classes, s, True)), "ends")
 
     def link(rows: pa.Table) -> pa.RecordBatch:
         node, ids, label = (rows.column(i).to_numpy() for i in range(3))
@@ -334,6 +392,8 @@ def _confirmed_in_nodes(docs: DataFrame, id: str, text: str, nodes: DataFrame, c
             n = size[low:high]
             alike = 100 * shared >= s.percent * (n[:, None] + n[None, :] - shared)
             i, j = np.nonzero(np.triu(alike & (label[low:high, None] != label[None, low:high]), 1))
+            joining = _forest(label[low:high][i], label[low:high][j])
+            i, j = i[joining], j[joining]
             a.append(ids[low:high][i]), b.append(ids[low:high][j])
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
         arrays = [pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())]
@@ -350,10 +410,13 @@ def _labelled(frame: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _second_look(nodes: DataFrame, found: DataFrame, s: Settings) -> DataFrame:
-    """Pairs of a node whose ends are in different components so far."""
+    """``(node, id, part, label, last, side)``: members of nodes that are in different components so far.
+
+    ``last`` is the last node, of which ``node`` may be two blocks; members of different blocks have a ``side`` then, 0 or 1, else -1.
+    """
     known = materialize(_labelled(nodes, found), "labelled")
     mixed = known.groupBy("node").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("node")
-    small = known.where("whole is null").join(mixed, "node", "left_semi").select("node", "id", "part", "label")
+    small = known.where("whole is null").join(mixed, "node", "left_semi").withColumns({"last": F.col("node"), "side": F.lit(-1)})
     cut = known.where("whole is not null")
     votes = cut.groupBy("whole", "label").agg(F.count("*").alias("n")).groupBy("whole").agg(
         F.max_by("label", F.struct("n", -F.col("label"))).alias("main"), F.count("*").alias("labels"),
@@ -369,10 +432,13 @@ def _second_look(nodes: DataFrame, found: DataFrame, s: Settings) -> DataFrame:
     with_stray = cut.withColumn("other", F.explode(other)).withColumn("node", F.when(
         F.col("stray"), F.xxhash64("whole", F.lit(0), F.least("block", "other"), F.greatest("block", "other"))
     ).otherwise(F.xxhash64("whole", F.lit(1), "other", "block")))
+    of_strays = F.when(F.col("block") == F.col("other"), -1).otherwise((F.col("block") > F.col("other")).cast("int"))
+    with_stray = with_stray.withColumn("side", F.when(F.col("stray"), of_strays).otherwise(1))
     with_main = cut.where("stray").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("main_blocks") - 1)))
-    with_main = with_main.withColumn("node", F.xxhash64("whole", F.lit(1), "block", "other"))
-    columns = ["node", "id", "part", "label"]
-    return small.unionByName(with_stray.select(columns)).unionByName(with_main.select(columns))
+    with_main = with_main.withColumns({"node": F.xxhash64("whole", F.lit(1), "block", "other"), "side": F.lit(0)})
+    columns = ["node", "id", "part", "label", "last", "side"]
+    blocks_met = with_stray.unionByName(with_main).withColumn("last", F.col("whole"))
+    return small.select(columns).unionByName(blocks_met.select(columns))
 
 
 def _repeated(signed: DataFrame, first: DataFrame) -> DataFrame:

@@ -304,6 +304,65 @@ def test_a_pair_that_meets_in_many_trees_is_looked_at_once(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == near_truth(texts, 1, 80)
 
 
+def one_group(documents, changed):
+    """Documents of one template, each with some words of its own; of those that are divisible by 20 the next holds the same but one."""
+    texts = {}
+    for k in range(documents):
+        places = {(7 * (k // 2 * 2 if k % 20 == 1 else k) + 11 * i) % 150 for i in range(changed)}
+        own = k - 1 if k % 20 == 1 else k
+        texts[k] = " ".join(f"own{own}x{i}" if i in places else f"t{i}" for i in range(150)) + (" end" if k % 20 == 1 else "")
+    return texts
+
+
+@pytest.mark.parametrize("node_size", [128, 16])
+def test_a_group_that_looks_alike_gives_rows_by_its_members(spark, node_size):
+    queries.workers_find_library(spark)
+    texts = one_group(120, 24)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    s = near_duplicates.Settings(shingle_words=1, node_size=node_size, depth=3)
+    signed = near_duplicates.materialize(near_duplicates.signatures(frame, "doc_id", "text", s), "signed")
+    nodes = near_duplicates.materialize(near_duplicates._nodes(signed, s), "nodes")
+    assert (nodes.where("whole is not null").count() > 0) == (node_size == 16)
+    second = near_duplicates.materialize(near_duplicates._second_look(nodes, spark.createDataFrame([], "node long, component long"), s), "second")
+    members = second.select("node", "id").distinct().count()
+    assert near_duplicates._close(second, signed, s, True).count() <= members
+    pairs = near_duplicates.materialize(near_duplicates._close(near_duplicates._with_others(second), signed, s, True), "pairs")
+    ends = near_duplicates._meeting(pairs).collect()
+    assert pairs.count() <= members and len(ends) < members
+    # All pairs that may be links and meet anywhere are looked at in some node.
+    known = {r["id"]: (r["n_shingles"], np.frombuffer(r["tokens"], np.uint8)) for r in signed.collect()}
+    met, asked = ({frozenset((a, b)) for g in groups.values() for a in g for b in g if a < b} for groups in map(by_node, (second.collect(), ends)))
+    alike = set()
+    for a, b in met:
+        (n, x), (m, y) = known[a], known[b]
+        if 100 * min(n, m) >= s.percent * max(n, m) and (x == y).mean() >= s.floor:
+            alike.add(frozenset((a, b)))
+    assert len(alike) > 40 * len(texts) and alike <= asked
+    rows = near_duplicates.near_duplicates(frame, settings=s).collect()
+    truth = near_truth(texts, 1, 80)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == truth
+    assert len({first for _, first in truth.values()}) == 114
+
+
+def by_node(rows):
+    groups = {}
+    for r in rows:
+        groups.setdefault(r["node"], set()).add(r["id"])
+    return groups
+
+
+def test_links_of_a_node_are_a_forest(spark):
+    queries.workers_find_library(spark)
+    frame = spark.createDataFrame(list(one_group(60, 3).items()), "doc_id long, text string")
+    s = near_duplicates.Settings(shingle_words=1, depth=2)
+    signed = near_duplicates.materialize(near_duplicates.signatures(frame, "doc_id", "text", s), "signed")
+    nodes = near_duplicates.materialize(near_duplicates._nodes(signed, s), "nodes")
+    second = near_duplicates._second_look(nodes, spark.createDataFrame([], "node long, component long"), s)
+    links = near_duplicates.materialize(near_duplicates._confirmed_in_nodes(frame, "doc_id", "text", second, signed, s), "links")
+    assert 59 <= links.count() < nodes.count()  # of 1,770 links
+    assert near_duplicates.components(links).select("component").distinct().count() == 1
+
+
 def test_many_texts_under_one_id(spark):
     queries.workers_find_library(spark)
     rows = [(7, " ".join(f"a{k}x{i}" for i in range(20))) for k in range(300)] + [(9, " ".join(f"a5x{i}" for i in range(19))), (8, "b")]
